@@ -48,7 +48,23 @@ EVENT_FIELDS = ["event_time", "event_type", "product_id", "category_id", "catego
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Parallelism floor for unsplittable inputs.
+
+    A file written as one row group scans as one task, which would run every
+    per-row expression on a single core.  When a scan yields fewer partitions
+    than the cluster's default parallelism, redistribute it round-robin; on a
+    cluster reading many input splits this is a no-op (no extra shuffle).
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        have = df.rdd.getNumPartitions()
+    except Exception:  # pragma: no cover
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def behaviour_events(spark: SparkSession, sf_dir: str, with_replays: bool = True) -> DataFrame:
