@@ -81,3 +81,16 @@ def falsy(c, kind: str) -> Column:
     if kind == "string":
         return c.isNull() | (c == "")
     return c.isNull() | (c == 0)
+
+
+def once(*cols: Column) -> Column:
+    """Emit ``cols`` through a one-element generator: an optimizer fence.
+
+    Catalyst pushes filters through projections by substituting each column's
+    defining expression into the predicate; for an expensive per-row
+    derivation (JSON parse/build) that means evaluating it again for every
+    reference.  A predicate on a generator's output cannot be substituted
+    below it, so the derivation runs exactly once per row.
+    Use as ``df.select(*keep, once(expr1.alias("a"), expr2.alias("b")))``.
+    """
+    return F.inline(F.array(F.struct(*cols)))

@@ -156,18 +156,26 @@ def _envelope(df: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def _finish(df: DataFrame, first: Column, clock, keep: list[str]) -> DataFrame:
+    """Final verdict columns.
+
+    They are emitted through a one-element ``inline`` generator: a predicate
+    on a generator's output cannot be substituted into the upstream per-row
+    expressions, so a later ``valid = 'VALID'`` routing filter stays above the
+    validation instead of being inlined (and re-parsing the JSON per
+    reference).  The generator is evaluated once per row and stays in codegen.
+    """
     ts = F.lit(clock).cast("timestamp") if clock is not None else F.current_timestamp()
     out = df.select(*keep, "_p", first.alias("_f"))
     valid = out["_p"].isNull() & out["_f"].isNull()
     err_type = F.when(out["_p"].isNotNull(), F.lit(PROCESSING_ERROR)).otherwise(out["_f.kind"])
-    return out.select(
-        *keep,
+    verdict = F.struct(
         F.when(valid, F.lit(VALID)).otherwise(F.lit(INVALID)).alias("valid"),
         err_type.alias("error_type"),
         F.coalesce(out["_p"], out["_f.msg"]).alias("error_message"),
         # processed_at is stamped on VALID and PROCESSING_ERROR verdicts only
         F.when(valid | (err_type == PROCESSING_ERROR), ts).alias("processed_at"),
     )
+    return out.select(*keep, F.inline(F.array(verdict)))
 
 
 def validate_dynamic(df: DataFrame, value: str = "value", keep: list[str] | None = None,

@@ -54,6 +54,7 @@ def oracle_sql() -> dict[str, str]:
 def _load_all() -> None:
     # importing the modules registers their queries
     from tidemark.plans import (  # noqa: F401
+        q_features,
         q_validation,
         q_warehouse,
     )

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import once
 from tidemark.functions.joins import bounded_broadcast
 
 # --- fixed values of the adapter (shared with the DuckDB oracle) ---------
@@ -127,7 +128,7 @@ def raw_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(payload))
     text = F.concat(F.lit('{"schema":' + EVENT_SCHEMA_JSON + ',"payload":'), payload, F.lit("}"))
     text = F.when(m == ENV_TRUNCATED, F.substring(text, 1, 60)).otherwise(text)
-    return ev.select("ingest_seq", "event_id", text.alias("value"))
+    return ev.select("ingest_seq", "event_id", once(text.alias("value")))
 
 
 def cdc_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
