@@ -11,8 +11,13 @@ from tidemark.functions.histogram import histogram_quantile
 # --- fixed values ---------------------------------------------------------
 # Default latency bucket bounds in milliseconds (17 explicit bounds; +Inf implied).
 LATENCY_BOUNDS_MS = [0.1, 1, 2, 6, 10, 50, 100, 250, 500, 1000, 1400, 2000, 5000, 10000, 20000, 40000, 60000]
-# Container log line: "<timestamp> <container_id> <container_name> <body>" (syslog-like)
-LOG_LINE_RE = r"^(\S+ \S+) (\S+) (\S+) (.*)$"
+# Syslog container log line: "<pri>ver timestamp container_id container_name pid - - body";
+# groups: 1 priority, 2 timestamp, 3 container_id, 4 container_name, 5 body
+LOG_LINE_RE = (r"^<([0-9]+)>[0-9]+ ([0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]+)?"
+               r"(?:[zZ]|[+-](?:[01]\d|2[0-3]):?(?:[0-5]\d)?)?) (\S+) (\S+) [0-9]+ - -(?: (.*))?")
+LOG_TS_LAYOUT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+# Entries from the telemetry stack's own containers are dropped.
+LOG_DROP_NAMES = r"^signoz-(logspout|frontend|alertmanager|query-service|otel-collector|clickhouse|zookeeper)"
 ALERT_THRESHOLD = 0.1
 # -------------------------------------------------------------------------
 
@@ -54,20 +59,25 @@ def with_quantile(df: DataFrame, q: float, out: str = "quantile") -> DataFrame:
     return df.withColumn(out, histogram_quantile("bounds", "counts", f"CAST({float(q)!r} AS DOUBLE)"))
 
 
-def log_parse(df: DataFrame, line_col: str = "line", name_filter: str | None = None) -> DataFrame:
-    """Split container log lines into timestamp, container_id, container_name, body;
-    keep those whose container name matches ``name_filter``."""
+def log_parse(df: DataFrame, line_col: str = "line", drop_names: str | None = LOG_DROP_NAMES) -> DataFrame:
+    """Parse syslog container lines into timestamp, container_id, container_name, body.
+
+    A line that does not parse is passed on unparsed (body = the raw line,
+    other fields null).  Entries whose container name matches ``drop_names``
+    are dropped.
+    """
     line = F.col(line_col)
-    out = df.select(
-        *[c for c in df.columns if c != line_col],
-        F.try_to_timestamp(F.regexp_extract(line, LOG_LINE_RE, 1), F.lit("yyyy-MM-dd HH:mm:ss")).alias("timestamp"),
-        F.regexp_extract(line, LOG_LINE_RE, 2).alias("container_id"),
-        F.regexp_extract(line, LOG_LINE_RE, 3).alias("container_name"),
-        F.regexp_extract(line, LOG_LINE_RE, 4).alias("body"),
-        line.rlike(LOG_LINE_RE).alias("_ok"))
-    out = out.filter("_ok").drop("_ok")
-    if name_filter:
-        out = out.filter(F.col("container_name").rlike(name_filter))
+    ok = line.rlike(LOG_LINE_RE)
+
+    def grp(i):
+        return F.when(ok, F.regexp_extract(line, LOG_LINE_RE, i))
+
+    body = F.when(ok, F.regexp_extract(line, LOG_LINE_RE, 5)).otherwise(line)
+    out = df.select(*[c for c in df.columns if c != line_col],
+                    F.try_to_timestamp(grp(2), F.lit(LOG_TS_LAYOUT)).alias("timestamp"),
+                    grp(3).alias("container_id"), grp(4).alias("container_name"), body.alias("body"))
+    if drop_names:
+        out = out.filter(F.col("container_name").isNull() | ~F.col("container_name").rlike(drop_names))
     return out
 
 

@@ -106,6 +106,8 @@ fact_events AS (
 
 
 def with_ctes(body: str, ctes: str = WAREHOUSE) -> str:
+    if not ctes.strip():
+        return body.strip()
     return "WITH " + ctes.strip() + "\n" + body.strip()
 
 
