@@ -55,6 +55,7 @@ def _load_all() -> None:
     # importing the modules registers their queries
     from tidemark.plans import (  # noqa: F401
         q_features,
+        q_lake,
         q_telemetry,
         q_training,
         q_validation,
