@@ -28,29 +28,32 @@ def training_columns(df: DataFrame, cols: list[str] = TRAINING_COLUMNS) -> DataF
 def category_mapping(df: DataFrame, cols: list[str] = CATEGORICAL_COLUMNS) -> DataFrame:
     """(feature, value, idx): per column, sorted distinct non-null values -> 0..n-1.
 
-    Numeric columns sort numerically, text columns by code point.  The dense
-    index is assigned by a distributed sort + ``zipWithIndex`` (range-partitioned,
-    offsets from per-partition counts), so no vocabulary is gathered into one
-    task or the driver; per-column offsets come from a small aggregate.
+    One pass unpivots the columns into (feature, sort keys, value) and takes the
+    distinct set (partial-aggregated map-side); the vocabulary is materialised
+    to the checkpoint folder.  Numeric columns sort numerically, text by code
+    point.  The dense index comes from a distributed sort + ``zipWithIndex``
+    (range partitions, offsets from per-partition counts), so no vocabulary is
+    gathered into one task or through the driver; per-feature offsets come
+    from a small aggregate (one row per feature).
     """
-    parts = []
+    from tidemark.session import materialize
+    entries = []
     for i, c in enumerate(cols):
         numeric = isinstance(df.schema[c].dataType, T.NumericType)
-        v = df.select(F.col(c).alias("_v")).filter(F.col("_v").isNotNull()).distinct()
-        parts.append(v.select(
+        entries.append(F.struct(
             F.lit(i).alias("col_no"), F.lit(c).alias("feature"),
-            (F.col("_v").cast("double") if numeric else F.lit(None).cast("double")).alias("num_key"),
-            (F.lit(None).cast("string") if numeric else F.col("_v").cast("string")).alias("str_key"),
-            F.col("_v").cast("string").alias("value")))
-    allv = parts[0]
-    for p in parts[1:]:
-        allv = allv.unionByName(p)
-    ordered = allv.orderBy("col_no", "num_key", "str_key")
-    spark = df.sparkSession
+            (F.col(c).cast("double") if numeric else F.lit(None).cast("double")).alias("num_key"),
+            (F.lit(None).cast("string") if numeric else F.col(c).cast("string")).alias("str_key"),
+            F.col(c).cast("string").alias("value")))
+    vocab = (df.select(F.inline(F.array(*entries))).filter(F.col("value").isNotNull()).distinct())
+    vocab = materialize(vocab)
+    ordered = vocab.orderBy("col_no", "num_key", "str_key")
     schema = T.StructType(ordered.schema.fields + [T.StructField("gidx", T.LongType(), False)])
-    indexed = spark.createDataFrame(ordered.rdd.zipWithIndex().map(lambda t: tuple(t[0]) + (t[1],)), schema)
+    indexed = df.sparkSession.createDataFrame(
+        ordered.rdd.zipWithIndex().map(lambda t: tuple(t[0]) + (t[1],)), schema)
+    indexed = materialize(indexed)
     starts = indexed.groupBy("col_no").agg(F.min("gidx").alias("start"))
-    return (indexed.join(F.broadcast(starts), "col_no")   # one row per column: bounded
+    return (indexed.join(F.broadcast(starts), "col_no")   # one row per feature: bounded
             .select("feature", "value", (F.col("gidx") - F.col("start")).cast("int").alias("idx")))
 
 

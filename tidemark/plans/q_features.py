@@ -13,6 +13,7 @@ from tidemark.plans.oracles import WAREHOUSE, with_ctes
 from tidemark.plans.q_validation import VERDICT_CTES, _verdicts
 from tidemark.plans.registry import register
 from tidemark.plans.warehouse import Gold
+from tidemark.session import materialize
 from tidemark.sources.testdata import behaviour_events
 
 CLOCK = dt.datetime(2024, 2, 1, 0, 0, 0)
@@ -70,8 +71,10 @@ latest AS (
 
 
 def _valid_rows(spark, sf):
+    """Validated, decoded events: the boundary between the validation job and
+    the feature job (a topic in production), materialised once."""
     ok = V.route(_verdicts(spark, sf, False), V.VALID)
-    return envelope_decode(ok, keep=["ingest_seq"])
+    return materialize(envelope_decode(ok, keep=["ingest_seq"]))
 
 
 def _stage_ts(spark, sf):

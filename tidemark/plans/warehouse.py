@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.operators import bronze as B
 from tidemark.operators import gold as G
 from tidemark.operators import silver as S
+from tidemark.session import materialize
 from tidemark.sources.testdata import behaviour_events
 
 
@@ -22,7 +23,9 @@ class Gold:
     """Dimensions and fact of one warehouse run (lazy)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        s = silver_rows(spark, sf_dir)
+        # the silver layer is a materialised table: dimensions, fact and views
+        # all read it, so it is computed once
+        s = materialize(silver_rows(spark, sf_dir))
         self.silver = s
         self.dim_user = G.dim_user(s)
         self.dim_product = G.dim_product(s)

@@ -53,3 +53,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint dir for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and cut its lineage.
+
+    Used at the pipeline's natural layer boundaries (validated events, silver
+    rows, vocabularies), where several downstream branches would otherwise
+    recompute the same upstream work.  A reliable checkpoint survives executor
+    loss (unlike a local checkpoint, which is never used).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
