@@ -103,8 +103,9 @@ def start_lake_sink(stream: DataFrame, ts: str, path: str, checkpoint: str,
 
 def session_activity_stream(events: DataFrame, key: str = "user_session", ts: str = "event_timestamp",
                             gap: str = SESSION_GAP, watermark: str = FEATURE_WATERMARK) -> DataFrame:
-    """Stateful per-session activity counts with a watermark (state is evicted
-    once a session window closes behind the watermark)."""
+    """Stateful per-session activity counts with a watermark, for append mode:
+    a session is emitted (and its state evicted) once the watermark passes its
+    end, so late rows beyond the watermark are dropped instead of reopening it."""
     return (events.withWatermark(ts, watermark)
             .groupBy(key, F.session_window(F.col(ts), gap).alias("s"))
             .agg(F.count(F.lit(1)).alias("activity_count"), F.max(ts).alias("last_seen")))
