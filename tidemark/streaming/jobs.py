@@ -124,3 +124,13 @@ def rate_stream(verdicts: DataFrame, ts: str, watermark: str = "10 seconds") ->
             .agg(F.count_if(F.col("valid") == V.VALID).alias("success_count"),
                  F.count_if(F.col("valid") != V.VALID).alias("failure_count"))
             .select(F.col("w.start").alias("window_start"), "success_count", "failure_count"))
+
+
+def start_alert_stream(invalid_records: DataFrame, checkpoint: str, sink: str = "console",
+                       trigger: dict | None = None) -> StreamingQuery:
+    """Alert projection of the invalid topic to a console (or memory) sink."""
+    alerts = V.invalid_alerts(invalid_records).withColumn("timestamp", F.current_timestamp())
+    w = alerts.writeStream.format(sink).option("checkpointLocation", checkpoint)
+    if sink == "memory":
+        w = w.queryName("alerts")
+    return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
