@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.joins import bounded_broadcast
+from tidemark.functions.joins import bounded_broadcast, measured_broadcast
 from tidemark.operators.silver import first_per_key
 
 FACT_COLUMNS = ["event_id", "event_type", "user_id", "product_id", "category_id", "event_date",
@@ -50,8 +50,8 @@ def fk_orphans(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataF
     """Count fact rows whose key is absent from each dimension (anti-joins)."""
     out = None
     for name, (dim, key) in dims.items():
-        k = dim.select(key).distinct()
-        o = (fact.select(key).join(bounded_broadcast(k), key, "left_anti")
+        # dimensions are unique on their key (materialised gold tables)
+        o = (fact.select(key).join(_dim(dim, [key]), key, "left_anti")
              .agg(F.count(F.lit(1)).alias("orphans"))
              .select(F.lit(name).alias("dimension"), "orphans"))
         out = o if out is None else out.unionByName(o)
@@ -65,13 +65,19 @@ def insert_if_absent(new: DataFrame, existing: DataFrame, pk: list[str]) -> Data
     return first_per_key(fresh, pk) if "ingest_seq" in new.columns else fresh.dropDuplicates(pk)
 
 
+def _dim(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Projected dimension for a star join: broadcast when its measured size is
+    bounded (dimensions are materialised tables), otherwise a shuffle join."""
+    return measured_broadcast(df.select(*cols))
+
+
 def vw_user_session_summary(fact: DataFrame, d_user: DataFrame, d_date: DataFrame,
                             d_product: DataFrame) -> DataFrame:
     """Session summary; the three dimension joins only test key existence
     (each dimension is unique on its key), so they are semi-joins."""
-    f = (fact.join(bounded_broadcast(d_user.select("user_id")), "user_id", "left_semi")
-         .join(bounded_broadcast(d_date.select("event_date")), "event_date", "left_semi")
-         .join(bounded_broadcast(d_product.select("product_id")), "product_id", "left_semi"))
+    f = (fact.join(_dim(d_user, ["user_id"]), "user_id", "left_semi")
+         .join(_dim(d_date, ["event_date"]), "event_date", "left_semi")
+         .join(_dim(d_product, ["product_id"]), "product_id", "left_semi"))
     return (f.groupBy("user_id", "user_session")
             .agg(F.count(F.lit(1)).alias("event_count"),
                  F.min("event_timestamp").alias("session_start"),
@@ -82,10 +88,9 @@ def vw_user_session_summary(fact: DataFrame, d_user: DataFrame, d_date: DataFram
 def vw_category_performance(fact: DataFrame, d_category: DataFrame, d_user: DataFrame,
                             d_product: DataFrame) -> DataFrame:
     f = (fact.select("category_id", "user_id", "product_id")
-         .join(bounded_broadcast(d_category.select("category_id", "category_l1", "category_l2",
-                                                   "category_l3")), "category_id")
-         .join(bounded_broadcast(d_user.select("user_id")), "user_id", "left_semi")
-         .join(bounded_broadcast(d_product.select("product_id", "price")), "product_id"))
+         .join(_dim(d_category, ["category_id", "category_l1", "category_l2", "category_l3"]), "category_id")
+         .join(_dim(d_user, ["user_id"]), "user_id", "left_semi")
+         .join(_dim(d_product, ["product_id", "price"]), "product_id"))
     return (f.groupBy("category_l1", "category_l2", "category_l3")
             .agg(F.count(F.lit(1)).alias("view_count"),
                  F.count_distinct("user_id").alias("unique_users"),
