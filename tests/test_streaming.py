@@ -48,3 +48,28 @@ def test_session_activity_stream(spark):
     # append mode: a session is emitted once the watermark passes its end, so
     # the still-open last session (s2) is held in state
     assert got == [("s1", 1), ("s1", 2)]
+
+
+def test_late_rows_are_counted_and_dropped(spark):
+    import datetime as dt
+    src, out, ck = _p(spark, "late"), _p(spark, "lateout"), _p(spark, "lateck")
+    schema = "user_session string, event_timestamp timestamp"
+    spark.createDataFrame([("s1", dt.datetime(2024, 1, 2, 0, 0))], schema).write.mode("append").parquet(src)
+    rschema = spark.read.parquet(src).schema
+
+    def run():
+        stream = J.file_source(spark, src, rschema, max_files=1)
+        q = (J.session_activity_stream(stream, gap="30 minutes").writeStream.outputMode("append")
+             .format("parquet").option("path", out).option("checkpointLocation", ck)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        return q
+
+    run()
+    # a row two hours behind the watermark (watermark = 2024-01-02 00:00 - 1 minute)
+    spark.createDataFrame([("s9", dt.datetime(2024, 1, 1, 22, 0))], schema).write.mode("append").parquet(src)
+    q = run()
+    progress = [p for p in q.recentProgress if p.get("stateOperators")]
+    dropped = sum(op.get("numRowsDroppedByWatermark", 0) for p in progress for op in p["stateOperators"])
+    assert dropped == 1
+    assert J.late_rows(q) in (0, 1)   # last progress may be the no-data batch

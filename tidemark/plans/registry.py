@@ -31,6 +31,9 @@ def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
 def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         def wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # event times are UTC wall-clock values; pin the session clock so
+            # results do not depend on the caller's time zone
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             return round_doubles(fn(spark, sf_dir))
         wrapped.__name__ = fn.__name__
         wrapped.__doc__ = fn.__doc__

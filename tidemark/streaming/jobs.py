@@ -134,3 +134,10 @@ def start_alert_stream(invalid_records: DataFrame, checkpoint: str, sink: str =
     if sink == "memory":
         w = w.queryName("alerts")
     return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows dropped as late (behind the watermark) by the query's stateful
+    operators in its most recent micro-batch (a side count, not a sink)."""
+    prog = query.lastProgress or {}
+    return int(sum(op.get("numRowsDroppedByWatermark", 0) for op in prog.get("stateOperators", [])))
