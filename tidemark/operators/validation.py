@@ -192,8 +192,9 @@ def validate_dynamic(df: DataFrame, value: str = "value", keep: list[str] | None
         fld = F.try_variant_get(f, "$.field", "string")
         nm_attr = F.try_variant_get(f, "$.name", "string")
         name = F.when(fld.isNotNull() & (fld != ""), fld).otherwise(nm_attr)
+        # an array-typed declaration is a union; a plain string is not
         tlist = F.try_variant_get(f, "$.type", "array<string>")
-        is_union = _kind(F.try_variant_get(f, "$.type", "variant")).startswith("ARRAY")
+        is_union = tlist.isNotNull()
         member = F.coalesce(F.get(F.filter(tlist, lambda t: t != "null"), 0), F.get(tlist, 0))
         eff = (F.when(F.coalesce(nm_attr, F.lit("")).startswith(DEBEZIUM_PREFIX), nm_attr)
                .when(is_union, member)
@@ -206,18 +207,15 @@ def validate_dynamic(df: DataFrame, value: str = "value", keep: list[str] | None
     described = env.select(*keep, "_p", F.transform("_fields", describe).alias("_d"), "_pmap")
 
     def lookup(d: Column) -> Column:
-        val = F.try_element_at(pmap, d["name"])
-        return F.struct(d.alias("d"), F.coalesce(F.map_contains_key(pmap, d["name"]), F.lit(False)).alias("present"),
-                        val.alias("val"))
+        # a missing key is SQL NULL; a JSON null is a (non-null) VARIANT null
+        return F.struct(d.alias("d"), F.try_element_at(pmap, d["name"]).alias("val"),
+                        _kind(F.try_element_at(pmap, d["name"])).alias("k"))
 
-    looked = described.select(*keep, "_p", F.transform("_d", lookup).alias("_l"))
-    with_kind = looked.select(*keep, "_p", F.transform(
-        "_l", lambda x: F.struct(x["d"].alias("d"), x["present"].alias("present"), x["val"].alias("val"),
-                                 _kind(x["val"]).alias("k"))).alias("_lk"))
+    with_kind = described.select(*keep, "_p", F.transform("_d", lookup).alias("_lk"))
 
     def verdict(x: Column) -> Column:
         d = x["d"]
-        return field_verdict(d["name"], x["present"], x["val"], x["k"], d["eff"], d["is_union"],
+        return field_verdict(d["name"], x["val"].isNotNull(), x["val"], x["k"], d["eff"], d["is_union"],
                              d["union_null"], d["optional"])
 
     first = F.get(F.filter(F.transform("_lk", verdict), lambda x: x.isNotNull()), 0)
