@@ -87,3 +87,41 @@ def test_latest_and_lookup_ttl(spark):
                                  (3, 10, dt.datetime(2024, 1, 31))], "user_id long, product_id long, request_ts timestamp")
     out = {r["user_id"]: r["activity_count"] for r in FE.feature_lookup(req, latest, features=["activity_count"]).collect()}
     assert out == {1: 5, 2: None, 3: None}   # user 2 expired (older than 1 day), user 3 unknown
+
+
+def test_gap_sessions_hot_key_against_brute_force(spark):
+    """One key holding most events, cut into many range chunks, must give the
+    same sessions as a plain sequential sessionisation."""
+    import datetime as dt
+    import random
+    rnd = random.Random(7)
+    base = dt.datetime(2024, 1, 1)
+    rows, t = [], 0
+    for _ in range(3000):                       # hot key 1
+        t += rnd.choice([1, 5, 20, 59, 60, 61, 300])
+        rows.append((1, base + dt.timedelta(minutes=t)))
+    for k in range(2, 12):                      # small keys
+        tk = 0
+        for _ in range(rnd.randint(1, 6)):
+            tk += rnd.choice([10, 61, 200])
+            rows.append((k, base + dt.timedelta(minutes=tk)))
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "user_id long, event_timestamp timestamp")
+    got = sorted((r["user_id"], r["first_event"], r["last_event"], r["event_count"])
+                 for r in FE.session_window_activity(df, gap="1 hour", chunks=16).collect())
+    want = []
+    by_key = {}
+    for k, ts in rows:
+        by_key.setdefault(k, []).append(ts)
+    for k, tss in by_key.items():
+        tss.sort()
+        start = prev = tss[0]
+        n = 1
+        for x in tss[1:]:
+            if x - prev >= dt.timedelta(hours=1):
+                want.append((k, start, prev, n))
+                start, n = x, 0
+            n += 1
+            prev = x
+        want.append((k, start, prev, n))
+    assert got == sorted(want)
