@@ -29,13 +29,15 @@ def category_mapping(df: DataFrame, cols: list[str] = CATEGORICAL_COLUMNS) -> Da
     """(feature, value, idx): per column, sorted distinct non-null values -> 0..n-1.
 
     One pass unpivots the columns into (feature, sort keys, value) and takes the
-    distinct set (partial-aggregated map-side); the vocabulary is materialised
-    to the checkpoint folder.  Numeric columns sort numerically, text by code
-    point.  The dense index comes from a distributed sort + ``zipWithIndex``
-    (range partitions, offsets from per-partition counts), so no vocabulary is
-    gathered into one task or through the driver; per-feature offsets come
-    from a small aggregate (one row per feature).
+    distinct set (partial-aggregated map-side).  Numeric columns sort
+    numerically, text by code point.  The dense index is computed without
+    gathering a vocabulary anywhere: a distributed sort, then
+    ``monotonically_increasing_id`` (partition index in the upper bits, row
+    position in the lower) materialised once so it is stable, then each row's
+    position = rows in earlier partitions (a per-partition count table, one
+    row per partition: a bounded broadcast) + its position in its partition.
     """
+    from pyspark.sql import Window
     from tidemark.session import materialize
     entries = []
     for i, c in enumerate(cols):
@@ -45,16 +47,20 @@ def category_mapping(df: DataFrame, cols: list[str] = CATEGORICAL_COLUMNS) -> Da
             (F.col(c).cast("double") if numeric else F.lit(None).cast("double")).alias("num_key"),
             (F.lit(None).cast("string") if numeric else F.col(c).cast("string")).alias("str_key"),
             F.col(c).cast("string").alias("value")))
-    vocab = (df.select(F.inline(F.array(*entries))).filter(F.col("value").isNotNull()).distinct())
-    vocab = materialize(vocab)
-    ordered = vocab.orderBy("col_no", "num_key", "str_key")
-    schema = T.StructType(ordered.schema.fields + [T.StructField("gidx", T.LongType(), False)])
-    indexed = df.sparkSession.createDataFrame(
-        ordered.rdd.zipWithIndex().map(lambda t: tuple(t[0]) + (t[1],)), schema)
-    indexed = materialize(indexed)
-    starts = indexed.groupBy("col_no").agg(F.min("gidx").alias("start"))
-    return (indexed.join(F.broadcast(starts), "col_no")   # one row per feature: bounded
-            .select("feature", "value", (F.col("gidx") - F.col("start")).cast("int").alias("idx")))
+    vocab = materialize(df.select(F.inline(F.array(*entries))).filter(F.col("value").isNotNull()).distinct())
+    ordered = materialize(vocab.orderBy("col_no", "num_key", "str_key")
+                          .withColumn("_id", F.monotonically_increasing_id()))
+    low_bits = (1 << 33) - 1
+    ordered = ordered.withColumns({"_part": F.shiftright("_id", 33), "_pos": F.col("_id").bitwiseAND(low_bits)})
+    sizes = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.withColumn(
+        "_off", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
+                           F.lit(0)))
+    g = (ordered.join(F.broadcast(offsets.select("_part", "_off")), "_part")   # one row per partition
+         .withColumn("_g", F.col("_off") + F.col("_pos")))
+    starts = g.groupBy("col_no").agg(F.min("_g").alias("_start"))   # one row per feature
+    return (g.join(F.broadcast(starts), "col_no")
+            .select("feature", "value", (F.col("_g") - F.col("_start")).cast("int").alias("idx")))
 
 
 def encode_categories(df: DataFrame, mapping: DataFrame, cols: list[str] = CATEGORICAL_COLUMNS) -> DataFrame:
