@@ -84,9 +84,14 @@ def start_feature_ingest(validated: DataFrame, offline_path: str, checkpoint: st
     in the source system; ``session_activity_stream`` gives the stateful form."""
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = envelope_decode(batch, keep=keep)
-        feats = FE.preprocess_batch(rows, keep=keep)
-        _write_batch(FE.offline_rows(feats), offline_path, batch_id)
+        # the per-session count reads the batch twice (aggregate + join back):
+        # keep the decoded batch once instead of re-reading the source
+        rows = envelope_decode(batch, keep=keep).persist()
+        try:
+            feats = FE.preprocess_batch(rows, keep=keep)
+            _write_batch(FE.offline_rows(feats), offline_path, batch_id)
+        finally:
+            rows.unpersist()
 
     w = validated.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"processingTime": FEATURE_TRIGGER})).start()
