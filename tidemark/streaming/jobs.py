@@ -146,3 +146,15 @@ def late_rows(query: StreamingQuery) -> int:
     operators in its most recent micro-batch (a side count, not a sink)."""
     prog = query.lastProgress or {}
     return int(sum(op.get("numRowsDroppedByWatermark", 0) for op in prog.get("stateOperators", [])))
+
+
+def processing_ms_per_1000(query: StreamingQuery) -> float | None:
+    """Mean processing time per 1000 input records over the recent micro-batches
+    (from the query's own progress reports; no shared counters or locks)."""
+    rows = ms = 0
+    for p in query.recentProgress or []:
+        n = p.get("numInputRows", 0)
+        if n:
+            rows += n
+            ms += p.get("durationMs", {}).get("triggerExecution", 0)
+    return 1000.0 * ms / rows if rows else None
