@@ -323,18 +323,28 @@ def invalid_alerts(df: DataFrame, value: str = "value") -> DataFrame:
     the key is missing; severity is HIGH when the type mentions 'schema',
     else MEDIUM.  Unparsable text, or an error_type that is not text, gives a
     PROCESSING_ERROR alert of LOW severity carrying the raw event.
+    Staged like the validator: the text is parsed once per row, then the two
+    keys are read once, then the alert columns are derived from those.
     """
-    v = F.try_parse_json(F.col(value))
-    et_v = F.try_variant_get(v, "$.error_type", "variant")
-    em_v = F.try_variant_get(v, "$.error_message", "variant")
-    et_ok = et_v.isNull() | (_kind(et_v) == "STRING")
-    et = F.coalesce(F.try_variant_get(et_v, "$", "string"), F.lit("UNKNOWN"))
-    em = F.when(em_v.isNull(), F.lit("No error message")).otherwise(
-        F.when(F.is_variant_null(em_v), F.lit(None).cast("string"))
-        .otherwise(F.coalesce(F.try_variant_get(em_v, "$", "string"), F.to_json(em_v))))
-    broken = v.isNull() | ~_kind(v).startswith("OBJECT") | ~et_ok
-    return df.select(
-        *[c for c in df.columns if c != value],
+    others = [c for c in df.columns if c != value]
+    v = F.col("_v")
+    parsed = df.select(*others, value, F.try_parse_json(F.col(value)).alias("_v"))
+    keys = parsed.select(
+        *others, value, (v.isNull() | ~_is_object(v)).alias("_bad_record"),
+        F.try_variant_get(v, "$.error_type", "variant").alias("_et"),
+        F.try_variant_get(v, "$.error_message", "variant").alias("_em"))
+    et_v, em_v = F.col("_et"), F.col("_em")
+    typed = keys.select(
+        *others, value, "_bad_record", et_v.isNull().alias("_et_missing"),
+        F.try_variant_get(et_v, "$", "string").alias("_et_s"), _kind(et_v).alias("_et_k"),
+        em_v.isNull().alias("_em_missing"), F.is_variant_null(em_v).alias("_em_null"),
+        F.coalesce(F.try_variant_get(em_v, "$", "string"), F.to_json(em_v)).alias("_em_s"))
+    broken = F.col("_bad_record") | ~(F.col("_et_missing") | (F.col("_et_k") == "STRING"))
+    et = F.coalesce(F.col("_et_s"), F.lit("UNKNOWN"))
+    em = (F.when(F.col("_em_missing"), F.lit("No error message"))
+          .when(F.col("_em_null"), F.lit(None).cast("string")).otherwise(F.col("_em_s")))
+    return typed.select(
+        *others,
         F.when(broken, F.lit(PROCESSING_ERROR)).otherwise(et).alias("error_type"),
         F.when(broken, F.lit("unparsable event")).otherwise(em).alias("error_message"),
         F.when(broken, F.lit("LOW"))

@@ -79,9 +79,11 @@ def behaviour_events(spark: SparkSession, sf_dir: str, with_replays: bool = True
     Columns: ingest_seq, event_id, event_time, event_type, product_id, category_id,
     category_code, brand, price, user_id, user_session.
     """
+    # the JSON property is extracted once per row (fenced), so filters on
+    # derived columns do not re-extract it
     ev = read_table(spark, sf_dir, "events").select(
         "event_id", "ts", "user_id", "event_type", "value",
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+        once(F.get_json_object("props", "$.k").cast("bigint").alias("k")))
     part = read_table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("k"), "p_brand", "p_type", "p_name")
     j = ev.join(bounded_broadcast(part), "k", "left")
