@@ -19,10 +19,15 @@ _ORACLES: dict[str, str] = {}
 
 
 def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
+    """Presentation of a query result: doubles rounded to ``places``;
+    session-zone timestamps shown as UTC wall-clock ``TIMESTAMP_NTZ`` (the
+    session zone is pinned to UTC), matching naive SQL timestamps."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             cols.append(F.round(F.col(f.name), places).alias(f.name))
+        elif isinstance(f.dataType, T.TimestampType):
+            cols.append(F.col(f.name).cast("timestamp_ntz").alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
