@@ -172,6 +172,15 @@ def best_trial(trials: DataFrame, metric: str = "train_rmse") -> DataFrame:
             .select("b.*"))
 
 
+SERVING_FEATURES = ["brand", "price", "event_weekday", "category_code_level1", "category_code_level2",
+                    "activity_count"]
+
+
+def select_present(df: DataFrame, cols: list[str] = SERVING_FEATURES, keep: list[str] | None = None) -> DataFrame:
+    """Serving projection: the configured features that exist in the frame, in order."""
+    return df.select(*(keep or []), *[c for c in cols if c in df.columns])
+
+
 def coerce_numeric(df: DataFrame, cols: dict[str, str]) -> DataFrame:
     """Serving coercion: unparsable -> 0, then float/int per ``cols`` {name: 'float'|'int'}."""
     return df.withColumns({c: F.coalesce(F.col(c).cast("string").try_cast(t), F.lit(0).cast(t))

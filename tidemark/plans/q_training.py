@@ -141,6 +141,7 @@ def q_score_features(spark, sf):
     enc, mapping = _train_test(spark, sf)
     model = TR.fit_gbt(enc.filter(F.col("split") == "train"), MODEL_FEATURES)
     looked = FE.feature_lookup(_requests(spark, sf), FE.latest_per_key(_features(spark, sf)))
+    looked = TR.select_present(looked, keep=["user_id", "product_id"])
     looked = TR.coerce_numeric(looked, {"price": "float", "activity_count": "int"})
     scored = TR.encode_categories(looked, mapping)
     return TR.predict(model, scored.withColumn("price", F.col("price").cast("double")),
