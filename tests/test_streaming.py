@@ -73,3 +73,23 @@ def test_late_rows_are_counted_and_dropped(spark):
     dropped = sum(op.get("numRowsDroppedByWatermark", 0) for p in progress for op in p["stateOperators"])
     assert dropped == 1
     assert J.late_rows(q) in (0, 1)   # last progress may be the no-data batch
+
+
+def test_session_counter_state_runs_and_expires(spark):
+    import datetime as dt
+    src, ck = _p(spark, "ctr"), _p(spark, "ctrck")
+    schema = "user_session string, event_timestamp timestamp"
+    batches = [[("s1", dt.datetime(2024, 1, 1, 0, 0)), ("s1", dt.datetime(2024, 1, 1, 0, 5))],
+               [("s1", dt.datetime(2024, 1, 1, 1, 0)), ("s2", dt.datetime(2024, 1, 1, 1, 0))],
+               [("s2", dt.datetime(2024, 1, 3, 0, 0))]]   # moves the watermark past s1 + 24 h
+    for b in batches:
+        spark.createDataFrame(b, schema).coalesce(1).write.mode("append").parquet(src)
+    stream = J.file_source(spark, src, spark.read.parquet(src).schema, max_files=1)
+    q = (J.session_counter_stream(stream).writeStream.outputMode("update").format("memory")
+         .queryName("ctr_test").option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination()
+    rows = spark.sql("select * from ctr_test").collect()
+    s1 = sorted(r["activity_count"] for r in rows if r["user_session"] == "s1" and not r["expired"])
+    assert s1 == [2, 3]
+    assert max(r["activity_count"] for r in rows if r["user_session"] == "s2") == 2
+    assert any(r["expired"] and r["user_session"] == "s1" for r in rows)

@@ -158,3 +158,42 @@ def processing_ms_per_1000(query: StreamingQuery) -> float | None:
             rows += n
             ms += p.get("durationMs", {}).get("triggerExecution", 0)
     return 1000.0 * ms / rows if rows else None
+
+
+SESSION_TTL_MS = 24 * 3600 * 1000
+_COUNTER_OUT = "user_session string, activity_count long, last_seen timestamp, expired boolean"
+_COUNTER_STATE = "activity_count long, last_seen_ms long"
+
+
+def _session_counter(key, batches, state):
+    """Per-session running count and last-seen time; the state expires when the
+    watermark passes last_seen + TTL (one small pandas frame per key and batch)."""
+    import pandas as pd
+    if state.hasTimedOut:
+        cnt, last = state.get
+        state.remove()
+        yield pd.DataFrame({"user_session": [key[0]], "activity_count": [cnt],
+                            "last_seen": [pd.Timestamp(last, unit="ms")], "expired": [True]})
+        return
+    cnt, last = state.get if state.exists else (0, 0)
+    for pdf in batches:
+        cnt += len(pdf)
+        newest = pdf["event_timestamp"].max()
+        last = max(last, int(pd.Timestamp(newest).value // 1_000_000))
+    state.update((cnt, last))
+    state.setTimeoutTimestamp(last + SESSION_TTL_MS)
+    yield pd.DataFrame({"user_session": [key[0]], "activity_count": [cnt],
+                        "last_seen": [pd.Timestamp(last, unit="ms")], "expired": [False]})
+
+
+def session_counter_stream(events: DataFrame, watermark: str = FEATURE_WATERMARK) -> DataFrame:
+    """Running activity count per session (update mode) with a 24 h event-time
+    TTL on the state: the custom stateful form of the session counter.  State
+    is keyed by session, so it is spread over tasks by the state store's
+    partitioning and checkpointed with the query."""
+    from pyspark.sql.streaming.state import GroupStateTimeout
+    return (events.withWatermark("event_timestamp", watermark)
+            .select("user_session", "event_timestamp")
+            .groupBy("user_session")
+            .applyInPandasWithState(_session_counter, _COUNTER_OUT, _COUNTER_STATE, "update",
+                                    GroupStateTimeout.EventTimeTimeout))
