@@ -23,6 +23,7 @@ REQUEST_TS_SQL = "TIMESTAMP '2024-01-31 00:00:00'"
 SNAPSHOT_END = "2024-01-20 00:00:00"
 FEATURE_COLS_SQL = ", ".join(FE.FEATURE_COLUMNS)
 SERVED_SQL = ", ".join(FE.SERVED_FEATURES)
+NUMERIC_SERVED = ["activity_count", "event_weekday", "is_purchased"]
 
 FEATURE_CTES = VERDICT_CTES + r""",
 valid_rows AS (SELECT b.* FROM behaviour b JOIN verdict v USING (ingest_seq) WHERE v.valid = 'VALID'),
@@ -141,11 +142,16 @@ def _requests(spark, sf):
 @register("feature_lookup", with_ctes(f"""
 , req AS (SELECT DISTINCT user_id, product_id, {REQUEST_TS_SQL} AS request_ts FROM behaviour
           WHERE event_type = 'purchase')
-SELECT r.user_id, r.product_id, r.request_ts, {', '.join('l.' + c for c in FE.SERVED_FEATURES)}
+SELECT r.user_id, r.product_id, r.request_ts,
+       {', '.join(('CAST(l.' + c + ' AS DOUBLE) AS ' + c) if c in NUMERIC_SERVED else 'l.' + c
+                  for c in FE.SERVED_FEATURES)}
 FROM req r LEFT JOIN latest l ON r.user_id = l.user_id AND r.product_id = l.product_id
   AND l.event_timestamp >= r.request_ts - INTERVAL 1 DAY""", FEATURE_CTES))
 def q_feature_lookup(spark, sf):
-    return FE.feature_lookup(_requests(spark, sf), FE.latest_per_key(_features(spark, sf)))
+    """Served numeric features come back as doubles (missing keys are null),
+    as the scoring side reads them."""
+    out = FE.feature_lookup(_requests(spark, sf), FE.latest_per_key(_features(spark, sf)))
+    return out.withColumns({c: F.col(c).cast("double") for c in NUMERIC_SERVED})
 
 
 @register("materialise_incremental", with_ctes(f"SELECT ingest_seq, {FEATURE_COLS_SQL} FROM latest", FEATURE_CTES))

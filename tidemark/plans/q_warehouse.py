@@ -96,7 +96,7 @@ def q_duplicate_count(spark, sf):
 
 
 @register("silver_time", with_ctes(
-    "SELECT ingest_seq, event_timestamp, event_date, event_hour, day_of_week FROM stime"))
+    "SELECT ingest_seq, event_timestamp, CAST(event_date AS VARCHAR) AS event_date, event_hour, day_of_week FROM stime"))
 def q_silver_time(spark, sf):
     d = S.silver_time(S.dedup_first(B.bronze_valid(bronze_input(spark, sf))))
     return d.select("ingest_seq", "event_timestamp", "event_date", "event_hour", "day_of_week")
@@ -160,7 +160,7 @@ def q_dim_user(spark, sf):
     return Gold(spark, sf).dim_user
 
 
-@register("dim_product", with_ctes("SELECT product_id, brand, price, price_tier FROM dim_product"))
+@register("dim_product", with_ctes("SELECT product_id, brand, CAST(price AS DOUBLE) AS price, price_tier FROM dim_product"))
 def q_dim_product(spark, sf):
     return Gold(spark, sf).dim_product
 
@@ -171,12 +171,12 @@ def q_dim_category(spark, sf):
     return Gold(spark, sf).dim_category
 
 
-@register("dim_date", with_ctes("SELECT event_date, event_hour, day_of_week FROM dim_date"))
+@register("dim_date", with_ctes("SELECT CAST(event_date AS VARCHAR) AS event_date, event_hour, day_of_week FROM dim_date"))
 def q_dim_date(spark, sf):
     return Gold(spark, sf).dim_date
 
 
-@register("fact_events", with_ctes("SELECT * FROM fact_events"))
+@register("fact_events", with_ctes("SELECT * REPLACE (CAST(event_date AS VARCHAR) AS event_date) FROM fact_events"))
 def q_fact_events(spark, sf):
     return Gold(spark, sf).fact
 
@@ -199,7 +199,7 @@ def q_fk_orphans(spark, sf):
 
 
 @register("insert_if_absent", with_ctes(f"""
-SELECT ingest_seq, record_hash, event_date FROM silver n
+SELECT ingest_seq, record_hash, CAST(event_date AS VARCHAR) AS event_date FROM silver n
 WHERE NOT EXISTS (SELECT 1 FROM silver o WHERE o.event_date <= DATE '{FIRST_RUN_LAST_DATE}'
                   AND o.record_hash = n.record_hash)"""))
 def q_insert_if_absent(spark, sf):

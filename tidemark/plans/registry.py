@@ -19,13 +19,16 @@ _ORACLES: dict[str, str] = {}
 
 
 def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
-    """Presentation of a query result: doubles rounded to ``places``;
-    session-zone timestamps shown as UTC wall-clock ``TIMESTAMP_NTZ`` (the
-    session zone is pinned to UTC), matching naive SQL timestamps."""
+    """Presentation of a query result, identical however a client converts it
+    (row objects or pandas): doubles and decimals as doubles rounded to
+    ``places``; session-zone timestamps as UTC wall-clock ``TIMESTAMP_NTZ``
+    (the session zone is pinned to UTC); dates as ISO ``yyyy-MM-dd`` text."""
     cols = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f.name), places).alias(f.name))
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
+            cols.append(F.round(F.col(f.name).cast("double"), places).alias(f.name))
+        elif isinstance(f.dataType, T.DateType):
+            cols.append(F.date_format(F.col(f.name), "yyyy-MM-dd").alias(f.name))
         elif isinstance(f.dataType, T.TimestampType):
             cols.append(F.col(f.name).cast("timestamp_ntz").alias(f.name))
         else:
