@@ -17,7 +17,7 @@ from tidemark.plans.oracles import with_ctes
 from tidemark.plans.q_features import FEATURE_COLS_SQL, FEATURE_CTES
 from tidemark.plans.q_validation import VERDICT_CTES
 from tidemark.plans.registry import register
-from tidemark.session import scratch_path
+from tidemark.session import materialize, scratch_path
 from tidemark.sources import lake as L
 from tidemark.sources.testdata import EVENT_FIELDS, behaviour_events, raw_envelopes
 from tidemark.streaming import jobs as J
@@ -50,12 +50,38 @@ def _envelope_lake(spark, sf):
     return path
 
 
-@register("lake_json_scan")
+NULLABLE_IDS = ["product_id", "category_id", "user_id"]
+
+
+def _nulled(col: str, faults: str) -> str:
+    val = f"CAST({col} AS DOUBLE)" if col in NULLABLE_IDS else col
+    return f"CASE WHEN m IN ({faults}) THEN NULL ELSE {val} END AS {col}"
+
+
+# Spark's PERMISSIVE JSON reader keeps partial results: a field that fails its
+# type (text or 7.0 for a long) is null and the record is flagged corrupt; a
+# truncated record is all null; absent keys and JSON nulls are just null.
+LAKE_SCAN_SQL = with_ctes(f"""
+, f AS (SELECT *, event_id % 100 AS m FROM behaviour)
+SELECT {_nulled('event_time', '41')}, {_nulled('event_type', '41')}, {_nulled('product_id', '41, 29')},
+       {_nulled('category_id', '41, 83')}, {_nulled('category_code', '41, 71')}, {_nulled('brand', '41')},
+       {_nulled('price', '41')}, {_nulled('user_id', '41, 53')}, {_nulled('user_session', '41, 17')},
+       m IN (41, 29, 83) AS is_corrupt
+FROM f""", VERDICT_CTES)
+
+
+@register("lake_json_scan", LAKE_SCAN_SQL)
 def q_lake_json_scan(spark, sf):
-    """Rows-only: explicit-schema JSON scan; truncated records land in _corrupt_record."""
+    """Explicit-schema JSON scan of the raw record texts; unparsable or mistyped
+    records are flagged via _corrupt_record."""
     path = _envelope_lake(spark, sf)
-    scan = L.lake_json_scan(spark, path, ENVELOPE_STRUCT)
-    return scan.select("payload.*", F.col(L.CORRUPT).isNotNull().alias("is_corrupt"), "file_path")
+    # parsed once and saved, so any projection of the result (including one
+    # that only reads the corrupt-record flag) is valid
+    scan = materialize(L.lake_json_scan(spark, path, ENVELOPE_STRUCT))
+    out = scan.select("payload.*", F.col(L.CORRUPT).isNotNull().alias("is_corrupt"))
+    # ids nulled by mistyped records are shown as doubles, so every client
+    # conversion (row objects or pandas) sees the same values
+    return out.withColumns({c: F.col(c).cast("double") for c in NULLABLE_IDS})
 
 
 @register("ingest_stats")
@@ -65,9 +91,13 @@ def q_ingest_stats(spark, sf):
     return L.ingest_stats(L.lake_json_scan(spark, path, ENVELOPE_STRUCT))
 
 
-@register("incremental_new_files")
+@register("incremental_new_files", with_ctes(f"""
+SELECT {', '.join(EVENT_FIELDS)} FROM behaviour
+WHERE strptime(replace(event_time, ' UTC', ''), '%Y-%m-%d %H:%M:%S') >= TIMESTAMP '{LAKE_SPLIT_DATE} 00:00:00'
+""", VERDICT_CTES))
 def q_incremental_new_files(spark, sf):
-    """Rows-only: two lake loads; the second run sees only the files it has not processed."""
+    """Two lake loads; the second run reads only the files it has not processed
+    (anti-join on file path).  File lineage columns are dropped from the result."""
     path = _fresh(spark, "inclake")
     ev = behaviour_events(spark, sf).withColumn("ts", parse_event_time("event_time"))
     first = ev.filter(F.col("ts") < F.lit(LAKE_SPLIT_DATE).cast("timestamp"))
@@ -77,7 +107,8 @@ def q_incremental_new_files(spark, sf):
     processed = L.lake_json_scan(spark, path, schema).select("file_path").distinct()
     processed = spark.createDataFrame(processed.collect(), processed.schema)  # the run's file log
     second.select(*EVENT_FIELDS).write.mode("append").json(path)
-    return L.incremental_new_files(L.lake_json_scan(spark, path, schema), processed).drop(L.CORRUPT)
+    new = L.incremental_new_files(L.lake_json_scan(spark, path, schema), processed)
+    return new.select(*EVENT_FIELDS)
 
 
 def _stream_validated(spark, sf):

@@ -11,7 +11,8 @@ from tidemark.operators import validation as V
 from tidemark.operators.envelope import envelope_decode, envelope_encode
 from tidemark.plans.oracles import ADAPTED, with_ctes
 from tidemark.plans.registry import register
-from tidemark.sources.testdata import EVENT_FIELDS, behaviour_events, cdc_changes, raw_envelopes
+from tidemark.sources.testdata import (EVENT_FIELDS, EVENT_SCHEMA_JSON, behaviour_events, cdc_changes,
+                                       raw_envelopes)
 
 CLOCK = dt.datetime(2024, 2, 1, 0, 0, 0)
 CLOCK_SQL = "TIMESTAMP '2024-02-01 00:00:00'"
@@ -163,7 +164,15 @@ def q_union_sources(spark, sf):
         "topic", "ingest_seq", "valid", "error_message")
 
 
-@register("envelope_encode")
+ENVELOPE_SQL = with_ctes("""
+SELECT ingest_seq, '{"schema":' || '""" + EVENT_SCHEMA_JSON + """' || ',"payload":' ||
+       CAST(to_json(struct_pack(event_time := event_time, event_type := event_type, product_id := product_id,
+            category_id := category_id, category_code := category_code, brand := brand, price := price,
+            user_id := user_id, user_session := user_session)) AS VARCHAR) || '}' AS value
+FROM behaviour""", ADAPTED)
+
+
+@register("envelope_encode", ENVELOPE_SQL)
 def q_envelope_encode(spark, sf):
-    """Rows-only: JSON text spacing is engine specific."""
+    """Envelope text: declared schema + compact payload JSON with nulls kept."""
     return envelope_encode(behaviour_events(spark, sf), keep=["ingest_seq"])
