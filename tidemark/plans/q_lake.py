@@ -104,8 +104,8 @@ def q_incremental_new_files(spark, sf):
     second = ev.filter(F.col("ts") >= F.lit(LAKE_SPLIT_DATE).cast("timestamp"))
     schema = first.select(*EVENT_FIELDS).schema
     first.select(*EVENT_FIELDS).write.mode("append").json(path)
-    processed = L.lake_json_scan(spark, path, schema).select("file_path").distinct()
-    processed = spark.createDataFrame(processed.collect(), processed.schema)  # the run's file log
+    # the first run's file log, written as a table (never gathered on the driver)
+    processed = materialize(L.lake_json_scan(spark, path, schema).select("file_path").distinct())
     second.select(*EVENT_FIELDS).write.mode("append").json(path)
     new = L.incremental_new_files(L.lake_json_scan(spark, path, schema), processed)
     return new.select(*EVENT_FIELDS)
