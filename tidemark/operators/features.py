@@ -150,12 +150,13 @@ def session_window_activity(df: DataFrame, key: str = "user_id", ts: str = "even
     """
     from pyspark.sql import Window
     gap_us = F.expr(f"INTERVAL {gap}")
-    n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     gap_micros = F.unix_micros(F.lit("1970-01-01 00:00:00").cast("timestamp") + gap_us)
 
-    ev = (df.select(F.col(key).alias("_k"), F.col(ts).alias("_t")).filter(F.col("_t").isNotNull())
-          .repartitionByRange(n, "_k", "_t")
-          .withColumn("_chunk", F.spark_partition_id()))
+    base = df.select(F.col(key).alias("_k"), F.col(ts).alias("_t")).filter(F.col("_t").isNotNull())
+    # chunk count: explicit, or left to AQE (sized from the data; coalescing
+    # keeps ranges contiguous, so chunks stay contiguous in (key, time))
+    ranged = base.repartitionByRange(chunks, "_k", "_t") if chunks else base.repartitionByRange("_k", "_t")
+    ev = ranged.withColumn("_chunk", F.spark_partition_id())
     w = Window.partitionBy("_chunk", "_k").orderBy("_t")
     prev = F.lag("_t").over(w)
     new = F.when(prev.isNull() | (F.unix_micros(F.col("_t")) - F.unix_micros(prev) >= gap_micros), 1).otherwise(0)

@@ -17,6 +17,8 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # remove checkpoint files of materialised layers once they are released
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

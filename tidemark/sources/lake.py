@@ -74,8 +74,8 @@ def write_lake(df: DataFrame, path: str, ts: str, mode: str = "append") -> None:
     hours + tasks, not hours x tasks), and a hot hour is still split across
     several tasks because the ranges are cut on the timestamp itself.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, F.col(ts)).sortWithinPartitions(ts)
+    # no fixed partition count: AQE sizes the range partitions from the data
+    ranged = df.repartitionByRange(F.col(ts)).sortWithinPartitions(ts)
     (with_hour_partitions(ranged, ts).write.mode(mode).partitionBy("year", "month", "day", "hour")
      .option("ignoreNullFields", "false").json(path))
 
