@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.joins import bounded_broadcast, measured_broadcast
+from tidemark.functions.joins import measured_broadcast
 from tidemark.operators.silver import first_per_key
 
 FACT_COLUMNS = ["event_id", "event_type", "user_id", "product_id", "category_id", "event_date",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import parse_event_time
 from tidemark.operators import features as FE
-from tidemark.operators.envelope import ENVELOPE_STRUCT, EVENT_STRUCT, envelope_decode
+from tidemark.operators.envelope import ENVELOPE_STRUCT, envelope_decode
 from tidemark.plans.oracles import with_ctes
 from tidemark.plans.q_features import FEATURE_COLS_SQL, FEATURE_CTES
 from tidemark.plans.q_validation import VERDICT_CTES
