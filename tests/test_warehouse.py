@@ -78,3 +78,18 @@ def test_flatten_payload_wins(spark):
                                "record_hash string, brand string, payload struct<brand:string,n:int>")
     r = B.bronze_flatten(df).first()
     assert r["brand"] == "inner" and r["record_hash"] == "h" and r["n"] == 3
+
+
+def test_record_hash_from_raw_json_absent_vs_null(spark):
+    import hashlib
+    import json
+    from pyspark.sql import functions as F
+    from tidemark.functions.columns import record_hash_json
+    payloads = [{"product_id": 5, "event_time": "t", "user_id": 7},
+                {"product_id": 5, "event_time": "t"},                    # absent user_id -> ''
+                {"product_id": 5, "event_time": "t", "user_id": None},   # null user_id -> 'None'
+                {"product_id": True, "event_time": "t", "user_id": "7"}]
+    df = spark.createDataFrame([(i, json.dumps(p)) for i, p in enumerate(payloads)], "id int, value string")
+    got = {r[0]: r[1] for r in df.select("id", record_hash_json(F.try_parse_json("value"))).collect()}
+    want = ["5|t|7", "5|t|", "5|t|None", "True|t|7"]
+    assert [got[i] for i in range(4)] == [hashlib.sha256(w.encode()).hexdigest() for w in want]

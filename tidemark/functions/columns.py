@@ -94,3 +94,23 @@ def once(*cols: Column) -> Column:
     Use as ``df.select(*keep, once(expr1.alias("a"), expr2.alias("b")))``.
     """
     return F.inline(F.array(F.struct(*cols)))
+
+
+def _key_text(payload: Column, name: str) -> Column:
+    """Text of a payload key as the hashed key string: absent -> '', JSON null
+    -> 'None', booleans -> 'True'/'False', text as is, numbers as JSON text."""
+    v = F.try_variant_get(payload, "$['" + name + "']", "variant")
+    kind = F.schema_of_variant(v)
+    s = F.try_variant_get(v, "$", "string")
+    return (F.when(v.isNull(), F.lit(""))
+            .when(F.is_variant_null(v), F.lit("None"))
+            .when(kind == "BOOLEAN", F.when(s == "true", F.lit("True")).otherwise(F.lit("False")))
+            .when(kind == "STRING", s)
+            .otherwise(F.to_json(v)))
+
+
+def record_hash_json(payload: Column) -> Column:
+    """record_hash over a raw JSON payload (VARIANT object), telling an absent
+    key ('') from a present null ('None')."""
+    return F.sha2(F.concat_ws("|", *[_key_text(payload, k) for k in ("product_id", "event_time", "user_id")]),
+                  256)

@@ -14,7 +14,8 @@ from tidemark.operators.envelope import envelope_decode, envelope_encode
 from tidemark.plans.oracles import r6, with_ctes
 from tidemark.plans.registry import register
 from tidemark.plans.warehouse import Gold, bronze_input, silver_rows
-from tidemark.sources.testdata import EVENT_FIELDS, behaviour_events
+from tidemark.functions.columns import record_hash_json
+from tidemark.sources.testdata import EVENT_FIELDS, behaviour_events, raw_envelopes
 
 # Fixed clock for enrichment so results are reproducible.
 ENRICH_CLOCK = dt.datetime(2024, 2, 1, 0, 0, 0)
@@ -42,6 +43,21 @@ def q_record_hash(spark, sf):
     return bronze_input(spark, sf).select("ingest_seq", "record_hash")
 
 
+@register("record_hash_raw", with_ctes("""
+SELECT ingest_seq,
+       sha256(CAST(product_id AS VARCHAR) || '|' || event_time || '|' ||
+              CASE WHEN event_id % 100 = 53 THEN 'None' ELSE CAST(user_id AS VARCHAR) END) AS record_hash
+FROM behaviour WHERE event_id % 100 <> 41"""))
+def q_record_hash_raw(spark, sf):
+    """Record hash computed from the raw record text (lake/bronze input): the
+    payload is parsed once; unparsable records carry no hash."""
+    env = raw_envelopes(spark, sf)
+    parsed = env.select("ingest_seq", F.try_variant_get(F.try_parse_json("value"), "$.payload", "variant")
+                        .alias("_payload"))
+    return (parsed.filter(F.col("_payload").isNotNull())
+            .select("ingest_seq", record_hash_json(F.col("_payload")).alias("record_hash")))
+
+
 @register("bronze_validate", with_ctes("SELECT ingest_seq, record_hash, error FROM bronze_v"))
 def q_bronze_validate(spark, sf):
     return B.bronze_validate(bronze_input(spark, sf)).select("ingest_seq", "record_hash", "error")
