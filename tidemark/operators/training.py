@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.joins import bounded_broadcast
 
 # --- fixed values -----------------------------------------------------------
 TRAINING_COLUMNS = ["brand", "price", "event_weekday", "category_code_level1", "category_code_level2",
@@ -67,13 +66,20 @@ def category_mapping(df: DataFrame, cols: list[str] = CATEGORICAL_COLUMNS) -> Da
 def encode_categories(df: DataFrame, mapping: DataFrame, cols: list[str] = CATEGORICAL_COLUMNS) -> DataFrame:
     """Replace each categorical value by its index; unseen or null -> -1.
 
-    The mapping (a vocabulary) is broadcast only when its estimated size is
-    within the bound; otherwise it is a shuffle join.
+    The mapping (a vocabulary) is materialised once and its measured size
+    decides the join: broadcast when within the bound (no shuffle of the rows,
+    and no skew on low-cardinality values such as a weekday), otherwise a
+    shuffle join that AQE can split.
     """
+    from tidemark.functions.joins import DEFAULT_BROADCAST_BYTES
+    from tidemark.session import materialize
+    mapping = materialize(mapping.select("feature", "value", "idx"))
+    small = mapping.count() * (64 + 64 + 8) <= DEFAULT_BROADCAST_BYTES
     out = df
     for c in cols:
-        m = bounded_broadcast(mapping.filter(F.col("feature") == c)
-                              .select(F.col("value").alias(f"_v_{c}"), F.col("idx").alias(f"_i_{c}")))
+        m = (mapping.filter(F.col("feature") == c)
+             .select(F.col("value").alias(f"_v_{c}"), F.col("idx").alias(f"_i_{c}")))
+        m = F.broadcast(m) if small else m
         out = (out.join(m, out[c].cast("string") == m[f"_v_{c}"], "left")
                .withColumn(c, F.coalesce(F.col(f"_i_{c}"), F.lit(UNSEEN_INDEX)).cast("int"))
                .drop(f"_v_{c}", f"_i_{c}"))
