@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import string
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +19,26 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors, whose Python need not find it by
+    itself.  Spark copies the archive from the driver; once a context."""
+    import tidemark
+
+    sc = spark.sparkContext
+    if getattr(sc, "_tidemark_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(tidemark.__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tidemark-code-"), "tidemark_code.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    sc._tidemark_shipped = True
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it
     back: lineage is cut and a lost executor costs no recomputation."""

@@ -14,11 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import ascii_lower, ordered_id, shuffle_partitions, written
-
-# Splitters: sampled keys for each range, and the most keys brought to the driver.
-OVERSAMPLE = 60
-MAX_SAMPLE = 200_000
-
+from tidemark.llm.ranges import range_of, splitters
 
 def _sort_key(norm: Column, sha: Column, ident: Column) -> Column:
     """Order: leading bytes, digest of the whole text, identifier.  Equal texts
@@ -26,34 +22,6 @@ def _sort_key(norm: Column, sha: Column, ident: Column) -> Column:
     return F.concat(F.hex(F.substring(norm, 1, 16)), F.lit(" "), sha, ordered_id(ident))
 
 
-def _splitters(keyed: DataFrame, ranges: int) -> list[str]:
-    total = keyed.count()
-    want = min(max(ranges * OVERSAMPLE, ranges), max(MAX_SAMPLE, ranges))
-    fraction = min(1.0, want / max(total, 1))
-    sample = sorted(r[0] for r in keyed.sample(fraction, seed=17).select("key").collect())
-    if not sample:
-        return []
-    return sorted({sample[len(sample) * i // ranges] for i in range(1, ranges)})
-
-
-def _range_of(key: Column, splitters: list[str]) -> Column:
-    """How many splitters are <= key, by binary search."""
-    if not splitters:
-        return F.lit(0)
-    cuts = F.split(F.lit(",".join(splitters)), ",")
-
-    def halve(acc, _):
-        mid = ((acc["lo"] + acc["hi"]) / 2).cast("int")
-        right = (acc["lo"] < acc["hi"]) & (F.get(cuts, mid) <= key)
-        return F.struct(
-            F.when(right, mid + 1).otherwise(acc["lo"]).alias("lo"),
-            F.when(right | (acc["lo"] >= acc["hi"]), acc["hi"]).otherwise(mid).alias("hi"))
-
-    start = F.struct(F.lit(0).alias("lo"), F.lit(len(splitters)).alias("hi"))
-    steps = F.sequence(F.lit(1), F.lit(len(splitters).bit_length() + 1))
-    return F.aggregate(steps, start, halve, lambda acc: acc["lo"])
-
-
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 keep: str = "max", ranges: int | None = None) -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``.
@@ -73,8 +41,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keyed = (docs.select(F.col(id_col).cast("long").alias("doc_id"), norm.alias("norm"))
              .withColumn("sha", F.sha2("norm", 256))
              .withColumn("key", _sort_key(F.col("norm"), F.col("sha"), F.col("doc_id"))))
-    cuts = _splitters(keyed, ranges)
-    dealt = (keyed.withColumn("bucket", _range_of(F.col("key"), cuts))
+    cuts = splitters(keyed, ranges)
+    dealt = (keyed.withColumn("bucket", range_of(F.col("key"), cuts))
              .repartitionById(len(cuts) + 1, F.col("bucket")))
 
     order = Window.partitionBy("bucket").orderBy("key")

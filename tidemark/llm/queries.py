@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.mixing import poisson_mix
 from tidemark.llm.sharding import stratified_shards
+from tidemark.llm.token_files import token_digest
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, written as token files and read back."""
+    return token_digest(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact groups of all documents; of equal texts the largest doc_id stays."""
     return exact_dedup(table(spark, sf_dir, "documents"))
@@ -35,6 +41,7 @@ def op8_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {
+    "op2_token_files": op2_token_files,
     "op3_exact_dedup": op3_exact_dedup,
     "op6_poisson_mix": op6_poisson_mix,
     "op8_stratified_shards": op8_stratified_shards,
