@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.decontaminate import find_contamination
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.mixing import poisson_mix
 from tidemark.llm.sharding import stratified_shards
@@ -35,6 +36,12 @@ def op6_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc.doc_id", "doc.source", "copy", F.round("rate", 9).alias("rate"))
 
 
+def op7_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in all documents."""
+    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def op8_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document, 24 shards."""
     return stratified_shards(table(spark, sf_dir, "documents"))
@@ -44,6 +51,7 @@ QUERIES: dict[str, QueryFn] = {
     "op2_token_files": op2_token_files,
     "op3_exact_dedup": op3_exact_dedup,
     "op6_poisson_mix": op6_poisson_mix,
+    "op7_fm_decontamination": op7_fm_decontamination,
     "op8_stratified_shards": op8_stratified_shards,
 }
 
@@ -77,6 +85,38 @@ SELECT d.doc_id, d.source, st.k AS copy, round(d.rate, 9) AS rate
 FROM draws d JOIN steps st ON st.s = coalesce(d.source, '') AND st.cdf <= d.u
 """
 
+ORACLES["op7_fm_decontamination"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+bp AS (
+  SELECT item_id, w, least(10, len(w)) AS k, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) AS i
+  FROM b WHERE len(w) > 0),
+phrase AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS p FROM bp),
+sizes AS (SELECT DISTINCT k FROM phrase),
+dp AS (
+  SELECT r, k, w, unnest(generate_series(1, len(w) - k + 1)) AS i FROM d, sizes WHERE len(w) >= k),
+occ AS (
+  SELECT dp.r, dp.i, dp.k, phrase.item_id
+  FROM dp JOIN phrase ON phrase.k = dp.k AND phrase.p = array_to_string(dp.w[dp.i:dp.i + dp.k - 1], ' ')),
+hit AS (
+  SELECT r, count(DISTINCT pos) AS n_hit
+  FROM (SELECT r, unnest(generate_series(i, i + k - 1)) AS pos FROM (SELECT DISTINCT r, i, k FROM occ)) GROUP BY r),
+its AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS joined
+  FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM occ) GROUP BY r)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(joined, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)
+"""
+
 
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
