@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import ordered_id, shuffle_partitions, ship_code
 from tidemark.llm.huffman import CHECKPOINT_IDS, MAX_BITS, Codec, code_lengths
 from tidemark.llm.ranges import range_of, splitters
+from tidemark.llm.words import SLICE_BYTES, cuts_by, offsets_of
 from tidemark.session import scratch_path
 
 BLOCK_IDS = 65_536
@@ -42,7 +43,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_co
         from tidemark.llm.tokenize import encoder
 
         encode = encoder(tokenizer)
-        for batch in batches:
+        for batch in sliced(batches, lambda b: np.diff(offsets_of(b.column(2))), SLICE_BYTES):
             ids, counts = encode(batch.column(2))
             starts = np.cumsum(counts) - counts
             whole = np.insert(ids, starts + counts, encode.dtype(end_id))
@@ -60,9 +61,18 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_co
     return slim.mapInArrow(run, "doc_id long, tie long, n_tokens long, ids binary")
 
 
+def sliced(batches: Iterator[pa.RecordBatch], sizes: Callable[[pa.RecordBatch], np.ndarray],
+           limit: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut where their rows' sizes pass the limit, to bound memory."""
+    for batch in batches:
+        for a, b in cuts_by(sizes(batch), limit):
+            yield batch.slice(a, b - a)
+
+
 def _as_ids(column: pa.Array, width: int) -> np.ndarray:
-    data = b"".join(column.to_pylist())
-    return np.frombuffer(data, np.uint16 if width == 2 else np.uint32)
+    off = offsets_of(column)
+    raw = np.frombuffer(column.buffers()[2], np.uint8)[off[0]:off[-1]] if off[-1] > off[0] else np.zeros(0, np.uint8)
+    return np.frombuffer(raw.tobytes(), np.uint16 if width == 2 else np.uint32)
 
 
 def id_counts(tokens: DataFrame, width: int) -> DataFrame:
@@ -70,7 +80,7 @@ def id_counts(tokens: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
-        for batch in batches:
+        for batch in sliced(batches, lambda b: np.diff(offsets_of(b.column(0))), SLICE_BYTES):
             n = np.bincount(_as_ids(batch.column(0), width))
             if len(n) > len(total):
                 n[:len(total)] += total
@@ -89,7 +99,7 @@ def _coded(tokens: DataFrame, lengths: np.ndarray, width: int, cuts: list[str])
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not codec_of:
             codec_of.append(Codec(lengths))
-        for batch in batches:
+        for batch in sliced(batches, lambda b: np.asarray(b.column(4)), SLICE_BYTES // 2):
             n = np.asarray(batch.column(4))
             data, size, offsets, marks = codec_of[0].encode(_as_ids(batch.column(5), width), n)
             raw, at = data.tobytes(), np.concatenate([[0], np.cumsum(size)]).tolist()

@@ -16,7 +16,7 @@ import unicodedata
 import numpy as np
 import pyarrow as pa
 
-from tidemark.llm.words import _offsets, hashes, ragged
+from tidemark.llm.words import hashes, offsets_of, ragged
 
 # Fixed value: the split pattern whose units are found here.
 UNIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -80,7 +80,7 @@ class Encoder:
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order and the count of each (null: empty)."""
-        off = _offsets(texts)
+        off = offsets_of(texts)
         size = np.diff(off)
         off0 = off - off[0]
         counts = np.zeros(len(size), np.int64)

@@ -15,7 +15,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 # Text bytes handled at a time; a longer text is handled alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | U64(1)
@@ -66,26 +66,25 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``limit`` bytes."""
-    sizes = _lengths(texts)
+def cuts_by(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Row ranges whose sizes sum to about ``limit``; a larger row stands alone."""
     start, held = 0, 0
-    for i, n in enumerate(sizes):
+    for i, n in enumerate(sizes.tolist()):
         if i > start and held + n > limit:
             yield start, i
             start, held = i, 0
-        held += int(n)
+        held += n
     if start < len(sizes):
         yield start, len(sizes)
 
 
-def _lengths(texts: pa.Array) -> np.ndarray:
-    off = _offsets(texts)
-    return np.diff(off)
+def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``limit`` bytes."""
+    return cuts_by(np.diff(offsets_of(texts)), limit)
 
 
-def _offsets(texts: pa.Array) -> np.ndarray:
-    wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
+def offsets_of(texts: pa.Array) -> np.ndarray:
+    wide = texts.type in (pa.large_string(), pa.large_binary())
     kind = np.int64 if wide else np.int32
     if len(texts) == 0:
         return np.zeros(1, np.int64)
@@ -99,7 +98,7 @@ def _offsets(texts: pa.Array) -> np.ndarray:
 
 def lowered_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts with A-Z lowered, and offsets from 0."""
-    off = _offsets(texts)
+    off = offsets_of(texts)
     if off[-1] == off[0]:
         return np.zeros(0, np.uint8), off - off[0]
     raw = np.frombuffer(texts.buffers()[2], np.uint8)[off[0]:off[-1]]
