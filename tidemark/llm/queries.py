@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.chat import END, START, conversation_digests, format_conversations
 from tidemark.llm.decontaminate import find_contamination
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.interpolation import score_documents
 from tidemark.llm.mixing import poisson_mix
 from tidemark.llm.sharding import stratified_shards
 from tidemark.llm.token_files import token_digest
@@ -31,6 +32,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents under the deleted-interpolation model."""
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every emitted copy of every document: doc_id, source, copy, rate."""
     mixed = poisson_mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
@@ -63,6 +69,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, QueryFn] = {
     "op2_token_files": op2_token_files,
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_interpolated_lm": op5_interpolated_lm,
     "op6_poisson_mix": op6_poisson_mix,
     "op7_fm_decontamination": op7_fm_decontamination,
     "op8_stratified_shards": op8_stratified_shards,
