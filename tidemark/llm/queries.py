@@ -11,6 +11,7 @@ from tidemark.llm.chat import END, START, conversation_digests, format_conversat
 from tidemark.llm.decontaminate import find_contamination
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.interpolation import score_documents
+from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.mixing import poisson_mix
 from tidemark.llm.sharding import stratified_shards
 from tidemark.llm.token_files import token_digest
@@ -32,6 +33,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under the five-word Jaccard join."""
+    return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op5_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents under the deleted-interpolation model."""
     return score_documents(table(spark, sf_dir, "documents"))
@@ -69,6 +75,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, QueryFn] = {
     "op2_token_files": op2_token_files,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_interpolated_lm": op5_interpolated_lm,
     "op6_poisson_mix": op6_poisson_mix,
     "op7_fm_decontamination": op7_fm_decontamination,
@@ -89,6 +96,27 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY norm) AS keep_id,
 FROM t
 """
 
+ORACLES["op4_jaccard_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sh AS (
+  SELECT DISTINCT r, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS s
+  FROM (SELECT r, w, unnest(generate_series(1, len(w) - least(5, len(w)) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM sh GROUP BY r),
+common AS (
+  SELECT a.r AS x, b.r AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.r < b.r GROUP BY ALL),
+links AS (
+  SELECT x, y FROM common JOIN n p ON p.r = x JOIN n q ON q.r = y WHERE 100 * c >= 75 * (p.n + q.n - c)),
+edges AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach AS (SELECT x AS r, x AS t FROM edges UNION SELECT reach.r, edges.y FROM reach JOIN edges ON edges.x = reach.t),
+least_id AS (SELECT reach.r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = reach.t GROUP BY reach.r)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least_id.component_id, d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (r) LEFT JOIN least_id USING (r)
+"""
+
 ORACLES["op6_poisson_mix"] = """
 WITH RECURSIVE sizes AS (
   SELECT coalesce(source, '') AS s, count(*) AS n FROM documents GROUP BY 1),
