@@ -12,6 +12,7 @@ from tidemark.llm.decontaminate import find_contamination
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.interpolation import score_documents
 from tidemark.llm.jaccard_join import jaccard_components
+from tidemark.llm.langid import identify_languages
 from tidemark.llm.mixing import poisson_mix
 from tidemark.llm.sharding import stratified_shards
 from tidemark.llm.token_files import token_digest
@@ -23,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents; the network learns from the folds not held out."""
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, written as token files and read back."""
     return token_digest(table(spark, sf_dir, "documents"))
@@ -73,6 +79,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {
+    "op1_language_id": op1_language_id,
     "op2_token_files": op2_token_files,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_jaccard_join": op4_jaccard_join,
