@@ -208,7 +208,7 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold: tuple[in
     nodes = written(sets.filter(F.col("tokens").isNotNull()).select("node", "tokens", "first")
                     .dropDuplicates(["node"]), f"{name}-nodes")
     dealt = nodes.select("node", F.explode("first").alias("token"))
-    alone = nodes.select(F.element_at("first", -1).alias("token"), "node", F.col("node").alias("label"), "tokens")
+    alone = nodes.select(F.try_element_at("first", F.lit(-1)).alias("token"), "node", F.col("node").alias("label"), "tokens")
     blocked = _blocks(alone.filter(F.col("token").isNotNull()))
     tasks = blocked.withColumn("i", F.col("block")).withColumn("j", F.col("block")).unionByName(
         blocked.filter("blocks > 1").withColumn("i", F.lit(0)).withColumn("j", F.explode(F.when(
