@@ -39,13 +39,35 @@ def ship_code(spark: SparkSession) -> None:
     sc._tidemark_shipped = True
 
 
+# Scratch tables that this process has written, oldest first.
+_SCRATCH: list[str] = []
+
+
+def scratch_table(spark: SparkSession, name: str) -> str:
+    """A new path for an intermediate table in the shared checkpoint folder."""
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    _SCRATCH.append(path)
+    return path
+
+
+def scratch_tables() -> list[str]:
+    return list(_SCRATCH)
+
+
+def drop_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables whose results have been stored elsewhere."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        _SCRATCH.remove(path)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it
     back: lineage is cut and a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    path = scratch_table(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ascii_lower(c: Column) -> Column:

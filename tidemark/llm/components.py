@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +16,7 @@ def connected(edges: DataFrame) -> DataFrame:
     that label, so chains shorten by doubling.  Each round is written as a
     table; rounds go on until no label changes.
     """
-    name = f"components-{uuid.uuid4().hex[:8]}"
+    name = "components"
     both = written(edges.select("a", "b").union(edges.select("b", "a")).filter("a != b").distinct(), f"{name}-edges")
     labels = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
                      .select("node", F.least("node", "m").alias("label")), f"{name}-0")

@@ -10,7 +10,6 @@ exchange of ``exchange.py``; texts are scored chunk by chunk.
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -194,7 +193,7 @@ def score_documents(docs: DataFrame, order: int = ORDER, id_col: str = "doc_id",
     ship_code(docs.sparkSession)
     buckets = X.bucket_count(docs)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    answers = written(X.answered(_requests(slim, order, buckets), buckets, 2), f"lm-{uuid.uuid4().hex[:8]}")
+    answers = written(X.answered(_requests(slim, order, buckets), buckets, 2), "lm-answers")
 
     stats = {r["space"]: r for r in answers.filter(F.col("stats").isNotNull()).groupBy("space").agg(
         *[F.sum(F.get("stats", F.lit(i))).alias(f"s{i}") for i in range(3)]).collect()}

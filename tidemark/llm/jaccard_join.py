@@ -19,7 +19,6 @@ node, and components are found by rounds of joins.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -104,7 +103,7 @@ def document_sets(docs: DataFrame, size: int, threshold: tuple[int, int]) -> Dat
     it is dealt, rarest first)."""
     num, den = threshold
     buckets = X.bucket_count(docs)
-    answers = written(X.answered(_requests(docs, size, buckets), buckets, 1), f"shingles-{uuid.uuid4().hex[:8]}")
+    answers = written(X.answered(_requests(docs, size, buckets), buckets, 1), "shingles")
 
     def use(answer: X.Answered) -> pa.RecordBatch:
         t = _Texts(answer.texts, size)
@@ -199,7 +198,7 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold: tuple[in
     """
     spark = docs.sparkSession
     ship_code(spark)
-    name = f"jaccard-{uuid.uuid4().hex[:8]}"
+    name = "jaccard"
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     sets = written(document_sets(slim, size, threshold), f"{name}-sets")
     rows = sets.select("doc_id", "n_shingles", "node")

@@ -255,6 +255,13 @@ def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str)
     return near.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_DOCS).select("stretch", "lang")
 
 
+def train_on(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Network:
+    """A network fitted to the labelled texts that are not held out."""
+    rows = training_sample(docs, id_col, text_col, lang_col).collect()
+    rows.sort(key=lambda r: (r.lang, r.stretch))
+    return train([r.stretch for r in rows], [r.lang for r in rows])
+
+
 def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                        net: Network | None = None) -> DataFrame:
     """One row per document: ``doc_id, held_out, lang_pred, score``.
@@ -268,11 +275,7 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     alike; empty input gives an empty result.
     """
     ship_code(docs.sparkSession)
-    if net is None:
-        rows = training_sample(docs, id_col, text_col, lang_col).collect()
-        rows.sort(key=lambda r: (r.lang, r.stretch))
-        net = train([r.stretch for r in rows], [r.lang for r in rows])
-    model = net
+    model = net if net is not None else train_on(docs, id_col, text_col, lang_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)

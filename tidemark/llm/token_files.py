@@ -15,7 +15,6 @@ intermediate table and counted there; texts are not shuffled.
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -24,11 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ordered_id, shuffle_partitions, ship_code
+from tidemark.llm.common import ordered_id, scratch_table, ship_code, shuffle_partitions
 from tidemark.llm.huffman import CHECKPOINT_IDS, MAX_BITS, Codec, code_lengths
 from tidemark.llm.ranges import range_of, splitters
 from tidemark.llm.words import SLICE_BYTES, cuts_by, offsets_of
-from tidemark.session import scratch_path
 
 BLOCK_IDS = 65_536
 TOKENIZER = "word_bpe_49k.json"
@@ -164,7 +162,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, en
 
     spark = docs.sparkSession
     width = Encoder(tokenizer).dtype().itemsize
-    scratch = scratch_path(spark, f"tokens-{uuid.uuid4().hex}")
+    scratch = scratch_table(spark, "tokens")
     (tokenized(docs, tokenizer, end_id, id_col, text_col)
      # rows equal in identifier and text are dealt by a salt, so that many
      # copies of one row do not meet in one range
@@ -245,6 +243,6 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) ->
 
 def token_digest(docs: DataFrame, **options) -> DataFrame:
     """Write token files to the shared scratch folder and read them back."""
-    path = scratch_path(docs.sparkSession, f"token-files-{uuid.uuid4().hex}")
+    path = scratch_table(docs.sparkSession, "token-files")
     write_token_files(docs, path, **options)
     return read_token_files(docs.sparkSession, path)
