@@ -1,0 +1,361 @@
+"""Jaccard join, decontamination, scoring, language ID, chat and secrets
+against brute force, on odd rows and on hot groups."""
+
+import hashlib
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from helpers import crc, jaccard_rows, key, odd_rows, phrase_hits, plain_words, space_words
+
+from tidemark.llm import interpolation as I
+from tidemark.llm import words as W
+from tidemark.llm.chat import conversation_digests, format_conversations, im_parse, im_template, render, unescape
+from tidemark.llm.common import written
+from tidemark.llm.decontaminate import find_contamination, remove_spans
+from tidemark.llm.fm_index import FMIndex, suffix_array
+from tidemark.llm.interpolation import score_documents
+from tidemark.llm.jaccard_join import jaccard_components
+from tidemark.llm.langid import Network, gradients, identify_languages, train
+from tidemark.llm.secret_scan import scan_secrets
+from tidemark.llm.signature_tree import SignatureTree, candidates, overlap
+
+ROWS = [(r[0], r[1]) for r in odd_rows()]
+
+
+def table(spark, rows, ddl="doc_id long, text string"):
+    return written(spark.createDataFrame(rows, ddl).coalesce(2), "table")
+
+
+# words
+
+def test_words_are_those_of_the_patterns():
+    texts = [t for _, t in ROWS if t and len(t) < 10_000] + ["", " a", "b\x0b\x1cc", "é\x80ß"]
+    for separators, words in ((W.WHITESPACE, space_words), (W.NOT_WORD, plain_words)):
+        h, at = W.word_hashes(pa.array(texts), separators)
+        of: dict[str, int] = {}
+        for t, a, b in zip(texts, at.tolist(), at[1:].tolist()):
+            assert len(words(t)) == b - a
+            for w, x in zip(words(t), h[a:b].tolist()):
+                assert of.setdefault(w, x) == x
+        assert len(set(of.values())) == len(of)
+
+
+# Jaccard join
+
+def test_traversal_misses_no_similar_pair():
+    rng = np.random.default_rng(0)
+    sets = []
+    for _ in range(25):
+        base = rng.integers(0, 2**63, rng.integers(1, 900)).astype(np.uint64)
+        for drop in (0.0, 0.02, 0.1, 0.2):
+            keep = base[rng.random(len(base)) >= drop]
+            more = rng.integers(0, 2**63, int(len(base) * drop * rng.random())).astype(np.uint64)
+            sets.append(np.unique(np.concatenate([keep, more])))
+    near = {(a, b) for a in range(len(sets)) for b in range(a) if len(sets[a]) and len(sets[b])
+            and 4 * (c := overlap(sets[a], sets[b])) >= 3 * (len(sets[a]) + len(sets[b]) - c)}
+    i, j = candidates(SignatureTree(sets), None, 3, 4)
+    got = {(max(a, b), min(a, b)) for a, b in zip(i.tolist(), j.tolist())}
+    assert near <= got and len(got) < 4 * len(near)
+    half = len(sets) // 2
+    i, j = candidates(SignatureTree(sets[:half]), SignatureTree(sets[half:]), 3, 4)
+    assert {p for p in near if p[1] < half <= p[0]} <= {(b + half, a) for a, b in zip(i.tolist(), j.tolist())}
+
+
+def test_jaccard_odd_rows(odd, empty):
+    got = sorted((tuple(r)[:3] for r in jaccard_components(odd).collect()), key=key)
+    assert got == sorted(jaccard_rows(ROWS), key=key)
+    assert jaccard_components(empty).collect() == []
+
+
+def variants(rng, base, n, edits):
+    out = []
+    for _ in range(n):
+        w = base.split()
+        for _ in range(rng.randint(0, edits)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(10**6)}"
+        out.append(" ".join(w))
+    return out
+
+
+def test_jaccard_hot_groups_chains_and_shared_passages(spark, monkeypatch):
+    """Near copies in many blocks, a chain of slowly drifting texts, and a
+    passage that many different texts share."""
+    from tidemark.llm import jaccard_join as J
+
+    monkeypatch.setattr(J, "BLOCK", 16)
+    rng = random.Random(4)
+    word = lambda: f"w{rng.randrange(400)}"
+    text = lambda n: " ".join(word() for _ in range(n))
+    texts = variants(rng, text(120), 150, 8)
+    chain = text(100).split()
+    for k in range(60):
+        texts.append(" ".join(chain))
+        chain[(k * 7) % 100] = f"c{k}"
+    passage = text(40)
+    texts += [f"{passage} {text(rng.choice([2, 6, 12, 20, 60]))}" for _ in range(120)]
+    texts += [text(4) for _ in range(20)] + ["a b c", "A b  C"]
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    got = sorted(tuple(r)[:3] for r in J.jaccard_components(table(spark, rows)).collect())
+    assert got == sorted(jaccard_rows(rows))
+
+
+# decontamination
+
+def test_fm_index_against_scan():
+    rng = np.random.default_rng(1)
+    for n, s in ((40, 2), (300, 3), (2000, 5)):
+        text = np.append(rng.integers(1, s + 1, n), 0)
+        text[5:n // 3] = text[n // 2:n // 2 + n // 3 - 5]
+        assert suffix_array(text).tolist() == sorted(range(n + 1), key=lambda i: text[i:].tolist())
+        phrases = np.array([np.concatenate([np.zeros(4 - k, np.int64), rng.integers(1, s + 9, k)]) for k in (1, 2, 3, 4) for _ in range(8)])
+        sizes = (phrases > 0).sum(axis=1)
+        which, place = FMIndex(text).find(phrases, sizes)
+        want = [(p, i) for p in range(len(phrases)) for i in range(n + 1 - sizes[p]) if text[i:i + sizes[p]].tolist() == phrases[p][4 - sizes[p]:].tolist()]
+        assert sorted(zip(which.tolist(), place.tolist())) == sorted(want)
+
+
+ITEMS = [(1, "Lazy dog, and runs away from the big bad wolf in"), (2, "another text"), (3, None), (4, " -- "), (None, "dünne äpfel"),
+         (2, "word5 other6"), (30, "fox jumps over the lazy dog and runs away from the big")]
+
+
+def test_decontamination_odd_rows(spark, odd, empty):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    got = [(r.doc_id, r.n_words, r.n_hit, r["items"], r.items_sha256, r.contaminated) for r in find_contamination(odd, items).collect()]
+    want = [(d, n, h, i, hashlib.sha256(",".join(i).encode()).hexdigest(), h > 0) for d, n, h, i in phrase_hits(ROWS, ITEMS)]
+    assert sorted(got, key=key) == sorted(want, key=key)
+    assert any(w[5] for w in want) and not all(w[5] for w in want)
+    assert find_contamination(empty, items).collect() == []
+    assert not any(r.contaminated for r in find_contamination(odd, items.limit(0)).collect())
+
+
+def test_removed_spans_are_the_hit_words(spark):
+    docs = [(1, "Ä keep this; FOX jumps over the lazy dog and runs away, from the big! cat"), (2, None), (3, "dünne  ÄPFEL x")]
+    found = {r.doc_id: r.spans for r in find_contamination(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(ITEMS, "item_id long, text string")).collect()}
+    assert remove_spans(docs[0][1], found[1]) == "Ä keep this; ! cat"
+    assert remove_spans(None, found[2]) is None
+    assert remove_spans(docs[2][1], found[3]) == docs[2][1]  # Ä is not lowered, so "ÄPFEL" is another word
+
+
+# scoring
+
+def lm_by_hand(rows):
+    """The whole model by plain dictionaries, with the weights it learned."""
+    tokens = [[*space_words(t), "\0"] for _, t in rows]
+    fold = [crc(d) % 7 for d, _ in rows]
+    parts = {k: [t for t, f in zip(tokens, fold) if (I.TUNED if f == I.DELETED else I.OUT if f == I.HELD_OUT else I.KEPT) == k] for k in range(3)}
+    uni = {k: Counter(w for t in parts[k] for w in t) for k in range(3)}
+    two = {k: Counter(p for t in parts[k] for p in zip([None, *t], t)) for k in range(3)}
+    n = {k: sum(uni[k].values()) for k in range(3)}
+    vocabulary = set(uni[0]) | set(uni[1])
+    floor = 1 / (len(vocabulary) + 1)
+
+    def estimates(t, deleted):
+        use = [0] if deleted else [0, 1]
+        total, texts = sum(n[k] for k in use), sum(len(parts[k]) for k in use)
+        out = []
+        for a, b in zip([None, *t], t):
+            context = texts if a is None else sum(uni[k][a] for k in use)
+            both = sum(two[k][a, b] for k in use)
+            out.append((context, sum(uni[k][b] for k in use) / max(total, 1), both / context if context else 0.0))
+        return out
+
+    def rat(p):
+        return int(np.rint(I.BINS * math.log(p / floor))) if p else -9999
+
+    learn = Counter((int(I._bucket(np.array([c]))[0]), rat(p1), rat(p2)) for t in parts[1] for c, p1, p2 in estimates(t, True))
+    keys = np.array(list(learn), np.int64).reshape(len(learn), 3)
+    weights = I.learn_weights(keys, np.array(list(learn.values())), 2)
+    total = n[0] + n[1]
+    out = []
+    for (d, _), t, f in zip(rows, tokens, fold):
+        known = [uni[0][w] + uni[1][w] for w in t]
+        score = 0.0
+        for c, p1, p2 in estimates(t, False):
+            w = weights[int(I._bucket(np.array([c]))[0])].copy()
+            if not c:
+                w[2] = 0
+            w /= w.sum()
+            score += math.log10(w[0] * floor + w[1] * p1 + w[2] * p2)
+        base = sum(math.log10((k + 1) / (total + len(vocabulary) + 1)) for k in known)
+        out.append((d, f == I.HELD_OUT, len(t), sum(k > 0 for k in known), total, round(base, 6), round(score, 6)))
+    return out
+
+
+def test_scores_odd_rows(odd, empty):
+    got = [(*tuple(r)[:5], round(r.base_score, 6), round(r.score, 6)) for r in score_documents(odd).collect()]
+    want = lm_by_hand(ROWS)
+    for g, w in zip(sorted(got, key=key), sorted(want, key=key)):
+        assert g[:5] == w[:5] and g[5:] == pytest.approx(w[5:], rel=1e-6)
+    assert len(got) == len(want) and score_documents(empty).collect() == []
+
+
+def test_weights_rise_with_the_likelihood():
+    """EM ends where no small change of the weights is better."""
+    rng = np.random.default_rng(2)
+    keys = np.stack([np.zeros(400, np.int64), rng.integers(-20, 40, 400), rng.choice([-9999, 10, 50], 400)], axis=1)
+    n = rng.integers(1, 50, 400)
+    w = I.learn_weights(keys, n, 2)[0]
+    p = np.concatenate([np.ones((400, 1)), np.where(keys[:, 1:] <= -9999, 0, np.exp(np.maximum(keys[:, 1:], -600) / I.BINS))], axis=1)
+    value = lambda x: float((n * np.log((x * p).sum(axis=1))).sum())
+    for _ in range(50):
+        other = np.abs(w + rng.normal(0, 0.02, 3))
+        assert value(other / other.sum()) <= value(w) + 1e-2 * n.sum() / 100
+    assert w.sum() == pytest.approx(1)
+
+
+def test_model_beats_base_on_held_out(spark):
+    rng = random.Random(3)
+    chain = {f"v{i}": [f"v{rng.randrange(60)}" for _ in range(3)] for i in range(60)}
+    rows = []
+    for d in range(300):
+        w = ["v0"]
+        for _ in range(60):
+            w.append(rng.choice(chain[w[-1]]))
+        rows.append((d, " ".join(w)))
+    got = [r for r in score_documents(table(spark, rows)).collect() if r.held_out]
+    assert got and sum(r.score for r in got) > 0.5 * sum(r.base_score for r in got)
+
+
+# language ID
+
+def test_gradients_against_differences():
+    rng = np.random.default_rng(0)
+    net = Network.fresh(["a", "b", "c"], 3, rng)
+    net = Network(net.labels, *[w.astype(np.float64) for w in net.weights()])
+    data, label, weight = rng.integers(0, 9, (4, 6)).astype(np.uint8), np.array([0, 1, 2, 1]), np.ones((4, 6))
+    weight[1, 4:] = 0
+    _, grads = gradients(net, data, label, weight)
+    for w, g in zip(net.weights(), grads):
+        for _ in range(6):
+            at = tuple(int(rng.integers(0, s)) for s in (w.shape if w is not net.inputs else (2, 9, 9)))
+            w[at] += 1e-3
+            up = gradients(net, data, label, weight)[0]
+            w[at] -= 2e-3
+            down = gradients(net, data, label, weight)[0]
+            w[at] += 1e-3
+            assert g[at] == pytest.approx((up - down) / 2e-3, abs=3e-5)
+
+
+@pytest.fixture(scope="module")
+def net():
+    rng = random.Random(1)
+    parts = {"aa": ["ther", "ing", "wh", "and"], "bb": ["eux", "qué", "tion", "ère"], "cc": ["sch", "ung", "für", "keit"]}
+    text = lambda k: " ".join("".join(rng.choice(parts[k]) for _ in range(rng.randint(1, 3))) for _ in range(40))
+    langs = [k for k in parts for _ in range(40)]
+    return train([text(k) for k in langs], langs), text
+
+
+def test_network_labels_texts_of_any_length(spark, net, odd, empty):
+    model, text = net
+    rows = [(i, " ".join(text(k) for _ in range(n)), k) for i, (k, n) in enumerate((k, n) for k in ("aa", "bb", "cc") for n in (1, 1, 30))]
+    found = {r.doc_id: r for r in identify_languages(table(spark, rows, "doc_id long, text string, lang string"), net=model).collect()}
+    for i, _, k in rows:
+        assert found[i].lang_pred == k and found[i].score > 0.7
+        assert found[i].held_out == (crc(i) % 5 == 0)
+    rows = identify_languages(odd, net=model).collect()
+    assert len(rows) == len(ROWS)
+    assert {r.doc_id for r in rows if r.lang_pred == "und"} >= {4, 5, 6}
+    assert all((r.lang_pred == "und") == (r.score == 0) and 0 <= r.score <= 1 for r in rows)
+    assert identify_languages(empty, net=model).collect() == []
+
+
+def test_scores_do_not_depend_on_neighbours(spark, net):
+    model, text = net
+    rows = [(i, text("bb")[: 20 + 13 * i]) for i in range(40)]
+    together = {r.doc_id: r.score for r in identify_languages(table(spark, rows), net=model).collect()}
+    alone = {r.doc_id: r.score for k in (0, 17, 39) for r in identify_languages(table(spark, rows[k:k + 1]), net=model).collect()}
+    for k, s in alone.items():
+        assert together[k] == pytest.approx(s, abs=2e-4)
+
+
+def test_no_labels_means_und(spark):
+    docs = table(spark, [(1, "text", None)], "doc_id long, text string, lang string")
+    assert [(r.lang_pred, r.score) for r in identify_languages(docs).collect()] == [("und", 0.0)]
+
+
+# chat
+
+SIGNS = ["<|im_end|>", "<|im_start|>", "<", "|", "\\", "\n", "a", "x", "y", "é", "<\\|", "assistant", "n"]
+
+
+def test_rendering_reads_back():
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice(SIGNS) for _ in range(rng.randint(0, 8)))
+    for _ in range(1500):
+        turns = [(rng.choice(["user", "assistant", word()]), word()) for _ in range(rng.randint(0, 5))]
+        text, rewrites, spans = render(im_template, turns, "assistant")
+        assert not rewrites and im_parse(text) == turns
+        assert [unescape(text[s["text_start"]:s["text_end"]]) for s in spans] == [t for _, t in turns]
+        assert "".join(text[s["start"]:s["end"]] for s in spans) == text
+
+
+@pytest.mark.parametrize("template,rewrites", [
+    (lambda t: "SYSTEM\n" + im_template(t), False),
+    (lambda t: f"{len(t)} turns\n" + im_template(t), True),
+    (lambda t: im_template([(r, b if k == len(t) - 1 else b[:1]) for k, (r, b) in enumerate(t)]), True),
+    (lambda t: im_template(t) + "\n<end>", True),
+    (lambda t: im_template([(r, b.upper()) for r, b in t]), False),
+])
+def test_rewriting_templates_are_found(template, rewrites):
+    text, found, spans = render(template, [("user", "hello"), ("assistant", "good day"), ("user", "bye")], "assistant")
+    assert found == rewrites and bool(spans) != rewrites
+    assert text == template([("user", "hello"), ("assistant", "good day"), ("user", "bye")])
+
+
+def test_conversations_odd_rows(spark):
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "<|im_end|>"), (1, 1, "assistant", "<|im_end|>"), (2, None, None, None),
+            (2, 5, "assistant", None), (2, 3, "assistant", "é" * 5000), (None, 0, "user", "lost"), (3, 1, "b", ""), (3, 1, "a", "z")]
+    given = spark.createDataFrame([(*r, "clash") for r in rows], "conv_id long, turn long, role string, text string, formatted string")
+    got = {r.conv_id: r for r in conversation_digests(format_conversations(given)).collect()}
+    turns: dict = {}
+    for c, t, role, text in sorted(rows, key=lambda r: ((r[0] is not None, r[0]), (r[1] is not None, r[1]), r[2] or "", r[3] or "")):
+        turns.setdefault(c, []).append((role or "", text or ""))
+    assert set(got) == set(turns)
+    for c, t in turns.items():
+        loss = "".join(x for role, x in t if role == "assistant")
+        assert got[c].n_turns == len(t) and got[c].loss_chars == len(loss) and not got[c].rewrites
+        assert got[c].turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in t).encode()).hexdigest()
+        assert got[c].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+    assert format_conversations(given.limit(0)).collect() == []
+
+
+# secrets
+
+def test_secret_scan_finds_planted_and_clears_numbers(spark, odd, empty):
+    rng = random.Random(9)
+    hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    rows, planted = [], set()
+    for i in range(120):
+        body = " ".join(rng.choice(["the", "cat", "sat", "on", "mats"]) for _ in range(30))
+        if i % 3 == 0:
+            body += f' token = "{hexes(40)}" and more words'
+            planted.add(i)
+        elif i % 3 == 1:
+            body += f" card {rng.randrange(10**15, 10**16)} here /usr/lib/x86/{rng.randrange(10**6)}/file.so"
+        rows.append((i, body))
+    found = scan_secrets(table(spark, rows)).collect()
+    assert {r.doc_id for r in found if r.is_secret} == planted
+    for r in found:
+        value = rows[r.doc_id][1][r.start:r.start + r["size"]]
+        assert hashlib.sha256(value.encode()).hexdigest() == r.value_sha256
+    assert scan_secrets(empty).collect() == []
+    assert all(0 <= r.score <= 1 for r in scan_secrets(odd).collect())
+
+
+def test_forest_decides_unlabelled_findings(spark):
+    """Values the rules are silent about: key-like strings after a credential
+    word against build names."""
+    rng = random.Random(10)
+    sign = lambda n: "".join(rng.choice("0123456789abcdefABCDEFGHIJxyzXYZ") for _ in range(n))
+    rows = [(i, f'say token = "{"".join(rng.choice("0123456789abcdef") for _ in range(40))}" now') for i in range(60)]
+    rows += [(100 + i, f"release {rng.randrange(10**15, 10**16)} of the tool") for i in range(60)]
+    rows += [(200 + i, f'my secret = "{sign(36)}" ok') for i in range(10)]
+    found = {r.doc_id: r for r in scan_secrets(table(spark, rows)).collect()}
+    assert all(found[200 + i].label is None for i in range(10))
+    assert sum(found[200 + i].is_secret for i in range(10)) >= 8

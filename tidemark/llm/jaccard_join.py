@@ -4,17 +4,18 @@
    more than a quarter of the shingles occur nowhere else can have no link.
 2. Of the others, equal sets become one node.  Tokens are ordered by corpus
    count, rarest first; two linked sets share a token among the first quarter
-   (and one) of each, so a node is dealt to these tokens, unique ones left out.
-3. Round one: a node goes to its most frequent such token alone, in blocks of
-   about BLOCK nodes.  Trees over a block are traversed against themselves and
-   against the token's first block, so a group of near copies joins in time in
-   proportion to its size.
-4. Round two: all tokens whose nodes still lie in different components; trees
-   of all their blocks are traversed against one another.  Sets that the first
-   round joined are not compared again.
-
-Surviving pairs are compared in full.  Joined nodes leave a task as one edge a
-node, and components are found by rounds of joins.
+   (and one) of each, so nodes are dealt to these tokens, unique ones left out,
+   and nodes that tokens connect form a cluster.  Links stay within clusters,
+   and each node lies in one, so sets are not copied for each token.
+3. A cluster is cut into blocks of about BLOCK nodes.  Trees over a block are
+   traversed against themselves and against the cluster's first block, so a
+   group of near copies joins in time in proportion to its size.
+4. In clusters of several blocks whose nodes still have different labels, trees
+   over the nodes outside the largest label are traversed against all blocks.
+
+Surviving pairs are compared in full, except pairs already joined.  Joined
+nodes leave a task as one edge a node, and components are found by rounds of
+joins.
 """
 
 from __future__ import annotations
@@ -24,12 +25,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import exchange as X
 from tidemark.llm import words as W
-from tidemark.llm.common import ship_code, shuffle_partitions, written
+from tidemark.llm.common import ship_code, written
 from tidemark.llm.components import connected
 from tidemark.llm.signature_tree import link
 
@@ -135,24 +136,21 @@ def document_sets(docs: DataFrame, size: int, threshold: tuple[int, int]) -> Dat
     return X.with_answers(_bodies(docs), answers, 1, use, SETS)
 
 
-TASK_DDL = "a binary, b binary"
-
-
 def _linked(dealt: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Edges from tasks: rows ``token, i, j, block, node, label, tokens`` where
-    a task (token, i, j) joins its blocks i and j (or i with itself)."""
+    """Edges (``a, b``) from rows ``cluster, i, j, side, node, label, tokens``: a
+    task (cluster, i, j) joins its sets of side 0 with those of side 1, or
+    among themselves if there are none."""
     num, den = threshold
 
     def solve(rows: list[tuple]) -> pa.RecordBatch | None:
-        i, j = rows[0][1], rows[0][2]
-        block = np.array([r[3] for r in rows])
-        sets = [np.frombuffer(r[6], np.uint64) for r in rows]
-        nodes, labels = [r[4] for r in rows], [r[5] for r in rows]
-        left, right = np.flatnonzero(block == i), None if i == j else np.flatnonzero(block == j)
-        if not len(left) or (right is not None and not len(right)):
+        side = np.array([r[3] for r in rows])
+        sets, nodes, labels = [np.frombuffer(r[6], np.uint64) for r in rows], [r[4] for r in rows], [r[5] for r in rows]
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        if not len(left):
             return None
-        forest = link(sets, labels, left, right, num, den)
-        pairs = [(nodes[k], nodes[forest.find(k)]) for k in range(len(nodes)) if forest.find(k) != k]
+        forest = link(sets, labels, left, right if len(right) else None, num, den)
+        pairs = {(nodes[k], nodes[forest.find(k)]) for k in range(len(nodes))}
+        pairs = [x for x in pairs if x[0] != x[1]]
         if not pairs:
             return None
         a, b = zip(*pairs)
@@ -170,17 +168,41 @@ def _linked(dealt: DataFrame, threshold: tuple[int, int]) -> DataFrame:
         if len(held) > 1 and (out := solve(held)) is not None:
             yield out
 
-    return (dealt.select("token", "i", "j", "block", "node", "label", "tokens")
-            .repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(run, TASK_DDL))
+    return (dealt.select("cluster", "i", "j", "side", "node", "label", "tokens")
+            .repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+            .mapInArrow(run, "a binary, b binary"))
+
+
+def _block(salt: int, blocks: str) -> Column:
+    return F.pmod(F.xxhash64(F.lit(salt), "node"), F.col(blocks)).cast("int")
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    """``blocks`` of each row's token, and the row's ``block``."""
-    sizes = rows.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return (rows.join(sizes, "token")
-            .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-            .withColumn("block", F.pmod(F.xxhash64("node", "token"), F.col("blocks")).cast("int"))
-            .drop("n"))
+def _first_tasks(members: DataFrame) -> DataFrame:
+    """Each block with itself, and the first block with each other one."""
+    rows = members.withColumn("block", _block(0, "blocks"))
+    own = rows.withColumn("i", F.col("block")).withColumn("j", F.col("block")).withColumn("side", F.lit(0))
+    many = rows.filter("blocks > 1")
+    lead = (many.filter("block = 0").withColumn("i", F.lit(0))
+            .withColumn("j", F.explode(F.sequence(F.lit(1), F.col("blocks") - 1))).withColumn("side", F.lit(0)))
+    rest = many.filter("block > 0").withColumn("i", F.lit(0)).withColumn("j", F.col("block")).withColumn("side", F.lit(1))
+    return own.unionByName(lead).unionByName(rest)
+
+
+def _second_tasks(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Nodes outside a cluster's largest label, in blocks, with all its blocks."""
+    named = (members.filter("blocks > 1").drop("label").join(labels, "node", "left")
+             .withColumn("label", F.coalesce("label", "node")))
+    sizes = named.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"))
+    largest = (sizes.groupBy("cluster").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"))
+               .select("cluster", F.col("top.label").alias("major"),
+                       F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("minor_blocks"))
+               .filter("minor_blocks > 0"))
+    rows = named.join(largest, "cluster")
+    left = (rows.filter("label != major").withColumn("i", _block(1, "minor_blocks"))
+            .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("side", F.lit(0)))
+    right = (rows.withColumn("j", _block(0, "blocks"))
+             .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("minor_blocks") - 1))).withColumn("side", F.lit(1)))
+    return left.unionByName(right.select(*left.columns))
 
 
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold: tuple[int, int] = THRESHOLD,
@@ -203,33 +225,22 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold: tuple[in
     sets = written(document_sets(slim, size, threshold), f"{name}-sets")
     rows = sets.select("doc_id", "n_shingles", "node")
 
-    # one row a distinct set that shares its dealt tokens with another
+    # one row a distinct set; clusters of sets that dealt tokens connect
     nodes = written(sets.filter(F.col("tokens").isNotNull()).select("node", "tokens", "first")
                     .dropDuplicates(["node"]), f"{name}-nodes")
     dealt = nodes.select("node", F.explode("first").alias("token"))
-    alone = nodes.select(F.try_element_at("first", F.lit(-1)).alias("token"), "node", F.col("node").alias("label"), "tokens")
-    blocked = _blocks(alone.filter(F.col("token").isNotNull()))
-    tasks = blocked.withColumn("i", F.col("block")).withColumn("j", F.col("block")).unionByName(
-        blocked.filter("blocks > 1").withColumn("i", F.lit(0)).withColumn("j", F.explode(F.when(
-            F.col("block") == 0, F.sequence(F.lit(1), F.col("blocks") - 1)).otherwise(F.array("block")))))
-    edges = written(_linked(tasks, threshold), f"{name}-edges1")
+    leads = (dealt.groupBy("token").agg(F.min("node").alias("lead"), F.count(F.lit(1)).alias("n"))
+             .filter("n > 1").select("token", "lead"))
+    clusters = connected(dealt.join(leads, "token").select(F.col("node").alias("a"), F.col("lead").alias("b")))
+    clusters = clusters.select("node", F.col("label").alias("cluster"))
+    blocks = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    members = (nodes.select("node", "tokens").join(clusters, "node").join(blocks, "cluster")
+               .withColumn("label", F.col("node")))
+
+    edges = written(_linked(_first_tasks(members), threshold), f"{name}-edges1")
     labels = connected(edges)
-
-    # tokens whose nodes lie in different components; of tokens with the same
-    # nodes one is enough
-    named = (dealt.join(labels, "node", "left").select("token", "node", F.coalesce("label", "node").alias("label")))
-    mixed = (named.groupBy("token")
-             .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"),
-                  F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum1"),
-                  F.sum(F.xxhash64(F.reverse(F.hex("node"))).cast("decimal(38,0)")).alias("sum2"))
-             .filter("low != high").groupBy("n", "sum1", "sum2").agg(F.min("token").alias("token")).select("token"))
-    open_ = written(named.join(mixed, "token"), f"{name}-open")
-    blocked = _blocks(open_)
-    tasks = (blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-             .join(nodes.select("node", "tokens"), "node"))
-    more = written(_linked(tasks, threshold), f"{name}-edges2")
-    if more.limit(1).count():
+    if blocks.filter("blocks > 1").limit(1).count():
+        more = written(_linked(_second_tasks(members, labels), threshold), f"{name}-edges2")
         labels = connected(edges.union(more))
 
     # the smallest identifier of each component
