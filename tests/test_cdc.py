@@ -33,3 +33,16 @@ def test_cdc_envelope_validates_with_debezium_rules(spark):
     out = {r["ingest_seq"]: r["error_message"] for r in V.validate_dynamic(env, keep=["ingest_seq"]).collect()}
     assert out[1] == "Price should be greater than 0"            # clamped to 0
     assert out[3] == V.EVENT_TYPE_MESSAGE                         # 'click' is not an allowed type
+
+
+def test_normalise_iso_zoned_and_early_times(spark):
+    texts = {"2019-10-01T02:30:12Z": (2, 30), "2019-10-01T02:30:12+00:00": (2, 30), "2019-10-01 02:30:12+02:00": (0, 30),
+             "2019-10-01T02:30:12.250Z": (2, 30), "2019-10-01 02:30:12 UTC": (2, 30), "2019-10-01 02:30:12": (2, 30)}
+    rows = [(t, 1.0) for t in texts] + [("-1000000", None), ("soon", -2.0), ("2019-10", 0.0), (None, None)]
+    got = {r.t: r for r in C.cdc_normalise(spark.createDataFrame(rows, "event_time string, price double")
+                                          .selectExpr("event_time as t", "event_time", "price")).collect()}
+    for t, (hour, minute) in texts.items():
+        assert (got[t].event_time.date(), got[t].event_time.hour, got[t].event_time.minute) == (dt.date(2019, 10, 1), hour, minute)
+    assert got["-1000000"].event_time == dt.datetime(1969, 12, 31, 23, 59, 59) and got["-1000000"].price is None
+    assert got["soon"].event_time is None and got["soon"].price == 0.0
+    assert got["2019-10"].event_time is None and got[None].event_time is None

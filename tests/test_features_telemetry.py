@@ -125,3 +125,22 @@ def test_gap_sessions_hot_key_against_brute_force(spark):
             prev = x
         want.append((k, start, prev, n))
     assert got == sorted(want)
+
+
+def test_log_times_of_every_accepted_layout(spark):
+    from tidemark.operators.telemetry import log_parse
+    stamps = ["2024-01-02T03:04:05.123Z", "2024-01-02T03:04:05z", "2024-01-02T05:04:05.123456789+02:00", "2024-01-02T08:34:05+0530", "2024-01-02T03:04:05"]
+    rows = [(i, f"<1>1 {t} cid name 1 - - body") for i, t in enumerate(stamps)]
+    got = log_parse(spark.createDataFrame(rows, "i int, line string")).collect()
+    assert len(got) == 5 and all(r.timestamp.replace(microsecond=0).isoformat() == "2024-01-02T03:04:05" for r in got)
+
+
+def test_rejected_rows_count_under_their_reason(spark):
+    from tidemark.operators import features as FE
+    rows = [(1, 1, 1.0, "b", "x", "y", "s", 1, 0), (0, 1, 1.0, "b", "x", "y", "s", 1, 0), (1, 1, -1.0, "b", "x", "y", "s", 1, 0),
+            (1, 1, 1.0, "  ", "x", "y", "s", 1, 0), (1, None, 1.0, "b", "x", "y", "s", 1, 9), (1, 1, 1.0, "b", "x", "y", "s", 1, 7)]
+    df = spark.createDataFrame(rows, "user_id long, product_id long, price double, brand string, category_code_level1 string, "
+                                     "category_code_level2 string, user_session string, activity_count long, event_weekday int")
+    assert FE.quality_filter(df).count() == 1
+    assert {(r.reason, r.n) for r in FE.rejected_by_reason(df).collect()} == {
+        ("user_id: above 0", 1), ("price: at least 0", 1), ("brand: text", 1), ("product_id: present", 1), ("event_weekday: at most 6", 1)}

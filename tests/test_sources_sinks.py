@@ -3,12 +3,13 @@ import json
 import os
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tidemark.operators import sinks as K
 from tidemark.operators.envelope import EVENT_STRUCT
-from tidemark.session import scratch_path
+from tidemark.session import materialize, scratch_path
 from tidemark.sources import lake as L
 from tidemark.sources.testdata import behaviour_events
 
@@ -38,8 +39,56 @@ def test_multiline_json_object_array_and_corrupt(spark):
     ok = sorted(r["user_id"] for r in rows if not r["bad"])
     assert ok == [4, 5, 6, 7]
     assert sum(r["bad"] for r in rows) == 1
-    stats = {os.path.basename(r["file_path"]): r for r in L.ingest_stats(scan).collect()}
+    open(f"{d}/empty.json", "w").close()
+    listing = L.lake_files(spark, d)
+    stats = {os.path.basename(r["file_path"]): r for r in L.ingest_stats(materialize(scan), listing).collect()}
     assert stats["bad.json"]["status"] == "error" and stats["many.json"]["records"] == 3
+    assert stats["empty.json"]["status"] == "error" and stats["empty.json"]["bytes"] == 0
+    totals = L.ingest_totals(L.ingest_stats(materialize(scan), listing), 2).first()
+    assert (totals.processed_files, totals.error_files, totals.skipped_files) == (2, 2, 2)
+    assert (totals.records, totals.error_records) == (4, 1) and totals.bytes > 0
+
+
+def test_incremental_runs_read_new_files_and_retry_bad_ones(spark):
+    d, log = _local(_p(spark, "runs")), _p(spark, "runlog")
+    os.makedirs(d)
+    with pytest.raises(ValueError, match="no files"):
+        L.ingest_new(spark, d, EVENT_STRUCT, log)
+
+    def put(name, *users):
+        with open(f"{d}/{name}", "w") as f:
+            f.write("".join(json.dumps({"user_id": u}) + "\n" for u in users) if users else "{ not json")
+
+    def run():
+        rows, totals = L.ingest_new(spark, d, EVENT_STRUCT, log)
+        t = totals.first()
+        return (sorted(r.user_id for r in rows.filter("user_id is not null").collect()),
+                (t.processed_files, t.error_files, t.skipped_files), rows)
+
+    put("bad.json")
+    with pytest.raises(ValueError, match="no valid JSON"):
+        L.ingest_new(spark, d, EVENT_STRUCT, log)
+    put("a.json", 1, 2)
+    put("b.json", 3)
+    assert run()[:2] == ([1, 2, 3], (2, 1, 0))
+    put("c.json", 4)
+    assert run()[:2] == ([4], (1, 1, 2))      # bad.json is tried again, a and b are not opened
+    put("bad.json", 9)                          # mended in place
+    assert run()[:2] == ([9], (1, 0, 3))
+    assert run()[:2] == ([], (0, 0, 4))
+
+
+def test_incremental_scan_opens_only_new_files(spark, monkeypatch):
+    d, log = _local(_p(spark, "opened")), _p(spark, "openedlog")
+    os.makedirs(d)
+    opened = []
+    scan = L.lake_json_scan
+    monkeypatch.setattr(L, "lake_json_scan", lambda s, paths, *a: opened.append([os.path.basename(x) for x in paths]) or scan(s, paths, *a))
+    for name in ("a.json", "b.json"):
+        with open(f"{d}/{name}", "w") as f:
+            f.write('{"user_id": 1}\n')
+        L.ingest_new(spark, d, EVENT_STRUCT, log)
+    assert opened == [["a.json"], ["b.json"]]
 
 
 def test_csv_extract_with_row_cap(spark):
@@ -48,7 +97,7 @@ def test_csv_extract_with_row_cap(spark):
     ev.write.option("header", True).option("compression", "gzip").csv(src)
     L.csv_to_parquet(spark, src, dst, schema=ev.schema, row_cap=50)
     assert spark.read.parquet(dst).count() == 50
-    L.csv_to_parquet(spark, src, dst, schema=ev.schema, row_cap=None)
+    L.csv_to_parquet(spark, src, dst, schema=ev.schema)      # no cap unless asked for
     assert spark.read.parquet(dst).count() == ev.count()
 
 
@@ -69,3 +118,24 @@ def test_exports_and_views(spark):
     mp = _p(spark, "mapping")
     K.mapping_json_lines(m, mp)
     assert sorted(r["idx"] for r in spark.read.json(mp).collect()) == [0, 1]
+
+
+def test_metrics_and_schema_only(spark):
+    path = _p(spark, "metrics")
+    K.metrics_json(spark.createDataFrame([(0.5, 3)], "rmse double, n long"), path)
+    assert [tuple(r) for r in spark.read.json(path).select("rmse", "n").collect()] == [(0.5, 3)]
+    assert L.schema_only(spark.range(1)).fieldNames() == ["id"]
+
+
+def test_checkpoint_folder_is_required_off_local(spark, monkeypatch):
+    from tidemark import session as S
+    assert S.is_local("local[8]") and S.is_local("local") and not S.is_local("local-cluster[2,1,512]") and not S.is_local("yarn")
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: default)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        S.ensure_checkpoint_dir(spark)
+
+
+def test_measured_bytes_sees_long_keys(spark):
+    from tidemark.functions.joins import measured_bytes
+    assert measured_bytes(spark.createDataFrame([("x" * 10_240,), (None,)], "k string")) > 10_240

@@ -69,10 +69,8 @@ def test_late_rows_are_counted_and_dropped(spark):
     # a row two hours behind the watermark (watermark = 2024-01-02 00:00 - 1 minute)
     spark.createDataFrame([("s9", dt.datetime(2024, 1, 1, 22, 0))], schema).write.mode("append").parquet(src)
     q = run()
-    progress = [p for p in q.recentProgress if p.get("stateOperators")]
-    dropped = sum(op.get("numRowsDroppedByWatermark", 0) for p in progress for op in p["stateOperators"])
-    assert dropped == 1
-    assert J.late_rows(q) in (0, 1)   # last progress may be the no-data batch
+    assert J.late_rows(q) == 1
+    assert J.processing_ms_per_1000(q) > 0
 
 
 def test_session_counter_state_runs_and_expires(spark):

@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 import json
 
 from tidemark.operators import validation as V
@@ -122,3 +123,47 @@ def test_alerts(spark):
     assert (out[2]["error_message"], out[2]["severity"]) == ("No error message", "MEDIUM")
     assert (out[3]["error_type"], out[3]["severity"]) == ("PROCESSING_ERROR", "LOW")
     assert out[4]["raw_event"] == "not json" and out[4]["severity"] == "LOW"
+
+
+def test_verdict_is_written_into_any_layout_of_the_record(spark):
+    import json
+    record = {"schema": {"fields": [{"name": "price", "type": "double"}]}, "payload": {"price": -1.0},
+              "valid": "OLD", "metadata": {"source": "x", "processed_at": "old"}}
+    texts = [json.dumps(record), json.dumps(record) + "\n", "  " + json.dumps(record, indent=2) + "  \n", "{ broken"]
+    df = V.validate_dynamic(spark.createDataFrame(list(enumerate(texts)), "i int, value string"), keep=["i", "value"],
+                            clock=__import__("datetime").datetime(2024, 2, 1))
+    out = V.invalid_record_json(df)
+    for r in out.collect():
+        said = json.loads(r.invalid_json, object_pairs_hook=lambda pairs: pairs)
+        names = [k for k, _ in said]
+        assert len(names) == len(set(names))
+        said = json.loads(r.invalid_json)
+        assert said["valid"] == "INVALID"
+        if r.i < 3:
+            assert said["error_type"] == "SCHEMA_VALIDATION_ERROR" and said["payload"] == {"price": -1.0}
+            assert said["metadata"] == {"source": "x"}      # not stamped on schema errors
+        else:
+            assert said["raw_data"] == "{ broken" and said["metadata"]["processed_at"].startswith("2024-02-01T00:00:00")
+    alerts = V.invalid_alerts(out.select("i", F.col("invalid_json").alias("value"))).collect()
+    assert {(a.i < 3, a.error_type, a.severity) for a in alerts} == {
+        (True, "SCHEMA_VALIDATION_ERROR", "HIGH"), (False, "PROCESSING_ERROR", "MEDIUM")}
+
+
+def test_valid_records_carry_the_verdict_too(spark):
+    import json
+    text = json.dumps({"schema": {"fields": []}, "payload": {}})
+    df = V.validate_dynamic(spark.createDataFrame([(text,)], "value string"), keep=["value"])
+    said = json.loads(V.record_with_verdict(df).first().record_json)
+    assert said["valid"] == "VALID" and said["error_type"] is None and said["metadata"]["processed_at"]
+
+
+def test_raw_records_without_payload_are_their_own(spark):
+    from tidemark.operators import bronze as B
+    rows = ['{"event_time":"t","event_type":"view","product_id":1,"user_id":2}',
+            '{"payload":{"event_time":"t","event_type":"view","product_id":1,"user_id":2}}',
+            '{"payload":null,"event_time":"t","event_type":"","product_id":1,"user_id":2}',
+            '{"payload":{"event_time":"t","event_type":"view","product_id":0,"user_id":2}}',
+            '{"payload":{"event_time":"t","event_type":"view","product_id":"0","user_id":false}}', "[1]", "nope", ""]
+    got = [(r.error, r.record_hash) for r in B.bronze_from_text(spark.createDataFrame([(x,) for x in rows], "value string")).collect()]
+    assert [e for e, _ in got] == [None, None, "Missing event_type", "Missing product_id", "Missing user_id"] + [B.UNPARSABLE] * 3
+    assert got[0][1] == got[1][1] and got[5][1] is None

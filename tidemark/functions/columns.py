@@ -35,16 +35,18 @@ def category_levels(code) -> list[Column]:
 
 
 def category_two_levels(code) -> list[Column]:
-    """Split with limit 2 (level2 keeps the remainder), the text 'null' erased."""
-    parts = F.split(_c(code), r"\.", 2)
-    return [F.regexp_replace(F.get(parts, i), "null", "") for i in range(2)]
+    """What stands before and after the first dot (no dot: no second level),
+    each without any occurrence of the text 'null'."""
+    c = _c(code)
+    dot = F.instr(c, ".")
+    head = F.when(dot > 0, F.substring(c, F.lit(1), dot - 1)).otherwise(c)
+    tail = F.when(dot > 0, F.substring(c, dot + 1, F.length(c)))
+    return [F.replace(part, F.lit("null"), F.lit("")) for part in (head, tail)]
 
 
 def parse_event_time(text) -> Column:
     """'yyyy-MM-dd HH:mm:ss[ UTC]' -> timestamp; unparsable -> null (ANSI-safe)."""
-    t = _c(text)
-    stripped = F.when(t.contains("UTC"), F.regexp_replace(t, " UTC$", "")).otherwise(t)
-    return F.try_to_timestamp(stripped, F.lit(EVENT_TIME_FORMAT))
+    return F.try_to_timestamp(F.regexp_replace(_c(text), " UTC$", ""), F.lit(EVENT_TIME_FORMAT))
 
 
 def to_ts_string(ts) -> Column:

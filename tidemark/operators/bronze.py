@@ -7,7 +7,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import falsy, record_hash
+from tidemark.functions.columns import falsy, once, record_hash, record_hash_json
 
 # --- fixed values ---------------------------------------------------------
 PIPELINE_NAME = "minio_etl"
@@ -80,3 +80,42 @@ def bronze_flatten(df: DataFrame, payload: str = "payload", strict: bool = False
         else:
             cols.append(inner.alias(f))
     return df.select(*cols)
+
+
+UNPARSABLE = "Unparsable record"
+
+
+def payload_of(record: Column) -> Column:
+    """The payload of a parsed record (VARIANT) where it is an object, else the
+    record itself."""
+    payload = F.try_variant_get(record, "$.payload", "variant")
+    is_object = F.try_variant_get(record, "$.payload", "struct<>").isNotNull()
+    return F.when(is_object, payload).otherwise(record)
+
+
+def _missing(data: Column, name: str) -> Column:
+    """Absent, null, empty text, zero, false, or an empty object or array."""
+    v = F.try_variant_get(data, f"$['{name}']", "variant")
+    text = F.try_variant_get(v, "$", "string")
+    number = F.try_variant_get(v, "$", "double")
+    return (v.isNull() | F.is_variant_null(v)
+            | F.coalesce(text.isin("", "false", "{}", "[]"), F.lit(False)) & ~F.coalesce(
+                (F.schema_of_variant(v) == "STRING") & (text != ""), F.lit(False))
+            | F.coalesce((F.schema_of_variant(v) != "STRING") & (number == 0), F.lit(False)))
+
+
+def bronze_from_text(raw: DataFrame, value: str = "value") -> DataFrame:
+    """Raw record texts with ``record_hash`` and ``error``.
+
+    Parsed once; a record without a payload object is its own payload.  A text
+    that is not a JSON object is an error and has no hash.
+    """
+    others = [c for c in raw.columns if c != value]
+    parsed = raw.select(*others, value, once(F.try_parse_json(F.col(value)).alias("_rec")))
+    is_object = F.try_variant_get("_rec", "$", "struct<>").isNotNull()
+    data = parsed.select(*others, value, once(F.when(is_object, payload_of(F.col("_rec"))).alias("_data")))
+    d = F.col("_data")
+    error = F.when(d.isNull(), F.lit(UNPARSABLE))
+    for name, _ in REQUIRED_FIELDS:
+        error = error.when(_missing(d, name), F.lit(f"Missing {name}"))
+    return data.select(*others, value, F.when(d.isNotNull(), record_hash_json(d)).alias("record_hash"), error.alias("error"))

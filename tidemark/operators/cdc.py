@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import parse_event_time
-
 # Debezium-style field definitions (column name under "field", logical type under "name").
 CDC_SCHEMA_JSON = (
     '{"type":"struct","fields":['
@@ -29,11 +27,22 @@ def cdc_unwrap(changes: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return live.select(*keep, "op", "after.*")
 
 
+# A date and a time of day, at least; other texts are no event time.
+DATE_AND_TIME = r"^\s*\d{4}-\d{1,2}-\d{1,2}[ Tt]\d{1,2}:"
+
+
 def cdc_normalise(df: DataFrame) -> DataFrame:
-    """event_time as epoch microseconds or text -> timestamp; price clamped at 0."""
+    """event_time as epoch microseconds (also before 1970) or text -> timestamp;
+    a negative price becomes 0, a missing one stays missing.
+
+    Texts may carry a ``T``, a fraction, and ``Z``, an offset or `` UTC``;
+    without a zone they are read in the session's (UTC).  Other texts give null.
+    """
     et = F.col("event_time")
-    ts = F.when(et.rlike(r"^\d+$"), F.timestamp_micros(et.cast("bigint"))).otherwise(parse_event_time(et))
-    return df.withColumns({"event_time": ts, "price": F.greatest(F.col("price"), F.lit(0.0))})
+    text = F.when(et.rlike(DATE_AND_TIME), F.upper(F.trim(et)).try_cast("timestamp"))
+    ts = F.when(et.rlike(r"^-?\d+$"), F.timestamp_micros(et.try_cast("bigint"))).otherwise(text)
+    price = F.when(F.col("price") < 0, F.lit(0.0)).otherwise(F.col("price"))
+    return df.withColumns({"event_time": ts, "price": price})
 
 
 def cdc_envelope(df: DataFrame, keep: list[str]) -> DataFrame:

@@ -58,14 +58,17 @@ def fk_orphans(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataF
     return out
 
 
-def insert_if_absent(new: DataFrame, existing: DataFrame, pk: list[str]) -> DataFrame:
+def insert_if_absent(new: DataFrame, existing: DataFrame, pk: list[str], order: str = "ingest_seq") -> DataFrame:
     """Rows of ``new`` whose key is not yet in ``existing`` (ON CONFLICT DO NOTHING),
-    first row per key within ``new`` winning.
+    the first row per key within ``new`` (by ``order``: for instance topic,
+    partition and offset, or file and position) winning.
 
     Copies are collapsed first (a partial aggregate, so a key repeated across
     a third of the rows shrinks map-side) and only then anti-joined.
     """
-    fresh = first_per_key(new, pk) if "ingest_seq" in new.columns else new.dropDuplicates(pk)
+    if order not in new.columns:
+        raise ValueError(f"insert_if_absent needs the arrival order column {order!r}: without it 'first' is not defined")
+    fresh = first_per_key(new, pk, order)
     return fresh.join(existing.select(*pk).distinct(), pk, "left_anti")
 
 

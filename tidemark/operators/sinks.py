@@ -45,8 +45,9 @@ def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[st
     return {name: spark.catalog.tableExists(name) for name in tables}
 
 
-def kafka_sink_stream(stream: DataFrame, topic: str, bootstrap: str, checkpoint: str):
-    """Value-only string records to a Kafka topic (requires the connector jar)."""
-    return (stream.select(F.col("value").cast("string").alias("value")).writeStream.format("kafka")
+def kafka_sink_stream(stream: DataFrame, topic: str, bootstrap: str, checkpoint: str, value: str = "value"):
+    """Value-only string records to a Kafka topic (requires the connector jar).
+    Publish validated records from ``validation.record_with_verdict``'s column."""
+    return (stream.select(F.col(value).cast("string").alias("value")).writeStream.format("kafka")
             .option("kafka.bootstrap.servers", bootstrap).option("topic", topic)
             .option("checkpointLocation", checkpoint).start())

@@ -15,7 +15,6 @@ LATENCY_BOUNDS_MS = [0.1, 1, 2, 6, 10, 50, 100, 250, 500, 1000, 1400, 2000, 5000
 # groups: 1 priority, 2 timestamp, 3 container_id, 4 container_name, 5 body
 LOG_LINE_RE = (r"^<([0-9]+)>[0-9]+ ([0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]+)?"
                r"(?:[zZ]|[+-](?:[01]\d|2[0-3]):?(?:[0-5]\d)?)?) (\S+) (\S+) [0-9]+ - -(?: (.*))?")
-LOG_TS_LAYOUT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 # Entries from the telemetry stack's own containers are dropped.
 LOG_DROP_NAMES = r"^signoz-(logspout|frontend|alertmanager|query-service|otel-collector|clickhouse|zookeeper)"
 ALERT_THRESHOLD = 0.1
@@ -74,7 +73,7 @@ def log_parse(df: DataFrame, line_col: str = "line", drop_names: str | None = LO
 
     body = F.when(ok, F.regexp_extract(line, LOG_LINE_RE, 5)).otherwise(line)
     out = df.select(*[c for c in df.columns if c != line_col],
-                    F.try_to_timestamp(grp(2), F.lit(LOG_TS_LAYOUT)).alias("timestamp"),
+                    F.upper(grp(2)).try_cast("timestamp").alias("timestamp"),
                     grp(3).alias("container_id"), grp(4).alias("container_name"), body.alias("body"))
     if drop_names:
         out = out.filter(F.col("container_name").isNull() | ~F.col("container_name").rlike(drop_names))

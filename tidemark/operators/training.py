@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.ml import Transformer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.joins import DEFAULT_BROADCAST_BYTES, row_bytes
+from tidemark.session import materialize
 
 # --- fixed values -----------------------------------------------------------
 TRAINING_COLUMNS = ["brand", "price", "event_weekday", "category_code_level1", "category_code_level2",
@@ -37,8 +39,6 @@ def category_mapping(df: DataFrame, cols: list[str] = CATEGORICAL_COLUMNS) -> Da
     position = rows in earlier partitions (a per-partition count table, one
     row per partition: a bounded broadcast) + its position in its partition.
     """
-    from pyspark.sql import Window
-    from tidemark.session import materialize
     entries = []
     for i, c in enumerate(cols):
         numeric = isinstance(df.schema[c].dataType, T.NumericType)
@@ -63,23 +63,22 @@ def category_mapping(df: DataFrame, cols: list[str] = CATEGORICAL_COLUMNS) -> Da
             .select("feature", "value", (F.col("_g") - F.col("_start")).cast("int").alias("idx")))
 
 
-def encode_categories(df: DataFrame, mapping: DataFrame, cols: list[str] = CATEGORICAL_COLUMNS) -> DataFrame:
+def encode_categories(df: DataFrame, mapping: DataFrame, cols: list[str] = CATEGORICAL_COLUMNS,
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Replace each categorical value by its index; unseen or null -> -1.
 
-    The mapping (a vocabulary) is materialised once and its measured size
-    decides the join: broadcast when within the bound (no shuffle of the rows,
-    and no skew on low-cardinality values such as a weekday), otherwise a
-    shuffle join that AQE can split.
+    The mapping (a vocabulary) is materialised once, and the measured size of
+    each column's part decides that column's join: broadcast when within
+    ``max_bytes`` (no shuffle of the rows, and no skew on low-cardinality
+    values such as a weekday), otherwise a shuffle join that AQE can split.
     """
-    from tidemark.functions.joins import DEFAULT_BROADCAST_BYTES
-    from tidemark.session import materialize
     mapping = materialize(mapping.select("feature", "value", "idx"))
-    small = mapping.count() * (64 + 64 + 8) <= DEFAULT_BROADCAST_BYTES
+    sizes = {r.feature: r.size for r in mapping.groupBy("feature").agg(F.sum(row_bytes(mapping)).alias("size")).collect()}
     out = df
     for c in cols:
         m = (mapping.filter(F.col("feature") == c)
              .select(F.col("value").alias(f"_v_{c}"), F.col("idx").alias(f"_i_{c}")))
-        m = F.broadcast(m) if small else m
+        m = F.broadcast(m) if sizes.get(c, 0) <= max_bytes else m
         out = (out.join(m, out[c].cast("string") == m[f"_v_{c}"], "left")
                .withColumn(c, F.coalesce(F.col(f"_i_{c}"), F.lit(UNSEEN_INDEX)).cast("int"))
                .drop(f"_v_{c}", f"_i_{c}"))

@@ -29,6 +29,8 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import once
+
 # --- fixed values -----------------------------------------------------------
 VALID, INVALID = "VALID", "INVALID"
 SCHEMA_ERROR, PROCESSING_ERROR = "SCHEMA_VALIDATION_ERROR", "PROCESSING_ERROR"
@@ -305,15 +307,49 @@ def route(verdicts: DataFrame, which: str) -> DataFrame:
     return verdicts.filter(F.col("valid") == which)
 
 
+VERDICT_KEYS = ["valid", "error_message", "error_type"]
+
+
+def record_with_verdict(df: DataFrame, value: str = "value", out: str = "record_json") -> DataFrame:
+    """``out``: the record's text as published after validation.
+
+    The verdict keys and ``metadata`` (with ``processed_at`` where it was
+    stamped, beside what the record's own ``metadata`` holds) replace keys of
+    these names; a processing error wraps the raw text as ``raw_data`` instead.
+    The record is taken apart and written anew, so white space around or within
+    it does not matter.
+    """
+    verdict = [F.col(c).alias(c) for c in VERDICT_KEYS]
+    keep_nulls = {"ignoreNullFields": "false"}
+    stamp = F.date_format("processed_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    wrapped = F.to_json(F.struct(*verdict, F.col(value).alias("raw_data"),
+                                 F.struct(stamp.alias("processed_at")).alias("metadata")), keep_nulls)
+    others = [c for c in df.columns if c != "_rec"]
+    parsed = df.select(*others, F.try_parse_json(F.col(value)).alias("_rec"))
+    taken = parsed.select(
+        *others,
+        F.map_filter(F.try_variant_get("_rec", "$", "map<string,variant>"),
+                     lambda k, _: ~k.isin(*VERDICT_KEYS, "metadata")).alias("_members"),
+        F.map_filter(F.try_variant_get("_rec", "$.metadata", "map<string,variant>"),
+                     lambda k, _: k != "processed_at").alias("_meta"))
+
+    def members(c: str) -> Column:
+        # a map's JSON text without braces, with a comma if there is anything
+        text = F.to_json(c)
+        inner = F.substring(text, F.lit(2), F.length(text) - 2)
+        return F.when(F.col(c).isNull() | (F.size(c) == 0), F.lit("")).otherwise(F.concat(inner, F.lit(",")))
+
+    stamped = F.when(F.col("processed_at").isNull(), F.lit("")).otherwise(
+        F.concat(F.lit('"processed_at":"'), stamp, F.lit('"')))
+    meta = F.concat(F.lit('"metadata":{'), F.rtrim(F.concat(members("_meta"), stamped), F.lit(",")), F.lit("}"))
+    said = F.to_json(F.struct(*verdict), keep_nulls)
+    text = F.concat(F.lit("{"), members("_members"), F.substring(said, F.lit(2), F.length(said) - 2), F.lit(","), meta, F.lit("}"))
+    return taken.select(*others, once(F.when(F.col("error_type") == PROCESSING_ERROR, wrapped).otherwise(text).alias(out)))
+
+
 def invalid_record_json(df: DataFrame, value: str = "value") -> DataFrame:
-    """Invalid-topic text: the record with the verdict keys spliced in; a
-    processing error wraps the raw text as ``raw_data`` instead."""
-    verdict = F.to_json(F.struct("valid", "error_message", "error_type"))
-    wrapped = F.to_json(F.struct("valid", "error_message", "error_type", F.col(value).alias("raw_data")))
-    body = F.expr(f"substring({value}, 1, length({value}) - 1)")
-    spliced = F.concat(body, F.lit(","), F.substring(verdict, 2, 1 << 30))
-    return df.withColumn("invalid_json", F.when(F.col("error_type") == PROCESSING_ERROR, wrapped)
-                         .otherwise(spliced))
+    """Invalid-topic text of each record, as ``invalid_json``."""
+    return record_with_verdict(df, value, "invalid_json")
 
 
 def invalid_alerts(df: DataFrame, value: str = "value") -> DataFrame:

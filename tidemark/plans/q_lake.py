@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import parse_event_time
 from tidemark.operators import features as FE
+from tidemark.operators.bronze import bronze_from_text
 from tidemark.operators.envelope import ENVELOPE_STRUCT, envelope_decode
 from tidemark.plans.oracles import with_ctes
 from tidemark.plans.q_features import FEATURE_COLS_SQL, FEATURE_CTES
@@ -84,11 +85,49 @@ def q_lake_json_scan(spark, sf):
     return out.withColumns({c: F.col(c).cast("double") for c in NULLABLE_IDS})
 
 
-@register("ingest_stats")
+DAY_SQL = "strftime(strptime(replace(event_time, ' UTC', ''), '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d')"
+# One file a day, and one empty file; as in the JSON scan above, records of
+# three kinds do not parse.
+STATS_CTES = VERDICT_CTES + f""",
+files AS (
+  SELECT {DAY_SQL} AS day, count(*) AS records,
+         count(*) FILTER (WHERE event_id % 100 IN (41, 29, 83)) AS error_records
+  FROM behaviour GROUP BY 1
+  UNION ALL SELECT 'empty', 0, 0),
+stats AS (SELECT *, CASE WHEN records = error_records THEN 'error' ELSE 'processed' END AS status FROM files)"""
+
+
+def _daily_lake(spark, sf):
+    """Raw record texts, one file a day under day=..., and an empty file."""
+    path = _fresh(spark, "daily")
+    env = raw_envelopes(spark, sf, keep=["event_time"]).select(F.substring("event_time", 1, 10).alias("day"), "value")
+    blank = spark.createDataFrame([("empty", "")], "day string, value string")
+    env.unionByName(blank).repartition("day").write.partitionBy("day").text(path)
+    return path
+
+
+def _daily_stats(spark, sf):
+    path = _daily_lake(spark, sf)
+    listing = L.lake_files(spark, path)
+    scan = materialize(L.lake_json_scan(spark, path, ENVELOPE_STRUCT))
+    return materialize(L.ingest_stats(scan, listing))
+
+
+@register("ingest_stats", with_ctes("SELECT day, records, error_records, true AS has_bytes, status FROM stats", STATS_CTES))
 def q_ingest_stats(spark, sf):
-    """Rows-only: per-file records / parse errors / bytes (file names are random)."""
-    path = _envelope_lake(spark, sf)
-    return L.ingest_stats(L.lake_json_scan(spark, path, ENVELOPE_STRUCT))
+    """Per file (a day each): records, parse errors, status; an empty file is an error."""
+    return _daily_stats(spark, sf).select(
+        F.regexp_extract("file_path", "day=([^/]+)", 1).alias("day"), "records", "error_records",
+        (F.col("bytes") > 0).alias("has_bytes"), "status")
+
+
+@register("ingest_totals", with_ctes("""
+SELECT count(*) FILTER (WHERE status = 'processed') AS processed_files,
+       count(*) FILTER (WHERE status = 'error') AS error_files, CAST(0 AS BIGINT) AS skipped_files,
+       CAST(sum(records - error_records) AS BIGINT) AS records, CAST(sum(error_records) AS BIGINT) AS error_records
+FROM stats""", STATS_CTES))
+def q_ingest_totals(spark, sf):
+    return L.ingest_totals(_daily_stats(spark, sf)).drop("bytes")
 
 
 @register("incremental_new_files", with_ctes(f"""
@@ -96,19 +135,40 @@ SELECT {', '.join(EVENT_FIELDS)} FROM behaviour
 WHERE strptime(replace(event_time, ' UTC', ''), '%Y-%m-%d %H:%M:%S') >= TIMESTAMP '{LAKE_SPLIT_DATE} 00:00:00'
 """, VERDICT_CTES))
 def q_incremental_new_files(spark, sf):
-    """Two lake loads; the second run reads only the files it has not processed
-    (anti-join on file path).  File lineage columns are dropped from the result."""
-    path = _fresh(spark, "inclake")
+    """Two loads into one lake and a run after each: the second run opens only
+    the files that the saved log of the first does not list."""
+    path, log = _fresh(spark, "inclake"), _fresh(spark, "inclog")
     ev = behaviour_events(spark, sf).withColumn("ts", parse_event_time("event_time"))
-    first = ev.filter(F.col("ts") < F.lit(LAKE_SPLIT_DATE).cast("timestamp"))
-    second = ev.filter(F.col("ts") >= F.lit(LAKE_SPLIT_DATE).cast("timestamp"))
-    schema = first.select(*EVENT_FIELDS).schema
-    first.select(*EVENT_FIELDS).write.mode("append").json(path)
-    # the first run's file log, written as a table (never gathered on the driver)
-    processed = materialize(L.lake_json_scan(spark, path, schema).select("file_path").distinct())
-    second.select(*EVENT_FIELDS).write.mode("append").json(path)
-    new = L.incremental_new_files(L.lake_json_scan(spark, path, schema), processed)
-    return new.select(*EVENT_FIELDS)
+    split = F.lit(LAKE_SPLIT_DATE).cast("timestamp")
+    schema = ev.select(*EVENT_FIELDS).schema
+    ev.filter(F.col("ts") < split).select(*EVENT_FIELDS).write.mode("append").json(path)
+    L.ingest_new(spark, path, schema, log)
+    ev.filter(F.col("ts") >= split).select(*EVENT_FIELDS).write.mode("append").json(path)
+    rows, _ = L.ingest_new(spark, path, schema, log)
+    return rows.select(*EVENT_FIELDS)
+
+
+@register("bronze_from_lake", with_ctes("""
+, checked AS (
+  SELECT CASE WHEN event_id % 100 = 41 THEN 'Unparsable record'
+              WHEN event_time IS NULL OR event_time = '' THEN 'Missing event_time'
+              WHEN event_type IS NULL OR event_type = '' THEN 'Missing event_type'
+              WHEN product_id IS NULL OR product_id = 0 THEN 'Missing product_id'
+              WHEN user_id IS NULL OR user_id = 0 OR event_id % 100 = 53 THEN 'Missing user_id'
+              ELSE 'VALID' END AS status,
+         sha256(CAST(product_id AS VARCHAR) || '|' || event_time || '|' || CAST(user_id AS VARCHAR)) AS record_hash
+  FROM behaviour)
+SELECT status, count(*) AS records,
+       count(DISTINCT CASE WHEN status = 'VALID' THEN record_hash END) AS distinct_records
+FROM checked GROUP BY 1""", VERDICT_CTES))
+def q_bronze_from_lake(spark, sf):
+    """Raw lake texts -> payload -> required fields -> record hash: every
+    record counts as valid or under its error."""
+    raw = spark.read.text(_envelope_lake(spark, sf))
+    checked = bronze_from_text(raw)
+    return checked.groupBy(F.coalesce("error", F.lit("VALID")).alias("status")).agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_distinct(F.when(F.col("error").isNull(), F.col("record_hash"))).alias("distinct_records"))
 
 
 def _stream_validated(spark, sf):

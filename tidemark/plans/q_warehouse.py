@@ -45,17 +45,17 @@ def q_record_hash(spark, sf):
 
 @register("record_hash_raw", with_ctes("""
 SELECT ingest_seq,
-       sha256(CAST(product_id AS VARCHAR) || '|' || event_time || '|' ||
-              CASE WHEN event_id % 100 = 53 THEN 'None' ELSE CAST(user_id AS VARCHAR) END) AS record_hash
-FROM behaviour WHERE event_id % 100 <> 41"""))
+       CASE WHEN event_id % 100 <> 41 THEN
+         sha256(CAST(product_id AS VARCHAR) || '|' || event_time || '|' ||
+                CASE WHEN event_id % 100 = 53 THEN 'None' ELSE CAST(user_id AS VARCHAR) END) END AS record_hash,
+       event_id % 100 = 41 AS unparsable
+FROM behaviour"""))
 def q_record_hash_raw(spark, sf):
     """Record hash computed from the raw record text (lake/bronze input): the
-    payload is parsed once; unparsable records carry no hash."""
-    env = raw_envelopes(spark, sf)
-    parsed = env.select("ingest_seq", F.try_variant_get(F.try_parse_json("value"), "$.payload", "variant")
-                        .alias("_payload"))
-    return (parsed.filter(F.col("_payload").isNotNull())
-            .select("ingest_seq", record_hash_json(F.col("_payload")).alias("record_hash")))
+    payload is parsed once; an unparsable text is kept and marked."""
+    checked = B.bronze_from_text(raw_envelopes(spark, sf).select("ingest_seq", "value"))
+    return checked.select("ingest_seq", "record_hash",
+                          F.coalesce(F.col("error") == B.UNPARSABLE, F.lit(False)).alias("unparsable"))
 
 
 @register("bronze_validate", with_ctes("SELECT ingest_seq, record_hash, error FROM bronze_v"))
@@ -225,24 +225,26 @@ def q_insert_if_absent(spark, sf):
 
 
 @register("vw_user_session_summary", with_ctes("""
-SELECT u.user_id, f.user_session, count(*) AS event_count,
-       min(f.event_timestamp) AS session_start, max(f.event_timestamp) AS session_end,
-       count(DISTINCT p.product_id) AS unique_products_viewed
-FROM fact_events f JOIN dim_user u ON f.user_id = u.user_id
-JOIN dim_date d ON f.event_date = d.event_date
-JOIN dim_product p ON f.product_id = p.product_id
-GROUP BY u.user_id, f.user_session"""))
+, known AS (
+  SELECT * FROM fact_events
+  WHERE user_id IN (SELECT user_id FROM dim_user)
+    AND event_date IN (SELECT event_date FROM dim_date)
+    AND product_id IN (SELECT product_id FROM dim_product))
+SELECT user_id, user_session, count(*) AS event_count, min(event_timestamp) AS session_start,
+       max(event_timestamp) AS session_end, count(DISTINCT product_id) AS unique_products_viewed
+FROM known GROUP BY ALL"""))
 def q_vw_user_session_summary(spark, sf):
     return Gold(spark, sf).vw_user_session_summary()
 
 
 VW_CATEGORY_PERFORMANCE_SQL = with_ctes(f"""
-SELECT c.category_l1, c.category_l2, c.category_l3, count(*) AS view_count,
-       count(DISTINCT u.user_id) AS unique_users, {r6('avg(CAST(p.price AS DOUBLE))', 'avg_price')}
-FROM fact_events f JOIN dim_category c ON f.category_id = c.category_id
-JOIN dim_user u ON f.user_id = u.user_id
-JOIN dim_product p ON f.product_id = p.product_id
-GROUP BY c.category_l1, c.category_l2, c.category_l3""")
+, priced AS (
+  SELECT user_id, (SELECT any_value(p.price) FROM dim_product p WHERE p.product_id = e.product_id) AS price, category_id
+  FROM fact_events e
+  WHERE user_id IN (SELECT user_id FROM dim_user) AND product_id IN (SELECT product_id FROM dim_product))
+SELECT category_l1, category_l2, category_l3, count(*) AS view_count, count(DISTINCT user_id) AS unique_users,
+       {r6('avg(CAST(price AS DOUBLE))', 'avg_price')}
+FROM dim_category JOIN priced USING (category_id) GROUP BY ALL""")
 
 
 @register("vw_category_performance", VW_CATEGORY_PERFORMANCE_SQL)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -22,11 +23,24 @@ BASE_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def is_local(master: str) -> bool:
+    """One process on this machine (not ``local-cluster``)."""
+    return re.match(r"local(\[|$)", master) is not None
+
+
+def build_session(master: str = "local[8]", shuffle_partitions: int | None = None,
                   app: str = "tidemark", extra: dict | None = None) -> SparkSession:
+    """A session with the settings every job relies on.
+
+    The number of shuffle partitions is set only if given, or on a local
+    master; on a cluster the operator's own setting stays.
+    """
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is None and is_local(master):
+        shuffle_partitions = 8
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "16g"))
     conf.update(extra or {})
     for k, v in conf.items():
@@ -40,14 +54,20 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the operator sets this to a shared file system; only when it
-    is unset (local tests) do we create a scratch folder of our own.
+    On a cluster the operator sets this to a shared file system.  Only on a
+    local master a scratch folder of our own stands in when it is unset;
+    elsewhere that would be a folder that other machines cannot see.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     if not d:
+        if not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if getattr(sc, "_tidemark_checkpoint_dir", None) != d:
+        sc.setCheckpointDir(d)
+        sc._tidemark_checkpoint_dir = d
     return d
 
 

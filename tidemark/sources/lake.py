@@ -3,14 +3,24 @@ incremental new-file detection and per-file ingest counters."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import materialize
+
 CORRUPT = "_corrupt_record"
 
 
-def lake_json_scan(spark: SparkSession, path: str, schema: T.StructType,
+LOG_SCHEMA = "file_path string, records long, bytes long, logged_at timestamp"
+
+
+def _scan_schema(schema: T.StructType) -> T.StructType:
+    return schema if CORRUPT in schema.fieldNames() else T.StructType(
+        schema.fields + [T.StructField(CORRUPT, T.StringType())])
+
+
+def lake_json_scan(spark: SparkSession, path: str | list[str], schema: T.StructType,
                    multiline: bool = False) -> DataFrame:
     """Scan JSON files with an explicit schema (no inference pass).
 
@@ -18,46 +28,101 @@ def lake_json_scan(spark: SparkSession, path: str, schema: T.StructType,
     whose elements become rows); otherwise JSON lines.  Unparsable input is
     kept in ``_corrupt_record``; every row carries its source file path/size.
     """
-    full = schema if CORRUPT in schema.fieldNames() else T.StructType(
-        schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    r = (spark.read.schema(full).option("mode", "PERMISSIVE")
+    r = (spark.read.schema(_scan_schema(schema)).option("mode", "PERMISSIVE")
          .option("columnNameOfCorruptRecord", CORRUPT).option("multiLine", multiline))
     df = r.json(path)
-    return df.select("*", F.col("_metadata.file_path").alias("file_path"),
+    return df.select("*", _canonical(F.col("_metadata.file_path")).alias("file_path"),
                      F.col("_metadata.file_size").alias("file_size"))
 
 
-def incremental_new_files(scan: DataFrame, processed: DataFrame) -> DataFrame:
-    """Rows of files not yet processed (anti-join on the file path).
+def _canonical(path: Column) -> Column:
+    """One spelling of a file's address (``file:/x`` and ``file:///x``)."""
+    return F.regexp_replace(path, r"^([a-zA-Z][\w+.-]*):/+(?=[^/])", "$1:/")
 
-    ``processed`` is the file log of earlier runs (one row per file path); a
-    checkpoint/log file inside the lake is never in the scan since the scan
-    reads only data files of the JSON format.
-    """
-    return scan.join(processed.select("file_path").distinct(), "file_path", "left_anti")
 
+def lake_files(spark: SparkSession, path: str) -> DataFrame:
+    """``file_path, file_size`` of every file under ``path``, empty ones too;
+    no content is read.  The names come from Spark's own listing of the folder
+    (a scan leaves empty files out); names that begin with ``_`` or ``.`` are
+    not data."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    names = spark.createDataFrame([(f,) for f in files.inputFiles()], "file_path string")
+    sizes = files.select(_canonical(F.col("_metadata.file_path")).alias("file_path"), F.col("_metadata.file_size").alias("file_size"))
+    listed = names.select(_canonical(F.col("file_path")).alias("file_path")).join(sizes, "file_path", "left")
+    name = F.element_at(F.split("file_path", "/"), -1)
+    return listed.filter(~name.startswith("_") & ~name.startswith(".")).select(
+        "file_path", F.coalesce("file_size", F.lit(0)).alias("file_size"))
 
-def ingest_stats(scan: DataFrame) -> DataFrame:
-    """Per-file counters: records, parse errors, bytes; a file without any
-    parsable record counts as an error file."""
-    data_cols = [c for c in scan.columns if c not in (CORRUPT, "file_path", "file_size")]
-    has_data = F.greatest(*[F.col(c).isNotNull() for c in data_cols]) if len(data_cols) > 1 \
-        else F.col(data_cols[0]).isNotNull()
-    per_file = scan.groupBy("file_path").agg(
+
+def new_files(listing: DataFrame, log: DataFrame | None) -> DataFrame:
+    """Listed files that no earlier run has logged: an anti-join of listings,
+    before any file is opened."""
+    if log is None:
+        return listing
+    return listing.join(log.select("file_path").distinct(), "file_path", "left_anti")
+
+
+def file_log(spark: SparkSession, path: str) -> DataFrame | None:
+    """The saved log of processed files, or None before the first run."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return None
+    return spark.read.schema(LOG_SCHEMA).parquet(path)
+
+
+def ingest_new(spark: SparkSession, path: str, schema: T.StructType, log_path: str,
+               multiline: bool = False) -> tuple[DataFrame, DataFrame]:
+    """One incremental run: rows of the new files, and the run's totals.
+
+    The listing minus the saved log says which files to read, and only those
+    are opened.  Files that yielded data are appended to the log; a file
+    without any is an error and is tried again by the next run.  Raises if
+    there are no files at all, or new ones but no valid record in them.
+    """
+    listing = materialize(lake_files(spark, path))
+    if listing.limit(1).count() == 0:
+        raise ValueError(f"no files found in {path}")
+    log = file_log(spark, log_path)
+    fresh = materialize(new_files(listing, log))
+    paths = [r.file_path for r in fresh.select("file_path").collect()]  # Spark's own file index holds them as well
+    if not paths:
+        nothing = spark.createDataFrame([], _scan_schema(schema).add("file_path", "string").add("file_size", "long"))
+        return nothing, ingest_totals(ingest_stats(nothing, fresh), listing.count())
+    rows = materialize(lake_json_scan(spark, paths, schema, multiline))
+    stats = materialize(ingest_stats(rows, fresh))
+    if stats.filter("status = 'processed'").limit(1).count() == 0:
+        raise ValueError(f"no valid JSON data in any of {len(paths)} new files")
+    (stats.filter("status = 'processed'").select("file_path", "records", "bytes", F.current_timestamp().alias("logged_at"))
+     .write.mode("append").parquet(log_path))
+    return rows, ingest_totals(stats, listing.count() - len(paths))
+
+
+def ingest_stats(scan: DataFrame, listing: DataFrame) -> DataFrame:
+    """Per listed file: records, parse errors, bytes, status.
+
+    Counts start from the listing, so a file that yields no row (an empty one)
+    is there with 0 records.  A file without any parsable record is an error.
+    ``scan`` should be a saved layer: Spark refuses to read nothing but the
+    corrupt-record column from raw JSON.
+    """
+    counts = scan.groupBy("file_path").agg(
         F.count(F.lit(1)).alias("records"),
-        F.count_if(F.col(CORRUPT).isNotNull()).alias("error_records"),
-        F.count_if(has_data).alias("records_with_data"),
-        F.max("file_size").alias("bytes"))
-    return per_file.withColumn("status", F.when(F.col("records") == F.col("error_records"), "error")
-                               .otherwise("processed"))
+        F.count_if(F.col(CORRUPT).isNotNull()).alias("error_records"))
+    records, errors = F.coalesce("records", F.lit(0)), F.coalesce("error_records", F.lit(0))
+    return listing.join(counts, "file_path", "left").select(
+        "file_path", records.alias("records"), errors.alias("error_records"), F.col("file_size").alias("bytes"),
+        F.when(records == errors, "error").otherwise("processed").alias("status"))
 
 
-def ingest_totals(stats: DataFrame) -> DataFrame:
+def ingest_totals(stats: DataFrame, skipped_files: int = 0) -> DataFrame:
+    """Counts of a run; ``skipped_files`` were processed by earlier ones."""
     return stats.agg(
         F.count_if(F.col("status") == "processed").alias("processed_files"),
         F.count_if(F.col("status") == "error").alias("error_files"),
-        F.sum("bytes").alias("bytes"),
-        F.sum(F.col("records") - F.col("error_records")).alias("records"))
+        F.lit(skipped_files).cast("long").alias("skipped_files"),
+        F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum(F.col("records") - F.col("error_records")), F.lit(0)).alias("records"),
+        F.coalesce(F.sum("error_records"), F.lit(0)).alias("error_records"))
 
 
 def with_hour_partitions(df: DataFrame, ts: str) -> DataFrame:
@@ -74,7 +139,7 @@ def write_lake(df: DataFrame, path: str, ts: str, mode: str = "append") -> None:
     hours + tasks, not hours x tasks), and a hot hour is still split across
     several tasks because the ranges are cut on the timestamp itself.
     """
-    # no fixed partition count: AQE sizes the range partitions from the data
+    # as many ranges as the session's shuffle partitions; AQE merges small ones
     ranged = df.repartitionByRange(F.col(ts)).sortWithinPartitions(ts)
     (with_hour_partitions(ranged, ts).write.mode(mode).partitionBy("year", "month", "day", "hour")
      .option("ignoreNullFields", "false").json(path))
@@ -95,13 +160,13 @@ def existing_inputs(spark: SparkSession, paths: list[str]) -> list[str]:
 
 
 def csv_to_parquet(spark: SparkSession, src: str, dst: str, schema: T.StructType | None = None,
-                   row_cap: int | None = 1_000_000) -> None:
-    """Gzip/plain CSV (header) -> snappy parquet, optionally capped at ``row_cap``
-    rows (the cap is the feature: a bounded sample extract)."""
+                   row_cap: int | None = None) -> None:
+    """Gzip/plain CSV (header) -> snappy parquet.  All rows, unless the caller
+    asks for a bounded extract of any ``row_cap`` rows."""
     r = spark.read.option("header", True)
     r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
     df = r.csv(src)
-    if row_cap:
+    if row_cap is not None:
         df = df.limit(row_cap)
     df.write.mode("overwrite").option("compression", "snappy").parquet(dst)
 

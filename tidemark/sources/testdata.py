@@ -113,15 +113,16 @@ def behaviour_events(spark: SparkSession, sf_dir: str, with_replays: bool = True
     )
     if not with_replays:
         return base
-    replays = (base.filter(F.col("event_id") % REPLAY_MOD == REPLAY_REM)
-               .withColumn("ingest_seq", F.col("ingest_seq") + 1))
-    return base.unionByName(replays)
+    # a row delivered twice is exploded in place: one scan, no self-union
+    copies = F.when(F.col("event_id") % REPLAY_MOD == REPLAY_REM, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return (base.select("*", F.explode(copies).alias("_copy"))
+            .withColumn("ingest_seq", F.col("ingest_seq") + F.col("_copy")).drop("_copy"))
 
 
-def raw_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_envelopes(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
     """Self-describing JSON envelopes ``{"schema":…,"payload":…}`` with planted faults.
 
-    Columns: ingest_seq, event_id, value (the record text).
+    Columns: ingest_seq, event_id, value (the record text), and any of ``keep``.
     """
     ev = behaviour_events(spark, sf_dir)
     payload = F.to_json(F.struct(*EVENT_FIELDS), {"ignoreNullFields": "false"})
@@ -135,7 +136,7 @@ def raw_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(payload))
     text = F.concat(F.lit('{"schema":' + EVENT_SCHEMA_JSON + ',"payload":'), payload, F.lit("}"))
     text = F.when(m == ENV_TRUNCATED, F.substring(text, 1, 60)).otherwise(text)
-    return ev.select("ingest_seq", "event_id", once(text.alias("value")))
+    return ev.select("ingest_seq", "event_id", *(keep or []), once(text.alias("value")))
 
 
 def cdc_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,23 +151,24 @@ def cdc_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = behaviour_events(spark, sf_dir, with_replays=False)
     ts = F.try_to_timestamp(F.regexp_replace("event_time", " UTC$", ""), F.lit("yyyy-MM-dd HH:mm:ss"))
 
-    def image(price_delta=0.0):
+    def image(price_delta):
         return F.struct(
             F.when(F.col("event_id") % 2 == 0, F.unix_micros(ts).cast("string"))
              .otherwise(F.col("event_time")).alias("event_time"),
             "event_type", "product_id", "category_id", "category_code", "brand",
-            (F.col("price") + F.lit(price_delta)).alias("price"), "user_id", "user_session")
-
-    created = ev.select((F.col("ingest_seq") * 4).alias("ingest_seq"), "event_id",
-                        F.lit("c").alias("op"), image().alias("after"))
-    updated = ev.filter(F.col("event_id") % 9 == 4).select(
-        (F.col("ingest_seq") * 4 + 1).alias("ingest_seq"), "event_id", F.lit("u").alias("op"),
-        image(1.0).alias("after"))
-    null_img = F.lit(None).cast(created.schema["after"].dataType)
-    deleted = ev.filter(F.col("event_id") % 25 == 6).select(
-        (F.col("ingest_seq") * 4 + 2).alias("ingest_seq"), "event_id", F.lit("d").alias("op"),
-        null_img.alias("after"))
-    tomb = ev.filter(F.col("event_id") % 25 == 6).select(
-        (F.col("ingest_seq") * 4 + 3).alias("ingest_seq"), "event_id",
-        F.lit(None).cast("string").alias("op"), null_img.alias("after"))
-    return created.unionByName(updated).unionByName(deleted).unionByName(tomb)
+            (F.col("price") + price_delta).alias("price"), "user_id", "user_session")
+
+    # the changes of one event, in order: (op, price raised by, has an image)
+    def change(place: int, op: str | None, delta: float, image_there: bool):
+        return F.struct(F.lit(place).alias("place"), F.lit(op).cast("string").alias("op"),
+                        F.lit(delta).alias("delta"), F.lit(image_there).alias("there"))
+
+    gone = F.array(change(2, "d", 0.0, False), change(3, None, 0.0, False))
+    none = F.filter(gone, lambda _: F.lit(False))
+    changes = F.concat(F.array(change(0, "c", 0.0, True)),
+                       F.when(F.col("event_id") % 9 == 4, F.array(change(1, "u", 1.0, True))).otherwise(none),
+                       F.when(F.col("event_id") % 25 == 6, gone).otherwise(none))
+    per_change = ev.select("*", F.inline(changes))
+    return per_change.select(
+        (F.col("ingest_seq") * 4 + F.col("place")).alias("ingest_seq"), "event_id", "op",
+        F.when(F.col("there"), image(F.col("delta"))).alias("after"))

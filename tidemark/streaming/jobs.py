@@ -143,9 +143,10 @@ def start_alert_stream(invalid_records: DataFrame, checkpoint: str, sink: str =
 
 def late_rows(query: StreamingQuery) -> int:
     """Rows dropped as late (behind the watermark) by the query's stateful
-    operators in its most recent micro-batch (a side count, not a sink)."""
-    prog = query.lastProgress or {}
-    return int(sum(op.get("numRowsDroppedByWatermark", 0) for op in prog.get("stateOperators", [])))
+    operators over the micro-batches that it still reports (a side count, not
+    a sink; the session keeps ``spark.sql.streaming.numRecentProgressUpdates``)."""
+    return int(sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress or []
+                   for op in p.get("stateOperators", [])))
 
 
 def processing_ms_per_1000(query: StreamingQuery) -> float | None:
