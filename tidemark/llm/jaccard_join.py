@@ -179,18 +179,21 @@ def _block(salt: int, blocks: str) -> Column:
 
 def _first_tasks(members: DataFrame) -> DataFrame:
     """Each block with itself, and the first block with each other one."""
+
+    def task(i: Column, j: Column, side: int) -> Column:
+        return F.struct(i.alias("i"), j.alias("j"), F.lit(side).alias("side"))
+
+    block, zero = F.col("block"), F.lit(0)
+    others = (F.when(F.col("blocks") == 1, F.filter(F.array(task(zero, zero, 0)), lambda _: F.lit(False)))
+              .when(block == 0, F.transform(F.sequence(F.lit(1), F.greatest(F.col("blocks") - 1, F.lit(1))), lambda j: task(zero, j, 0)))
+              .otherwise(F.array(task(zero, block, 1))))
     rows = members.withColumn("block", _block(0, "blocks"))
-    own = rows.withColumn("i", F.col("block")).withColumn("j", F.col("block")).withColumn("side", F.lit(0))
-    many = rows.filter("blocks > 1")
-    lead = (many.filter("block = 0").withColumn("i", F.lit(0))
-            .withColumn("j", F.explode(F.sequence(F.lit(1), F.col("blocks") - 1))).withColumn("side", F.lit(0)))
-    rest = many.filter("block > 0").withColumn("i", F.lit(0)).withColumn("j", F.col("block")).withColumn("side", F.lit(1))
-    return own.unionByName(lead).unionByName(rest)
+    return rows.select(*members.columns, F.inline(F.concat(F.array(task(block, block, 0)), others)))
 
 
 def _second_tasks(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Nodes outside a cluster's largest label, in blocks, with all its blocks."""
-    named = (members.filter("blocks > 1").drop("label").join(labels, "node", "left")
+    named = (members.drop("label").join(labels, "node", "left")
              .withColumn("label", F.coalesce("label", "node")))
     sizes = named.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"))
     largest = (sizes.groupBy("cluster").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"))
@@ -222,25 +225,33 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold: tuple[in
     ship_code(spark)
     name = "jaccard"
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sets = written(document_sets(slim, size, threshold), f"{name}-sets")
+    # nid, a hash of the set's digest, serves to cluster: should two share one,
+    # their clusters are compared together
+    sets = written(document_sets(slim, size, threshold).withColumn("nid", F.xxhash64("node"))
+                   .withColumn("uid", F.monotonically_increasing_id()), f"{name}-sets")
     rows = sets.select("doc_id", "n_shingles", "node")
 
-    # one row a distinct set; clusters of sets that dealt tokens connect
-    nodes = written(sets.filter(F.col("tokens").isNotNull()).select("node", "tokens", "first")
-                    .dropDuplicates(["node"]), f"{name}-nodes")
-    dealt = nodes.select("node", F.explode("first").alias("token"))
-    leads = (dealt.groupBy("token").agg(F.min("node").alias("lead"), F.count(F.lit(1)).alias("n"))
-             .filter("n > 1").select("token", "lead"))
-    clusters = connected(dealt.join(leads, "token").select(F.col("node").alias("a"), F.col("lead").alias("b")))
-    clusters = clusters.select("node", F.col("label").alias("cluster"))
-    blocks = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    members = (nodes.select("node", "tokens").join(clusters, "node").join(blocks, "cluster")
-               .withColumn("label", F.col("node")))
-
-    edges = written(_linked(_first_tasks(members), threshold), f"{name}-edges1")
+    # clusters of sets that dealt tokens connect; long keys only, one shuffle
+    held = sets.filter(F.col("tokens").isNotNull())
+    dealt = held.select("nid", F.explode("first").alias("token")).repartition("token")
+    leads = (dealt.groupBy("token").agg(F.min("nid").alias("lead"), F.max("nid").alias("high"))
+             .filter("lead != high").select("token", "lead"))
+    clusters = connected(dealt.join(leads, "token").select(F.col("nid").alias("a"), F.col("lead").alias("b")))
+    clusters = clusters.select(F.col("node").alias("nid"), F.col("label").alias("cluster"))
+    # one row a distinct set
+    chosen = held.groupBy("node", "nid").agg(F.min("uid").alias("uid")).join(clusters, "nid")
+    blocks = chosen.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    assigned = written(chosen.join(blocks, "cluster").select("uid", "cluster", "blocks"), f"{name}-clusters")
+
+    def members(of: DataFrame) -> DataFrame:
+        return (sets.select("uid", "node", "tokens").join(of, "uid").drop("uid")
+                .withColumn("label", F.col("node")))
+
+    edges = written(_linked(_first_tasks(members(assigned)), threshold), f"{name}-edges1")
     labels = connected(edges)
-    if blocks.filter("blocks > 1").limit(1).count():
-        more = written(_linked(_second_tasks(members, labels), threshold), f"{name}-edges2")
+    several = written(assigned.filter("blocks > 1"), f"{name}-several")
+    if several.limit(1).count():
+        more = written(_linked(_second_tasks(members(several), labels), threshold), f"{name}-edges2")
         labels = connected(edges.union(more))
 
     # the smallest identifier of each component
