@@ -25,8 +25,11 @@ from tidemark.llm.common import written
 # characters with a digit in it.
 KEYWORDS = ("token", "secret", "password", "passwd", "pwd", "api_key", "apikey", "access_key", "private_key", "auth", "credential")
 _WORD = "(?i:" + "|".join(KEYWORDS) + ")"
-CANDIDATE = (rf"(?<={_WORD}\s?[:=]\s?[\"']?)[^\s\"'<>]{{6,}}"
-             r"|[A-Za-z0-9+/_=.-]{0,64}[0-9][A-Za-z0-9+/_=.-]{14,}|[A-Za-z0-9+/_=.-]{15,64}[0-9][A-Za-z0-9+/_=.-]*")
+_KEY = "A-Za-z0-9+/_=.-"
+_LEAD = rf"{_WORD}\s?[:=]\s?[\"']?"
+# The second form is tried at the first key character of a run only, and no
+# form tracks back, so a text takes time in proportion to its length.
+CANDIDATE = rf"{_LEAD}[^\s\"'<>]{{6,}}+|(?<![{_KEY}])(?=[A-Za-z+/_=.-]*+[0-9])[{_KEY}]{{16,}}+"
 CONTEXT = 48
 
 # Sure cases (label, rule): formats of published key kinds and digests assigned
@@ -60,14 +63,16 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             .withColumn("found", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)))
             .withColumn("gaps", F.split("text", CANDIDATE, -1)))
     n = F.size("found")
+    lead = F.regexp_extract(F.col("col.hit"), f"^{_LEAD}", 0)
     parts = rows.select("row", "doc_id", F.posexplode(F.arrays_zip(
-        F.col("found").alias("value"), F.slice("gaps", F.lit(1), n).alias("left"),
+        F.col("found").alias("hit"), F.slice("gaps", F.lit(1), n).alias("left"),
         F.slice("gaps", F.lit(2), n).alias("right")))).select(
-        "row", "doc_id", "pos", F.col("col.value").alias("value"),
-        F.length("col.left").alias("gap"), F.length("col.value").alias("size"),
-        F.expr(f"right(col.left, {CONTEXT})").alias("before"), F.expr(f"left(col.right, {CONTEXT})").alias("after"))
+        "row", "doc_id", "pos", F.substring("col.hit", F.length(lead) + 1, F.length("col.hit")).alias("value"),
+        F.length("col.left").alias("gap"), F.length("col.hit").alias("span"), F.length(lead).alias("led"),
+        F.concat(F.expr(f"right(col.left, {CONTEXT})"), lead).alias("before"), F.expr(f"left(col.right, {CONTEXT})").alias("after"))
     upto = Window.partitionBy("row").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    return parts.withColumn("start", F.sum(F.col("gap") + F.col("size")).over(upto) - F.col("size")).drop("gap")
+    return (parts.withColumn("start", F.sum(F.col("gap") + F.col("span")).over(upto) - F.col("span") + F.col("led"))
+            .withColumn("size", F.length("value")).drop("gap", "span", "led"))
 
 
 def _words(c: Column) -> Column:
