@@ -91,3 +91,70 @@ def test_session_counter_state_runs_and_expires(spark):
     assert s1 == [2, 3]
     assert max(r["activity_count"] for r in rows if r["user_session"] == "s2") == 2
     assert any(r["expired"] and r["user_session"] == "s1" for r in rows)
+
+
+FEATURE_SCHEMA = "ingest_seq long, user_id long, product_id long, event_timestamp timestamp, price double"
+
+
+def _features(spark, rows):
+    import datetime as dt
+    return spark.createDataFrame([(i, u, 1, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m), float(i)) for i, u, m in rows], FEATURE_SCHEMA)
+
+
+def test_online_store_merges_batches_and_survives_replay(spark):
+    path = _p(spark, "online")
+    assert J.online_snapshot(spark, path) is None
+    batches = [[(1, 1, 5), (2, 2, 1)], [(3, 1, 4), (4, 3, 0)], [(5, 2, 9), (6, 2, 9)]]
+    latest = lambda: sorted((r.user_id, r.ingest_seq) for r in J.online_snapshot(spark, path).collect())
+    for k, rows in enumerate(batches):
+        J.online_merge(_features(spark, rows), path, k)
+    want = [(1, 1), (2, 6), (3, 4)]      # the later event wins, not the later arrival
+    assert latest() == want
+    J.online_merge(_features(spark, batches[2]), path, 2)     # replayed
+    assert latest() == want
+
+
+def test_hourly_materialisation_saves_how_far_it_came(spark):
+    import datetime as dt
+    offline, online = _p(spark, "off"), _p(spark, "on")
+    rows = _features(spark, [(1, 1, 5), (2, 1, 65), (3, 2, 70), (4, 2, 130)]).selectExpr("*", "0L as batch_id", "current_timestamp() as created_timestamp")
+    rows.write.parquet(offline)
+    seen = []
+    for hour in (1, 2, 2, 3):
+        J.materialise_hourly(spark, offline, online, dt.datetime(2024, 1, 1, hour))
+        seen.append(sorted((r.user_id, r.ingest_seq) for r in J.online_snapshot(spark, online).collect()))
+    assert seen == [[(1, 1)], [(1, 2), (2, 3)], [(1, 2), (2, 3)], [(1, 2), (2, 4)]]
+
+
+def test_dedup_for_good_keeps_the_first_of_out_of_order_files(spark):
+    src, out, ck = (_p(spark, x) for x in ("ddsrc", "ddout", "ddck"))
+    schema = "ingest_seq long, record_hash string, event_type string"
+    files = [[(7, "a", "late"), (5, "a", "first"), (6, "b", "x")], [(1, "a", "earlier number, later file"), (8, "c", "y")], [(9, "b", "again")]]
+    for rows in files:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        J.start_dedup(J.file_source(spark, src, spark.read.parquet(src).schema), out, ck).awaitTermination()
+    assert sorted((r.record_hash, r.ingest_seq) for r in spark.read.parquet(out).collect()) == [("a", 5), ("b", 6), ("c", 8)]
+
+
+def test_rate_and_alert_streams(spark):
+    import datetime as dt
+    src, ck = _p(spark, "rate"), _p(spark, "rateck")
+    t = dt.datetime(2024, 1, 1)
+    rows = [(t, "VALID"), (t, "INVALID"), (t + dt.timedelta(milliseconds=900), "VALID"), (t + dt.timedelta(seconds=60), "VALID")]
+    spark.createDataFrame(rows, "ts timestamp, valid string").write.parquet(src)
+    q = (J.rate_stream(J.file_source(spark, src, spark.read.parquet(src).schema), "ts").writeStream.outputMode("append")
+         .format("memory").queryName("rate_test").option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert [tuple(r) for r in spark.sql("select * from rate_test").collect()] == [(t, 2, 1)]
+    bad, ck2 = _p(spark, "bad"), _p(spark, "badck")
+    spark.createDataFrame([('{"valid":"INVALID","error_type":"SCHEMA_VALIDATION_ERROR","error_message":"m"}',), ("x",)], "value string").write.parquet(bad)
+    J.start_alert_stream(J.file_source(spark, bad, spark.read.parquet(bad).schema), ck2, sink="memory", trigger={"availableNow": True}).awaitTermination()
+    assert sorted(r.severity for r in spark.sql("select * from alerts").collect()) == ["HIGH", "LOW"]
+
+
+def test_lake_sink_layout(spark):
+    import datetime as dt
+    src, out, ck = _p(spark, "lsrc"), _p(spark, "lout"), _p(spark, "lck")
+    spark.createDataFrame([(dt.datetime(2024, 1, 1, 5, 10), 1), (dt.datetime(2024, 1, 1, 6, 0), 2)], "ts timestamp, n int").write.parquet(src)
+    J.start_lake_sink(J.file_source(spark, src, spark.read.parquet(src).schema), "ts", out, ck, trigger={"availableNow": True}).awaitTermination()
+    assert sorted((r.hour, r.n) for r in spark.read.json(out).collect()) == [(5, 1), (6, 2)]

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Transformer
-from pyspark.sql import DataFrame, Window
+import math
+import random
+
+from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.tuning import TrainValidationSplit
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.joins import DEFAULT_BROADCAST_BYTES, row_bytes
+from tidemark.operators.sinks import mapping_json_lines, metrics_json
 from tidemark.session import materialize
 
 # --- fixed values -----------------------------------------------------------
@@ -18,8 +26,19 @@ LABEL = "is_purchased"
 TEST_FRACTION_TENTHS = 3          # test_size 0.3
 UNSEEN_INDEX = -1
 # Boosted-tree settings: binary logistic, depth, learning rate, row/column sampling.
-GBT_PARAMS = {"maxDepth": 1, "stepSize": 0.3, "subsamplingRate": 0.8, "maxIter": 1}
-SEARCH_SPACE = {"maxDepth": [3, 4], "stepSize": [1e-4, 1e-1]}
+BOOST_ROUNDS = 1
+GBT_PARAMS = {"maxDepth": 1, "stepSize": 0.3, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}
+# Search space: depth 3 or 4; learning rate log-uniform; least rows of a leaf;
+# row and column sampling and least gain of a split uniform.
+SEARCH_SPACE = {
+    "maxDepth": ("choice", [3, 4]),
+    "stepSize": ("log", [1e-4, 1e-1]),
+    "minInstancesPerNode": ("choice", [1, 2, 3, 4, 5]),
+    "subsamplingRate": ("uniform", [0.5, 1.0]),
+    "featureSubsetStrategy": ("uniform", [0.5, 1.0]),
+    "minInfoGain": ("uniform", [0.0, 1.0]),
+}
+TRIALS = 3
 # -----------------------------------------------------------------------------
 
 
@@ -131,17 +150,33 @@ def eval_auc(scored: DataFrame, label: str = "label", p: str = "p") -> DataFrame
 
 
 def assemble(df: DataFrame, features: list[str]) -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
     return VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep").transform(df)
 
 
-def fit_gbt(train: DataFrame, features: list[str], params: dict | None = None, seed: int = 42):
+def gbt(params: dict | None = None, seed: int = 42):
+    """The unfitted classifier: base settings, replaced where ``params`` says."""
     from pyspark.ml.classification import GBTClassifier
-    prm = dict(GBT_PARAMS)
-    prm.update(params or {})
-    gbt = GBTClassifier(featuresCol="features", labelCol=LABEL, seed=seed,
-                        featureSubsetStrategy="0.8", **prm)
-    return gbt.fit(assemble(train.withColumn(LABEL, F.col(LABEL).cast("double")), features))
+    return GBTClassifier(featuresCol="features", labelCol=LABEL, seed=seed, maxIter=BOOST_ROUNDS,
+                         **{**GBT_PARAMS, **(params or {})})
+
+
+def fit_gbt(train: DataFrame, features: list[str], params: dict | None = None, seed: int = 42):
+    return gbt(params, seed).fit(assemble(train.withColumn(LABEL, F.col(LABEL).cast("double")), features))
+
+
+def fit_pipeline(train: DataFrame, features: list[str], params: dict | None = None, seed: int = 42) -> PipelineModel:
+    """Assembler, boosted trees and the probability column as one model, which
+    can be saved and loaded as a whole."""
+    return _pipeline(features, gbt(params, seed)).fit(train.withColumn(LABEL, F.col(LABEL).cast("double")))
+
+
+def _pipeline(features: list[str], classifier) -> Pipeline:
+    return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"),
+                            classifier, PurchaseProbability()])
+
+
+def score(model: PipelineModel, df: DataFrame) -> DataFrame:
+    return model.transform(df).drop("features", "rawPrediction", "probability")
 
 
 def predict(model, df: DataFrame, features: list[str]) -> DataFrame:
@@ -151,7 +186,7 @@ def predict(model, df: DataFrame, features: list[str]) -> DataFrame:
                                                                                 "probability")
 
 
-class PurchaseProbability(Transformer):
+class PurchaseProbability(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Pipeline stage: ``p`` = probability of the positive class (a column op)."""
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
@@ -159,39 +194,67 @@ class PurchaseProbability(Transformer):
         return dataset.withColumn("p", F.get(vector_to_array("probability"), 1))
 
 
-def hyperparameter_search(train: DataFrame, features: list[str], space: dict = SEARCH_SPACE,
+def sample_trials(n: int = TRIALS, space: dict = SEARCH_SPACE, seed: int = 42) -> list[dict]:
+    """``n`` parameter sets drawn from the whole space."""
+    rng = random.Random(seed)
+
+    def draw(kind: str, values: list):
+        if kind == "choice":
+            return rng.choice(values)
+        low, high = values
+        return math.exp(rng.uniform(math.log(low), math.log(high))) if kind == "log" else rng.uniform(low, high)
+
+    return [{k: draw(*v) for k, v in space.items()} for _ in range(n)]
+
+
+def _typed(params: dict) -> dict:
+    """Parameters as the classifier takes them (column sampling is a text)."""
+    return {k: str(v) if k == "featureSubsetStrategy" else int(v) if k in ("maxDepth", "minInstancesPerNode") else v
+            for k, v in params.items()}
+
+
+def hyperparameter_search(train: DataFrame, features: list[str], trials: list[dict] | None = None,
                           seed: int = 42, parallelism: int = 2) -> DataFrame:
-    """Grid search with ``TrainValidationSplit``: each parameter set is fitted on
-    a train split and scored by the RMSE of the purchase probability on the
-    held-out split; fits run ``parallelism`` at a time, each one distributed.
-    Returns the trial table (one row per parameter set)."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import GBTClassifier
-    from pyspark.ml.evaluation import RegressionEvaluator
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-
-    gbt = GBTClassifier(featuresCol="features", labelCol=LABEL, seed=seed, maxIter=3,
-                        subsamplingRate=GBT_PARAMS["subsamplingRate"], featureSubsetStrategy="0.8")
-    pipe = Pipeline(stages=[
-        VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"), gbt,
-        PurchaseProbability()])
-    keys = sorted(space)
-    grid = ParamGridBuilder()
-    for k in keys:
-        grid = grid.addGrid(gbt.getParam(k), space[k])
-    maps = grid.build()
-    tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=maps, trainRatio=0.75, seed=seed,
-                               evaluator=RegressionEvaluator(labelCol=LABEL, predictionCol="p",
-                                                             metricName="rmse"),
+    """Sampled search with ``TrainValidationSplit``: each parameter set is fitted
+    on a train split, with as many rounds as the final fit, and scored by the
+    RMSE of the purchase probability on the held-out split; fits run
+    ``parallelism`` at a time, each one distributed.  Returns the trial table
+    (one row per parameter set)."""
+    trials = trials if trials is not None else sample_trials(seed=seed)
+    classifier = gbt(seed=seed)
+    maps = [{classifier.getParam(k): v for k, v in _typed(t).items()} for t in trials]
+    tvs = TrainValidationSplit(estimator=_pipeline(features, classifier), estimatorParamMaps=maps, trainRatio=0.75, seed=seed,
+                               evaluator=RegressionEvaluator(labelCol=LABEL, predictionCol="p", metricName="rmse"),
                                parallelism=parallelism)
     model = tvs.fit(train.withColumn(LABEL, F.col(LABEL).cast("double")))
-    rows = [(i, *[float(m[gbt.getParam(k)]) for k in keys], float(metric))
-            for i, (m, metric) in enumerate(zip(maps, model.validationMetrics))]
+    keys = sorted(trials[0])
+    rows = [(i, *[float(t[k]) for k in keys], float(m)) for i, (t, m) in enumerate(zip(trials, model.validationMetrics))]
     schema = "trial_id int, " + ", ".join(f"{k} double" for k in keys) + ", validation_rmse double"
     return train.sparkSession.createDataFrame(rows, schema)
 
 
+def fit_tuned(train: DataFrame, features: list[str], trials: list[dict] | None = None,
+              seed: int = 42) -> tuple[PipelineModel, DataFrame]:
+    """Search, then the final fit with the best trial's parameters; also the
+    trial table."""
+    table = hyperparameter_search(train, features, trials, seed)
+    best = best_trial(table).first().asDict()
+    params = {k: v for k, v in best.items() if k not in ("trial_id", "validation_rmse")}
+    return fit_pipeline(train, features, _typed(params), seed), table
+
+
+def save_model(model: PipelineModel, mapping: DataFrame, metrics: DataFrame, path: str) -> None:
+    """The model artefact: ``model``, ``mapping`` and ``metrics`` under ``path``."""
+    model.write().overwrite().save(f"{path}/model")
+    mapping_json_lines(mapping, f"{path}/mapping")
+    metrics_json(metrics, f"{path}/metrics")
+
+
+def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, DataFrame]:
+    """Model and category mapping as saved."""
+    return PipelineModel.load(f"{path}/model"), spark.read.schema("feature string, value string, idx int").json(f"{path}/mapping")
+
+
 def best_trial(trials: DataFrame, metric: str = "validation_rmse") -> DataFrame:
     """The trial with the smallest metric (min_by; ties -> smallest trial_id)."""
     cols = [c for c in trials.columns]

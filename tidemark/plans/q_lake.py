@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import parse_event_time
 from tidemark.operators import features as FE
-from tidemark.operators.bronze import bronze_from_text
+from tidemark.operators.bronze import bronze_from_text, bronze_valid
 from tidemark.operators.envelope import ENVELOPE_STRUCT, envelope_decode
 from tidemark.plans.oracles import with_ctes
 from tidemark.plans.q_features import FEATURE_COLS_SQL, FEATURE_CTES
 from tidemark.plans.q_validation import VERDICT_CTES
 from tidemark.plans.registry import register
+from tidemark.plans.warehouse import bronze_input
 from tidemark.session import materialize, scratch_path
 from tidemark.sources import lake as L
 from tidemark.sources.testdata import EVENT_FIELDS, behaviour_events, raw_envelopes
@@ -200,16 +201,27 @@ def q_stream_features(spark, sf):
     return spark.read.parquet(offline).select("ingest_seq", *FE.FEATURE_COLUMNS)
 
 
+@register("stream_online_latest", with_ctes(f"SELECT ingest_seq, {FEATURE_COLS_SQL} FROM latest", FEATURE_CTES))
+def q_stream_online_latest(spark, sf):
+    """The online store after the feature stream: latest row per entity."""
+    valid, _ = _stream_validated(spark, sf)
+    offline, online, ck = _fresh(spark, "offline"), _fresh(spark, "online"), _fresh(spark, "cko")
+    stream = J.file_source(spark, valid, spark.read.parquet(valid).schema)
+    J.start_feature_ingest(stream.select("ingest_seq", "value"), offline, ck, keep=["ingest_seq"],
+                           trigger={"availableNow": True}, online_path=online).awaitTermination()
+    return J.online_snapshot(spark, online).select("ingest_seq", *FE.FEATURE_COLUMNS)
+
+
 @register("stream_dedup", with_ctes(
-    "SELECT record_hash, event_time, product_id, user_id, event_type FROM dedup"))
+    "SELECT ingest_seq, record_hash, event_time, product_id, user_id, event_type FROM dedup"))
 def q_stream_dedup(spark, sf):
-    from tidemark.plans.warehouse import bronze_input
-    from tidemark.operators.bronze import bronze_valid
+    """Bronze rows deduplicated for good in several micro-batches, files in
+    order of arrival: the first copy survives."""
     src, out, ck = _fresh(spark, "bronzesrc"), _fresh(spark, "dedup"), _fresh(spark, "ckd")
-    bronze_valid(bronze_input(spark, sf)).withColumn("event_timestamp", parse_event_time("event_time")) \
-        .write.parquet(src)
-    stream = J.file_source(spark, src, spark.read.parquet(src).schema)
-    q = (J.dedup_stream(stream).writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", ck).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out).select("record_hash", "event_time", "product_id", "user_id", "event_type")
+    rows = materialize(bronze_valid(bronze_input(spark, sf)))
+    cut = rows.approxQuantile("ingest_seq", [0.5], 0.01)
+    half = F.col("ingest_seq") <= F.lit(cut[0] if cut else 0)
+    for part in (rows.filter(half), rows.filter(~half)):
+        part.write.mode("append").parquet(src)
+        J.start_dedup(J.file_source(spark, src, rows.schema), out, ck).awaitTermination()
+    return spark.read.parquet(out).select("ingest_seq", "record_hash", "event_time", "product_id", "user_id", "event_type")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import features as FE
@@ -9,6 +11,7 @@ from tidemark.operators import training as TR
 from tidemark.plans.oracles import with_ctes
 from tidemark.plans.q_features import FEATURE_CTES, _features, _requests
 from tidemark.plans.registry import register
+from tidemark.session import materialize, scratch_path
 from tidemark.sources.testdata import read_table
 
 MAPPING_CUTOFF = "2024-01-20 00:00:00"
@@ -34,7 +37,7 @@ mapping AS (
 )"""
 
 
-def _encoded_sql(src: str) -> str:
+def _encoded_sql(src: str, lead: str = "", tail: str = "") -> str:
     joins = "\n".join(
         f"LEFT JOIN mapping m{i} ON m{i}.feature = '{c}' AND m{i}.value = CAST(f.{c} AS VARCHAR)"
         for i, c in enumerate(ENCODED))
@@ -42,7 +45,7 @@ def _encoded_sql(src: str) -> str:
         f"CAST(coalesce(m{ENCODED.index(c)}.idx, -1) AS INTEGER) AS {c}" if c in ENCODED
         else (f"CAST(f.{c} AS DOUBLE) AS {c}" if c == "price" else f"f.{c}")
         for c in TR.TRAINING_COLUMNS)
-    return f"SELECT {sel} FROM {src} f\n{joins}"
+    return f"SELECT {lead}{sel}{tail} FROM {src} f\n{joins}"
 
 
 @register("training_columns", with_ctes(f"SELECT {', '.join(TR.TRAINING_COLUMNS)} FROM features", FEATURE_CTES))
@@ -111,38 +114,63 @@ def q_eval_auc(spark, sf):
     return TR.eval_auc(_scores(spark, sf))
 
 
-def _train_test(spark, sf):
-    f = TR.train_test_split(_features(spark, sf), "ingest_seq")
+BUCKET_SQL = "CAST(('0x' || substr(sha256(CAST(ingest_seq AS VARCHAR)), 1, 8)) AS BIGINT) % 10"
+TEST_SQL = f"(SELECT * FROM features WHERE {BUCKET_SQL} < 3)"
+
+
+def _train_test(spark, sf, features=None):
+    f = TR.train_test_split(features if features is not None else _features(spark, sf), "ingest_seq")
     mapping = TR.category_mapping(f.filter(F.col("split") == "train"))
-    enc = TR.encode_categories(f.withColumn("price", F.col("price").cast("double")), mapping)
+    enc = materialize(TR.encode_categories(f.withColumn("price", F.col("price").cast("double")), mapping))
     return enc, mapping
 
 
-@register("train_predict")
+def _chance(p="p"):
+    """The model's output as far as any right model agrees on it."""
+    return F.col(p).between(0.0, 1.0).alias("p_in_range")
+
+
+@register("train_predict", with_ctes(
+    _encoded_sql(TEST_SQL, "f.ingest_seq, ", ", true AS p_in_range"),
+    MAPPING_CTES.format(src=f"(SELECT * FROM features WHERE {BUCKET_SQL} >= 3)")))
 def q_train_predict(spark, sf):
-    """Rows-only: boosted trees fitted on the train split, scored on the test split."""
+    """Tuned boosted trees fitted on the train split, scoring the test split."""
     enc, _ = _train_test(spark, sf)
-    model = TR.fit_gbt(enc.filter(F.col("split") == "train"), MODEL_FEATURES)
-    return TR.predict(model, enc.filter(F.col("split") == "test"), MODEL_FEATURES).select(
-        "ingest_seq", *MODEL_FEATURES, TR.LABEL, "p", "prediction")
+    model, _ = TR.fit_tuned(enc.filter(F.col("split") == "train"), MODEL_FEATURES)
+    return TR.score(model, enc.filter(F.col("split") == "test")).select(
+        "ingest_seq", *TR.TRAINING_COLUMNS, _chance())
 
 
-@register("best_trial")
+@register("best_trial", with_ctes(
+    f"SELECT {TR.TRIALS} AS trials, true AS is_least, true AS in_space FROM (SELECT count(*) FROM features)", FEATURE_CTES))
 def q_best_trial(spark, sf):
-    """Rows-only: grid search over the search space, best trial by train RMSE."""
+    """The best of the sampled trials: it has the least error of the trial
+    table, and its parameters lie in the search space."""
     enc, _ = _train_test(spark, sf)
-    trials = TR.hyperparameter_search(enc.filter(F.col("split") == "train"), MODEL_FEATURES)
-    return TR.best_trial(trials)
+    trials = materialize(TR.hyperparameter_search(enc.filter(F.col("split") == "train"), MODEL_FEATURES))
+    inside = F.lit(True)
+    for k, (kind, values) in TR.SEARCH_SPACE.items():
+        inside = inside & (F.col(k).isin(*map(float, values)) if kind == "choice" else F.col(k).between(*values))
+    least = trials.agg(F.count(F.lit(1)).alias("trials"), F.min("validation_rmse").alias("least"))
+    return TR.best_trial(trials).join(least, F.col("validation_rmse") == F.col("least")).select(
+        "trials", F.col("least").isNotNull().alias("is_least"), inside.alias("in_space"))
 
 
-@register("score_features")
+@register("score_features", with_ctes("""
+SELECT DISTINCT user_id, product_id, true AS p_in_range FROM behaviour WHERE event_type = 'purchase'""", FEATURE_CTES))
 def q_score_features(spark, sf):
-    """Rows-only: lookup latest features -> coerce -> encode -> model probability."""
-    enc, mapping = _train_test(spark, sf)
-    model = TR.fit_gbt(enc.filter(F.col("split") == "train"), MODEL_FEATURES)
-    looked = FE.feature_lookup(_requests(spark, sf), FE.latest_per_key(_features(spark, sf)))
+    """Lookup of latest features -> coerce -> encode -> the saved model's probability."""
+    features = materialize(_features(spark, sf))   # one validation for training and serving
+    enc, mapping = _train_test(spark, sf, features)
+    train = enc.filter(F.col("split") == "train")
+    model, _ = TR.fit_tuned(train, MODEL_FEATURES)
+    path = scratch_path(spark, f"model-{uuid.uuid4().hex[:12]}")
+    held = TR.score(model, enc.filter(F.col("split") == "test"))
+    TR.save_model(model, mapping, TR.eval_metrics(held, TR.LABEL, "p"), path)
+    saved, vocabulary = TR.load_model(spark, path)
+    looked = FE.feature_lookup(_requests(spark, sf), FE.latest_per_key(features))
     looked = TR.select_present(looked, keep=["user_id", "product_id"])
     looked = TR.coerce_numeric(looked, {"price": "float", "activity_count": "int"})
-    scored = TR.encode_categories(looked, mapping)
-    return TR.predict(model, scored.withColumn("price", F.col("price").cast("double")),
-                      MODEL_FEATURES).select("user_id", "product_id", "p", "prediction")
+    encoded = TR.encode_categories(looked, vocabulary)
+    return TR.score(saved, encoded.withColumn("price", F.col("price").cast("double"))).select(
+        "user_id", "product_id", _chance())

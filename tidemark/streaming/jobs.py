@@ -10,6 +10,8 @@ tracked in a checkpoint on the shared checkpoint folder.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators import features as FE
 from tidemark.operators import validation as V
 from tidemark.operators.envelope import envelope_decode
+from tidemark.operators.silver import first_per_key
 from tidemark.sources.lake import with_hour_partitions
 
 # --- fixed values -------------------------------------------------------------
@@ -78,10 +81,12 @@ def start_validation_routing(stream: DataFrame, valid_path: str, invalid_path: s
 
 
 def start_feature_ingest(validated: DataFrame, offline_path: str, checkpoint: str, keep: list[str],
-                         trigger: dict | None = None) -> StreamingQuery:
+                         trigger: dict | None = None, online_path: str | None = None) -> StreamingQuery:
     """Per micro-batch: decode validated records, build feature rows, append to the
-    offline store (idempotent per batch).  ``activity_count`` is per batch, as
-    in the source system; ``session_activity_stream`` gives the stateful form."""
+    offline store (idempotent per batch) and, given ``online_path``, merge the
+    newest row per entity into the online store.  ``activity_count`` is per
+    batch, as in the source system; ``session_activity_stream`` gives the
+    stateful form."""
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         # the per-session count reads the batch twice (aggregate + join back):
@@ -90,6 +95,11 @@ def start_feature_ingest(validated: DataFrame, offline_path: str, checkpoint: st
         try:
             feats = FE.preprocess_batch(rows, keep=keep)
             _write_batch(FE.offline_rows(feats), offline_path, batch_id)
+            if online_path is not None:
+                spark = batch.sparkSession
+                done = (spark.read.parquet(offline_path).filter(F.col("batch_id") == batch_id)
+                        .drop("batch_id", "created_timestamp"))
+                online_merge(done, online_path, batch_id)
         finally:
             rows.unpersist()
 
@@ -97,6 +107,77 @@ def start_feature_ingest(validated: DataFrame, offline_path: str, checkpoint: st
     return w.trigger(**(trigger or {"processingTime": FEATURE_TRIGGER})).start()
 
 
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Complete versions of a keyed snapshot, ascending."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    if not fs.exists(root):
+        return []
+    found = [st.getPath() for st in fs.listStatus(root) if st.getPath().getName().startswith("version=")]
+    return sorted(int(p.getName().split("=")[1]) for p in found if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
+def online_snapshot(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """The newest complete version of the online store (below ``before``)."""
+    known = [v for v in _versions(spark, path) if before is None or v < before]
+    return spark.read.parquet(f"{path}/version={known[-1]}") if known else None
+
+
+def online_merge(increment: DataFrame, path: str, version: int) -> None:
+    """Write ``version`` of the online store: the version before it, with the
+    newest row per entity of ``increment`` merged in.
+
+    A version replaces itself when a batch is replayed and never reads itself,
+    so the result does not depend on how often a batch runs.  Readers take the
+    newest complete version; the two before it stay for readers under way.
+    """
+    spark = increment.sparkSession
+    before = online_snapshot(spark, path, version)
+    merged = FE.latest_per_key(increment) if before is None else FE.materialise_incremental(before, increment)
+    merged.write.mode("overwrite").parquet(f"{path}/version={version}")
+    jvm = spark._jvm
+    for old in [v for v in _versions(spark, path) if v < version][:-2]:
+        gone = jvm.org.apache.hadoop.fs.Path(f"{path}/version={old}")
+        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+
+
+def materialise_hourly(spark: SparkSession, offline_path: str, online_path: str, until: _dt.datetime) -> None:
+    """Merge the offline rows after the last materialised instant, up to
+    ``until``, into the online store.  The instant is the version's number
+    (epoch microseconds), so it is saved with the data."""
+    known = _versions(spark, online_path)
+    end = int(until.replace(tzinfo=_dt.timezone.utc).timestamp() * 1_000_000)
+    if known and known[-1] >= end:
+        return
+    t = F.unix_micros("event_timestamp")
+    rows = spark.read.parquet(offline_path).drop("batch_id", "created_timestamp").filter(t <= end)
+    online_merge(rows.filter(t > known[-1]) if known else rows, online_path, end)
+
+
+def start_dedup(events: DataFrame, path: str, checkpoint: str, key: str = "record_hash", order: str = "ingest_seq",
+                trigger: dict | None = None) -> StreamingQuery:
+    """Keep one row per key for good: the earliest batch's, and within a batch
+    the one of the smallest ``order``.  Each batch is reduced to its first rows
+    and anti-joined with the keys that earlier batches wrote; a replayed batch
+    leaves its own rows out of that and replaces them."""
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        fresh = first_per_key(batch, [key], order)
+        if existing_folder(batch.sparkSession, path):
+            old = batch.sparkSession.read.parquet(path).filter(F.col("batch_id") < batch_id).select(key)
+            fresh = fresh.join(old, key, "left_anti").select(*batch.columns)
+        _write_batch(fresh, path, batch_id)
+
+    w = events.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def existing_folder(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def start_lake_sink(stream: DataFrame, ts: str, path: str, checkpoint: str,
                     trigger: dict | None = None) -> StreamingQuery:
     """Hourly-partitioned JSON lake sink (file sink: exactly-once via its log)."""
@@ -118,7 +199,9 @@ def session_activity_stream(events: DataFrame, key: str = "user_session", ts: st
 
 def dedup_stream(events: DataFrame, ts: str = "event_timestamp", watermark: str = FEATURE_WATERMARK,
                  key: str = "record_hash") -> DataFrame:
-    """Drop replays of a record hash seen within the watermark delay."""
+    """Drop replays of a record hash seen within the watermark delay, with
+    state bounded by it.  Which copy of one micro-batch survives is not defined;
+    ``start_dedup`` defines it."""
     return events.withWatermark(ts, watermark).dropDuplicatesWithinWatermark([key])
 
 
