@@ -25,6 +25,7 @@ each record's own schema.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -198,7 +199,8 @@ def _envelope(df: DataFrame, keep: list[str]) -> DataFrame:
                .when(payload.isNull(), F.lit("Processing error: 'payload'"))
                .when(fields.isNull(), F.lit("Processing error: 'fields'"))
                .when(~_is_object(payload), F.lit("Processing error: payload is not an object")))
-    return df.select(*keep, payload.alias("_payload"), fields.alias("_fields"), problem.alias("_p"))
+    return df.select(*keep, payload.alias("_payload"), fields.alias("_fields"), problem.alias("_p"),
+                     F.to_json(schema).alias("_schema"))
 
 
 def _finish(df: DataFrame, first: Column, clock, keep: list[str]) -> DataFrame:
@@ -224,13 +226,48 @@ def _finish(df: DataFrame, first: Column, clock, keep: list[str]) -> DataFrame:
     return out.select(*keep, F.inline(F.array(verdict)))
 
 
+def _schema_rules(fields: list[dict]) -> list[tuple]:
+    """Per declared field: (name, effective type, is union, union has null, optional)."""
+    rules = []
+    for declared in fields:
+        name, t = declared.get("field") or declared.get("name"), declared.get("type")
+        union = isinstance(t, list)
+        if str(declared.get("name", "")).startswith(DEBEZIUM_PREFIX):
+            effective = declared["name"]
+        else:
+            effective = next((x for x in t if x != "null"), t[0]) if union else t
+        rules.append((name, effective, union, bool(union and "null" in t), bool(declared.get("optional", False))))
+    return rules
+
+
+def _field_value(name: str) -> Column:
+    return F.try_variant_get(F.col("_payload"), "$['" + name.replace("'", "\\'") + "']", "variant")
+
+
 def validate_dynamic(df: DataFrame, value: str = "value", keep: list[str] | None = None,
-                     clock: _dt.datetime | None = None) -> DataFrame:
-    """Validate each record against the schema it carries."""
+                     clock: _dt.datetime | None = None, known: list[str] = ()) -> DataFrame:
+    """Validate each record against the schema it carries.
+
+    ``known`` are schemas (JSON texts) that most records are expected to carry:
+    records whose schema equals one of them take checks generated for it at
+    plan time, the others the general ones, in the same pass.
+    """
     keep = keep if keep is not None else [c for c in df.columns if c != value]
     env = _envelope(_parse(df, value, keep), keep)
-    env = env.select(*keep, "_p", "_fields",
-                     F.try_variant_get(F.col("_payload"), "$", "map<string,variant>").alias("_pmap"))
+    which = F.lit(None).cast("int")
+    for i, text in enumerate(known):
+        # both sides as Spark writes a VARIANT, so layout and key order do not matter
+        which = F.when(F.col("_schema") == F.to_json(F.parse_json(F.lit(text))), F.lit(i)).otherwise(which)
+    staged = env.select(*keep, "_p", "_payload", "_fields", which.alias("_which"))
+    general = F.col("_which").isNull()
+    slots = [(i, j, rule) for i, text in enumerate(known) for j, rule in enumerate(_schema_rules(json.loads(text)["fields"]))]
+    values = [F.when(F.col("_which") == i, _field_value(rule[0])).alias(f"_val{i}_{j}") for i, j, rule in slots]
+    kinds = [_kind(F.col(f"_val{i}_{j}")).alias(f"_k{i}_{j}") for i, j, _ in slots]
+    slot_values = [f"_val{i}_{j}" for i, j, _ in slots]
+    slot_columns = slot_values + [f"_k{i}_{j}" for i, j, _ in slots]
+    staged = staged.select(*keep, "_p", "_which", F.when(general, F.col("_fields")).alias("_fields"),
+                           F.when(general, F.try_variant_get(F.col("_payload"), "$", "map<string,variant>")).alias("_pmap"), *values)
+    staged = staged.select(*keep, "_p", "_which", "_fields", "_pmap", *slot_values, *kinds)
     pmap = F.col("_pmap")
 
     def describe(f: Column) -> Column:
@@ -250,14 +287,14 @@ def validate_dynamic(df: DataFrame, value: str = "value", keep: list[str] | None
             F.coalesce(F.array_contains(tlist, "null"), F.lit(False)).alias("union_null"),
             F.coalesce(F.try_variant_get(f, "$.optional", "boolean"), F.lit(False)).alias("optional"))
 
-    described = env.select(*keep, "_p", F.transform("_fields", describe).alias("_d"), "_pmap")
+    described = staged.select(*keep, "_p", "_which", F.transform("_fields", describe).alias("_d"), "_pmap", *slot_columns)
 
     def lookup(d: Column) -> Column:
         # a missing key is SQL NULL; a JSON null is a (non-null) VARIANT null
         return F.struct(d.alias("d"), F.try_element_at(pmap, d["name"]).alias("val"),
                         _kind(F.try_element_at(pmap, d["name"])).alias("k"))
 
-    with_kind = described.select(*keep, "_p", F.transform("_d", lookup).alias("_lk"))
+    with_kind = described.select(*keep, "_p", "_which", F.transform("_d", lookup).alias("_lk"), *slot_columns)
 
     def verdict(x: Column) -> Column:
         d = x["d"]
@@ -265,6 +302,10 @@ def validate_dynamic(df: DataFrame, value: str = "value", keep: list[str] | None
                              d["union_null"], d["optional"])
 
     first = F.get(F.filter(F.transform("_lk", verdict), lambda x: x.isNotNull()), 0)
+    for i in range(len(known)):
+        own = [static_field_verdict(*rule, F.col(f"_val{k}_{j}"), F.col(f"_k{k}_{j}")) for k, j, rule in slots if k == i]
+        if own:
+            first = F.when(F.col("_which") == i, F.coalesce(*own)).otherwise(first)
     return _finish(with_kind, first, clock, keep)
 
 
@@ -274,26 +315,11 @@ def validate_static(df: DataFrame, fields: list[dict], value: str = "value",
     literal VARIANT paths, no per-record schema walk."""
     keep = keep if keep is not None else [c for c in df.columns if c != value]
     env = _envelope(_parse(df, value, keep), keep)
-    metas, vals = [], []
-    for i, fdef in enumerate(fields):
-        fname = fdef.get("field") or fdef.get("name")
-        t = fdef.get("type")
-        is_union = isinstance(t, list)
-        if str(fdef.get("name", "")).startswith(DEBEZIUM_PREFIX):
-            eff = fdef["name"]
-        elif is_union:
-            eff = next((x for x in t if x != "null"), t[0])
-        else:
-            eff = t
-        metas.append((fname, eff, is_union, bool(is_union and "null" in t), bool(fdef.get("optional", False))))
-        path = "$['" + fname.replace("'", "\\'") + "']"
-        vals.append(F.try_variant_get(F.col("_payload"), path, "variant").alias(f"_val{i}"))
-    staged = env.select(*keep, "_p", *vals)
-    staged = staged.select(*keep, "_p", *[f"_val{i}" for i in range(len(fields))],
-                           *[_kind(F.col(f"_val{i}")).alias(f"_k{i}") for i in range(len(fields))])
-    verdicts = [static_field_verdict(fname, eff, is_union, union_null, optional,
-                                     F.col(f"_val{i}"), F.col(f"_k{i}"))
-                for i, (fname, eff, is_union, union_null, optional) in enumerate(metas)]
+    rules = _schema_rules(fields)
+    slots = range(len(rules))
+    staged = env.select(*keep, "_p", *[_field_value(rule[0]).alias(f"_val{j}") for j, rule in enumerate(rules)])
+    staged = staged.select(*keep, "_p", *[f"_val{j}" for j in slots], *[_kind(F.col(f"_val{j}")).alias(f"_k{j}") for j in slots])
+    verdicts = [static_field_verdict(*rule, F.col(f"_val{j}"), F.col(f"_k{j}")) for j, rule in enumerate(rules)]
     return _finish(staged, F.coalesce(*verdicts), clock, keep)
 
 

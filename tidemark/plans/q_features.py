@@ -170,12 +170,12 @@ FROM fact_events GROUP BY {g} HAVING count(*) FILTER (WHERE event_type = 'cart')
 
 @register("cart_purchase_label", with_ctes(CART_SQL.format(g="user_session, product_id"), WAREHOUSE))
 def q_cart_purchase_label(spark, sf):
-    return FE.cart_purchase_label(Gold(spark, sf).fact, ["user_session", "product_id"])
+    return FE.cart_purchase_label(Gold(spark, sf).events, ["user_session", "product_id"])
 
 
 @register("cart_purchase_label_user", with_ctes(CART_SQL.format(g="user_id, product_id"), WAREHOUSE))
 def q_cart_purchase_label_user(spark, sf):
-    return FE.cart_purchase_label(Gold(spark, sf).fact, ["user_id", "product_id"])
+    return FE.cart_purchase_label(Gold(spark, sf).events, ["user_id", "product_id"])
 
 
 @register("session_window_activity", with_ctes("""
@@ -190,4 +190,4 @@ SELECT user_id, min(event_timestamp) AS session_start, max(event_timestamp) + IN
        count(*) AS event_count, min(event_timestamp) AS first_event, max(event_timestamp) AS last_event
 FROM g GROUP BY user_id, sid""", WAREHOUSE))
 def q_session_window_activity(spark, sf):
-    return FE.session_window_activity(Gold(spark, sf).fact, "user_id", "event_timestamp", "24 hours")
+    return FE.session_window_activity(Gold(spark, sf).events, "user_id", "event_timestamp", "24 hours")

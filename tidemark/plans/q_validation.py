@@ -18,6 +18,8 @@ from tidemark.sources.testdata import (EVENT_FIELDS, EVENT_SCHEMA_JSON, behaviou
 
 CLOCK = dt.datetime(2024, 2, 1, 0, 0, 0)
 CLOCK_SQL = "TIMESTAMP '2024-02-01 00:00:00'"
+# Schemas that the topics are declared with.
+KNOWN_SCHEMAS = [EVENT_SCHEMA_JSON, C.CDC_SCHEMA_JSON]
 EVENT_SCHEMA_FIELDS = json.loads(EVENT_SCHEMA_JSON)["fields"]
 
 VERDICT_CTES = ADAPTED + r""",
@@ -49,7 +51,7 @@ def _verdicts(spark, sf, static=True):
     env = raw_envelopes(spark, sf)
     if static:
         return V.validate_static(env, EVENT_SCHEMA_FIELDS, keep=["ingest_seq", "value"], clock=CLOCK)
-    return V.validate_dynamic(env, keep=["ingest_seq", "value"], clock=CLOCK)
+    return V.validate_dynamic(env, keep=["ingest_seq", "value"], clock=CLOCK, known=KNOWN_SCHEMAS)
 
 
 @register("validate_schema_static", VERDICT_SQL)
@@ -103,7 +105,7 @@ FROM behaviour b JOIN verdict v USING (ingest_seq) GROUP BY 1""", VERDICT_CTES))
 def q_validation_rate_1s(spark, sf):
     # event_time rides along through the validation: one scan, no join back
     env = raw_envelopes(spark, sf, keep=["event_time"])
-    verdicts = V.validate_dynamic(env, keep=["event_time"], clock=CLOCK)
+    verdicts = V.validate_dynamic(env, keep=["event_time"], clock=CLOCK, known=KNOWN_SCHEMAS)
     return rate_counters(verdicts, "event_time", "valid")
 
 
@@ -155,7 +157,7 @@ def q_union_sources(spark, sf):
     cdc = C.cdc_envelope(C.cdc_normalise(C.cdc_unwrap(cdc_changes(spark, sf))),
                          keep=[F.lit("events.cdc").alias("topic"), "ingest_seq"])
     both = raw.unionByName(cdc)
-    return V.validate_dynamic(both, keep=["topic", "ingest_seq"], clock=CLOCK).select(
+    return V.validate_dynamic(both, keep=["topic", "ingest_seq"], clock=CLOCK, known=KNOWN_SCHEMAS).select(
         "topic", "ingest_seq", "valid", "error_message")
 
 

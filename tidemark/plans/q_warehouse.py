@@ -13,7 +13,7 @@ from tidemark.operators import silver as S
 from tidemark.operators.envelope import envelope_decode, envelope_encode
 from tidemark.plans.oracles import r6, with_ctes
 from tidemark.plans.registry import register
-from tidemark.plans.warehouse import Gold, bronze_input, silver_rows
+from tidemark.plans.warehouse import Gold, bronze_input, clean_rows, silver_rows
 from tidemark.functions.columns import record_hash_json
 from tidemark.sources.testdata import EVENT_FIELDS, behaviour_events, raw_envelopes
 
@@ -120,13 +120,13 @@ def q_silver_time(spark, sf):
 
 @register("price_tier", with_ctes("SELECT ingest_seq, price, price_tier FROM derived"))
 def q_price_tier(spark, sf):
-    return silver_rows(spark, sf).select("ingest_seq", "price", "price_tier")
+    return clean_rows(spark, sf).select("ingest_seq", "price", "price_tier")
 
 
 @register("category_levels", with_ctes(
     "SELECT ingest_seq, category_code, category_l1, category_l2, category_l3 FROM derived"))
 def q_category_levels(spark, sf):
-    return silver_rows(spark, sf).select("ingest_seq", "category_code", "category_l1", "category_l2",
+    return clean_rows(spark, sf).select("ingest_seq", "category_code", "category_l1", "category_l2",
                                          "category_l3")
 
 
@@ -134,8 +134,7 @@ def q_category_levels(spark, sf):
 SELECT user_session, events_in_session, session_start, session_end,
        round(avg_price, 6) AS avg_price, min_price, max_price FROM sessions"""))
 def q_session_metrics(spark, sf):
-    d = S.add_derived(S.silver_time(S.dedup_first(B.bronze_valid(bronze_input(spark, sf)))))
-    return S.session_metrics(d)
+    return S.session_metrics(clean_rows(spark, sf))
 
 
 @register("silver_session_metrics", with_ctes("""
@@ -168,7 +167,7 @@ def q_transform_metrics(spark, sf):
 @register("price_tier_distribution", with_ctes(
     "SELECT price_tier, count(*) AS n FROM silver GROUP BY price_tier"))
 def q_price_tier_distribution(spark, sf):
-    return S.price_tier_distribution(silver_rows(spark, sf))
+    return S.price_tier_distribution(clean_rows(spark, sf))
 
 
 @register("dim_user", with_ctes("SELECT user_id FROM dim_user"))
@@ -208,7 +207,7 @@ UNION ALL SELECT 'dim_date', count(*) FROM fact_events f
   WHERE NOT EXISTS (SELECT 1 FROM dim_date d WHERE d.event_date = f.event_date)"""))
 def q_fk_orphans(spark, sf):
     g = Gold(spark, sf)
-    return G.fk_orphans(g.fact, {"dim_user": (g.dim_user, "user_id"),
+    return G.fk_orphans(g.events, {"dim_user": (g.dim_user, "user_id"),
                                  "dim_product": (g.dim_product, "product_id"),
                                  "dim_category": (g.dim_category, "category_id"),
                                  "dim_date": (g.dim_date, "event_date")})
@@ -219,7 +218,7 @@ SELECT ingest_seq, record_hash, CAST(event_date AS VARCHAR) AS event_date FROM s
 WHERE NOT EXISTS (SELECT 1 FROM silver o WHERE o.event_date <= DATE '{FIRST_RUN_LAST_DATE}'
                   AND o.record_hash = n.record_hash)"""))
 def q_insert_if_absent(spark, sf):
-    s = silver_rows(spark, sf).select("ingest_seq", "record_hash", "event_date")
+    s = clean_rows(spark, sf).select("ingest_seq", "record_hash", "event_date")
     existing = s.filter(F.col("event_date") <= F.lit(FIRST_RUN_LAST_DATE).cast("date"))
     return G.insert_if_absent(s, existing, ["record_hash"])
 
@@ -259,7 +258,7 @@ UNION ALL
 SELECT 'gold_layer_suite', count(*), count(*) BETWEEN 1 AND 1000000 FROM fact_events"""))
 def q_expect_row_count(spark, sf):
     raw = Q.expect_row_count(bronze_input(spark, sf), "raw_data_suite", *Q.RAW_ROW_BOUNDS)
-    gold = Q.expect_row_count(Gold(spark, sf).fact, "gold_layer_suite", *Q.GOLD_ROW_BOUNDS)
+    gold = Q.expect_row_count(Gold(spark, sf).events, "gold_layer_suite", *Q.GOLD_ROW_BOUNDS)
     return raw.unionByName(gold)
 
 

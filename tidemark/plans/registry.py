@@ -1,7 +1,7 @@
 """Query registry: name -> (Spark plan builder, DuckDB oracle SQL or None).
 
-Each builder takes (spark, sf_dir) and returns a lazy DataFrame over the whole
-given tables.  Double outputs are rounded to 6 places on both sides so the
+Each builder takes (spark, sf_dir) and returns a DataFrame over the whole given
+tables; builders that write layers, fit models or run streams do so when called.  Double outputs are rounded to 6 places on both sides so the
 value hash does not depend on floating-point summation order.
 """
 
