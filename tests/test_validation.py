@@ -167,3 +167,16 @@ def test_raw_records_without_payload_are_their_own(spark):
     got = [(r.error, r.record_hash) for r in B.bronze_from_text(spark.createDataFrame([(x,) for x in rows], "value string")).collect()]
     assert [e for e, _ in got] == [None, None, "Missing event_type", "Missing product_id", "Missing user_id"] + [B.UNPARSABLE] * 3
     assert got[0][1] == got[1][1] and got[5][1] is None
+
+
+def test_known_schemas_change_no_verdict(spark):
+    import json
+    event = {"fields": [{"name": "price", "type": "double"}, {"name": "note", "type": ["null", "string"]}]}
+    other = {"fields": [{"field": "price", "type": "double", "optional": True}]}
+    payloads = [{"price": 1.0, "note": None}, {"price": -1, "note": "x"}, {"note": "x"}, {"price": "1", "note": 3}, {"price": True}, {}]
+    shuffled = {"fields": [dict(reversed(list(f.items()))) for f in event["fields"]]}      # keys in another order
+    texts = [json.dumps({"schema": s, "payload": p}) for s in (event, shuffled, other, {"fields": []}, {}) for p in payloads] + ["{", "[]"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, value string")
+    got = [[(r.i, r.valid, r.error_type, r.error_message) for r in V.validate_dynamic(df, keep=["i"], known=known).orderBy("i").collect()]
+           for known in ([], [json.dumps(event)], [json.dumps(event, indent=1), json.dumps(other)])]
+    assert got[0] == got[1] == got[2] and {x[1] for x in got[0]} == {"VALID", "INVALID"}
