@@ -158,3 +158,16 @@ def test_lake_sink_layout(spark):
     spark.createDataFrame([(dt.datetime(2024, 1, 1, 5, 10), 1), (dt.datetime(2024, 1, 1, 6, 0), 2)], "ts timestamp, n int").write.parquet(src)
     J.start_lake_sink(J.file_source(spark, src, spark.read.parquet(src).schema), "ts", out, ck, trigger={"availableNow": True}).awaitTermination()
     assert sorted((r.hour, r.n) for r in spark.read.json(out).collect()) == [(5, 1), (6, 2)]
+
+
+def test_session_counter_snapshot_counts_and_forgets(spark):
+    import datetime as dt
+    src, out, ck = _p(spark, "scsrc"), _p(spark, "scout"), _p(spark, "scck")
+    t = dt.datetime(2024, 1, 1)
+    seen = []
+    for rows in ([("a", 0), ("a", 1), ("b", 0)], [("a", 20)], [("c", 40)]):
+        spark.createDataFrame([(k, t + dt.timedelta(hours=h)) for k, h in rows], "user_session string, event_timestamp timestamp") \
+            .write.mode("append").parquet(src)
+        J.start_session_counter(J.file_source(spark, src, spark.read.parquet(src).schema), out, ck).awaitTermination()
+        seen.append(sorted((r.user_session, r.activity_count) for r in J.online_snapshot(spark, out).collect()))
+    assert seen == [[("a", 2), ("b", 1)], [("a", 3), ("b", 1)], [("a", 3), ("c", 1)]]

@@ -100,8 +100,10 @@ def q_bronze_flatten(spark, sf):
 @register("dedup_first", with_ctes(
     "SELECT ingest_seq, record_hash, event_time, product_id, user_id, event_type FROM dedup"))
 def q_dedup_first(spark, sf):
-    d = S.dedup_first(B.bronze_valid(bronze_input(spark, sf)))
-    return d.select("ingest_seq", "record_hash", "event_time", "product_id", "user_id", "event_type")
+    # the aggregate carries whole rows, so columns are chosen before it
+    slim = B.bronze_valid(bronze_input(spark, sf)).select(
+        "ingest_seq", "record_hash", "event_time", "product_id", "user_id", "event_type")
+    return S.dedup_first(slim)
 
 
 @register("duplicate_count", with_ctes("""

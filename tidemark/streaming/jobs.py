@@ -173,6 +173,31 @@ def start_dedup(events: DataFrame, path: str, checkpoint: str, key: str = "recor
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def start_session_counter(events: DataFrame, path: str, checkpoint: str, key: str = "user_session",
+                          ts: str = "event_timestamp", ttl_hours: int = 24, trigger: dict | None = None) -> StreamingQuery:
+    """Running count and last time per session, as versions of a keyed snapshot.
+
+    A batch is counted per session first, combined on the map side, so a hot
+    session leaves each task as one row; only these rows meet the sessions
+    counted before.  Sessions not seen for ``ttl_hours`` before the newest event
+    are dropped.  A replayed batch replaces its own version.
+    """
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        counts = batch.groupBy(key).agg(F.count(F.lit(1)).alias("activity_count"), F.max(ts).alias("last_seen"))
+        before = online_snapshot(batch.sparkSession, path, batch_id)
+        if before is not None:
+            counts = counts.unionByName(before).groupBy(key).agg(
+                F.sum("activity_count").alias("activity_count"), F.max("last_seen").alias("last_seen"))
+        newest = counts.agg(F.max("last_seen")).first()[0]
+        if newest is not None:
+            counts = counts.filter(F.col("last_seen") >= F.lit(newest - _dt.timedelta(hours=ttl_hours)))
+        counts.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+
+    w = events.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
 def existing_folder(spark: SparkSession, path: str) -> bool:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
@@ -272,7 +297,9 @@ def _session_counter(key, batches, state):
 
 def session_counter_stream(events: DataFrame, watermark: str = FEATURE_WATERMARK) -> DataFrame:
     """Running activity count per session (update mode) with a 24 h event-time
-    TTL on the state: the custom stateful form of the session counter.  State
+    TTL on the state: the custom stateful form of the session counter.  A
+    batch's rows of one session go to one Python worker; where sessions can be
+    hot, use ``start_session_counter``, which combines them first.  State
     is keyed by session, so it is spread over tasks by the state store's
     partitioning and checkpointed with the query."""
     from pyspark.sql.streaming.state import GroupStateTimeout
