@@ -28,6 +28,9 @@ TRAIN_BYTES, TRAIN_BATCH, TRAIN_STEPS, RATE = 48, 192, 260, 0.015
 # Scoring: core bytes of a window, context on either side, windows at a time.
 CORE, CONTEXT, ROWS = 256, 16, 2048
 
+# Labels of one network; their counts are broadcast.
+MAX_LABELS = 1000
+
 UNKNOWN = "und"
 FOLDS = 5
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
@@ -244,6 +247,8 @@ def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str)
     learn = docs.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("lang")).filter(
         (F.pmod(F.crc32(F.coalesce("i", F.lit(""))), F.lit(FOLDS)) != 0) & F.col("lang").isNotNull() & (F.length("t") > 0))
     sizes = learn.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    if sizes.limit(MAX_LABELS + 1).count() > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} languages: is {lang_col!r} a language column?")
     draw = F.conv(F.substring(F.md5(F.concat(F.lit("langid|"), F.coalesce("i", F.lit("")))), 1, 12), 16, 10).cast("long")
     u = draw / float(1 << 48)
     place = F.pmod(draw, F.greatest(F.length("t") - SAMPLE_CHARS + 1, F.lit(1))) + 1
