@@ -70,10 +70,9 @@ class _Texts:
         nodes = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else b"" for s in sets]
         place: dict[bytes, int] = {}
         self.of_row = np.array([place.setdefault(x, len(place)) for x in nodes], np.int64)[self.row]
-        first = list(dict(zip(reversed(nodes), reversed(range(len(nodes))))).items())
-        by = dict(first)
+        example = dict(zip(nodes, range(len(nodes))))
         self.nodes = list(place)
-        self.sets = [sets[by[x]] for x in self.nodes]
+        self.sets = [sets[example[x]] for x in self.nodes]
         self.keys, self.at = np.unique(np.concatenate([*self.sets, np.zeros(0, np.uint64)]) >> np.uint64(64 - KEY_BITS),
                                        return_inverse=True)
 
