@@ -4,7 +4,6 @@
 """
 import hashlib
 import math
-import os
 
 import duckdb
 import pytest

@@ -14,7 +14,6 @@ from tidemark.operators.envelope import envelope_decode, envelope_encode
 from tidemark.plans.oracles import r6, with_ctes
 from tidemark.plans.registry import register
 from tidemark.plans.warehouse import Gold, bronze_input, clean_rows, silver_rows
-from tidemark.functions.columns import record_hash_json
 from tidemark.sources.testdata import EVENT_FIELDS, behaviour_events, raw_envelopes
 
 # Fixed clock for enrichment so results are reproducible.
