@@ -1,7 +1,7 @@
 """Secret scan with a random forest that removes false positives.
 
 Patterns with high recall find candidates in whole texts: values assigned to a
-credential word, and long unbroken strings with a digit.  Each candidate gets
+credential word, and long unbroken strings with a digit, without their name.  Each candidate gets
 its length, its character transitions under a model of the neighbouring words,
 the share of it that dictionary words cover, signs of a path, and its
 neighbouring words.  A forest trained on a bounded sample of labelled findings
@@ -21,21 +21,32 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import written
 
-# Candidate shapes: a value after a credential word, or a long string of key
-# characters with a digit in it.
-KEYWORDS = ("token", "secret", "password", "passwd", "pwd", "api_key", "apikey", "access_key", "private_key", "auth", "credential")
+# Candidate shapes: a value after a credential word, a long value after any name
+# and "=", or a long string of key characters with a digit in it.
+KEYWORDS = ("token", "secret", "password", "passwd", "pwd", "api[_ .-]?key", "access[_ .-]?key", "private[_ .-]?key", "auth", "credential")
 _WORD = "(?i:" + "|".join(KEYWORDS) + ")"
 _KEY = "A-Za-z0-9+/_=.-"
-_LEAD = rf"{_WORD}\s?[:=]\s?[\"']?"
-# The second form is tried at the first key character of a run only, and no
-# form tracks back, so a text takes time in proportion to its length.
-CANDIDATE = rf"{_LEAD}[^\s\"'<>]{{6,}}+|(?<![{_KEY}])(?=[A-Za-z+/_=.-]*+[0-9])[{_KEY}]{{16,}}+"
+# The word may lie within a name (DB_PASSWORD, AWS_ACCESS_KEY_ID, secretKey,
+# tokens), which may be quoted; "author" is none.
+_NAME = rf"{_WORD}(?:[sS](?![A-Za-z]))?(?:[_.-][\w.-]{{0,64}}+|[0-9][\w.-]{{0,64}}+|(?<=[a-z])[A-Z][\w.-]{{0,64}}+)?[\"']?\]?"
+# A value may stand in the next line, unless that is an assignment itself.
+_GAP = r"\h{0,32}+(?:[\r\n]{1,2}+\h{0,32}+(?![\"']?[\w.-]{1,64}+[\"']?\h{0,32}+(?:=|:\s)))?"
+_LEAD = rf"(?:(?<![{_KEY}])[{_KEY}]{{0,256}}?)?{_NAME}\s{{0,32}}+[:=]{_GAP}[\"']?"
+_VALUE = r"[^\s\"'<>]"
+_RUN = rf"(?=[A-Za-z+/_=.-]*+[0-9])[{_KEY}]{{16,}}+"
+_NAMED = rf"(?<![{_KEY}])[A-Za-z_][\w.-]{{0,63}}+="
+# All but the first form are tried at the first key character of a run only; the
+# repetitions that track back are bounded, so a text takes time in proportion to
+# its length.
+CANDIDATE = rf"{_LEAD}{_VALUE}{{6,}}+|{_NAMED}{_RUN}|(?<![{_KEY}]){_RUN}"
+# What of a match stands before the value.
+LEAD = rf"^(?:{_LEAD}(?={_VALUE}{{6}})|{_NAMED}(?={_RUN}))"
 CONTEXT = 48
 
 # Sure cases (label, rule): formats of published key kinds and digests assigned
 # to a credential word are secrets; numbers, plain words, addresses and paths
 # are not.
-_ASSIGNED = rf"{_WORD}\s*[:=]\s*[\"']?$"
+_ASSIGNED = rf"{_NAME}\s*[:=]\s*[\"']?$"
 
 
 def label_rules() -> Column:
@@ -63,7 +74,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             .withColumn("found", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)))
             .withColumn("gaps", F.split("text", CANDIDATE, -1)))
     n = F.size("found")
-    lead = F.regexp_extract(F.col("col.hit"), f"^{_LEAD}", 0)
+    lead = F.regexp_extract(F.col("col.hit"), LEAD, 0)
     parts = rows.select("row", "doc_id", F.posexplode(F.arrays_zip(
         F.col("found").alias("hit"), F.slice("gaps", F.lit(1), n).alias("left"),
         F.slice("gaps", F.lit(2), n).alias("right")))).select(
