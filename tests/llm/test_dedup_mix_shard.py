@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.mixing import poisson_mix, source_rates
-from tidemark.llm.sharding import stratified_shards
+from tidemark.llm.sharding import read_shards, stratified_shards, write_shards
 
 
 def dedup_by_hand(rows, keep=max):
@@ -127,3 +127,49 @@ def test_more_shards_than_rows(spark):
     docs = spark.createDataFrame([(1, "a", "s"), (2, "b", "s")], "doc_id long, text string, source string")
     rows = stratified_shards(docs, shards=24).collect()
     assert len({r.shard for r in rows}) == 2 and {r.slot for r in rows} == {0}
+
+
+def test_written_shards_hold_every_row_whole(spark, odd, tmp_path):
+    """Null and repeated identifiers, and columns named as the operator's own."""
+    docs = odd.withColumns({c: F.lit(c) for c in ("shard", "slot", "doc", "draw", "bin", "place", "part", "at")})
+    write_shards(docs, str(tmp_path / "s"), shards=4)
+    rows = read_shards(spark, str(tmp_path / "s")).collect()
+    assert Counter(tuple(r.doc) for r in rows) == Counter(map(tuple, docs.collect()))
+    count = Counter(r.shard for r in rows)
+    assert max(count.values()) - min(count.values()) <= 1
+    assert sorted((r.shard, r.slot) for r in rows) == [(s, k) for s in sorted(count) for k in range(count[s])]
+    assert {p.name for p in (tmp_path / "s").glob("shard=*")} == {f"shard={s}" for s in range(4)}
+
+
+def test_files_go_on_in_slot_order_and_a_shard_has_several(spark, tmp_path):
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"),
+                                      (F.col("id") % 7).cast("string").alias("source"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        write_shards(docs, str(tmp_path / "s"), shards=3)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for s in range(3):
+        files = sorted((tmp_path / "s" / f"shard={s}").glob("*.parquet"))
+        slots = [r.slot for f in files for r in spark.read.parquet(str(f)).select("slot").collect()]
+        assert len(files) >= 5 and slots == list(range(len(slots)))
+
+
+def test_shard_placing_is_that_of_the_whole_order(spark):
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"),
+                                      F.when(F.col("id") % 4 > 0, "big").otherwise(F.concat(F.lit("s"), F.col("id") % 9)).alias("source"))
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    strata = defaultdict(list)
+    for r in docs.collect():
+        strata[r.source].append((md5(f"42|{r.doc_id}|{md5('x')}"), r.doc_id))
+    line = sorted(((k + 0.5) / len(v), d, i) for v in strata.values() for k, (d, i) in enumerate(sorted(v)))
+    want = {i: p * 24 // len(line) for p, (_, _, i) in enumerate(line)}
+    assert {r.doc_id: r.shard for r in stratified_shards(docs).collect()} == want
+
+
+def test_changed_rows_between_reads_are_refused(spark, tmp_path):
+    docs = spark.range(50).select((F.rand() * 1e9).cast("long").alias("doc_id"), F.uuid().alias("text"), F.lit("s").alias("source"))
+    moving = docs.withColumn("text", F.concat("text", F.expr("cast(reflect('java.lang.System', 'nanoTime') as string)")))
+    with pytest.raises(ValueError, match="changed"):
+        write_shards(moving, str(tmp_path / "s"))
