@@ -10,7 +10,7 @@ from helpers import key, odd_rows
 import __spark_entry__ as E
 import corpus_pipeline as P
 from tidemark.llm import queries as Q
-from tidemark.llm.common import written
+from tidemark.llm.common import scratch_tables, written
 
 SF = "/root/testdata/sf0.001"
 
@@ -40,6 +40,17 @@ def test_query_matches_sql(spark, duck, name):
         (tuple(r[k] for k in place) for r in cur.fetchall()), key=key)
 
 
+def test_mix_query_writes_whole_documents(spark):
+    given = spark.read.parquet(f"{SF}/documents.parquet")
+    old = scratch_tables()
+    rows = Q.queries()["op6_poisson_mix"](spark, SF).collect()
+    path = next(p for p in scratch_tables() if p not in old and "/mixed-" in p)
+    mixed = spark.read.parquet(path).select("doc.*", "copy").collect()
+    texts = {r.doc_id: tuple(r) for r in given.collect()}
+    assert Counter((r.doc_id, r.copy) for r in mixed) == Counter((r.doc_id, r.copy) for r in rows)
+    assert all(tuple(r)[:-1] == texts[r.doc_id] for r in mixed)
+
+
 def test_language_query_on_held_out_texts(spark):
     given = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang").collect()}
     rows = Q.queries()["op1_language_id"](spark, SF).collect()

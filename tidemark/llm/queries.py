@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.chat import END, START, conversation_digests, format_conversations
+from tidemark.llm.common import written
 from tidemark.llm.decontaminate import find_contamination
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.interpolation import score_documents
@@ -51,8 +52,9 @@ def op5_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every emitted copy of every document: doc_id, source, copy, rate."""
-    mixed = poisson_mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+    """Every emitted copy of every document, whole rows written in shuffled order
+    and read back: doc_id, source, copy, rate."""
+    mixed = written(poisson_mix(table(spark, sf_dir, "documents")), "mixed")
     return mixed.select("doc.doc_id", "doc.source", "copy", F.round("rate", 9).alias("rate"))
 
 
