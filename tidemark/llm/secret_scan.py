@@ -13,13 +13,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import scratch_table, written
 
 # Candidate shapes: a value after a credential word, a long value after any name
 # and "=", or a long string of key characters with a digit in it.
@@ -180,7 +180,11 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         vector = VectorAssembler(inputCols=FEATURES, outputCol="inputs")
         forest = RandomForestClassifier(featuresCol="inputs", labelCol="label", numTrees=TREES, maxDepth=DEPTH,
                                         seed=seed, probabilityCol="chance").fit(vector.transform(sample.filter(keep)))
-        result = forest.transform(vector.transform(scored)).withColumn("score", vector_to_array("chance")[1])
+        # A fitted forest keeps its training summary, and with it the session, whose
+        # observations cannot be sent to executors; a stored model has none.
+        path = scratch_table(docs.sparkSession, "secret-forest")
+        forest.save(path)
+        result = RandomForestClassificationModel.load(path).transform(vector.transform(scored)).withColumn("score", vector_to_array("chance")[1])
     return result.select("doc_id", "start", F.col("size").cast("int").alias("size"), F.sha2("value", 256).alias("value_sha256"),
                          F.col("label").cast("int").alias("label"), F.round("score", 6).alias("score"),
                          (F.col("score") >= threshold).alias("is_secret"))
