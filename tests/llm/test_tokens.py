@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tidemark.llm.common import scratch_table
-from tidemark.llm.huffman import CHECKPOINT_IDS, Codec, canonical_codes, code_lengths
+from tidemark.llm.huffman import CHECKPOINT_IDS, MAX_BITS, Codec, canonical_codes, code_lengths
 from tidemark.llm.token_files import END_ID, TOKENIZER, read_token_files, token_digest, write_token_files
 from tidemark.llm.tokenize import Encoder
 
@@ -65,6 +65,24 @@ def test_bit_streams_round_trip(counts):
     assert codec.decode(data, offsets + base, stretch.astype(np.int64)).tolist() == ids.tolist()
 
 
+@pytest.mark.parametrize("used", [70_000, 131_073, 140_000, 1_000_000])
+def test_codes_of_17_18_and_20_bits_round_trip(used):
+    """More ids than 16 bits tell apart: long codes begin at every bit of a byte."""
+    bits = max(MAX_BITS, (used - 1).bit_length())
+    rng = np.random.default_rng(used)
+    counts = np.array([3 * CHECKPOINT_IDS + 7, 0, 1, 60_000])
+    often = np.ones(used, np.int64)
+    often[:200] = 10_000
+    codec = Codec(code_lengths(often, bits))
+    assert codec.bits == bits or codec.bits > 16
+    ids = np.where(rng.random(int(counts.sum())) < 0.2, rng.integers(0, 200, int(counts.sum())),
+                   rng.integers(0, used, int(counts.sum()))).astype(np.uint32)
+    data, size, offsets, marks = codec.encode(ids, counts)
+    base = np.repeat(8 * (np.cumsum(size) - size), marks)
+    stretch = np.concatenate([np.minimum(CHECKPOINT_IDS, n - np.arange(0, n, CHECKPOINT_IDS)) for n in counts.tolist()])
+    assert (codec.decode(data, offsets + base, stretch.astype(np.int64)) == ids).all()
+
+
 def test_units_equal_whole_texts():
     encode = Encoder(TOKENIZER)
     assert encode.by_unit

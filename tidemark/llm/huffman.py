@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
-# Longest code: a decoding table has 2 ** MAX_BITS entries.
+# Longest code unless more ids are used than it can tell apart: a decoding table
+# has 2 ** (longest code) entries.
 MAX_BITS = 16
 # Ids between two recorded bit offsets.
 CHECKPOINT_IDS = 256
@@ -63,6 +64,8 @@ class Codec:
         self.lengths = lengths.astype(np.int64)
         self.codes = canonical_codes(lengths)
         self.bits = max(int(lengths.max(initial=1)), 1)
+        # bytes that a code can touch, wherever in a byte it begins
+        self.reach = (self.bits + 14) // 8
         self.symbol = np.zeros(1 << self.bits, np.uint32)
         self.step = np.ones(1 << self.bits, np.uint8)
         order = np.flatnonzero(lengths)
@@ -85,20 +88,22 @@ class Codec:
         doc_bytes = (ends[first[1:]] - base + 7) // 8
         byte_at = np.cumsum(doc_bytes) - doc_bytes
         pos = ends[:-1] + np.repeat(8 * byte_at - base, counts)
-        buf = np.zeros(int(doc_bytes.sum()) + 3, np.uint32)
+        buf = np.zeros(int(doc_bytes.sum()) + self.reach, np.uint32)
         if len(ids):
-            word = self.codes[ids].astype(np.uint32) << (24 - (pos & 7) - size).astype(np.uint32)
+            word = self.codes[ids].astype(self._word()) << (8 * self.reach - (pos & 7) - size).astype(self._word())
             at = pos >> 3
             cut = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
             word, at = np.add.reduceat(word, cut), at[cut]
-            buf[at] += word >> 16
-            buf[at + 1] += (word >> 8) & 0xFF
-            buf[at + 2] += word & 0xFF
+            for k in range(self.reach):
+                buf[at + k] += ((word >> (8 * (self.reach - 1 - k))) & 0xFF).astype(np.uint32)
         marks = (counts + CHECKPOINT_IDS - 1) // CHECKPOINT_IDS
         of = np.repeat(np.arange(len(counts)), marks)
         k = np.arange(int(marks.sum())) - np.repeat(np.cumsum(marks) - marks, marks)
         offsets = pos[first[:-1][of] + k * CHECKPOINT_IDS] - 8 * byte_at[of]
-        return buf[:-3].astype(np.uint8), doc_bytes, offsets, marks
+        return buf[:-self.reach].astype(np.uint8), doc_bytes, offsets, marks
+
+    def _word(self) -> type:
+        return np.uint32 if self.reach <= 4 else np.uint64
 
     def decode(self, data: np.ndarray, offsets: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Ids of the stretches that begin at the bit ``offsets`` and hold
@@ -106,17 +111,20 @@ class Codec:
         out = np.zeros(int(counts.sum()), np.uint32)
         if not len(out):
             return out
-        padded = np.concatenate([data, np.zeros(3, np.uint8)]).astype(np.uint32)
-        words = (padded[:-2] << 16) | (padded[1:-1] << 8) | padded[2:]
+        kind = self._word()
+        words = np.zeros(len(data) + 1, kind)
+        for k in range(self.reach):  # the bytes from each place on, as one number
+            tail = data[k:]
+            words[:len(tail)] |= tail.astype(kind) << kind(8 * (self.reach - 1 - k))
         order = np.argsort(-counts, kind="stable")
         pos, left = offsets[order].astype(np.int64), counts[order]
         to = (np.cumsum(counts) - counts)[order]
         live = len(left) - np.searchsorted(left[::-1], np.arange(1, left[0] + 1))
-        mask = (1 << self.bits) - 1
+        mask = kind((1 << self.bits) - 1)
         for k in range(int(left[0])):
             n = int(live[k])
             p = pos[:n]
-            window = (words[p >> 3] >> (24 - self.bits - (p & 7)).astype(np.uint32)) & mask
+            window = (words[p >> 3] >> (8 * self.reach - self.bits - (p & 7)).astype(kind)) & mask
             out[to[:n] + k] = self.symbol[window]
             p += self.step[window]
         return out
