@@ -50,6 +50,16 @@ def unsqueeze(data: bytes, dtype: type) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype)
 
 
+def squeeze_totals(a: np.ndarray) -> bytes:
+    """Non-negative totals, eight bytes each where four do not hold the largest."""
+    wide = a.max(initial=0) >= 1 << 32
+    return (b"8" if wide else b"4") + squeeze(a.astype(np.uint64 if wide else np.uint32))
+
+
+def unsqueeze_totals(data: bytes) -> np.ndarray:
+    return unsqueeze(data[1:], np.uint64 if data[:1] == b"8" else np.uint32)
+
+
 def pack_keys(keys: np.ndarray) -> bytes:
     """Sorted keys: the upper halves as runs where that is shorter."""
     high = (keys >> np.uint64(32)).astype(np.uint32)
@@ -112,11 +122,11 @@ def chunks(batches: Iterator[pa.RecordBatch], kind_of: Callable[[pa.Array], np.n
 
 def requests(chunk: int, space: int, keys: np.ndarray, counts: np.ndarray, bits: int, buckets: int) -> list[dict]:
     """Rows that ask for the totals of sorted distinct ``keys`` (below 2**bits).
-    ``counts`` has one row a column to total."""
+    ``counts`` has one row a column to total, of counts within the chunk."""
     edges = np.array([-(-(b << bits) // buckets) for b in range(1, buckets)], np.uint64)
     cut = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
     return [{"chunk": chunk, "bucket": b, "space": space, "keys": pack_keys(keys[i:j]),
-             "counts": squeeze(counts[:, i:j].astype(np.uint32)), "stats": None}
+             "counts": squeeze_totals(counts[:, i:j]), "stats": None}
             for b, (i, j) in enumerate(zip(cut, cut[1:])) if j > i]
 
 
@@ -136,17 +146,18 @@ def answered(rows: DataFrame, buckets: int, columns: int) -> DataFrame:
                 else:
                     asked.setdefault(row["space"], []).append(
                         (row["chunk"], row["bucket"], unpack_keys(row["keys"]),
-                         unsqueeze(row["counts"], np.uint32).reshape(columns, -1)))
+                         unsqueeze_totals(row["counts"]).reshape(columns, -1)))
         for space, held in asked.items():
             sizes = [len(x[2]) for x in held]
             keys, at = np.unique(np.concatenate([x[2] for x in held]), return_inverse=True)
+            # sums of doubles are exact up to 2 ** 53 occurrences of a key
             totals = np.stack([np.bincount(at, np.concatenate([x[3][c] for x in held]), len(keys))
-                               for c in range(columns)]).astype(np.uint32)
+                               for c in range(columns)]).astype(np.int64)
             ends = np.cumsum(sizes)
             for (chunk, bucket, _, _), size, end in zip(held, sizes, ends.tolist()):
                 yield pa.RecordBatch.from_pylist(
                     [{"chunk": chunk, "bucket": bucket, "space": space,
-                      "totals": squeeze(totals[:, at[end - size:end]]), "stats": None}], ANSWER)
+                      "totals": squeeze_totals(totals[:, at[end - size:end]]), "stats": None}], ANSWER)
             yield pa.RecordBatch.from_pylist(
                 [{"chunk": None, "bucket": None, "space": space, "totals": None,
                   "stats": [int((totals.sum(axis=0) > 0).sum()), *totals.sum(axis=1, dtype=np.int64).tolist()]}], ANSWER)
@@ -202,7 +213,7 @@ def with_answers(bodies: DataFrame, answers: DataFrame, columns: int,
         texts = pa.Array.from_buffers(pa.large_string(), len(off) - 1, [None, pa.py_buffer(off), pa.py_buffer(raw)])
         totals: dict[int, list] = {}
         for r in sorted((r for r in rows if r["space"] != BODY), key=lambda r: r["bucket"]):
-            totals.setdefault(r["space"], []).append(unsqueeze(r["totals"], np.uint32).reshape(columns, -1))
+            totals.setdefault(r["space"], []).append(unsqueeze_totals(r["totals"]).reshape(columns, -1))
         yield use(Answered(body[0]["ids"], texts, {s: np.concatenate(t, axis=1) for s, t in totals.items()}))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
