@@ -17,12 +17,14 @@ from tidemark.llm import words as W
 from tidemark.llm.chat import conversation_digests, format_conversations, im_parse, im_template, render, unescape
 from tidemark.llm.common import written
 from tidemark.llm.decontaminate import find_contamination, remove_spans
+from tidemark.llm.exchange import REQUEST_DDL, answered, requests, squeeze_totals, unsqueeze_totals
 from tidemark.llm.fm_index import FMIndex, suffix_array
 from tidemark.llm.interpolation import score_documents
 from tidemark.llm.jaccard_join import jaccard_components
-from tidemark.llm.langid import Network, gradients, identify_languages, train
+from tidemark.llm.langid import CONTEXT, CORE, Network, Training, gradients, identify_languages, train, training_sample
 from tidemark.llm.secret_scan import candidates as secret_candidates
 from tidemark.llm.secret_scan import scan_secrets
+from tidemark.llm.sharding import stratified_shards
 from tidemark.llm.signature_tree import SignatureTree, candidates, overlap
 
 ROWS = [(r[0], r[1]) for r in odd_rows()]
@@ -197,6 +199,23 @@ def test_scores_odd_rows(odd, empty):
     assert len(got) == len(want) and score_documents(empty).collect() == []
 
 
+def test_totals_beyond_four_bytes():
+    big = np.array([[1, (1 << 32) - 1, 1 << 32, 5 << 40]], np.int64)
+    assert unsqueeze_totals(squeeze_totals(big)).tolist() == big[0].tolist()
+    assert len(unsqueeze_totals(squeeze_totals(np.zeros((2, 0), np.int64)))) == 0
+
+
+def test_exchange_adds_up_beyond_four_bytes(spark):
+    """A key whose total passes 2 ** 32 over several chunks keeps its count."""
+    keys = np.array([3, 9], np.uint64)
+    rows = [r for c in range(4) for r in requests(c, 1, keys, np.array([[3 << 30, 1]]), 8, 2)]
+    asked = spark.createDataFrame(rows, REQUEST_DDL)
+    got = [r for r in answered(asked, 2, 1).collect()]
+    totals = [unsqueeze_totals(bytes(r.totals)).tolist() for r in got if r.totals is not None]
+    assert totals == [[3 << 32, 4]] * 4
+    assert [list(r.stats) for r in got if r.stats is not None] == [[2, (3 << 32) + 4]]
+
+
 def test_weights_rise_with_the_likelihood():
     """EM ends where no small change of the weights is better."""
     rng = np.random.default_rng(2)
@@ -226,6 +245,49 @@ def test_model_beats_base_on_held_out(spark):
 
 # language ID
 
+def test_scores_are_those_of_a_plain_forward_pass(spark, net):
+    """Position by position in double precision, window by window."""
+    model, text = net
+    h = model.recur.shape[1]
+
+    def states(data: bytes, d: int) -> list:
+        out, s = [], np.zeros(h)
+        for b in data if d == 0 else reversed(data):
+            x, g = model.inputs[d][b].astype(float), s @ model.recur[d].astype(float)
+            r, z = 1 / (1 + np.exp(-(x[:h] + g[:h]))), 1 / (1 + np.exp(-(x[h:2 * h] + g[h:2 * h])))
+            n = np.tanh(x[2 * h:] + r * (g[2 * h:] + model.bias[d]))
+            s = n + z * (s - n)
+            out.append(s)
+        return out if d == 0 else out[::-1]
+
+    def expected(t: str) -> tuple[str, float]:
+        data, total = t.encode(), np.zeros(len(model.labels))
+        for begin in range(0, len(data), CORE):
+            lead = max(begin - CONTEXT, 0)
+            part = data[lead:begin + CORE + CONTEXT]
+            fore, aft = states(part, 0), states(part, 1)
+            for k in range(begin - lead, min(begin + CORE, len(data)) - lead):
+                y = np.concatenate([fore[k], aft[k]]) @ model.out + model.out_bias
+                e = np.exp(y - y.max())
+                total += e / e.sum()
+        p = total / len(data)
+        return model.labels[int(p.argmax())], float(p.max())
+
+    rows = [(1, text("aa")), (2, text("bb") * 3), (3, "é"), (4, text("cc")[:256]), (5, text("cc")[:257] + "ß")]
+    for r in identify_languages(table(spark, rows), net=model).collect():
+        name, score = expected(dict(rows)[r.doc_id])
+        assert r.lang_pred == name and r.score == pytest.approx(score, abs=2e-4)
+
+
+def test_training_sample_is_bounded_by_its_parameters(spark):
+    rows = [(i, f"text {i} " * 20, "ab"[i % 2]) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = training_sample(docs, "doc_id", "text", "lang", Training(sample_docs=7, sample_chars=11)).collect()
+    assert Counter(r.lang for r in got) == {"a": 7, "b": 7} and {len(r.stretch) for r in got} == {11}
+    short = identify_languages(docs, how=Training(sample_docs=7, sample_chars=30, steps=3, hidden=2)).collect()
+    assert len(short) == 300 and {r.lang_pred for r in short} <= {"a", "b"}
+
+
 def test_gradients_against_differences():
     rng = np.random.default_rng(0)
     net = Network.fresh(["a", "b", "c"], 3, rng)
@@ -384,6 +446,17 @@ def test_candidates_take_time_in_proportion(spark):
     assert time.time() - began < 30
 
 
+def test_secret_scan_after_sharding_in_one_session(spark):
+    """Sharding observes its rows; a session with observations cannot be sent to
+    executors, and the forest must not take it along."""
+    rng = random.Random(12)
+    rows = [(i, f'token = "{"".join(rng.choice("0123456789abcdef") for _ in range(40))}"' if i % 2
+             else f"card {rng.randrange(10**15, 10**16)} here", "s") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert len(stratified_shards(docs, 3).collect()) == 40
+    assert {r.doc_id for r in scan_secrets(docs).collect() if r.is_secret} == set(range(1, 40, 2))
+
+
 def test_forest_decides_unlabelled_findings(spark):
     """Values the rules are silent about: key-like strings after a credential
     word against build names."""

@@ -21,8 +21,7 @@ from tidemark.llm.common import ship_code
 from tidemark.llm.words import cuts_by, offsets_of
 
 HIDDEN = 8
-# Training sample: at most SAMPLE_DOCS labelled texts a language, of each one
-# stretch of SAMPLE_CHARS characters at a place hashed from its identifier.
+# Defaults of ``Training``.
 SAMPLE_DOCS, SAMPLE_CHARS = 400, 300
 TRAIN_BYTES, TRAIN_BATCH, TRAIN_STEPS, RATE = 48, 192, 260, 0.015
 # Scoring: core bytes of a window, context on either side, windows at a time.
@@ -36,6 +35,28 @@ FOLDS = 5
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
+@dataclass(frozen=True)
+class Training:
+    """What a network learns from, and how long.
+
+    ``sample_docs``: at most so many labelled texts a language, chosen by a hash
+    of the identifier; ``sample_chars``: of each one stretch of so many
+    characters, at a place hashed from its identifier; ``window_bytes``,
+    ``batch``, ``steps``, ``rate``: bytes of a training window, windows a step,
+    steps, and the first learning rate; ``hidden``: units a direction.  The
+    sample bounds what comes to the driver: ``sample_docs * sample_chars``
+    characters a language.  Scoring reads whole texts whatever is set here.
+    """
+
+    sample_docs: int = SAMPLE_DOCS
+    sample_chars: int = SAMPLE_CHARS
+    window_bytes: int = TRAIN_BYTES
+    batch: int = TRAIN_BATCH
+    steps: int = TRAIN_STEPS
+    rate: float = RATE
+    hidden: int = HIDDEN
+
+
 @dataclass
 class Network:
     """Per direction: byte inputs (256, 3H), recurrence (H, 3H), its bias for
@@ -119,29 +140,29 @@ def gradients(net: Network, data: np.ndarray, label: np.ndarray, weight: np.ndar
     return loss, [d_in, d_recur, d_bias, d_out, d_out_bias]
 
 
-def train(texts: list[str], langs: list[str], hidden: int = HIDDEN, seed: int = 7) -> Network:
+def train(texts: list[str], langs: list[str], how: Training = Training(), seed: int = 7) -> Network:
     """A network fitted to the texts (each label present equally often in a
     batch) by Adam."""
     rng = np.random.default_rng(seed)
     labels = sorted(set(langs))
-    net = Network.fresh(labels, hidden, rng)
+    net = Network.fresh(labels, how.hidden, rng)
     if len(labels) < 2:
         return net
     raw = [np.frombuffer(t.encode(), np.uint8) for t in texts]
     of = [[i for i, x in enumerate(langs) if x == name and len(raw[i])] for name in labels]
     first, second = ([np.zeros_like(w) for w in net.weights()] for _ in range(2))
-    for step in range(1, TRAIN_STEPS + 1):
-        label = np.arange(TRAIN_BATCH) % len(labels) if len(labels) <= TRAIN_BATCH else rng.integers(0, len(labels), TRAIN_BATCH)
+    for step in range(1, how.steps + 1):
+        label = np.arange(how.batch) % len(labels) if len(labels) <= how.batch else rng.integers(0, len(labels), how.batch)
         label = np.array([k for k in label if of[k]])
-        data = np.zeros((len(label), TRAIN_BYTES), np.uint8)
+        data = np.zeros((len(label), how.window_bytes), np.uint8)
         weight = np.zeros(data.shape, np.float32)
         for row, k in enumerate(label):
             x = raw[of[k][rng.integers(len(of[k]))]]
-            at = int(rng.integers(max(len(x) - TRAIN_BYTES, 0) + 1))
-            x = x[at:at + TRAIN_BYTES]
+            at = int(rng.integers(max(len(x) - how.window_bytes, 0) + 1))
+            x = x[at:at + how.window_bytes]
             data[row, :len(x)], weight[row, :len(x)] = x, 1
         _, grads = gradients(net, data, label, weight)
-        rate = RATE * (1 - 0.9 * step / TRAIN_STEPS)
+        rate = how.rate * (1 - 0.9 * step / how.steps)
         for w, g, m, v in zip(net.weights(), grads, first, second):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
@@ -242,8 +263,8 @@ def _lettered(texts: pa.Array, data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
-def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """``stretch, lang``: at most SAMPLE_DOCS rows a language, chosen by a hash."""
+def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, how: Training = Training()) -> DataFrame:
+    """``stretch, lang``: at most ``how.sample_docs`` rows a language, chosen by a hash."""
     learn = docs.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("lang")).filter(
         (F.pmod(F.crc32(F.coalesce("i", F.lit(""))), F.lit(FOLDS)) != 0) & F.col("lang").isNotNull() & (F.length("t") > 0))
     sizes = learn.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
@@ -251,36 +272,39 @@ def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str)
         raise ValueError(f"more than {MAX_LABELS} languages: is {lang_col!r} a language column?")
     draw = F.conv(F.substring(F.md5(F.concat(F.lit("langid|"), F.coalesce("i", F.lit("")))), 1, 12), 16, 10).cast("long")
     u = draw / float(1 << 48)
-    place = F.pmod(draw, F.greatest(F.length("t") - SAMPLE_CHARS + 1, F.lit(1))) + 1
+    place = F.pmod(draw, F.greatest(F.length("t") - how.sample_chars + 1, F.lit(1))) + 1
     # first about three times the wanted rows, then the wanted ones of these
-    near = (learn.withColumn("u", u).withColumn("stretch", F.col("t").substr(place.cast("int"), F.lit(SAMPLE_CHARS)))
+    near = (learn.withColumn("u", u).withColumn("stretch", F.col("t").substr(place.cast("int"), F.lit(how.sample_chars)))
             .select("lang", "u", "stretch").join(F.broadcast(sizes), "lang")
-            .filter(F.col("u") * F.col("n") < 3 * SAMPLE_DOCS))
+            .filter(F.col("u") * F.col("n") < 3 * how.sample_docs))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("u", "stretch"))
-    return near.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_DOCS).select("stretch", "lang")
+    return near.withColumn("rank", rank).filter(F.col("rank") <= how.sample_docs).select("stretch", "lang")
 
 
-def train_on(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Network:
-    """A network fitted to the labelled texts that are not held out."""
-    rows = training_sample(docs, id_col, text_col, lang_col).collect()
+def train_on(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+             how: Training = Training()) -> Network:
+    """A network fitted to a sample, bounded by ``how``, of the labelled texts that
+    are not held out."""
+    rows = training_sample(docs, id_col, text_col, lang_col, how).collect()
     rows.sort(key=lambda r: (r.lang, r.stretch))
-    return train([r.stretch for r in rows], [r.lang for r in rows])
+    return train([r.stretch for r in rows], [r.lang for r in rows], how)
 
 
 def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                       net: Network | None = None) -> DataFrame:
+                       net: Network | None = None, how: Training = Training()) -> DataFrame:
     """One row per document: ``doc_id, held_out, lang_pred, score``.
 
     Without ``net``, one is trained on the labelled texts whose crc32 of the
     identifier as text (null: empty) is not 0 modulo 5; the others are held
-    out.  A text that is null or has no letter is ``und`` with score 0, and so
+    out.  ``how`` bounds the sample it learns from (``Training``: by default 400
+    texts a language, 300 characters of each).  A text that is null or has no letter is ``und`` with score 0, and so
     is every text where no label was learned.  Else ``lang_pred`` is the
     learned label of the largest mean position probability, ``score`` that
     probability; ties take the first label in order.  Repeated rows are scored
     alike; empty input gives an empty result.
     """
     ship_code(docs.sparkSession)
-    model = net if net is not None else train_on(docs, id_col, text_col, lang_col)
+    model = net if net is not None else train_on(docs, id_col, text_col, lang_col, how)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
