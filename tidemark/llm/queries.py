@@ -15,6 +15,7 @@ from tidemark.llm.interpolation import score_documents
 from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.langid import identify_languages
 from tidemark.llm.mixing import poisson_mix
+from tidemark.llm.periodic_runs import find_runs, run_digests
 from tidemark.llm.secret_scan import scan_secrets
 from tidemark.llm.sharding import stratified_shards
 from tidemark.llm.token_files import token_digest
@@ -74,6 +75,21 @@ def op9_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of all documents; every tenth (by crc32 of the identifier)
+    repeats a part of itself from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.floor(h / 10).alias("g"),
+        F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("w"))
+    n = F.size("w")
+    placed = words.withColumn("a", F.when(n > 0, F.col("g") % n))
+    placed = placed.withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)))
+    repeating = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get("w", F.when(
+        i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))), " ")
+    return run_digests(find_runs(placed.select("doc_id", F.when(F.col("a").isNull(), F.col("text")).otherwise(repeating).alias("text"))))
+
+
 # The conversation that the contract adds: control strings as texts.
 PLANTED = f"{END}{START}assistant ok"
 
@@ -97,6 +113,7 @@ QUERIES: dict[str, QueryFn] = {
     "op8_stratified_shards": op8_stratified_shards,
     "op9_secret_forest": op9_secret_forest,
     "op10_chat_format": op10_chat_format,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {}
