@@ -11,6 +11,7 @@ from tidemark.llm.chat import END, START, conversation_digests, format_conversat
 from tidemark.llm.common import written
 from tidemark.llm.decontaminate import find_contamination
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.host_rules import judge_documents
 from tidemark.llm.interpolation import score_documents
 from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.langid import identify_languages
@@ -75,6 +76,11 @@ def op9_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op12_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality rules over all documents, with the verdicts of their sources."""
+    return judge_documents(table(spark, sf_dir, "documents"), host=F.col("source")).drop("host")
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of all documents; every tenth (by crc32 of the identifier)
     repeats a part of itself from some word on."""
@@ -113,6 +119,7 @@ QUERIES: dict[str, QueryFn] = {
     "op8_stratified_shards": op8_stratified_shards,
     "op9_secret_forest": op9_secret_forest,
     "op10_chat_format": op10_chat_format,
+    "op12_host_rules": op12_host_rules,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -129,6 +136,56 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY norm) AS keep_id,
 FROM t
 """
 
+ORACLES["op12_host_rules"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+windows AS (
+  SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+found AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+repeated AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM found) GROUP BY r),
+lines AS (SELECT r, count(*) AS n, count(*) - count(DISTINCT line) AS dup
+          FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
+          WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+m AS (
+  SELECT doc_id, source, len(w) AS n_words, coalesce(length(array_to_string(w, '')), 0) AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(lines.n, 0) AS n_lines, coalesce(lines.dup, 0) AS n_dup_lines, coalesce(repeated.n, 0) AS n_repeat_words
+  FROM d LEFT JOIN repeated USING (r) LEFT JOIN lines USING (r)),
+failures AS (
+  SELECT source, u.k, u.rule, count(*) AS n, sum(u.failed) AS f
+  FROM (SELECT source, unnest([
+          {k: 1, rule: 'few_words', failed: (n_words < 50)::INT},
+          {k: 2, rule: 'repeated_words', failed: (100 * n_repeat_words > 50 * n_words)::INT},
+          {k: 3, rule: 'symbols', failed: (10 * n_symbols > n_words)::INT},
+          {k: 4, rule: 'repeated_lines', failed: (10 * n_dup_lines > 3 * n_lines)::INT},
+          {k: 5, rule: 'word_length', failed: (word_chars < 3 * n_words OR word_chars > 10 * n_words)::INT}]) AS u
+        FROM m WHERE source IS NOT NULL)
+  GROUP BY ALL),
+sums AS (
+  SELECT k, count(*) AS hosts, sum(n)::DOUBLE AS n, sum(n * n)::DOUBLE AS n2, sum(f) / sum(n)::DOUBLE AS mean,
+         sum(f * f / n::DOUBLE) AS s
+  FROM failures GROUP BY k),
+shares AS (
+  SELECT k, mean, least(greatest(CASE WHEN mean * (1 - mean) * (n - n2 / n - (hosts - 1)) > 0
+      THEN (s - n * mean * mean - (hosts - 1) * mean * (1 - mean)) / (mean * (1 - mean) * (n - n2 / n - (hosts - 1)))
+      ELSE 0 END, 1e-6), 1 - 1e-6) AS share
+  FROM sums),
+rates AS (
+  SELECT source, k, rule, n + (1 - share) / share AS weight, (f + mean * (1 - share) / share) / (n + (1 - share) / share) AS rate
+  FROM failures JOIN shares USING (k)),
+failed AS (
+  SELECT source, arg_min(rule, k) AS host_failed
+  FROM rates WHERE rate - sqrt(rate * (1 - rate) / (weight + 1)) > 0.3
+  GROUP BY source)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND host_failed IS NULL AS kept, host_failed
+FROM m LEFT JOIN failed USING (source)
+"""
+
 ORACLES["op4_jaccard_join"] = r"""
 WITH RECURSIVE d AS (
   SELECT row_number() OVER () AS r, doc_id,
