@@ -18,14 +18,14 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return con
 
 
 def test_every_operator_is_registered():
     names = E.queries()
-    assert [n for n in range(1, 11) if any(q.startswith(f"op{n}_") for q in names)] == list(range(1, 11))
+    assert [n for n in range(1, 14) if any(q.startswith(f"op{n}_") for q in names)] == list(range(1, 14))
     assert "pipeline" in names and [n for n, _ in P.STAGES] and len(P.STAGES) == 5
 
 

@@ -11,6 +11,7 @@ from tidemark.llm.chat import END, START, conversation_digests, format_conversat
 from tidemark.llm.common import written
 from tidemark.llm.decontaminate import find_contamination
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.hard_negatives import mine_hard_negatives
 from tidemark.llm.host_rules import judge_documents
 from tidemark.llm.interpolation import score_documents
 from tidemark.llm.jaccard_join import jaccard_components
@@ -76,6 +77,13 @@ def op9_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth embedding; every seventh has its label moved on."""
+    given = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(given.withColumn("label", moved))
+
+
 def op12_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules over all documents, with the verdicts of their sources."""
     return judge_documents(table(spark, sf_dir, "documents"), host=F.col("source")).drop("host")
@@ -119,6 +127,7 @@ QUERIES: dict[str, QueryFn] = {
     "op8_stratified_shards": op8_stratified_shards,
     "op9_secret_forest": op9_secret_forest,
     "op10_chat_format": op10_chat_format,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_host_rules": op12_host_rules,
     "op13_periodic_runs": op13_periodic_runs,
 }
@@ -136,6 +145,32 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY norm) AS keep_id,
 FROM t
 """
 
+ORACLES["op11_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL),
+parts AS (
+  SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i FROM v),
+clean AS (
+  SELECT v.vec_id, v.label FROM v LEFT JOIN (
+    SELECT vec_id, bool_and(coalesce(isfinite(x), false)) AS ok FROM parts GROUP BY vec_id) USING (vec_id)
+  WHERE coalesce(ok, true)),
+c AS (SELECT vec_id, label, i, floor(256 * x)::BIGINT AS x FROM parts JOIN clean USING (vec_id)),
+products AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, sum(a.x * b.x)::BIGINT AS score
+  FROM c AS a JOIN c AS b ON a.i = b.i AND a.vec_id <> b.vec_id
+  WHERE a.vec_id % 50 = 0 GROUP BY ALL),
+positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM products WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other))::INTEGER AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN products USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) <= 3
+"""
+
 ORACLES["op12_host_rules"] = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t,
