@@ -78,17 +78,41 @@ def test_incremental_runs_read_new_files_and_retry_bad_ones(spark):
     assert run()[:2] == ([], (0, 0, 4))
 
 
-def test_incremental_scan_opens_only_new_files(spark, monkeypatch):
-    d, log = _local(_p(spark, "opened")), _p(spark, "openedlog")
+def test_incremental_runs_take_each_file_once(spark):
+    """Batches of one file; a run takes what the stream's log does not hold."""
+    d, state = _local(_p(spark, "opened")), _p(spark, "openedlog")
+    os.makedirs(f"{d}/day=2024-01-01")
+    seen = []
+    for names in (["a.json", "day=2024-01-01/b.json"], ["c.json"], []):
+        for name in names:
+            with open(f"{d}/{name}", "w") as f:
+                f.write('{"user_id": 1}\n')
+        rows, _ = L.ingest_new(spark, d, EVENT_STRUCT, state, max_files=1)
+        seen.append(sorted(os.path.basename(r.file_path) for r in rows.select("file_path").collect()))
+    assert seen == [["a.json", "b.json"], ["c.json"], []]
+    assert L.source_log(spark, f"{state}/checkpoint").count() == 3
+    assert spark.read.parquet(f"{state}/files").groupBy("file_path").count().filter("count > 1").count() == 0
+
+
+def test_run_that_broke_off_goes_on(spark, monkeypatch):
+    """The stream has taken its files and the run's counters were not written."""
+    d, state = _local(_p(spark, "broken")), _p(spark, "brokenlog")
     os.makedirs(d)
-    opened = []
-    scan = L.lake_json_scan
-    monkeypatch.setattr(L, "lake_json_scan", lambda s, paths, *a: opened.append([os.path.basename(x) for x in paths]) or scan(s, paths, *a))
-    for name in ("a.json", "b.json"):
-        with open(f"{d}/{name}", "w") as f:
-            f.write('{"user_id": 1}\n')
-        L.ingest_new(spark, d, EVENT_STRUCT, log)
-    assert opened == [["a.json"], ["b.json"]]
+    with open(f"{d}/a.json", "w") as f:
+        f.write('{"user_id": 1}\n{"user_id": 2}\n')
+
+    def fail(*a):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(L, "ingest_stats", fail)
+    with pytest.raises(RuntimeError):
+        L.ingest_new(spark, d, EVENT_STRUCT, state)
+    monkeypatch.undo()
+    with open(f"{d}/b.json", "w") as f:
+        f.write('{"user_id": 3}\n')
+    rows, totals = L.ingest_new(spark, d, EVENT_STRUCT, state)
+    assert sorted(r.user_id for r in rows.collect()) == [1, 2, 3]
+    assert (totals.first().processed_files, totals.first().records) == (2, 3)
 
 
 def test_csv_extract_with_row_cap(spark):

@@ -7,14 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import materialize
-
 CORRUPT = "_corrupt_record"
 
 
-LOG_SCHEMA = "file_path string, records long, bytes long, logged_at timestamp"
-
-
 def _scan_schema(schema: T.StructType) -> T.StructType:
     return schema if CORRUPT in schema.fieldNames() else T.StructType(
         schema.fields + [T.StructField(CORRUPT, T.StringType())])
@@ -62,39 +57,108 @@ def new_files(listing: DataFrame, log: DataFrame | None) -> DataFrame:
     return listing.join(log.select("file_path").distinct(), "file_path", "left_anti")
 
 
-def file_log(spark: SparkSession, path: str) -> DataFrame | None:
-    """The saved log of processed files, or None before the first run."""
+def _folder_numbers(spark: SparkSession, path: str, name: str) -> list[int]:
+    """Numbers of the complete ``name=N`` folders of ``path``, ascending."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
-        return None
-    return spark.read.schema(LOG_SCHEMA).parquet(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(where):
+        return []
+    found = [st.getPath() for st in fs.listStatus(where) if st.getPath().getName().startswith(f"{name}=")]
+    return sorted(int(p.getName().split("=")[1]) for p in found if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
+SOURCE_LOG = "path string, timestamp long, batchId long"
 
 
-def ingest_new(spark: SparkSession, path: str, schema: T.StructType, log_path: str,
-               multiline: bool = False) -> tuple[DataFrame, DataFrame]:
+def source_log(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """``file_path, entry``: every file that the stream with this checkpoint has
+    taken, and the number of the log entry that holds it (the stream's own log;
+    compacted entries repeat older ones)."""
+    lines = spark.read.text(f"{checkpoint}/sources/0")
+    parsed = lines.select(F.from_json("value", SOURCE_LOG).alias("e")).filter(F.col("e.path").isNotNull())
+    return parsed.select(_canonical(F.col("e.path")).alias("file_path"), F.col("e.batchId").alias("entry")).distinct()
+
+
+def ingest_new(spark: SparkSession, path: str, schema: T.StructType, state: str, multiline: bool = False,
+               max_files: int = 10_000) -> tuple[DataFrame, DataFrame]:
     """One incremental run: rows of the new files, and the run's totals.
 
-    The listing minus the saved log says which files to read, and only those
-    are opened.  Files that yielded data are appended to the log; a file
-    without any is an error and is tried again by the next run.  Raises if
-    there are no files at all, or new ones but no valid record in them.
+    A file stream finds the new files: its checkpoint under ``state`` is the log
+    of files taken, which no run lists or collects, and a run takes them in
+    batches of ``max_files``.  Every batch's rows and counters are written
+    under the run's number, so a run that broke off goes on where it was.
+
+        state/checkpoint        the stream's log
+        state/rows/run=R/...    rows of run R, by batch
+        state/files/run=R       counters of each file of run R; makes it complete
+
+    A file without any parsable record, an empty one included, is an error.  The
+    next run reads such files again, up to ``max_files`` of them at a time, the
+    longest waiting first.  Raises if there are no files at all, or new ones but
+    no valid record in them.
     """
-    listing = materialize(lake_files(spark, path))
-    if listing.limit(1).count() == 0:
+    runs = _folder_numbers(spark, f"{state}/files", "run")
+    run = runs[-1] + 1 if runs else 0
+    before = spark.read.parquet(f"{state}/files") if runs else None
+    rows_path, checkpoint, files_path = f"{state}/rows/run={run}", f"{state}/checkpoint", f"{state}/files/run={run}"
+
+    def keep(rows: DataFrame, batch: int) -> None:
+        _with_file(rows).write.mode("overwrite").parquet(f"{rows_path}/batch={batch}")
+
+    scan = (spark.readStream.schema(_scan_schema(schema)).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+            .option("multiLine", multiline).option("maxFilesPerTrigger", max_files)
+            .option("maxFileAge", "36500d")  # old files that arrive late are new, too
+            .option("recursiveFileLookup", True))  # folder names are no columns
+    (scan.json(path).select(*_scan_schema(schema).names, "_metadata").writeStream
+     .foreachBatch(keep).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
+
+    # files of earlier runs without a good record are tried again
+    retried = None
+    if before is not None:
+        last = before.groupBy("file_path").agg(F.max_by("status", "run").alias("status"), F.min("run").alias("since"))
+        waiting = last.filter("status = 'error'").orderBy("since", "file_path").limit(max_files).select("file_path")
+        again = [r.file_path for r in waiting.collect()]
+        if again:
+            keep(spark.read.schema(_scan_schema(schema)).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+                 .option("multiLine", multiline).json(again), -1)
+            retried = spark.createDataFrame([(f,) for f in again], "file_path string").withColumn("entry", F.lit(-1).cast("long"))
+
+    known = before.agg(F.max("entry")).first()[0] if before is not None else None
+    taken = _taken(spark, checkpoint)
+    listing = retried if retried is not None else spark.createDataFrame([], "file_path string, entry long")
+    if taken is not None:
+        listing = listing.unionByName(taken.filter(F.col("entry") > (-1 if known is None else known)))
+    if before is None and not listing.limit(1).count():
         raise ValueError(f"no files found in {path}")
-    log = file_log(spark, log_path)
-    fresh = materialize(new_files(listing, log))
-    paths = [r.file_path for r in fresh.select("file_path").collect()]  # Spark's own file index holds them as well
-    if not paths:
-        nothing = spark.createDataFrame([], _scan_schema(schema).add("file_path", "string").add("file_size", "long"))
-        return nothing, ingest_totals(ingest_stats(nothing, fresh), listing.count())
-    rows = materialize(lake_json_scan(spark, paths, schema, multiline))
-    stats = materialize(ingest_stats(rows, fresh))
-    if stats.filter("status = 'processed'").limit(1).count() == 0:
-        raise ValueError(f"no valid JSON data in any of {len(paths)} new files")
-    (stats.filter("status = 'processed'").select("file_path", "records", "bytes", F.current_timestamp().alias("logged_at"))
-     .write.mode("append").parquet(log_path))
-    return rows, ingest_totals(stats, listing.count() - len(paths))
+    rows = _written_rows(spark, rows_path, schema)
+    sizes = rows.groupBy("file_path").agg(F.max("file_size").alias("file_size"))
+    sized = listing.join(sizes, "file_path", "left").withColumn("file_size", F.coalesce("file_size", F.lit(0)))
+    stats = ingest_stats(rows, sized).join(listing, "file_path").withColumn("run", F.lit(run))
+    stats.write.mode("overwrite").parquet(files_path)
+    done = spark.read.schema(stats.schema).parquet(files_path)
+    counts = done.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == "processed").alias("good")).first()
+    if counts.n and not counts.good:
+        raise ValueError(f"no valid JSON data in any of {counts.n} new files")
+    earlier = 0 if before is None else before.filter("status = 'processed'").count()
+    return rows, ingest_totals(done, earlier)
+
+
+def _with_file(rows: DataFrame) -> DataFrame:
+    return rows.select(*[c for c in rows.columns if c != "_metadata"], _canonical(F.col("_metadata.file_path")).alias("file_path"),
+                       F.col("_metadata.file_size").alias("file_size"))
+
+
+def _written_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows of a run, all batches; none if the run took no file."""
+    full = T.StructType([*_scan_schema(schema).fields, T.StructField("file_path", T.StringType()), T.StructField("file_size", T.LongType())])
+    batches = [f"{path}/batch={b}" for b in _folder_numbers(spark, path, "batch")]
+    return spark.read.schema(full).parquet(*batches) if batches else spark.createDataFrame([], full)
+
+
+def _taken(spark: SparkSession, checkpoint: str) -> DataFrame | None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/sources/0")
+    return source_log(spark, checkpoint) if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where) else None
 
 
 def ingest_stats(scan: DataFrame, listing: DataFrame) -> DataFrame:
