@@ -114,6 +114,70 @@ def test_online_store_merges_batches_and_survives_replay(spark):
     assert latest() == want
 
 
+def _files(spark, path):
+    """Data files of a store with their times of change."""
+    import os
+    from urllib.parse import urlparse
+    root = urlparse(path).path
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns
+            for d, _, names in os.walk(f"{root}/data") for f in names if f.endswith(".parquet")}
+
+
+def test_merge_leaves_other_buckets_alone(spark):
+    path = _p(spark, "buckets")
+    store = J.online_store(spark, path, 8)
+    assert len(store.merge(_features(spark, [(i, i, 1) for i in range(1, 200)]), 0)) == 8
+    before, where = _files(spark, path), store.manifest()
+    touched = store.merge(_features(spark, [(500, 7, 9), (501, 7, 3), (502, 1000, 1)]), 1)
+    assert 1 <= len(touched) <= 2
+    after = _files(spark, path)
+    assert before.items() <= after.items()      # no file of the first merge was touched
+    assert {b: v for b, v in store.manifest().items() if v == 0} == {b: 0 for b in where if b not in touched}
+    rows = {r.user_id: r.ingest_seq for r in store.snapshot().collect()}
+    assert len(rows) == 200 and rows[7] == 500 and rows[1000] == 502 and rows[8] == 8
+    # the number of buckets is the first merge's, whatever a later caller asks for
+    assert J.online_store(spark, path, 3).merge(_features(spark, [(600, 7, 10)]), 2) == [b for b in touched
+                                                                                         if store.manifest()[b] == 2]
+    assert sorted(r.ingest_seq for r in store.lookup(spark.createDataFrame([(7, 1), (9, 1), (5, 5)], "user_id long, product_id long")).collect()) == [9, 600]
+
+
+def test_merge_that_broke_off_is_made_again(spark, monkeypatch):
+    path = _p(spark, "crash")
+    store = J.online_store(spark, path, 4)
+    store.merge(_features(spark, [(1, 1, 1), (2, 2, 1)]), 0)
+    rows = _features(spark, [(3, 1, 5), (4, 3, 0)])
+    real = spark.createDataFrame
+
+    def fail(*a, **k):
+        raise RuntimeError("lost before the manifest")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", fail)
+    try:
+        store.merge(rows, 1)
+        raise AssertionError("no failure")
+    except RuntimeError:
+        pass
+    finally:
+        monkeypatch.undo()
+    assert spark.createDataFrame == real
+    assert sorted((r.user_id, r.ingest_seq) for r in store.snapshot().collect()) == [(1, 1), (2, 2)]   # not in force
+    store.merge(rows, 1)
+    want = [(1, 3), (2, 2), (3, 4)]
+    assert sorted((r.user_id, r.ingest_seq) for r in store.snapshot().collect()) == want
+    files = _files(spark, path)
+    assert store.merge(rows, 1) == [] and _files(spark, path) == files           # replay of a merge in force
+    assert sorted((r.user_id, r.ingest_seq) for r in store.snapshot(1).collect()) == [(1, 1), (2, 2)]
+
+
+def test_old_merges_are_cleaned_and_hot_keys_collapse(spark):
+    path = _p(spark, "clean")
+    store = J.online_store(spark, path, 2)
+    for v in range(7):
+        store.merge(_features(spark, [(100 * v + i, 1 + i % 2, v) for i in range(50)]), v)
+    assert store.versions() == [4, 5, 6] and store.snapshot().count() == 2
+    assert store.merge(_features(spark, []), 7) == [] and store.snapshot().count() == 2
+
+
 def test_hourly_materialisation_saves_how_far_it_came(spark):
     import datetime as dt
     offline, online = _p(spark, "off"), _p(spark, "on")
@@ -136,6 +200,35 @@ def test_dedup_for_good_keeps_the_first_of_out_of_order_files(spark):
     assert sorted((r.record_hash, r.ingest_seq) for r in spark.read.parquet(out).collect()) == [("a", 5), ("b", 6), ("c", 8)]
 
 
+def test_filters_hold_every_key_and_few_others(spark):
+    from tidemark.streaming import key_filters as KF
+    keys = spark.range(3000).selectExpr("sha2(cast(id as string), 256) as k")
+    rows = KF.build_filter(keys, "k", 4)
+    assert rows.count() == 4
+    asked = spark.range(0, 40_000).selectExpr("id", "sha2(cast(id as string), 256) as k").select(
+        "id", KF._block(F.col("k"), 4).alias("block"), KF._places(F.col("k")).alias("p"))
+    passed = {r.id for r in asked.join(rows, "block").filter(KF.holds(F.col("bitmap"), F.col("p"))).select("id").collect()}
+    assert passed >= set(range(3000)) and len(passed) < 3010
+
+
+def test_dedup_reads_only_batches_that_may_hold_its_keys(spark):
+    src, out, ck = (_p(spark, x) for x in ("bfsrc", "bfout", "bfck"))
+    schema = "ingest_seq long, record_hash string"
+    files = [[(k * 100 + i, f"key{k}-{i}") for i in range(50)] for k in range(4)]
+    files.append([(500, "key2-7"), (501, "new"), (502, None), (503, None)])
+    files.append([(600, "new"), (601, "key2-7"), (602, None), (603, "key0-1")])
+    for rows in files:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        J.start_dedup(J.file_source(spark, src, spark.read.parquet(src).schema), out, ck).awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.count() == 200 + 2 and got.filter("batch_id = 5").count() == 0
+    asked = lambda *keys: J.dedup_candidates(spark.createDataFrame([(k,) for k in keys], "record_hash string"), out, "record_hash", 9)
+    assert asked("key2-7") == [2] and asked("key1-3", "new") == [1, 4] and asked("none of them") == [] and asked(None) == [4]
+    # a batch without a filter is read
+    J._write_batch(spark.createDataFrame([(900, "elsewhere")], schema), out, 7)
+    assert asked("none of them") == [7]
+
+
 def test_rate_and_alert_streams(spark):
     import datetime as dt
     src, ck = _p(spark, "rate"), _p(spark, "rateck")
@@ -169,5 +262,5 @@ def test_session_counter_snapshot_counts_and_forgets(spark):
         spark.createDataFrame([(k, t + dt.timedelta(hours=h)) for k, h in rows], "user_session string, event_timestamp timestamp") \
             .write.mode("append").parquet(src)
         J.start_session_counter(J.file_source(spark, src, spark.read.parquet(src).schema), out, ck).awaitTermination()
-        seen.append(sorted((r.user_session, r.activity_count) for r in J.online_snapshot(spark, out).collect()))
+        seen.append(sorted((r.user_session, r.activity_count) for r in J.live_sessions(spark, out).collect()))
     assert seen == [[("a", 2), ("b", 1)], [("a", 3), ("b", 1)], [("a", 3), ("c", 1)]]

@@ -15,7 +15,7 @@ from tidemark.operators import features as FE
 from tidemark.operators.bronze import bronze_from_text, bronze_valid
 from tidemark.operators.envelope import ENVELOPE_STRUCT, envelope_decode
 from tidemark.plans.oracles import with_ctes
-from tidemark.plans.q_features import FEATURE_COLS_SQL, FEATURE_CTES
+from tidemark.plans.q_features import FEATURE_COLS_SQL, FEATURE_CTES, _features
 from tidemark.plans.q_validation import VERDICT_CTES
 from tidemark.plans.registry import register
 from tidemark.plans.warehouse import bronze_input
@@ -212,6 +212,18 @@ def q_stream_online_latest(spark, sf):
     return J.online_snapshot(spark, online).select("ingest_seq", *FE.FEATURE_COLUMNS)
 
 
+@register("online_store", with_ctes(f"SELECT ingest_seq, {FEATURE_COLS_SQL} FROM latest", FEATURE_CTES))
+def q_online_store(spark, sf):
+    """Three merges in arbitrary order of time, one of them made twice: the
+    store holds the latest row per entity."""
+    rows = _features(spark, sf).withColumn("part", F.pmod(F.xxhash64("ingest_seq"), F.lit(3)))
+    rows = materialize(rows)
+    path = _fresh(spark, "store")
+    for version, part in enumerate((2, 0, 1, 1)):
+        J.online_merge(rows.filter(F.col("part") == part).drop("part"), path, min(version, 2))
+    return J.online_snapshot(spark, path).select("ingest_seq", *FE.FEATURE_COLUMNS)
+
+
 @register("stream_dedup", with_ctes(
     "SELECT ingest_seq, record_hash, event_time, product_id, user_id, event_type FROM dedup"))
 def q_stream_dedup(spark, sf):

@@ -22,12 +22,16 @@ from tidemark.operators import validation as V
 from tidemark.operators.envelope import envelope_decode
 from tidemark.operators.silver import first_per_key
 from tidemark.sources.lake import with_hour_partitions
+from tidemark.streaming.key_filters import KeyFilters
+from tidemark.streaming.keyed_store import KeyedStore
 
 # --- fixed values -------------------------------------------------------------
 FEATURE_TRIGGER = "4 seconds"
 LAKE_TRIGGER = "60 seconds"
 FEATURE_WATERMARK = "1 minute"
 SESSION_GAP = "24 hours"
+# Buckets of a new online store.
+ONLINE_BUCKETS = 32
 # -------------------------------------------------------------------------------
 
 
@@ -107,46 +111,27 @@ def start_feature_ingest(validated: DataFrame, offline_path: str, checkpoint: st
     return w.trigger(**(trigger or {"processingTime": FEATURE_TRIGGER})).start()
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Complete versions of a keyed snapshot, ascending."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
-    if not fs.exists(root):
-        return []
-    found = [st.getPath() for st in fs.listStatus(root) if st.getPath().getName().startswith("version=")]
-    return sorted(int(p.getName().split("=")[1]) for p in found if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+def online_store(spark: SparkSession, path: str, buckets: int = ONLINE_BUCKETS) -> KeyedStore:
+    """The online store: the newest row per entity, in hash buckets."""
+    return KeyedStore(spark, path, FE.ENTITY_KEYS, FE.latest_per_key, buckets)
 
 
 def online_snapshot(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """The newest complete version of the online store (below ``before``)."""
-    known = [v for v in _versions(spark, path) if before is None or v < before]
-    return spark.read.parquet(f"{path}/version={known[-1]}") if known else None
-
+    """All rows of the online store after its newest merge (below ``before``)."""
+    return online_store(spark, path).snapshot(before)
 
-def online_merge(increment: DataFrame, path: str, version: int) -> None:
-    """Write ``version`` of the online store: the version before it, with the
-    newest row per entity of ``increment`` merged in.
 
-    A version replaces itself when a batch is replayed and never reads itself,
-    so the result does not depend on how often a batch runs.  Readers take the
-    newest complete version; the two before it stay for readers under way.
-    """
-    spark = increment.sparkSession
-    before = online_snapshot(spark, path, version)
-    merged = FE.latest_per_key(increment) if before is None else FE.materialise_incremental(before, increment)
-    merged.write.mode("overwrite").parquet(f"{path}/version={version}")
-    jvm = spark._jvm
-    for old in [v for v in _versions(spark, path) if v < version][:-2]:
-        gone = jvm.org.apache.hadoop.fs.Path(f"{path}/version={old}")
-        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+def online_merge(increment: DataFrame, path: str, version: int) -> list[int]:
+    """Merge the newest row per entity of ``increment`` into the online store;
+    the buckets that were rewritten.  A replayed version changes nothing."""
+    return online_store(increment.sparkSession, path).merge(increment, version)
 
 
 def materialise_hourly(spark: SparkSession, offline_path: str, online_path: str, until: _dt.datetime) -> None:
     """Merge the offline rows after the last materialised instant, up to
     ``until``, into the online store.  The instant is the version's number
     (epoch microseconds), so it is saved with the data."""
-    known = _versions(spark, online_path)
+    known = online_store(spark, online_path).versions()
     end = int(until.replace(tzinfo=_dt.timezone.utc).timestamp() * 1_000_000)
     if known and known[-1] >= end:
         return
@@ -158,46 +143,88 @@ def materialise_hourly(spark: SparkSession, offline_path: str, online_path: str,
 def start_dedup(events: DataFrame, path: str, checkpoint: str, key: str = "record_hash", order: str = "ingest_seq",
                 trigger: dict | None = None) -> StreamingQuery:
     """Keep one row per key for good: the earliest batch's, and within a batch
-    the one of the smallest ``order``.  Each batch is reduced to its first rows
-    and anti-joined with the keys that earlier batches wrote; a replayed batch
-    leaves its own rows out of that and replaces them."""
+    the one of the smallest ``order``.
+
+    Each batch is reduced to its first rows.  The Bloom filters of earlier
+    batches, kept in ``<path>_filters``, say which of them may hold any of its
+    keys, and only their keys are read for the exact anti-join; a batch without
+    a filter is read.  A replayed batch leaves its own rows out of that and
+    replaces them.
+    """
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        fresh = first_per_key(batch, [key], order)
-        if existing_folder(batch.sparkSession, path):
-            old = batch.sparkSession.read.parquet(path).filter(F.col("batch_id") < batch_id).select(key)
-            fresh = fresh.join(old, key, "left_anti").select(*batch.columns)
-        _write_batch(fresh, path, batch_id)
+        spark = batch.sparkSession
+        first = first_per_key(batch, [key], order).persist()
+        try:
+            fresh = first
+            old = dedup_candidates(first, path, key, batch_id)
+            if old:
+                seen = spark.read.parquet(*[f"{path}/batch_id={b}" for b in old]).select(F.col(key).alias("_seen"))
+                fresh = first.join(seen, first[key].eqNullSafe(F.col("_seen")), "left_anti")
+            _write_batch(fresh.select(*batch.columns), path, batch_id)
+            if batch_id in batch_numbers(spark, path):
+                KeyFilters(spark, f"{path}_filters", key).add(spark.read.parquet(f"{path}/batch_id={batch_id}").select(key), batch_id,
+                                                              batch_numbers(spark, f"{path}_filters"))
+        finally:
+            first.unpersist()
 
     w = events.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def dedup_candidates(rows: DataFrame, path: str, key: str, batch_id: int) -> list[int]:
+    """Batches before ``batch_id`` that may hold a key of ``rows``."""
+    spark = rows.sparkSession
+    written = [b for b in batch_numbers(spark, path) if b < batch_id]
+    filtered = set(batch_numbers(spark, f"{path}_filters"))
+    known = [b for b in written if b in filtered]
+    return sorted([b for b in written if b not in filtered]
+                  + KeyFilters(spark, f"{path}_filters", key).may_hold(rows.select(key), known))
+
+
+def batch_numbers(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the ``batch_id=N`` folders of ``path``, ascending."""
+    if not existing_folder(spark, path):
+        return []
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [st.getPath().getName() for st in where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)]
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith("batch_id="))
+
+
+def session_store(spark: SparkSession, path: str, key: str = "user_session", buckets: int = ONLINE_BUCKETS) -> KeyedStore:
+    """Running count and last time per session, in hash buckets."""
+    def add(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(key).agg(F.sum("activity_count").alias("activity_count"), F.max("last_seen").alias("last_seen"))
+
+    return KeyedStore(spark, path, [key], add, buckets)
+
+
 def start_session_counter(events: DataFrame, path: str, checkpoint: str, key: str = "user_session",
-                          ts: str = "event_timestamp", ttl_hours: int = 24, trigger: dict | None = None) -> StreamingQuery:
-    """Running count and last time per session, as versions of a keyed snapshot.
+                          ts: str = "event_timestamp", trigger: dict | None = None) -> StreamingQuery:
+    """Running count and last time per session, merged into a keyed store.
 
     A batch is counted per session first, combined on the map side, so a hot
-    session leaves each task as one row; only these rows meet the sessions
-    counted before.  Sessions not seen for ``ttl_hours`` before the newest event
-    are dropped.  A replayed batch replaces its own version.
+    session leaves each task as one row; only the buckets of these sessions are
+    read and rewritten.  A replayed batch changes nothing.
     """
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        counts = batch.groupBy(key).agg(F.count(F.lit(1)).alias("activity_count"), F.max(ts).alias("last_seen"))
-        before = online_snapshot(batch.sparkSession, path, batch_id)
-        if before is not None:
-            counts = counts.unionByName(before).groupBy(key).agg(
-                F.sum("activity_count").alias("activity_count"), F.max("last_seen").alias("last_seen"))
-        newest = counts.agg(F.max("last_seen")).first()[0]
-        if newest is not None:
-            counts = counts.filter(F.col("last_seen") >= F.lit(newest - _dt.timedelta(hours=ttl_hours)))
-        counts.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        ones = batch.filter(F.col(key).isNotNull()).select(key, F.lit(1).cast("long").alias("activity_count"), F.col(ts).alias("last_seen"))
+        session_store(batch.sparkSession, path, key).merge(ones, batch_id)
 
     w = events.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def live_sessions(spark: SparkSession, path: str, ttl_hours: int = 24, key: str = "user_session") -> DataFrame | None:
+    """Sessions seen within ``ttl_hours`` of the newest event."""
+    rows = session_store(spark, path, key).snapshot()
+    if rows is None:
+        return None
+    newest = rows.agg(F.max("last_seen").alias("newest"))  # one row
+    return rows.join(F.broadcast(newest), F.col("last_seen") >= F.col("newest") - F.expr(f"INTERVAL {ttl_hours} HOURS")).drop("newest")
+
+
 def existing_folder(spark: SparkSession, path: str) -> bool:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
