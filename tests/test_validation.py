@@ -180,3 +180,57 @@ def test_known_schemas_change_no_verdict(spark):
     got = [[(r.i, r.valid, r.error_type, r.error_message) for r in V.validate_dynamic(df, keep=["i"], known=known).orderBy("i").collect()]
            for known in ([], [json.dumps(event)], [json.dumps(event, indent=1), json.dumps(other)])]
     assert got[0] == got[1] == got[2] and {x[1] for x in got[0]} == {"VALID", "INVALID"}
+
+
+def test_every_verdict_is_that_of_the_general_checks(spark):
+    """Payloads of all kinds under schemas of all kinds, in several layouts:
+    nothing known, the schemas known, heads found in the batch, one schema for all."""
+    import itertools
+    import json
+    values = ["KEEP_OUT", None, "view", "x", "", 5, -5, 0, 7.0, 1e300, 1.5, -0.0, True, False, [1], {"a": 1}, 12345678901234567890, 2**63 - 1,
+              "2019-10-01T02:30:12Z", "2019-02-30T02:30:12Z"]
+    types = ["string", "long", "int64", "double", "boolean", "uuid", ["null", "string"], ["null", "double"], ["long"], "null", [],
+             {"type": "array"}, None]
+    schemas = [{"fields": [{"name": n, "type": t} | extra]} for n in ("price", "event_type", "other", "odd name") for t in types
+               for extra in ({}, {"optional": True}, {"optional": "yes"})]
+    schemas += [{"fields": [{"field": "at", "name": f"io.debezium.time.{k}", "type": "int64", "optional": o}]}
+                for k in ("MicroTimestamp", "Timestamp", "ZonedTimestamp", "Date") for o in (True, False)]
+    schemas += [{"fields": [{"name": "a", "type": "long"}, {"name": "B", "type": "string", "optional": True}, {"name": "c", "type": "double"}]},
+                {"fields": [{"name": "a", "type": "long"}, {"name": "a", "type": "string"}]}, {"fields": {}}, {"fields": [3]}, {"fields": []}, {}]
+    texts = []
+    for k, (schema, value) in enumerate(itertools.product(schemas, values)):
+        name = next((f.get("field") or f["name"] for f in schema.get("fields") or [] if isinstance(f, dict)), "z")
+        payload = {name: value, "B": "s", "c": 1, "extra": [1]} if k % 3 else {name: value}
+        payload = {a: b for a, b in payload.items() if b != "KEEP_OUT"}
+        seps = (",", ":") if k % 2 else (", ", ": ")
+        texts.append(json.dumps({"schema": schema, "payload": payload}, separators=seps))
+    one = json.dumps(schemas[0], separators=(",", ":"))
+    texts += [t % one for t in ('{"schema":%s,"payload":{"price":"s"},"schema":{}}', '{"schema":%s,"payload":{"price":"s"},"payload":{}}',
+                                '{"schema":%s,"payload":{"price":"s"}', '{"schema":%s,"payload":null}', '{"schema":%s,"payload":[1]}',
+                                ' {"schema":%s,"payload":{"price":"s"}}', '{"schema":%s,"payload":{"price":"s"}} \n', '{"schema":%s,"payload":{"price":"s"}} x',
+                                '{"schema":%s,"payload":{"price":NaN}}', '{"schema":%s,"payload":{"price":"s","price":"t"}}', '{"schema":%s,"payload" :{"price":"s"}}',
+                                '{"payload":{"price":"s"},"schema":%s}', '{"schema":%s,"payload":{"payload":{"schema":1},"price":"s"},"more":"payload"}')]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, value string").repartition(4)
+    run = lambda **k: [(r.i, r.valid, r.error_type, r.error_message) for r in V.validate_dynamic(df, keep=["i"], **k).orderBy("i").collect()]
+    plain = run()
+    assert {r[1] for r in plain} == {"VALID", "INVALID"} and len(plain) == len(texts)
+    heads = V.record_heads(df)
+    assert 30 < len(heads) <= V.MAX_KNOWN
+    for known in (heads, [json.dumps(s, separators=(",", ":")) for s in schemas[:60]], [json.dumps(s) for s in schemas[60:120]],
+                  [json.dumps(s) for s in schemas[120:]]):
+        assert [a for a, b in zip(run(known=known), plain) if a != b] == []
+    # the static form against one schema is the general form on records that carry it
+    for schema in (schemas[0], schemas[9], schemas[-6]):
+        carrying = df.filter(F.col("value").contains('"payload"')).select("i", F.regexp_replace(
+            "value", r'^\{"schema": ?\{.*?\}, ?"payload":', '{"schema":' + json.dumps(schema).replace("\\", "\\\\").replace("$", "\\$") + ',"payload":').alias("value"))
+        both = [[(r.i, r.error_message) for r in out.orderBy("i").collect()] for out in (
+            V.validate_dynamic(carrying, keep=["i"]), V.validate_static(carrying.filter(F.col("value").contains('"schema"')), schema["fields"], keep=["i"]))]
+        own = {i: t for i, t in carrying.collect()}
+        alike = {i for i, t in own.items() if t.startswith('{"schema":' + json.dumps(schema) + ',"payload":')}
+        assert alike and [x for x in both[0] if x[0] in alike] == [x for x in both[1] if x[0] in alike]
+
+
+def test_too_many_known_schemas_are_refused(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        V.validate_dynamic(spark.createDataFrame([("{}",)], "value string"), known=["{}"] * 65)

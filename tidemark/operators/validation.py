@@ -15,17 +15,26 @@ Fields are checked in schema order and the first failure wins:
 Unparsable text, a missing ``schema``/``payload``/``fields`` key, or an
 impossible comparison (a text price) give a PROCESSING_ERROR verdict.
 
-The record is parsed once into a VARIANT; the per-field checks are
-higher-order expressions over the field array, so everything runs in the JVM
-with no Python worker and no shuffle.  ``validate_static`` generates the
-per-field chain from a schema known at plan time; ``validate_dynamic`` reads
-each record's own schema.
+Everything runs in the JVM with no Python worker and no shuffle.  A record is
+parsed once into a VARIANT, and the per-field checks are higher-order
+expressions over its schema's field array.
+
+Schemas that many records carry are known at plan time (declared ones, or those
+that ``record_heads`` finds in a batch).  A record that begins with the text of a known one
+is cut behind it, and only its payload is parsed.  From a known schema an
+acceptance test is generated as well: the payload's type, as text, against one
+pattern, and the few value checks that the schema calls for.  What passes is
+valid; all else, and every record of an unknown schema, takes the general
+checks, so what is known changes the cost and never a verdict.
+``validate_static`` uses one schema for all records, ``validate_dynamic`` each
+record's own.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import json
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -129,78 +138,117 @@ def field_verdict(name: Column, present: Column, val: Column, k: Column, eff_typ
     )
 
 
-def _static_type_ok(val: Column, k: Column, eff: str) -> Column:
-    """Type check for a type known at plan time (only that type's test)."""
-    as_int = _is_int(k) | (k == "BOOLEAN")
-    if eff == "string":
-        return k == "STRING"
-    if eff in ("int64", "long"):
-        return as_int
-    if eff == "double":
-        return as_int | _is_number(k)
-    if eff == "boolean":
-        return k == "BOOLEAN"
-    if eff in (MICRO_TS, MILLI_TS):
-        return as_int & F.coalesce(F.try_variant_get(val, "$", "double") >= 0, F.lit(False))
-    if eff == ZONED_TS:
-        return (k == "STRING") & _zoned_ok(F.try_variant_get(val, "$", "string"))
-    return F.lit(True)
-
-
-def static_field_verdict(fname: str, eff: str, is_union: bool, union_null: bool, optional: bool,
-                         val: Column, k: Column) -> Column:
-    """``field_verdict`` specialised at plan time: only the branches this
-    field can take are generated (smaller plans, faster analysis)."""
-    bad_type = _verdict(SCHEMA_ERROR, F.lit(f"Field {fname} has invalid type"))
-    present = val.isNotNull()
-    null_ok = union_null if is_union else optional
-    expr = F.when(~present, _verdict(SCHEMA_ERROR, F.lit(f"Field {fname} is required")) if not optional
-                  else F.lit(None))
-    expr = expr.when(F.is_variant_null(val), F.lit(None) if null_ok else bad_type)
-    expr = expr.when(~_static_type_ok(val, k, eff), bad_type)
-    if fname == "price":
-        num = F.try_variant_get(val, "$", "double")
-        kind_map = F.create_map(*[F.lit(x) for kv in PY_TYPE_OF_KIND.items() for x in kv])
-        bad_kind = F.coalesce(F.element_at(kind_map, F.regexp_extract(k, r"^([A-Z]+)", 1)), F.lit("object"))
-        expr = expr.when(~(_is_number(k) | (k == "BOOLEAN")), _verdict(PROCESSING_ERROR, F.concat(
-            F.lit("Processing error: '>' not supported between instances of '"), bad_kind,
-            F.lit("' and 'int'"))))
-        expr = expr.when(~(num > 0), _verdict(SCHEMA_ERROR, F.lit(PRICE_MESSAGE)))
-    elif fname == "event_type":
-        etype = F.try_variant_get(val, "$", "string")
-        expr = expr.when((k != "STRING") | ~etype.isin(*EVENT_TYPES),
-                         _verdict(SCHEMA_ERROR, F.lit(EVENT_TYPE_MESSAGE)))
-    return expr
-
-
-def _parse(df: DataFrame, value: str, keep: list[str]) -> DataFrame:
-    """Stage 1: parse the text once into a VARIANT column.
-
-    Later stages reference ``_v`` many times; being a non-trivial expression,
-    the optimizer keeps it in its own projection instead of inlining it.
-    """
-    return df.select(*keep, F.try_parse_json(F.col(value)).alias("_v"))
-
-
 def _is_object(v: Column) -> Column:
     # casting to an empty struct succeeds only for JSON objects (no schema walk)
     return F.try_variant_get(v, "$", "struct<>").isNotNull()
 
 
-def _envelope(df: DataFrame, keep: list[str]) -> DataFrame:
-    """Stage 2: schema / payload / fields and the processing-error reason."""
-    v = F.col("_v")
-    schema = F.try_variant_get(v, "$.schema", "variant")
-    payload = F.try_variant_get(v, "$.payload", "variant")
-    fields = F.try_variant_get(v, "$.schema.fields", "array<variant>")
+# Text that begins the payload of a record, and most known schemas of a plan.
+PAYLOAD_KEY = '"payload":'
+MAX_KNOWN = 64
+_PLAIN_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
+# What ``schema_of_variant`` calls the values that a declared type admits.
+_INTEGERS = r"BIGINT|BOOLEAN|DECIMAL\((?:19|[2-9]\d),0\)"
+_KINDS = {"string": "STRING", "int64": _INTEGERS, "long": _INTEGERS, "double": r"BIGINT|BOOLEAN|DECIMAL\(\d+,\d+\)|DOUBLE|FLOAT",
+          "boolean": "BOOLEAN", MICRO_TS: _INTEGERS, MILLI_TS: _INTEGERS, ZONED_TS: "STRING"}
+
+
+def _accepts(fields: list) -> tuple[str, list[tuple[str, str]]] | None:
+    """For a known schema: the pattern of the payload types that no field check
+    rejects, and the fields whose values must be looked at, with their types;
+    None where the general checks have to decide."""
+    rules = []
+    for f in fields:
+        types = f.get("type") if isinstance(f, dict) else None
+        union = types if isinstance(types, list) else [types]
+        name = (f.get("field") or f.get("name")) if isinstance(f, dict) else None
+        if (not union or not all(isinstance(t, str) for t in union) or not isinstance(f.get("optional", False), bool)
+                or not isinstance(name, str) or not isinstance(f.get("name", ""), str) or not _PLAIN_NAME.fullmatch(name)):
+            return None
+        own = f["name"] if f.get("name", "").startswith(DEBEZIUM_PREFIX) else next((t for t in union if t != "null"), union[0])
+        optional = f.get("optional", False)
+        nulls = "null" in types if isinstance(types, list) else optional
+        if own not in _KINDS or name == "price" and own not in ("double", "long", "int64") or name == "event_type" and own != "string":
+            return None
+        rules.append((name, own, optional, nulls))
+    if len({r[0] for r in rules}) < len(rules):
+        return None
+    parts = [rf"{name}: (?:{_KINDS[own]}{'|VOID' if nulls else ''})(?:, |(?=>$))" for name, own, _, nulls in sorted(rules)]
+    shape = "^OBJECT<" + "".join(f"(?:{p})?" if r[2] else p for p, r in zip(parts, sorted(rules))) + ">$"
+    return shape, [(name, own) for name, own, _, _ in rules if name in ("price", "event_type") or own in (MICRO_TS, MILLI_TS, ZONED_TS)]
+
+
+def _value_ok(value: Column, name: str, own: str) -> Column:
+    """Value check of a field whose type is right; null and absent values pass."""
+    number = F.try_variant_get(value, "$", "double")
+    checks = []
+    if name == "price":
+        checks.append(number > 0)
+    if name == "event_type":
+        checks.append(F.try_variant_get(value, "$", "string").isin(*EVENT_TYPES))
+    if own in (MICRO_TS, MILLI_TS):
+        checks.append(number >= 0)
+    if own == ZONED_TS:
+        checks.append(_zoned_ok(F.try_variant_get(value, "$", "string")))
+    ok = checks[0]
+    for more in checks[1:]:
+        ok = ok & more
+    return value.isNull() | F.is_variant_null(value) | F.coalesce(ok, F.lit(False))
+
+
+def _field_value(payload: Column, name: str) -> Column:
+    return F.try_variant_get(payload, f"$['{name}']", "variant")
+
+
+def _heads(known: list[str]) -> list[tuple[str, list]]:
+    """What records of the known schemas begin with, up to the payload's key, and
+    the schemas' fields.  ``known`` are schemas (JSON texts), or whole heads as
+    ``record_heads`` finds them."""
+    out = []
+    for text in known:
+        if re.match(r'\s*\{\s*"schema"\s*:', text) and text.rstrip().endswith(","):
+            heads, schema = [text], json.loads(text.rstrip()[:-1] + "}")["schema"]
+        else:
+            heads, schema = ['{"schema":' + text + ",", '{"schema": ' + text + ", "], json.loads(text)
+        if isinstance(schema, dict) and isinstance(schema.get("fields"), list):
+            out += [(head, schema["fields"]) for head in heads]
+    return out
+
+
+def record_heads(df: DataFrame, value: str = "value", limit: int = MAX_KNOWN) -> list[str]:
+    """Texts before the payload's key that the records begin with, the ``limit``
+    most frequent ones: one pass that cuts and counts, without a parse.  Only
+    those that are a whole schema are returned."""
+    head = F.substring_index(value, PAYLOAD_KEY, 1)
+    closed = F.concat(F.rtrim(F.regexp_replace("head", r",\s*$", "")), F.lit("}"))
+    found = (df.select(head.alias("head")).filter(F.col("head").rlike(r'^\{\s*"schema"\s*:') & F.col("head").rlike(r",\s*$"))
+             .groupBy("head").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "head").limit(limit))
+    whole = F.json_object_keys(F.when(F.try_parse_json(closed).isNotNull(), closed)) == F.array(F.lit("schema"))
+    return [r.head for r in found.filter(whole).orderBy(F.desc("n"), "head").collect()]
+
+
+def _envelopes(df: DataFrame, value: str, keep: list[str], known: list[tuple[str, list]]) -> DataFrame:
+    """Each record's ``_payload``, own ``_fields``, the processing error ``_p``
+    and which known schema it begins with, ``_which``; one parse a record."""
+    text, which, tail = F.col(value), F.lit(None).cast("int"), F.lit(None).cast("string")
+    for i, (head, _) in reversed(list(enumerate(known))):
+        begins = text.startswith(head + PAYLOAD_KEY)
+        which = F.when(begins, F.lit(i)).otherwise(which)
+        tail = F.when(begins, F.substring(text, len(head) + 1, 1 << 30)).otherwise(tail)
+    cut = df.select(*keep, which.alias("_which"), F.when(which.isNull(), text).otherwise(F.concat(F.lit("{"), tail)).alias("_json"))
+    v, own = F.col("_v"), F.col("_which").isNull()
+    parsed = cut.select(*keep, "_which", F.try_parse_json("_json").alias("_v"))
+    schema, payload = F.try_variant_get(v, "$.schema", "variant"), F.try_variant_get(v, "$.payload", "variant")
+    fields = F.when(own, F.try_variant_get(v, "$.schema.fields", "array<variant>"))
     problem = (F.when(v.isNull(), F.lit("Processing error: malformed JSON"))
+               # what was cut off is a schema: another one is a key given twice
+               .when(~own & schema.isNotNull(), F.lit("Processing error: malformed JSON"))
                .when(~_is_object(v), F.lit("Processing error: record is not a JSON object"))
-               .when(schema.isNull(), F.lit("Processing error: 'schema'"))
+               .when(own & schema.isNull(), F.lit("Processing error: 'schema'"))
                .when(payload.isNull(), F.lit("Processing error: 'payload'"))
-               .when(fields.isNull(), F.lit("Processing error: 'fields'"))
+               .when(own & fields.isNull(), F.lit("Processing error: 'fields'"))
                .when(~_is_object(payload), F.lit("Processing error: payload is not an object")))
-    return df.select(*keep, payload.alias("_payload"), fields.alias("_fields"), problem.alias("_p"),
-                     F.to_json(schema).alias("_schema"))
+    return parsed.select(*keep, "_which", payload.alias("_payload"), fields.alias("_fields"), problem.alias("_p"))
 
 
 def _finish(df: DataFrame, first: Column, clock, keep: list[str]) -> DataFrame:
@@ -226,48 +274,30 @@ def _finish(df: DataFrame, first: Column, clock, keep: list[str]) -> DataFrame:
     return out.select(*keep, F.inline(F.array(verdict)))
 
 
-def _schema_rules(fields: list[dict]) -> list[tuple]:
-    """Per declared field: (name, effective type, is union, union has null, optional)."""
-    rules = []
-    for declared in fields:
-        name, t = declared.get("field") or declared.get("name"), declared.get("type")
-        union = isinstance(t, list)
-        if str(declared.get("name", "")).startswith(DEBEZIUM_PREFIX):
-            effective = declared["name"]
-        else:
-            effective = next((x for x in t if x != "null"), t[0]) if union else t
-        rules.append((name, effective, union, bool(union and "null" in t), bool(declared.get("optional", False))))
-    return rules
-
-
-def _field_value(name: str) -> Column:
-    return F.try_variant_get(F.col("_payload"), "$['" + name.replace("'", "\\'") + "']", "variant")
-
-
-def validate_dynamic(df: DataFrame, value: str = "value", keep: list[str] | None = None,
-                     clock: _dt.datetime | None = None, known: list[str] = ()) -> DataFrame:
-    """Validate each record against the schema it carries.
-
-    ``known`` are schemas (JSON texts) that most records are expected to carry:
-    records whose schema equals one of them take checks generated for it at
-    plan time, the others the general ones, in the same pass.
-    """
-    keep = keep if keep is not None else [c for c in df.columns if c != value]
-    env = _envelope(_parse(df, value, keep), keep)
-    which = F.lit(None).cast("int")
-    for i, text in enumerate(known):
-        # both sides as Spark writes a VARIANT, so layout and key order do not matter
-        which = F.when(F.col("_schema") == F.to_json(F.parse_json(F.lit(text))), F.lit(i)).otherwise(which)
-    staged = env.select(*keep, "_p", "_payload", "_fields", which.alias("_which"))
-    general = F.col("_which").isNull()
-    slots = [(i, j, rule) for i, text in enumerate(known) for j, rule in enumerate(_schema_rules(json.loads(text)["fields"]))]
-    values = [F.when(F.col("_which") == i, _field_value(rule[0])).alias(f"_val{i}_{j}") for i, j, rule in slots]
-    kinds = [_kind(F.col(f"_val{i}_{j}")).alias(f"_k{i}_{j}") for i, j, _ in slots]
-    slot_values = [f"_val{i}_{j}" for i, j, _ in slots]
-    slot_columns = slot_values + [f"_k{i}_{j}" for i, j, _ in slots]
-    staged = staged.select(*keep, "_p", "_which", F.when(general, F.col("_fields")).alias("_fields"),
-                           F.when(general, F.try_variant_get(F.col("_payload"), "$", "map<string,variant>")).alias("_pmap"), *values)
-    staged = staged.select(*keep, "_p", "_which", "_fields", "_pmap", *slot_values, *kinds)
+def _validate(df: DataFrame, value: str, keep: list[str], clock, known: list[tuple[str, list]], all_by: list | None) -> DataFrame:
+    """Verdicts by known schemas and general checks; ``all_by`` are the fields
+    that every record is held against in place of its own."""
+    env = _envelopes(df, value, keep, known)
+    chosen = [all_by] if all_by is not None else [fields for _, fields in known]
+    tests = [_accepts(fields) for fields in chosen]
+    typed = F.col("_p").isNull() & (F.lit(True) if all_by is not None else F.col("_which").isNotNull())
+    env = env.select(*keep, "_which", "_payload", "_fields", "_p",
+                     F.when(typed, F.schema_of_variant("_payload")).alias("_type") if any(tests) else F.lit(None).cast("string").alias("_type"))
+
+    # accepted, or the fields that the general checks are to use
+    accepted, fields = F.lit(False), F.col("_fields")
+    for i, (test, own) in enumerate(zip(tests, chosen)):
+        this = F.lit(True) if all_by is not None else F.col("_which") == i
+        fields = F.when(this, F.try_variant_get(F.parse_json(F.lit(json.dumps(own))), "$", "array<variant>")).otherwise(fields)
+        if test is not None:
+            passes = F.coalesce(F.col("_type").rlike(test[0]), F.lit(False))
+            for name, kind in test[1]:
+                passes = passes & _value_ok(_field_value(F.col("_payload"), name), name, kind)
+            accepted = F.when(this, passes).otherwise(accepted)
+    staged = env.select(*keep, "_p", "_payload", fields.alias("_fields"), F.coalesce(accepted, F.lit(False)).alias("_ok"))
+    general = ~F.col("_ok") & F.col("_p").isNull()
+    staged = staged.select(*keep, "_p", F.when(general, F.col("_fields")).alias("_fields"),
+                           F.when(general, F.try_variant_get("_payload", "$", "map<string,variant>")).alias("_pmap"))
     pmap = F.col("_pmap")
 
     def describe(f: Column) -> Column:
@@ -287,14 +317,14 @@ def validate_dynamic(df: DataFrame, value: str = "value", keep: list[str] | None
             F.coalesce(F.array_contains(tlist, "null"), F.lit(False)).alias("union_null"),
             F.coalesce(F.try_variant_get(f, "$.optional", "boolean"), F.lit(False)).alias("optional"))
 
-    described = staged.select(*keep, "_p", "_which", F.transform("_fields", describe).alias("_d"), "_pmap", *slot_columns)
+    described = staged.select(*keep, "_p", F.transform("_fields", describe).alias("_d"), "_pmap")
 
     def lookup(d: Column) -> Column:
         # a missing key is SQL NULL; a JSON null is a (non-null) VARIANT null
         return F.struct(d.alias("d"), F.try_element_at(pmap, d["name"]).alias("val"),
                         _kind(F.try_element_at(pmap, d["name"])).alias("k"))
 
-    with_kind = described.select(*keep, "_p", "_which", F.transform("_d", lookup).alias("_lk"), *slot_columns)
+    with_kind = described.select(*keep, "_p", F.transform("_d", lookup).alias("_lk"))
 
     def verdict(x: Column) -> Column:
         d = x["d"]
@@ -302,25 +332,29 @@ def validate_dynamic(df: DataFrame, value: str = "value", keep: list[str] | None
                              d["union_null"], d["optional"])
 
     first = F.get(F.filter(F.transform("_lk", verdict), lambda x: x.isNotNull()), 0)
-    for i in range(len(known)):
-        own = [static_field_verdict(*rule, F.col(f"_val{k}_{j}"), F.col(f"_k{k}_{j}")) for k, j, rule in slots if k == i]
-        if own:
-            first = F.when(F.col("_which") == i, F.coalesce(*own)).otherwise(first)
     return _finish(with_kind, first, clock, keep)
 
 
+def validate_dynamic(df: DataFrame, value: str = "value", keep: list[str] | None = None,
+                     clock: _dt.datetime | None = None, known: list[str] = ()) -> DataFrame:
+    """Validate each record against the schema it carries.
+
+    ``known`` are schemas (JSON texts) that most records are expected to carry, or
+    heads of records from ``record_heads``; at most ``MAX_KNOWN``.  They make
+    validation cheaper and change no verdict.
+    """
+    if len(known) > MAX_KNOWN:
+        raise ValueError(f"more than {MAX_KNOWN} known schemas")
+    keep = keep if keep is not None else [c for c in df.columns if c != value]
+    return _validate(df, value, keep, clock, _heads(list(known)), None)
+
+
 def validate_static(df: DataFrame, fields: list[dict], value: str = "value",
                     keep: list[str] | None = None, clock: _dt.datetime | None = None) -> DataFrame:
-    """Validate against a schema known at plan time: one generated check chain,
-    literal VARIANT paths, no per-record schema walk."""
+    """Validate every record against one schema known at plan time, whatever
+    schema it carries."""
     keep = keep if keep is not None else [c for c in df.columns if c != value]
-    env = _envelope(_parse(df, value, keep), keep)
-    rules = _schema_rules(fields)
-    slots = range(len(rules))
-    staged = env.select(*keep, "_p", *[_field_value(rule[0]).alias(f"_val{j}") for j, rule in enumerate(rules)])
-    staged = staged.select(*keep, "_p", *[f"_val{j}" for j in slots], *[_kind(F.col(f"_val{j}")).alias(f"_k{j}") for j in slots])
-    verdicts = [static_field_verdict(*rule, F.col(f"_val{j}"), F.col(f"_k{j}")) for j, rule in enumerate(rules)]
-    return _finish(staged, F.coalesce(*verdicts), clock, keep)
+    return _validate(df, value, keep, clock, [], fields)
 
 
 def validation_summary(verdicts: DataFrame) -> DataFrame:

@@ -66,21 +66,21 @@ def start_validation_routing(stream: DataFrame, valid_path: str, invalid_path: s
                              keep: list[str], trigger: dict | None = None) -> StreamingQuery:
     """Validate each record once and route by verdict to two sinks.
 
-    The verdict is a column, so the JSON is parsed once per record; the batch
-    is persisted so both filtered writes read the same computed rows.
+    The schemas that a batch's records begin with are found first, by a pass
+    that only cuts texts; the verdict is then a column, so the JSON is parsed
+    once a record, and the batch is persisted so that both filtered writes read
+    the same rows.
     """
-    verdicts = V.validate_dynamic(stream, keep=keep + ["value"])
 
     def route(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        verdicts = V.validate_dynamic(batch, keep=keep + ["value"], known=V.record_heads(batch)).persist()
         try:
-            _write_batch(batch.filter(F.col("valid") == V.VALID), valid_path, batch_id)
-            _write_batch(V.invalid_record_json(batch.filter(F.col("valid") == V.INVALID)), invalid_path,
-                         batch_id)
+            _write_batch(verdicts.filter(F.col("valid") == V.VALID), valid_path, batch_id)
+            _write_batch(V.invalid_record_json(verdicts.filter(F.col("valid") == V.INVALID)), invalid_path, batch_id)
         finally:
-            batch.unpersist()
+            verdicts.unpersist()
 
-    w = verdicts.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint)
+    w = stream.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
