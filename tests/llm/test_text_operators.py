@@ -146,6 +146,30 @@ def test_removed_spans_are_the_hit_words(spark):
     assert remove_spans(docs[2][1], found[3]) == docs[2][1]  # Ä is not lowered, so "ÄPFEL" is another word
 
 
+def test_large_benchmarks_are_searched_in_batches(spark, odd, monkeypatch):
+    """Small batches, a long item cut into pieces, an item in many batches, and
+    spans of different batches that touch or overlap."""
+    rng = random.Random(21)
+    vocabulary = [f"w{i}" for i in range(60)] + ["é", "日本"]
+    long_item = " ".join(rng.choice(vocabulary) for _ in range(900))
+    words = long_item.split()
+    items = [(1, long_item), (2, " ".join(words[5:30])), (3, "short one"), (3, "another w1 w2"), (4, None), (5, "w3 w4"), (6, " ".join(words[400:430]))]
+    items += [(10 + i, " ".join(rng.choice(vocabulary) for _ in range(25))) for i in range(30)]
+    docs = [(i, " ".join(rng.choice(vocabulary) for _ in range(20)) + " short, one! " + " ".join(words[a:a + n]) + " xx " + items[10 + i % 20][1])
+            for i, (a, n) in enumerate([(0, 40), (3, 9), (390, 200), (0, 900), (890, 10), (5, 25)] * 3)]
+    docs += [(r.doc_id, r.text) for r in odd.collect()]
+    given, bench = table(spark, docs), spark.createDataFrame(items, "item_id long, text string")
+    from tidemark.llm import decontaminate as D
+    whole = lambda df: sorted(((r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated, tuple(r["items"]),
+                                tuple(map(tuple, r.spans))) for r in df.collect()), key=key)
+    once = whole(find_contamination(given, bench))
+    assert sorted([(x[0], x[1], x[2], list(x[6])) for x in once], key=key) == sorted(
+        [(d, n, hit, names) for d, n, hit, names in phrase_hits(docs, items)], key=key)
+    monkeypatch.setattr(D, "PIECE_BYTES", 700)
+    assert whole(find_contamination(given, bench, batch_bytes=1500)) == once
+    assert sum(x[2] for x in once) > 1000
+
+
 # scoring
 
 def lm_by_hand(rows):

@@ -5,6 +5,10 @@ to the benchmark's vocabulary (words outside it, which no phrase can hold, fall
 together to one separator), builds an FM-index of the shard, searches all test
 phrases backward at once, locates their occurrences by sampled suffix positions
 and merges the spans they cover.  Nothing is shuffled.
+
+The phrases go to every task.  A benchmark that is larger than a task should
+hold is cut into batches of bounded size; every batch is searched by itself, and
+the spans and items of a document are merged over the batches.
 """
 
 from __future__ import annotations
@@ -14,20 +18,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
-from tidemark.llm.common import ship_code, utf8_size
+from tidemark.llm.common import ship_code, utf8_size, written
 from tidemark.llm.fm_index import FMIndex
 
 WINDOW = 10
 SHARD_WORDS = 1 << 20
-# The benchmark goes to every task; a larger one is refused.
-BENCHMARK_BYTES = 256 << 20
+# Text of a batch of benchmark items (its phrases take about 15 times as much),
+# and of a piece of an item; a longer item is cut into overlapping pieces.
+BATCH_BYTES, PIECE_BYTES = 4 << 20, 1 << 18
 
+SPAN = "struct<start: long, end: long, first: long, last: long>"
 SCHEMA = ("doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
-          "items array<string>, spans array<struct<start: long, end: long>>")
+          f"items array<string>, spans array<{SPAN}>")
 
 
 class Phrases:
@@ -41,20 +47,26 @@ class Phrases:
         code = np.searchsorted(self.vocabulary, hashes) + 2
         names, item = np.unique(np.array([i for i, _ in items], dtype=object), return_inverse=True)
         self.names = names.tolist()
-        rows, owner = [], []
-        for k in range(len(items)):
-            own = code[at[k]:at[k + 1]]
-            size = min(window, len(own))
-            for i in range(len(own) - size + 1 if size else 0):
-                rows.append(np.concatenate([np.zeros(window - size, np.int64), own[i:i + size]]))
-                owner.append(int(item[k]))
-        if not rows:
-            self.phrases, self.sizes = np.zeros((0, window), np.int64), np.zeros(0, np.int64)
+        sizes = np.diff(at)
+        owner_of = np.repeat(np.arange(len(items)), sizes)
+        long = np.zeros((0, window), np.int32)
+        begin = np.zeros(0, np.int64)
+        if len(code) >= window:  # windows that lie in one item
+            begin = np.flatnonzero(owner_of[window - 1:] == owner_of[:len(code) - window + 1])
+            long = np.lib.stride_tricks.sliding_window_view(code.astype(np.int32), window)[begin]
+        short = np.flatnonzero((sizes > 0) & (sizes < window))
+        rest = np.zeros((len(short), window), np.int32)
+        for row, k in zip(rest, short.tolist()):
+            row[window - sizes[k]:] = code[at[k]:at[k + 1]]
+        rows = np.concatenate([long, rest])
+        owner = item[np.concatenate([owner_of[begin], short]).astype(np.int64)] if len(rows) else np.zeros(0, np.int64)
+        if not len(rows):
+            self.phrases, self.sizes = np.zeros((0, window), np.int32), np.zeros(0, np.int64)
             self.owner, self.owner_at = np.zeros(0, np.int64), np.zeros(1, np.int64)
             return
-        self.phrases, which = np.unique(np.array(rows), axis=0, return_inverse=True)
+        self.phrases, which = np.unique(rows, axis=0, return_inverse=True)
         self.sizes = (self.phrases > 0).sum(axis=1)
-        pairs = np.unique(np.stack([which.reshape(-1), np.array(owner)], axis=1), axis=0)
+        pairs = np.unique(np.stack([which.reshape(-1), owner], axis=1), axis=0)
         self.owner = pairs[:, 1]
         self.owner_at = np.searchsorted(pairs[:, 0], np.arange(len(self.phrases) + 1))
 
@@ -127,7 +139,10 @@ class _Shard:
         lists = [names[a:b] for a, b in zip(item_at.tolist(), item_at[1:].tolist())]
         digest = {x: hashlib.sha256(",".join(x).encode()).hexdigest() for x in set(map(tuple, lists))}
         sha = [digest[tuple(x)] for x in lists]
-        spans = pa.StructArray.from_arrays([pa.array(starts[run], pa.int64()), pa.array(ends[last], pa.int64())], ["start", "end"])
+        ahead = (np.cumsum(counts) - counts)[doc_of[run]]
+        spans = pa.StructArray.from_arrays(
+            [pa.array(starts[run], pa.int64()), pa.array(ends[last], pa.int64()), pa.array(run - ahead), pa.array(last + 1 - ahead)],
+            ["start", "end", "first", "last"])
         return pa.RecordBatch.from_arrays(
             [pa.array(self.ids, pa.int64()), pa.array(counts), pa.array(n_hit), pa.array(np.diff(item_at)),
              pa.array(sha, pa.string()), pa.array(n_hit > 0), pa.array(lists, pa.list_(pa.string())),
@@ -135,29 +150,32 @@ class _Shard:
             names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items", "spans"])
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
-                       text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, n_words, n_hit, n_items, items_sha256,
-    contaminated, items, spans``.
+def _pieces(items: DataFrame, window: int) -> DataFrame:
+    """``i, t``: items, long ones cut into pieces that hold every window once."""
+
+    def cut(text: pa.Array) -> list[str]:
+        data, off = W.lowered_bytes(text)
+        start, end, _ = W.spans(data, off, W.NOT_WORD)
+        if len(start) < window:
+            return text.to_pylist()
+        raw = text[0].as_py().encode()
+        per = max(PIECE_BYTES * len(start) // len(raw), 1)
+        return [raw[start[k]:end[min(k + per + window - 1, len(start)) - 1]].decode() for k in range(0, len(start) - window + 1, per)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, texts = batch.column(0).to_pylist(), batch.column(1)
+            sizes = np.diff(W.offsets_of(texts))
+            for k, name in enumerate(names):
+                parts = cut(texts.slice(k, 1)) if sizes[k] > PIECE_BYTES else [texts[k].as_py()]
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(parts), pa.string()), pa.array(parts, pa.string())], names=["i", "t"])
+
+    return items.mapInArrow(run, "i string, t string")
 
-    Words are runs of ASCII letters and digits and of any non-ASCII characters,
-    with A-Z lowered.  A phrase is ``window`` consecutive words of an item, or
-    the whole of a shorter item; an item without words has none.  A word inside
-    any occurrence is hit.  ``items`` are the identifiers, as sorted strings, of
-    items with an occurring phrase, ``items_sha256`` the digest of these joined
-    by commas; ``spans`` are the merged stretches of hit words as UTF-8 byte
-    offsets.  A null text has no words; a null identifier stays null, a null
-    item identifier is the empty string, repeated ones are one item.  Repeated
-    rows each give a row; empty tables give empty results or no hits.
-    """
-    spark = docs.sparkSession
-    ship_code(spark)
-    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("i"),
-                             F.coalesce(F.col(item_text_col), F.lit("")).alias("t"))
-    held = items.agg(F.sum(utf8_size(F.col("t")))).first()[0] or 0
-    if held > BENCHMARK_BYTES:
-        raise ValueError(f"benchmark of {held} bytes; at most {BENCHMARK_BYTES} go to every task")
-    phrases = spark.sparkContext.broadcast(Phrases([(r.i, r.t) for r in items.collect()], window))
+
+def _search(slim: DataFrame, batch: DataFrame, window: int) -> DataFrame:
+    """Occurrences of one batch of items in all documents."""
+    phrases = slim.sparkSession.sparkContext.broadcast(Phrases([(r.i, r.t) for r in batch.collect()], window))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = _Shard()
@@ -171,16 +189,78 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
         if shard.ids:
             yield shard.result(phrases.value)
 
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return slim.mapInArrow(run, SCHEMA)
 
 
+def _merged(found: list[DataFrame]) -> DataFrame:
+    """``row``, and the columns that follow from hits, over all batches."""
+    hits = found[0]
+    for more in found[1:]:
+        hits = hits.unionByName(more)
+    hits = written(hits.filter("contaminated").select(F.col("doc_id").alias("row"), "items", "spans"), "batch-hits")
+    named = hits.select("row", F.explode("items").alias("item")).distinct().groupBy("row").agg(
+        F.array_sort(F.collect_list("item")).alias("items"))
+    # runs of words that touch or overlap are one
+    order = Window.partitionBy("row").orderBy("first", "last")
+    runs = hits.select("row", F.explode("spans").alias("s")).select("row", "s.*")
+    reach = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.withColumn("new", F.when(reach.isNull() | (F.col("first") > reach), 1).otherwise(0))
+    runs = runs.withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    merged = runs.groupBy("row", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("first").alias("first"),
+                                            F.max("last").alias("last"))
+    spans = merged.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "first", "last"))).alias("spans"),
+                                      F.sum(F.col("last") - F.col("first")).alias("n_hit"))
+    return named.join(spans, "row")
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
+                       text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+                       batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """One row per document: ``doc_id, n_words, n_hit, n_items, items_sha256,
+    contaminated, items, spans``.
+
+    Words are runs of ASCII letters and digits and of any non-ASCII characters,
+    with A-Z lowered.  A phrase is ``window`` consecutive words of an item, or
+    the whole of a shorter item; an item without words has none.  A word inside
+    any occurrence is hit.  ``items`` are the identifiers, as sorted strings, of
+    items with an occurring phrase, ``items_sha256`` the digest of these joined
+    by commas; ``spans`` are the merged stretches of hit words: UTF-8 byte
+    offsets ``start, end`` and word numbers ``first, last`` (ends excluded).  A
+    null text has no words; a null identifier stays null, a null item identifier
+    is the empty string, repeated ones are one item.  Repeated rows each give a
+    row; empty tables give empty results or no hits.
+
+    A benchmark of up to ``batch_bytes`` of text is searched in one pass over
+    the documents, a larger one in as many passes as it has batches.
+    """
+    spark = docs.sparkSession
+    ship_code(spark)
+    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("i"),
+                             F.coalesce(F.col(item_text_col), F.lit("")).alias("t"))
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    held = items.agg(F.sum(utf8_size(F.col("t")) + F.octet_length("i") + 16)).first()[0] or 0
+    batches = max(-(-held // batch_bytes), 1)
+    if batches == 1:
+        return _search(slim, items, window)
+    dealt = written(_pieces(items, window).withColumn("batch", F.pmod(F.xxhash64("i", "t"), F.lit(batches))), "benchmark-batches")
+    numbered = written(slim.withColumn("row", F.monotonically_increasing_id()), "numbered-documents")
+    found = [written(_search(numbered.select(F.col("row").alias("doc_id"), "text"), dealt.filter(F.col("batch") == k).select("i", "t"), window),
+                     "batch-found") for k in range(batches)]
+    words = found[0].select(F.col("doc_id").alias("row"), "n_words")
+    n = F.coalesce("n_hit", F.lit(0))
+    none = F.array().cast("array<string>")
+    joined = numbered.select("row", "doc_id").join(words, "row").join(_merged(found), "row", "left").withColumn("items", F.coalesce("items", none))
+    return joined.select("doc_id", "n_words", n.cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n > 0).alias("contaminated"), "items",
+                         F.coalesce("spans", F.array().cast(f"array<{SPAN}>")).alias("spans"))
+
+
 def remove_spans(text: str | None, spans: list | None) -> str | None:
     """The text without the given UTF-8 byte ranges."""
     if not text or not spans:
         return text
     raw, at, out = text.encode(), 0, []
-    for a, b in spans:
+    for a, b, *_ in spans:
         out.append(raw[at:a])
         at = b
     return b"".join([*out, raw[at:]]).decode()
