@@ -102,6 +102,32 @@ def test_pipeline_stages_against_brute_force(spark, odd, tmp_path):
         (r.doc_id for r in stage4.collect()), key=lambda x: (x is not None, x))
 
 
+def test_rows_of_one_key_are_told_apart(spark):
+    """Rows equal in identifier and text, or in all columns: each has its own
+    fate, and one of each group of copies stays."""
+    text = " ".join(f"plain{i} english words of the text" for i in range(12))
+    rows = [(1, text, "en", "a", 1), (1, text, "en", "b", 2), (1, text, "en", "a", 1), (None, text, "en", "c", 3), (2, "1234", "en", "a", 4),
+            (2, "1234", "en", "b", 5), (3, " ".join(f"other{i} words altogether" for i in range(20)), "en", "a", 6)]
+    docs = written(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, row_number long"), "equal-rows")
+    kept = P.near_duplicates(spark, docs, SF).collect()
+    assert Counter(r.doc_id for r in kept) == {1: 1, 2: 1, 3: 1} and [r for r in kept if r.doc_id == 1][0].text == text
+    assert sorted(r.row_number for r in P.language_id(spark, docs, SF).collect()) != []
+    assert P.decontamination(spark, docs, SF).count() == 7 and kept[0].asDict().keys() == set(docs.columns)
+
+
+def test_runs_side_by_side_keep_their_tables(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+
+    def two_stages(_) -> int:
+        first = written(P.decontamination(spark, docs, SF), "side-by-side")
+        return P.mixing(spark, first, SF).count()
+
+    with ThreadPoolExecutor(2) as pool:
+        a, b = pool.map(two_stages, range(2))
+    assert a == b > 0
+
+
 def test_run_is_the_stages_in_order(spark):
     rows = P.run(spark, SF).collect()
     assert rows and set(rows[0].asDict()) == {"doc_id", "start", "n_tokens", "ids_crc32"}

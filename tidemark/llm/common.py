@@ -5,8 +5,11 @@ from __future__ import annotations
 import os
 import string
 import tempfile
+import threading
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,14 +42,18 @@ def ship_code(spark: SparkSession) -> None:
     sc._tidemark_shipped = True
 
 
-# Scratch tables that this process has written, oldest first.
+# Scratch tables that this process has written, oldest first, and those written
+# within ``own_scratch`` of a thread.
 _SCRATCH: list[str] = []
+_OWN = threading.local()
 
 
 def scratch_table(spark: SparkSession, name: str) -> str:
     """A new path for an intermediate table in the shared checkpoint folder."""
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     _SCRATCH.append(path)
+    for tables in getattr(_OWN, "open", []):
+        tables.append(path)
     return path
 
 
@@ -54,6 +61,17 @@ def scratch_tables() -> list[str]:
     return list(_SCRATCH)
 
 
+@contextmanager
+def own_scratch() -> Iterator[list[str]]:
+    """The scratch tables that this thread writes within the block."""
+    tables: list[str] = []
+    _OWN.open = [*getattr(_OWN, "open", []), tables]
+    try:
+        yield tables
+    finally:
+        _OWN.open = [t for t in _OWN.open if t is not tables]
+
+
 def drop_scratch(spark: SparkSession, paths: list[str]) -> None:
     """Delete scratch tables whose results have been stored elsewhere."""
     for path in paths:
