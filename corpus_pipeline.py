@@ -6,16 +6,18 @@ before it kept, and returns the columns of ``docs`` (the last: the digest of the
 token files).  A stage's result is written as Parquet and reread as the next
 one's docs; a stage may then drop the scratch tables of the one before.
 
-Rows are told apart by a hash of identifier and text, so identifiers may repeat
-or be null.
+A stage that decides about rows writes them with a number first, so identifiers
+may repeat or be null, and rows that are equal in all columns are still told apart.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import threading
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import drop_scratch, scratch_table, scratch_tables, written
+from tidemark.llm.common import drop_scratch, own_scratch, scratch_table, written
 from tidemark.llm.decontaminate import find_contamination
 from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.langid import UNKNOWN, identify_languages, train_on
@@ -27,7 +29,9 @@ MIN_LANGUAGE_SCORE = 0.35
 
 ORACLE_SQL = None  # a trained network and a tokenizer: tested by brute force
 
-_OF_LAST_STAGE: list[str] = []
+# Scratch tables of the last stage that this thread ran: runs side by side must
+# not drop each other's.
+_LAST = threading.local()
 
 
 def _stage(fn):
@@ -35,72 +39,59 @@ def _stage(fn):
     what that one returned has been written by now."""
 
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        drop_scratch(spark, _OF_LAST_STAGE)
-        _OF_LAST_STAGE.clear()
-        before = set(scratch_tables())
-        out = fn(spark, docs, sf_dir)
-        _OF_LAST_STAGE.extend(p for p in scratch_tables() if p not in before)
+        drop_scratch(spark, getattr(_LAST, "tables", []))
+        _LAST.tables = []
+        with own_scratch() as tables:
+            out = fn(spark, docs, sf_dir)
+        _LAST.tables = tables
         return out
 
     run_stage.__name__, run_stage.__doc__ = fn.__name__, fn.__doc__
     return run_stage
 
 
-def _row_key() -> Column:
-    return F.xxhash64("doc_id", "text")
-
-
-def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
-    """The rows with their key under a name that no column has."""
-    name = "row_key"
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows, written with a number under a name that no column has."""
+    name = "row_number"
     while name in docs.columns:
         name += "_"
-    return docs.withColumn(name, _row_key()), name
+    return written(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The rows whose key is not in ``rejected`` (one column of keys)."""
-    keyed, name = _keyed(docs)
-    gone = written(rejected.toDF("gone").distinct(), "rejected")
-    return keyed.join(gone, F.col(name) == F.col("gone"), "left_anti").drop(name)
+def _without(numbered: DataFrame, name: str, rejected: DataFrame) -> DataFrame:
+    """The rows whose number is not in ``rejected`` (one column of numbers)."""
+    gone = written(rejected.toDF("gone"), "rejected")
+    return numbered.join(gone, F.col(name) == F.col("gone"), "left_anti").drop(name)
 
 
 @_stage
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts of a recognised language; null, letterless and unclear ones go."""
-    net = train_on(docs)
-    slim = docs.select(_row_key().alias("key"), "text")
-    found = identify_languages(slim, id_col="key", net=net)
-    return _without(docs, found.filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < MIN_LANGUAGE_SCORE)).select("doc_id"))
+    numbered, row = _numbered(docs)
+    found = identify_languages(numbered.select(row, "text"), id_col=row, net=train_on(docs))
+    return _without(numbered, row, found.filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < MIN_LANGUAGE_SCORE)).select("doc_id"))
 
 
 @_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component of near duplicates: that of the smallest
-    identifier, and of these the smallest key."""
-    slim = docs.select(_row_key().alias("key"), "text")
-    component = written(jaccard_components(slim, id_col="key")
-                        .select(F.col("doc_id").alias("key"), F.col("component_id").alias("component")), "near-components")
+    identifier, and of these the first."""
+    numbered, row = _numbered(docs)
+    component = written(jaccard_components(numbered.select(row, "text"), id_col=row)
+                        .select(F.col("doc_id").alias("row"), F.col("component_id").alias("component")), "near-components")
     groups = component.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("component")
-    members = component.join(groups, "component").distinct().join(
-        docs.select(_row_key().alias("key"), "doc_id").distinct(), "key")
+    members = component.join(groups, "component").join(numbered.select(F.col(row).alias("row"), "doc_id"), "row")
     stays = members.groupBy("component").agg(F.min(F.struct(
-        F.col("doc_id").isNull().alias("last"), "doc_id", "key")).getField("key").alias("stay"))
-    kept = _without(docs, members.join(stays, "component").filter("key != stay").select("key"))
-    repeated = written(component.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "repeated")
-    if not repeated.limit(1).count():
-        return kept
-    keyed, name = _keyed(kept)
-    once = keyed.join(repeated, F.col(name) == F.col("key"), "left_semi").dropDuplicates([name])
-    return keyed.join(repeated, F.col(name) == F.col("key"), "left_anti").unionByName(once).drop(name)
+        F.col("doc_id").isNull().alias("last"), "doc_id", "row")).getField("row").alias("stay"))
+    return _without(numbered, row, members.join(stays, "component").filter("row != stay").select("row"))
 
 
 @_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any benchmark passage."""
-    slim = docs.select(_row_key().alias("key"), "text")
-    found = find_contamination(slim, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="key")
-    return _without(docs, found.filter("contaminated").select("doc_id"))
+    numbered, row = _numbered(docs)
+    found = find_contamination(numbered.select(row, "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=row)
+    return _without(numbered, row, found.filter("contaminated").select("doc_id"))
 
 
 @_stage
