@@ -264,3 +264,33 @@ def test_session_counter_snapshot_counts_and_forgets(spark):
         J.start_session_counter(J.file_source(spark, src, spark.read.parquet(src).schema), out, ck).awaitTermination()
         seen.append(sorted((r.user_session, r.activity_count) for r in J.live_sessions(spark, out).collect()))
     assert seen == [[("a", 2), ("b", 1)], [("a", 3), ("b", 1)], [("a", 3), ("c", 1)]]
+
+
+def test_late_rows_go_to_their_own_table_and_replay_alike(spark):
+    import datetime as dt
+    src, ok, late, ck = (_p(spark, x) for x in ("lrsrc", "lrok", "lrlate", "lrck"))
+    t = dt.datetime(2024, 1, 1)
+    schema = "n long, event_timestamp timestamp"
+    batches = [[(1, 0), (2, 60), (3, None)], [(4, 58), (5, 59), (6, 70), (7, 0), (8, None)], [(9, 69), (10, 68), (11, 100)]]
+    for rows in batches:
+        spark.createDataFrame([(n, None if m is None else t + dt.timedelta(minutes=m)) for n, m in rows], schema).coalesce(1).write.mode("append").parquet(src)
+        J.start_late_split(J.file_source(spark, src, spark.read.parquet(src).schema), "event_timestamp", ok, late, ck).awaitTermination()
+    on_time, behind = ({r.n for r in spark.read.parquet(p).collect()} for p in (ok, late))
+    assert behind == {4, 7, 10} and on_time == set(range(1, 12)) - behind
+    # the same batches again, with nothing committed: the saved watermarks decide
+    J.start_late_split(J.file_source(spark, src, spark.read.parquet(src).schema, max_files=1), "event_timestamp", ok, late, _p(spark, "lrck2")).awaitTermination()
+    assert {r.n for r in spark.read.parquet(late).collect()} == behind and spark.read.parquet(ok).count() == 8
+
+
+def test_live_metrics_add_up_and_replace_replayed_batches(spark):
+    src, valid, invalid, metrics = (_p(spark, x) for x in ("lmsrc", "lmv", "lmi", "lmm"))
+    raw_envelopes(spark, SF_SMALL).select("ingest_seq", "value").repartition(3).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    for _ in range(2):      # the second job replays all batches from the start
+        J.start_validation_routing(J.file_source(spark, src, schema, max_files=1), valid, invalid, _p(spark, "lmck"), ["ingest_seq"],
+                                   metrics_path=metrics).awaitTermination()
+        m = J.live_metrics(spark, metrics).first()
+        assert m.batches >= 3 and m.ms_per_1000 > 0
+        assert (m.success_count, m.failure_count) == (spark.read.parquet(valid).count(), spark.read.parquet(invalid).count())
+    one = J.live_metrics(spark, metrics, last=1).first()
+    assert one.batches == 1 and one.success_count < m.success_count

@@ -57,3 +57,30 @@ def test_serving_helpers(spark):
     got = TR.coerce_numeric(TR.select_present(df, ["brand", "price", "activity_count"]), {"price": "float", "activity_count": "int"})
     assert got.columns == ["price", "activity_count"] and tuple(got.first()) == (1.5, 0)
     assert TR.fit_gbt(_rows(spark, 60), FEATURES).getNumTrees == TR.BOOST_ROUNDS
+
+
+def test_training_queries_return_what_the_model_says(spark):
+    """Probabilities, predictions, parameters and errors of the queries belong together."""
+    import math
+
+    from conftest import SF_SMALL
+
+    import __spark_entry__ as E
+    q = E.queries()
+    trials = [r.asDict() for r in q["trials"](spark, SF_SMALL).collect()]
+    assert [t["trial_id"] for t in trials] == list(range(TR.TRIALS))
+    want = TR.sample_trials()
+    for t, w in zip(trials, want):
+        assert all(abs(t[k] - float(w[k])) < 1e-6 for k in w) and 0 < t["validation_rmse"] < 1
+    best = q["best_trial"](spark, SF_SMALL).first().asDict()
+    least = min(trials, key=lambda t: (t["validation_rmse"], t["trial_id"]))
+    assert best["trial_id"] == least["trial_id"] and abs(best["validation_rmse"] - least["validation_rmse"]) < 0.02
+    for name in ("train_predict", "score_features"):
+        rows = q[name](spark, SF_SMALL).collect()
+        assert rows and all(0 <= r.p <= 1 and r.prediction == float(r.p > 0.5) for r in rows)
+    rows = q["train_predict"](spark, SF_SMALL).collect()
+    rmse = math.sqrt(sum((r.p - r.is_purchased) ** 2 for r in rows) / len(rows))
+    assert abs(rmse - best["validation_rmse"]) < 0.15
+    assert rmse < math.sqrt(sum((0.5 - r.is_purchased) ** 2 for r in rows) / len(rows))     # better than no opinion
+    served = q["serving_features"](spark, SF_SMALL).collect()
+    assert sorted(map(tuple, served)) == sorted(tuple(r)[:-2] for r in q["score_features"](spark, SF_SMALL).collect())

@@ -38,7 +38,8 @@ def dim_date(silver: DataFrame, hourly: bool = False) -> DataFrame:
 
 
 def fact_events(silver: DataFrame) -> DataFrame:
-    """Fact rows; the surrogate key is the source's arrival sequence (unique, no global sort)."""
+    """Fact rows under the source's arrival sequence as identifier; ``keys.load_with_keys``
+    gives them generated keys that go on from load to load."""
     return silver.select(
         F.col("ingest_seq").alias("event_id"), "event_type",
         F.col("user_id").cast("bigint"), F.col("product_id").cast("bigint"),

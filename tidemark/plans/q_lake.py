@@ -190,6 +190,41 @@ def q_stream_route_valid(spark, sf):
     return envelope_decode(spark.read.parquet(valid), keep=["ingest_seq"])
 
 
+@register("stream_metrics", with_ctes("""
+SELECT count(*) FILTER (WHERE valid = 'VALID') AS success_count, count(*) FILTER (WHERE valid <> 'VALID') AS failure_count,
+       true AS has_time FROM verdict""", VERDICT_CTES))
+def q_stream_metrics(spark, sf):
+    """Counters that the routing job adds to its metrics table, batch by batch."""
+    src, metrics, ck = _fresh(spark, "metricsrc"), _fresh(spark, "metrics"), _fresh(spark, "ckm")
+    raw_envelopes(spark, sf).select("ingest_seq", "value").repartition(3).write.parquet(src)
+    stream = J.file_source(spark, src, spark.read.parquet(src).schema, max_files=1)
+    J.start_validation_routing(stream, _fresh(spark, "valid"), _fresh(spark, "invalid"), ck, keep=["ingest_seq"],
+                               metrics_path=metrics).awaitTermination()
+    return J.live_metrics(spark, metrics).select("success_count", "failure_count", (F.col("ms_per_1000") > 0).alias("has_time"))
+
+
+LATE_PARTS = 3
+
+
+@register("stream_late_rows", with_ctes(f"""
+, e AS (SELECT ingest_seq, strptime(replace(event_time, ' UTC', ''), '%Y-%m-%d %H:%M:%S') AS ts,
+               CAST(('0x' || substr(sha256(CAST(ingest_seq AS VARCHAR)), 1, 8)) AS BIGINT) % {LATE_PARTS} AS part FROM behaviour),
+marks AS (SELECT part, max(max(ts)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM e GROUP BY part)
+SELECT ingest_seq, coalesce(ts < newest - INTERVAL 10 DAY, false) AS late FROM e JOIN marks USING (part)""", VERDICT_CTES))
+def q_stream_late_rows(spark, sf):
+    """Events that come in no order of time, in several batches: those more than
+    ten days behind what was seen before go to the late table."""
+    src, on_time, late, ck = (_fresh(spark, x) for x in ("latesrc", "ontime", "late", "ckl"))
+    rows = materialize(behaviour_events(spark, sf).select("ingest_seq", parse_event_time("event_time").alias("event_timestamp")))
+    part = F.pmod(F.conv(F.substring(F.sha2(F.col("ingest_seq").cast("string"), 256), 1, 8), 16, 10).cast("long"), F.lit(LATE_PARTS))
+    for k in range(LATE_PARTS):
+        rows.filter(part == k).write.mode("append").parquet(src)
+        J.start_late_split(J.file_source(spark, src, rows.schema), "event_timestamp", on_time, late, ck, delay="10 days").awaitTermination()
+    tables = [spark.read.schema("ingest_seq long, batch_id long").parquet(p).select("ingest_seq", F.lit(is_late).alias("late"))
+              for p, is_late in ((on_time, False), (late, True)) if J.existing_folder(spark, p)]
+    return tables[0].unionByName(tables[1]) if len(tables) > 1 else tables[0]
+
+
 @register("stream_features", with_ctes(f"SELECT ingest_seq, {FEATURE_COLS_SQL} FROM features", FEATURE_CTES))
 def q_stream_features(spark, sf):
     valid, _ = _stream_validated(spark, sf)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import features as FE
 from tidemark.operators import training as TR
 from tidemark.plans.oracles import with_ctes
-from tidemark.plans.q_features import FEATURE_CTES, _features, _requests
+from tidemark.plans.q_features import FEATURE_CTES, REQUEST_TS_SQL, _features, _requests
 from tidemark.plans.registry import register
 from tidemark.session import materialize, scratch_path
 from tidemark.sources.testdata import read_table
@@ -125,41 +125,75 @@ def _train_test(spark, sf, features=None):
     return enc, mapping
 
 
-def _chance(p="p"):
-    """The model's output as far as any right model agrees on it."""
-    return F.col(p).between(0.0, 1.0).alias("p_in_range")
+@register("test_split_encoded", with_ctes(
+    _encoded_sql(TEST_SQL, "f.ingest_seq, "), MAPPING_CTES.format(src=f"(SELECT * FROM features WHERE {BUCKET_SQL} >= 3)")))
+def q_test_split_encoded(spark, sf):
+    """The test split under the train split's encoding, as the model sees it."""
+    enc, _ = _train_test(spark, sf)
+    return enc.filter(F.col("split") == "test").select("ingest_seq", *TR.TRAINING_COLUMNS)
 
 
-@register("train_predict", with_ctes(
-    _encoded_sql(TEST_SQL, "f.ingest_seq, ", ", true AS p_in_range"),
-    MAPPING_CTES.format(src=f"(SELECT * FROM features WHERE {BUCKET_SQL} >= 3)")))
+@register("train_predict")
 def q_train_predict(spark, sf):
-    """Tuned boosted trees fitted on the train split, scoring the test split."""
+    """Tuned boosted trees fitted on the train split, scoring the test split:
+    inputs, label, purchase probability and prediction (0 or 1)."""
     enc, _ = _train_test(spark, sf)
     model, _ = TR.fit_tuned(enc.filter(F.col("split") == "train"), MODEL_FEATURES)
     return TR.score(model, enc.filter(F.col("split") == "test")).select(
-        "ingest_seq", *TR.TRAINING_COLUMNS, _chance())
+        "ingest_seq", *TR.TRAINING_COLUMNS, "p", "prediction")
 
 
-@register("best_trial", with_ctes(
-    f"SELECT {TR.TRIALS} AS trials, true AS is_least, true AS in_space FROM (SELECT count(*) FROM features)", FEATURE_CTES))
-def q_best_trial(spark, sf):
-    """The best of the sampled trials: it has the least error of the trial
-    table, and its parameters lie in the search space."""
+@register("trials")
+def q_trials(spark, sf):
+    """The trial table: every sampled parameter set and its error."""
     enc, _ = _train_test(spark, sf)
-    trials = materialize(TR.hyperparameter_search(enc.filter(F.col("split") == "train"), MODEL_FEATURES))
-    inside = F.lit(True)
-    for k, (kind, values) in TR.SEARCH_SPACE.items():
-        inside = inside & (F.col(k).isin(*map(float, values)) if kind == "choice" else F.col(k).between(*values))
-    least = trials.agg(F.count(F.lit(1)).alias("trials"), F.min("validation_rmse").alias("least"))
-    return TR.best_trial(trials).join(least, F.col("validation_rmse") == F.col("least")).select(
-        "trials", F.col("least").isNotNull().alias("is_least"), inside.alias("in_space"))
+    return TR.hyperparameter_search(enc.filter(F.col("split") == "train"), MODEL_FEATURES)
+
+
+@register("best_trial")
+def q_best_trial(spark, sf):
+    """The trial of least error: its number, parameters and error."""
+    return TR.best_trial(materialize(q_trials(spark, sf)))
 
 
-@register("score_features", with_ctes("""
-SELECT DISTINCT user_id, product_id, true AS p_in_range FROM behaviour WHERE event_type = 'purchase'""", FEATURE_CTES))
+SERVED_FLOATS = {"price": "FLOAT", "activity_count": "INTEGER"}
+
+
+def _served_sql() -> str:
+    """Requests with their latest features, coerced and encoded."""
+    cols = [c for c in TR.SERVING_FEATURES]
+    looked = ", ".join(f"coalesce(CAST(l.{c} AS {SERVED_FLOATS[c]}), 0) AS {c}" if c in SERVED_FLOATS else f"l.{c}" for c in cols)
+    picked = ", ".join(f"CAST(coalesce(m{ENCODED.index(c)}.idx, -1) AS INTEGER) AS {c}" if c in ENCODED
+                       else (f"round(CAST(f.{c} AS DOUBLE), 6) AS {c}" if c == "price" else f"f.{c}") for c in cols)
+    joins = "\n".join(f"LEFT JOIN mapping m{i} ON m{i}.feature = '{c}' AND m{i}.value = CAST(f.{c} AS VARCHAR)" for i, c in enumerate(ENCODED))
+    return f""", f AS (
+  SELECT r.user_id, r.product_id, {looked}
+  FROM (SELECT DISTINCT user_id, product_id FROM behaviour WHERE event_type = 'purchase') r
+  LEFT JOIN latest l ON r.user_id = l.user_id AND r.product_id = l.product_id
+    AND l.event_timestamp >= {REQUEST_TS_SQL} - INTERVAL 1 DAY)
+SELECT f.user_id, f.product_id, {picked} FROM f
+{joins}"""
+
+
+def _served(spark, sf, features, vocabulary):
+    looked = FE.feature_lookup(_requests(spark, sf), FE.latest_per_key(features))
+    looked = TR.select_present(looked, keep=["user_id", "product_id"])
+    looked = TR.coerce_numeric(looked, {"price": "float", "activity_count": "int"})
+    return TR.encode_categories(looked, vocabulary).withColumn("price", F.col("price").cast("double"))
+
+
+@register("serving_features", with_ctes(_served_sql(), MAPPING_CTES.format(src=f"(SELECT * FROM features WHERE {BUCKET_SQL} >= 3)")))
+def q_serving_features(spark, sf):
+    """What the model is asked with: latest features of each request, projected,
+    coerced and encoded by the train split's vocabulary."""
+    features = materialize(_features(spark, sf))
+    _, mapping = _train_test(spark, sf, features)
+    return _served(spark, sf, features, mapping).select("user_id", "product_id", *TR.SERVING_FEATURES)
+
+
+@register("score_features")
 def q_score_features(spark, sf):
-    """Lookup of latest features -> coerce -> encode -> the saved model's probability."""
+    """Serving features with the saved and reloaded model's probability and prediction."""
     features = materialize(_features(spark, sf))   # one validation for training and serving
     enc, mapping = _train_test(spark, sf, features)
     train = enc.filter(F.col("split") == "train")
@@ -168,9 +202,5 @@ def q_score_features(spark, sf):
     held = TR.score(model, enc.filter(F.col("split") == "test"))
     TR.save_model(model, mapping, TR.eval_metrics(held, TR.LABEL, "p"), path)
     saved, vocabulary = TR.load_model(spark, path)
-    looked = FE.feature_lookup(_requests(spark, sf), FE.latest_per_key(features))
-    looked = TR.select_present(looked, keep=["user_id", "product_id"])
-    looked = TR.coerce_numeric(looked, {"price": "float", "activity_count": "int"})
-    encoded = TR.encode_categories(looked, vocabulary)
-    return TR.score(saved, encoded.withColumn("price", F.col("price").cast("double"))).select(
-        "user_id", "product_id", _chance())
+    return TR.score(saved, _served(spark, sf, features, vocabulary)).select(
+        "user_id", "product_id", *TR.SERVING_FEATURES, "p", "prediction")

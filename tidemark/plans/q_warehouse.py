@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
 from tidemark.operators import bronze as B
 from tidemark.operators import gold as G
+from tidemark.operators import keys as K
 from tidemark.operators import quality as Q
 from tidemark.operators import silver as S
+from tidemark.operators import sinks
 from tidemark.operators.envelope import envelope_decode, envelope_encode
 from tidemark.plans.oracles import r6, with_ctes
 from tidemark.plans.registry import register
 from tidemark.plans.warehouse import Gold, bronze_input, clean_rows, silver_rows
+from tidemark.session import materialize, scratch_path
 from tidemark.sources.testdata import EVENT_FIELDS, behaviour_events, raw_envelopes
 
 # Fixed clock for enrichment so results are reproducible.
@@ -252,6 +256,32 @@ def q_vw_category_performance(spark, sf):
     return Gold(spark, sf).vw_category_performance()
 
 
+@register("fact_keys", with_ctes(f"""
+SELECT event_id, row_number() OVER (ORDER BY event_date > DATE '{FIRST_RUN_LAST_DATE}', event_id) AS event_key FROM fact_events"""))
+def q_fact_keys(spark, sf):
+    """Two loads, the second made twice: generated keys, gapless over both; the
+    rows of the first keep theirs."""
+    fact = materialize(Gold(spark, sf).events)
+    path = scratch_path(spark, f"keys-{uuid.uuid4().hex[:12]}")
+    first = F.col("event_date") <= F.lit(FIRST_RUN_LAST_DATE).cast("date")
+    for version, part in ((0, first), (1, ~first), (1, ~first)):
+        K.load_with_keys(fact.filter(part).select("event_id", "event_type"), path, version, ["event_id"], "event_key")
+    return K.keyed_rows(spark, path).select("event_id", "event_key")
+
+
+@register("catalog_view", VW_CATEGORY_PERFORMANCE_SQL)
+def q_catalog_view(spark, sf):
+    """``vw_category_performance`` by name, in a second session."""
+    run = uuid.uuid4().hex[:12]
+    g, database = Gold(spark, sf), f"gold_{run}"
+    sinks.publish_tables(spark, database, {"fact_events": g.events, "dim_user": g.dim_user, "dim_product": g.dim_product,
+                                           "dim_category": g.dim_category, "dim_date": g.dim_date}, scratch_path(spark, f"gold-{run}"))
+    sinks.publish_views(spark, database)
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "UTC")
+    return other.table(f"{database}.vw_category_performance")
+
+
 @register("expect_row_count", with_ctes("""
 SELECT 'raw_data_suite' AS expectation, count(*) AS observed,
        count(*) BETWEEN 0 AND 1000000 AS success FROM bronze_in

@@ -11,6 +11,7 @@ tracked in a checkpoint on the shared checkpoint folder.
 from __future__ import annotations
 
 import datetime as _dt
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,20 +64,28 @@ def _write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet")
 
 
 def start_validation_routing(stream: DataFrame, valid_path: str, invalid_path: str, checkpoint: str,
-                             keep: list[str], trigger: dict | None = None) -> StreamingQuery:
+                             keep: list[str], trigger: dict | None = None, metrics_path: str | None = None) -> StreamingQuery:
     """Validate each record once and route by verdict to two sinks.
 
     The schemas that a batch's records begin with are found first, by a pass
     that only cuts texts; the verdict is then a column, so the JSON is parsed
     once a record, and the batch is persisted so that both filtered writes read
-    the same rows.
+    the same rows.  Given ``metrics_path``, each batch adds a row of counters and
+    its processing time to the table there (``live_metrics``); a replayed batch
+    replaces its row.
     """
 
     def route(batch: DataFrame, batch_id: int) -> None:
+        began = time.monotonic()
         verdicts = V.validate_dynamic(batch, keep=keep + ["value"], known=V.record_heads(batch)).persist()
         try:
             _write_batch(verdicts.filter(F.col("valid") == V.VALID), valid_path, batch_id)
             _write_batch(V.invalid_record_json(verdicts.filter(F.col("valid") == V.INVALID)), invalid_path, batch_id)
+            if metrics_path is not None:
+                n = verdicts.agg(F.count_if(F.col("valid") == V.VALID), F.count_if(F.col("valid") == V.INVALID)).first()
+                _write_batch(batch.sparkSession.createDataFrame(
+                    [(n[0], n[1], 1000.0 * (time.monotonic() - began), _dt.datetime.now(_dt.timezone.utc))], METRICS).coalesce(1),
+                    metrics_path, batch_id)
         finally:
             verdicts.unpersist()
 
@@ -84,6 +93,52 @@ def start_validation_routing(stream: DataFrame, valid_path: str, invalid_path: s
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+METRICS = "success_count long, failure_count long, processing_ms double, finished_at timestamp"
+
+
+def live_metrics(spark: SparkSession, path: str, last: int | None = None) -> DataFrame:
+    """Running totals of the batches finished so far (the ``last`` ones, if
+    given): records that passed and failed, and milliseconds per 1000 records."""
+    rows = spark.read.schema(f"{METRICS}, batch_id long").parquet(path)
+    if last is not None:
+        rows = rows.orderBy(F.desc("batch_id")).limit(last)
+    records = F.sum(F.col("success_count") + F.col("failure_count"))
+    return rows.agg(F.count(F.lit(1)).alias("batches"), F.sum("success_count").alias("success_count"),
+                    F.sum("failure_count").alias("failure_count"),
+                    F.when(records > 0, 1000 * F.sum("processing_ms") / records).alias("ms_per_1000"))
+
+
+def start_late_split(events: DataFrame, ts: str, on_time_path: str, late_path: str, checkpoint: str, delay: str = FEATURE_WATERMARK,
+                     trigger: dict | None = None) -> StreamingQuery:
+    """Write rows behind the watermark to a table of their own.
+
+    The watermark of a batch is the newest ``ts`` of all batches before it, less
+    ``delay``; it is saved with each batch (``<late_path>_marks``), so a replayed
+    batch splits as it did before.  Rows without a time are on time: no rule
+    says that they are late.  Every row goes to one of the tables.
+    """
+    marks = f"{late_path}_marks"
+
+    def split(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.persist()
+        try:
+            known = [b for b in batch_numbers(spark, marks) if b < batch_id]
+            before = spark.read.parquet(f"{marks}/batch_id={known[-1]}").first().newest if known else None
+            bound = F.lit(before) - F.expr(f"INTERVAL {delay}") if before is not None else F.lit(None).cast("timestamp")
+            late = F.coalesce(F.col(ts) < bound, F.lit(False))
+            _write_batch(rows.filter(~late), on_time_path, batch_id)
+            _write_batch(rows.filter(late).withColumn("watermark", bound), late_path, batch_id)
+            newest = rows.agg(F.max(ts)).first()[0]
+            newest = max(x for x in (before, newest) if x is not None) if (before, newest) != (None, None) else None
+            _write_batch(spark.createDataFrame([(newest,)], "newest timestamp").coalesce(1), marks, batch_id)
+        finally:
+            rows.unpersist()
+
+    w = events.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
 def start_feature_ingest(validated: DataFrame, offline_path: str, checkpoint: str, keep: list[str],
                          trigger: dict | None = None, online_path: str | None = None) -> StreamingQuery:
     """Per micro-batch: decode validated records, build feature rows, append to the
