@@ -145,6 +145,50 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY norm) AS keep_id,
 FROM t
 """
 
+# crc32 of a text's bytes, by the usual table of 256 steps.
+CRC_CTES = """
+crc_table AS (
+  SELECT list_transform(range(256), lambda n: list_reduce([n] || range(8),
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps),
+crcs AS (
+  SELECT t, xor(list_reduce([4294967295] || list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda x: ('0x' || x)::BIGINT),
+                            lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295) AS crc
+  FROM (SELECT DISTINCT coalesce(text, '') AS t FROM documents), crc_table)"""
+
+ORACLES["op8_stratified_shards"] = f"""
+WITH {CRC_CTES.strip()},
+d AS (
+  SELECT doc_id, source, coalesce(text, '') AS t, coalesce('=' || source, '') AS stratum,
+         md5('42|' || coalesce(doc_id::VARCHAR, '~') || '|' || md5(coalesce(text, ''))) AS draw
+  FROM documents),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY draw, doc_id) AS k, count(*) OVER (PARTITION BY stratum) AS n FROM d),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY ((2 * k - 1) * 4096) // (2 * n), (k - 0.5::DOUBLE) / n, draw, doc_id) - 1 AS pos,
+         count(*) OVER () AS total
+  FROM ranked)
+SELECT doc_id, (octet_length(encode(t)) + 8)::BIGINT AS size, crc::BIGINT AS text_crc32, 'rows' AS law,
+       ((pos * 24) // total)::INTEGER AS shard, (pos - (((pos * 24) // total) * total + 23) // 24)::BIGINT AS slot,
+       NULL::INTEGER AS grown_shard, source
+FROM placed JOIN crcs USING (t)
+"""
+
+ORACLES["op10_chat_format"] = r"""
+WITH rows_ AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'), (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')),
+sized AS (
+  SELECT *, replace(replace(role, '\', '\\'), chr(10), '\n') AS shown FROM rows_)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(length('<|im_start|>') + length(shown) + len(regexp_extract_all(shown, '<\\*\|')) + 1
+           + length(text) + len(regexp_extract_all(text, '<\\*\|')) + length('<|im_end|>') + 1)::BIGINT AS formatted_chars,
+       false AS rewrites
+FROM sized GROUP BY conv_id
+"""
+
 ORACLES["op11_hard_negatives"] = """
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding
