@@ -172,55 +172,60 @@ def test_large_benchmarks_are_searched_in_batches(spark, odd, monkeypatch):
 
 # scoring
 
-def lm_by_hand(rows):
+def lm_by_hand(rows, order):
     """The whole model by plain dictionaries, with the weights it learned."""
     tokens = [[*space_words(t), "\0"] for _, t in rows]
     fold = [crc(d) % 7 for d, _ in rows]
     parts = {k: [t for t, f in zip(tokens, fold) if (I.TUNED if f == I.DELETED else I.OUT if f == I.HELD_OUT else I.KEPT) == k] for k in range(3)}
-    uni = {k: Counter(w for t in parts[k] for w in t) for k in range(3)}
-    two = {k: Counter(p for t in parts[k] for p in zip([None, *t], t)) for k in range(3)}
-    n = {k: sum(uni[k].values()) for k in range(3)}
-    vocabulary = set(uni[0]) | set(uni[1])
+
+    def gram(t, i, n):  # the n words up to the i-th, or all from the text's start on
+        return tuple(t[i - n + 1:i + 1]) if i >= n - 1 else (None, *t[:i + 1])
+
+    count = {(n, k): Counter(gram(t, i, n) for t in parts[k] for i in range(len(t))) for n in range(1, order + 1) for k in range(3)}
+    size = {k: sum(count[1, k].values()) for k in range(3)}
+    vocabulary = set(count[1, 0]) | set(count[1, 1])
     floor = 1 / (len(vocabulary) + 1)
 
     def estimates(t, deleted):
         use = [0] if deleted else [0, 1]
-        total, texts = sum(n[k] for k in use), sum(len(parts[k]) for k in use)
+        total, texts = sum(size[k] for k in use), sum(len(parts[k]) for k in use)
         out = []
-        for a, b in zip([None, *t], t):
-            context = texts if a is None else sum(uni[k][a] for k in use)
-            both = sum(two[k][a, b] for k in use)
-            out.append((context, sum(uni[k][b] for k in use) / max(total, 1), both / context if context else 0.0))
+        for i in range(len(t)):
+            contexts = [sum(count[n - 1, k][gram(t, i - 1, n - 1)] for k in use) if i else texts for n in range(2, order + 1)]
+            p = [sum(count[n, k][gram(t, i, n)] for k in use) / max(c, 1) if c else 0.0
+                 for n, c in zip(range(1, order + 1), [max(total, 1), *contexts])]
+            out.append((contexts, p))
         return out
 
     def rat(p):
         return int(np.rint(I.BINS * math.log(p / floor))) if p else -9999
 
-    learn = Counter((int(I._bucket(np.array([c]))[0]), rat(p1), rat(p2)) for t in parts[1] for c, p1, p2 in estimates(t, True))
-    keys = np.array(list(learn), np.int64).reshape(len(learn), 3)
-    weights = I.learn_weights(keys, np.array(list(learn.values())), 2)
-    total = n[0] + n[1]
+    bucket = lambda c: int(I._bucket(np.array([c]))[0])
+    learn = Counter((*map(bucket, c), *map(rat, p)) for t in parts[1] for c, p in estimates(t, True))
+    keys = np.array(list(learn), np.int64).reshape(len(learn), 2 * order - 1)
+    weights = I.learn_weights(keys, np.array(list(learn.values())), order)
+    total = size[0] + size[1]
     out = []
     for (d, _), t, f in zip(rows, tokens, fold):
-        known = [uni[0][w] + uni[1][w] for w in t]
+        known = [count[1, 0][w,] + count[1, 1][w,] for w in t]
         score = 0.0
-        for c, p1, p2 in estimates(t, False):
-            w = weights[int(I._bucket(np.array([c]))[0])].copy()
-            if not c:
-                w[2] = 0
+        for c, p in estimates(t, False):
+            w = weights[bucket(c[-1])].copy()
+            w[2:] *= np.array(c) > 0
             w /= w.sum()
-            score += math.log10(w[0] * floor + w[1] * p1 + w[2] * p2)
+            score += math.log10(w[0] * floor + (w[1:] * p).sum())
         base = sum(math.log10((k + 1) / (total + len(vocabulary) + 1)) for k in known)
         out.append((d, f == I.HELD_OUT, len(t), sum(k > 0 for k in known), total, round(base, 6), round(score, 6)))
     return out
 
 
-def test_scores_odd_rows(odd, empty):
-    got = [(*tuple(r)[:5], round(r.base_score, 6), round(r.score, 6)) for r in score_documents(odd).collect()]
-    want = lm_by_hand(ROWS)
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_scores_odd_rows(odd, empty, order):
+    got = [(*tuple(r)[:5], round(r.base_score, 6), round(r.score, 6)) for r in score_documents(odd, order).collect()]
+    want = lm_by_hand(ROWS, order)
     for g, w in zip(sorted(got, key=key), sorted(want, key=key)):
         assert g[:5] == w[:5] and g[5:] == pytest.approx(w[5:], rel=1e-6)
-    assert len(got) == len(want) and score_documents(empty).collect() == []
+    assert len(got) == len(want) and score_documents(empty, order).collect() == []
 
 
 def test_totals_beyond_four_bytes():

@@ -23,7 +23,7 @@ from tidemark.llm import words as W
 from tidemark.llm.common import ship_code, written
 
 FOLDS, HELD_OUT, DELETED = 7, 2, 3
-ORDER = 2
+ORDER = 3
 KEY_BITS = 48
 # Context-frequency buckets: unseen, 1, 2-3, 4-7, ...
 BUCKETS = 33
