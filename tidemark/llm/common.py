@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import string
 import tempfile
@@ -88,6 +89,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """In a task: return freed memory to the system.  Python workers live on
+    beside the next tasks, and keep what their allocators hold."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only.  Texts of ASCII alone take the byte-wise
     ``lower``; others go through ``translate``."""

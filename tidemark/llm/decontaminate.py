@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
-from tidemark.llm.common import ship_code, utf8_size, written
+from tidemark.llm.common import give_back, ship_code, utf8_size, written
 from tidemark.llm.fm_index import FMIndex
 
 WINDOW = 10
@@ -188,6 +188,8 @@ def _search(slim: DataFrame, batch: DataFrame, window: int) -> DataFrame:
                     shard = _Shard()
         if shard.ids:
             yield shard.result(phrases.value)
+            shard = _Shard()
+        give_back()
 
     return slim.mapInArrow(run, SCHEMA)
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ship_code
+from tidemark.llm.common import give_back, ship_code
 from tidemark.llm.words import cuts_by, offsets_of
 
 HIDDEN = 8
@@ -330,6 +330,7 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 [batch.column(0), batch.column(1), pa.array([names[k] for k in row.tolist()], pa.string()),
                  pa.array(np.array(scores)[row] if len(row) else [], pa.float64())],
                 names=["doc_id", "held_out", "lang_pred", "score"])
+        give_back()
 
     held_out = F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(FOLDS)) == 0
     found = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out.alias("held_out"),
