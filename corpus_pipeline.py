@@ -6,15 +6,17 @@ before it kept, and returns the columns of ``docs`` (the last: the digest of the
 token files).  A stage's result is written as Parquet and reread as the next
 one's docs; a stage may then drop the scratch tables of the one before.
 
-A stage that decides about rows writes them with a number first, so identifiers
-may repeat or be null, and rows that are equal in all columns are still told apart.
+A stage that decides about rows numbers them by their place, file and row, in the
+table that it reads.  So identifiers may repeat or be null, and rows that are equal in
+all columns are still told apart.
 """
 
 from __future__ import annotations
 
 import threading
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import drop_scratch, own_scratch, scratch_table, written
@@ -26,6 +28,8 @@ from tidemark.llm.token_files import token_digest
 
 # A text is rejected when no language is found, or none with this probability.
 MIN_LANGUAGE_SCORE = 0.35
+# Files of a table up to which their numbers are broadcast.
+MAX_FILES = 100_000
 
 ORACLE_SQL = None  # a trained network and a tokenizer: tested by brute force
 
@@ -51,13 +55,29 @@ def _stage(fn):
 
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """The rows, written with a number under a name that no column has."""
-    name = "row_number"
-    while name in docs.columns:
-        name += "_"
+    """The rows with a number of their own under a name that no column has, the
+    same whenever they are read: a scan's rows by file and place, any other rows
+    written with a number first."""
+    name, path, place = (_free(n, docs.columns) for n in ("row_number", "row_path", "row_place"))
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(place))
+    except AnalysisException:  # no scan of files
+        placed = None
+    if placed is not None:
+        files = written(placed.select(path).distinct().withColumn(
+            name, F.row_number().over(Window.orderBy(path)).cast("long")), "files")  # one row a file
+        if files.count() <= MAX_FILES:
+            number = F.shiftleft(F.col(name), 40) + F.col(place)
+            return placed.join(F.broadcast(files), path).withColumn(name, number).select(*docs.columns, name), name
     return written(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
 
 
+def _free(name: str, taken: list[str]) -> str:
+    while name in taken:
+        name += "_"
+    return name
+
+
 def _without(numbered: DataFrame, name: str, rejected: DataFrame) -> DataFrame:
     """The rows whose number is not in ``rejected`` (one column of numbers)."""
     gone = written(rejected.toDF("gone"), "rejected")
