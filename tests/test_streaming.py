@@ -294,3 +294,24 @@ def test_live_metrics_add_up_and_replace_replayed_batches(spark):
         assert (m.success_count, m.failure_count) == (spark.read.parquet(valid).count(), spark.read.parquet(invalid).count())
     one = J.live_metrics(spark, metrics, last=1).first()
     assert one.batches == 1 and one.success_count < m.success_count
+
+
+def test_hot_session_reaches_the_state_as_few_rows_and_may_begin_anew(spark):
+    import datetime as dt
+
+    import pyarrow as pa
+    t = dt.datetime(2024, 1, 1)
+    batch = pa.RecordBatch.from_pydict({"user_session": ["hot"] * 9000 + ["b"], "ms": [*range(9000), 5]})
+    assert sorted(map(tuple, (r.values() for b in J._combined([batch, batch.slice(0, 0)]) for r in b.to_pylist()))) == [("b", 1, 5), ("hot", 9000, 8999)]
+    src, out, ck = _p(spark, "anew"), _p(spark, "anewout"), _p(spark, "anewck")
+    schema = "user_session string, event_timestamp timestamp"
+    loads = [[("a", 0), ("a", 1), (None, 1), ("z", None)], [("b", 48)], [("a", 2), ("c", 49)], [("d", 120)]]
+    for rows in loads:
+        spark.createDataFrame([(k, None if h is None else t + dt.timedelta(hours=h)) for k, h in rows], schema).write.mode("append").parquet(src)
+        said = J.session_counter_stream(J.file_source(spark, src, spark.read.parquet(src).schema))
+        (said.writeStream.outputMode("update").foreachBatch(lambda b, n: J._write_batch(b, out, n))
+         .option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination())
+    rows = [(r.user_session, r.activity_count, r.expired) for r in spark.read.parquet(out).collect()]
+    # a is closed by b's time; its late row begins a session that closes at once
+    assert sorted(x for x in rows if x[0] == "a") == [("a", 1, False), ("a", 1, True), ("a", 2, False), ("a", 2, True)]
+    assert {x for x in rows if x[0] in "bcd"} == {("b", 1, False), ("b", 1, True), ("c", 1, False), ("c", 1, True), ("d", 1, False)}

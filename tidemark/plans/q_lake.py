@@ -225,6 +225,26 @@ def q_stream_late_rows(spark, sf):
     return tables[0].unionByName(tables[1]) if len(tables) > 1 else tables[0]
 
 
+@register("session_counter", with_ctes("""
+, e AS (SELECT user_session, strptime(replace(event_time, ' UTC', ''), '%Y-%m-%d %H:%M:%S') AS ts FROM behaviour)
+SELECT user_session, count(*) AS activity_count, max(ts) AS last_seen,
+       max(ts) + INTERVAL 24 HOUR <= (SELECT max(ts) FROM e) - INTERVAL 1 MINUTE AS expired
+FROM e WHERE user_session IS NOT NULL GROUP BY user_session""", VERDICT_CTES))
+def q_session_counter(spark, sf):
+    """The stateful counter over events that arrive in three loads, in order of
+    time: what it last said of every session, closed ones and open ones."""
+    src, out, ck = (_fresh(spark, x) for x in ("countsrc", "counts", "ckc"))
+    rows = materialize(behaviour_events(spark, sf).select("user_session", parse_event_time("event_time").alias("event_timestamp")))
+    day = F.dayofmonth("event_timestamp")
+    for part in (day <= 10, (day > 10) & (day <= 20), day > 20):
+        rows.filter(part).write.mode("append").parquet(src)
+        said = J.session_counter_stream(J.file_source(spark, src, rows.schema))
+        (said.writeStream.outputMode("update").foreachBatch(lambda batch, number: J._write_batch(batch, out, number))
+         .option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination())
+    return spark.read.parquet(out).groupBy("user_session").agg(
+        F.max("activity_count").alias("activity_count"), F.max("last_seen").alias("last_seen"), F.max("expired").alias("expired"))
+
+
 @register("stream_features", with_ctes(f"SELECT ingest_seq, {FEATURE_COLS_SQL} FROM features", FEATURE_CTES))
 def q_stream_features(spark, sf):
     valid, _ = _stream_validated(spark, sf)

@@ -13,10 +13,10 @@ from __future__ import annotations
 import datetime as _dt
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from tidemark.operators import features as FE
 from tidemark.operators import validation as V
@@ -352,41 +352,70 @@ def processing_ms_per_1000(query: StreamingQuery) -> float | None:
 
 
 SESSION_TTL_MS = 24 * 3600 * 1000
-_COUNTER_OUT = "user_session string, activity_count long, last_seen timestamp, expired boolean"
-_COUNTER_STATE = "activity_count long, last_seen_ms long"
-
-
-def _session_counter(key, batches, state):
-    """Per-session running count and last-seen time; the state expires when the
-    watermark passes last_seen + TTL (one small pandas frame per key and batch)."""
-    import pandas as pd
-    if state.hasTimedOut:
-        cnt, last = state.get
-        state.remove()
-        yield pd.DataFrame({"user_session": [key[0]], "activity_count": [cnt],
-                            "last_seen": [pd.Timestamp(last, unit="ms")], "expired": [True]})
-        return
-    cnt, last = state.get if state.exists else (0, 0)
-    for pdf in batches:
-        cnt += len(pdf)
-        newest = pdf["event_timestamp"].max()
-        last = max(last, int(pd.Timestamp(newest).value // 1_000_000))
-    state.update((cnt, last))
-    state.setTimeoutTimestamp(last + SESSION_TTL_MS)
-    yield pd.DataFrame({"user_session": [key[0]], "activity_count": [cnt],
-                        "last_seen": [pd.Timestamp(last, unit="ms")], "expired": [False]})
+SESSION_OUT = "user_session string, activity_count long, last_seen timestamp, expired boolean"
+# The state store that state variables with timers need.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class SessionCounter(StatefulProcessor):
+    """Running count and last time per session.  A timer closes a session once
+    the watermark is a day past its last event; rows that come later begin it anew."""
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("session", "activity_count long, last_seen_ms long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        count, last = self.seen.get() if self.seen.exists() else (0, None)
+        before = last
+        for row in rows:
+            count += row.n
+            last = row.last_ms if last is None else max(last, row.last_ms)
+        if last != before:
+            if before is not None:
+                self.handle.deleteTimer(before + SESSION_TTL_MS)
+            self.handle.registerTimer(last + SESSION_TTL_MS)
+        self.seen.update((count, last))
+        yield self._row(key, count, last, False)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        count, last = self.seen.get()
+        self.seen.clear()
+        yield self._row(key, count, last, True)
+
+    def close(self) -> None:
+        pass
+
+    @staticmethod
+    def _row(key, count: int, last_ms: int, expired: bool) -> Row:
+        at = _dt.datetime.fromtimestamp(last_ms / 1000, _dt.timezone.utc)
+        return Row(user_session=key[0], activity_count=count, last_seen=at, expired=expired)
+
+
+def _combined(batches):
+    """One row a session for each Arrow batch: rows counted, and the last time."""
+    import pyarrow as pa
+    for batch in batches:
+        if batch.num_rows:
+            t = pa.Table.from_batches([batch]).group_by("user_session").aggregate([("ms", "count"), ("ms", "max")])
+            yield from t.rename_columns(["user_session", "n", "last_ms"]).select(
+                ["user_session", "n", "last_ms"]).cast(pa.schema([("user_session", pa.string()), ("n", pa.int64()), ("last_ms", pa.int64())])).to_batches()
 
 
 def session_counter_stream(events: DataFrame, watermark: str = FEATURE_WATERMARK) -> DataFrame:
-    """Running activity count per session (update mode) with a 24 h event-time
-    TTL on the state: the custom stateful form of the session counter.  A
-    batch's rows of one session go to one Python worker; where sessions can be
-    hot, use ``start_session_counter``, which combines them first.  State
-    is keyed by session, so it is spread over tasks by the state store's
-    partitioning and checkpointed with the query."""
-    from pyspark.sql.streaming.state import GroupStateTimeout
-    return (events.withWatermark("event_timestamp", watermark)
-            .select("user_session", "event_timestamp")
+    """Running activity count per session (update mode), closed a day of event
+    time after its last event.
+
+    Rows are combined before they reach the state, so a hot session comes as one
+    row for some thousand events; state is keyed by session, lies in the state
+    store's partitions and is checkpointed with the query.  Rows without a
+    session or a time are not counted.  Sets the session's state store to the
+    one that timers need.
+    """
+    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    slim = (events.filter(F.col("user_session").isNotNull() & F.col("event_timestamp").isNotNull())
+            .withWatermark("event_timestamp", watermark)
+            .select("user_session", F.unix_millis("event_timestamp").alias("ms")))
+    return (slim.mapInArrow(_combined, "user_session string, n long, last_ms long")
             .groupBy("user_session")
-            .applyInPandasWithState(_session_counter, _COUNTER_OUT, _COUNTER_STATE, "update",
-                                    GroupStateTimeout.EventTimeTimeout))
+            .transformWithState(SessionCounter(), SESSION_OUT, "Update", "EventTime"))
