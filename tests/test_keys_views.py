@@ -3,6 +3,7 @@ import uuid
 
 import pytest
 
+from tidemark.operators import distinct as D
 from tidemark.operators import keys as K
 from tidemark.operators import sinks as S
 from tidemark.session import scratch_path
@@ -57,3 +58,18 @@ def test_views_are_found_by_other_sessions_and_replaced(spark):
     assert S.publish_views(spark, db, {"v": "SELECT sum(id) AS n FROM {db}.t"}) == {"v": True}
     other.catalog.refreshTable(f"{db}.t")
     assert other.table(f"{db}.v").first().n == 10
+
+
+def test_distinct_counts_merge_over_runs(spark):
+    path = _p(spark, "distinct")
+    runs = [spark.range(0, 50_000).selectExpr("id % 40000 as a", "cast(id % 7 as string) as b"),
+            spark.range(0, 60_000).selectExpr("id + 39990 as a", "if(id % 3 = 0, null, concat('x', id % 9)) as b"),
+            spark.range(0).selectExpr("id as a", "'' as b")]
+    for version, rows in enumerate(runs + runs[2:] + runs[1:2]):
+        D.add_run(rows, path, min(version, 3), ["a", "b"])
+    both = runs[0].unionByName(runs[1]).selectExpr("count(distinct a)", "count(distinct b)").first()
+    assert tuple(D.distinct_counts(spark, path, ["a", "b"]).first()) == tuple(both)
+    assert tuple(D.distinct_counts(spark, path, ["a", "b"], versions=[0]).first()) == (40_000, 7)
+    assert tuple(D.distinct_counts(spark, path, ["a", "b"], versions=[2]).first()) == (0, 0)
+    plan = D.distinct_counts(spark, path, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tidemark.operators import bronze as B
+from tidemark.operators import distinct as D
 from tidemark.operators import gold as G
 from tidemark.operators import keys as K
 from tidemark.operators import quality as Q
@@ -269,6 +270,17 @@ def q_fact_keys(spark, sf):
     return K.keyed_rows(spark, path).select("event_id", "event_key")
 
 
+@register("distinct_counts", with_ctes("SELECT count(DISTINCT user_id) AS user_id, count(DISTINCT user_session) AS user_session FROM fact_events"))
+def q_distinct_counts(spark, sf):
+    """Distinct users and sessions after two runs, the second made twice, from bitmaps."""
+    fact = Gold(spark, sf).events
+    path = scratch_path(spark, f"distinct-{uuid.uuid4().hex[:12]}")
+    first = F.col("event_date") <= F.lit(FIRST_RUN_LAST_DATE).cast("date")
+    for version, part in ((0, first), (1, ~first), (1, ~first)):
+        D.add_run(fact.filter(part), path, version, ["user_id", "user_session"])
+    return D.distinct_counts(spark, path, ["user_id", "user_session"])
+
+
 @register("catalog_view", VW_CATEGORY_PERFORMANCE_SQL)
 def q_catalog_view(spark, sf):
     """``vw_category_performance`` by name, in a second session."""
