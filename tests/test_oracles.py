@@ -57,8 +57,14 @@ def test_query_matches_oracle(spark, duck, name):
     assert _digest(df.columns, srows) == _digest(dcols, drows)
 
 
+# What a trained model says has no SQL: tests/test_training.py holds it against
+# the trial table, and its deterministic inputs have queries with oracles.
+BY_MODEL = {"train_predict", "trials", "best_trial", "score_features"}
+
+
 def test_every_own_query_has_an_oracle():
-    assert OWN <= set(E.oracle_sql())
+    assert OWN - BY_MODEL <= set(E.oracle_sql()) and {"test_split_encoded", "serving_features"} <= OWN
+    assert not BY_MODEL & set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):
