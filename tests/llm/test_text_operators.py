@@ -198,11 +198,11 @@ def lm_by_hand(rows, order):
         return out
 
     def rat(p):
-        return int(np.rint(I.BINS * math.log(p / floor))) if p else -9999
+        return int(np.rint(I.BINS * math.log(p / floor))) if p else I.NO_RATIO
 
     bucket = lambda c: int(I._bucket(np.array([c]))[0])
-    learn = Counter((*map(bucket, c), *map(rat, p)) for t in parts[1] for c, p in estimates(t, True))
-    keys = np.array(list(learn), np.int64).reshape(len(learn), 2 * order - 1)
+    learn = Counter((bucket(c[-1]), *map(rat, p)) for t in parts[1] for c, p in estimates(t, True))
+    keys = np.array(list(learn), np.int64).reshape(len(learn), order + 1)
     weights = I.learn_weights(keys, np.array(list(learn.values())), order)
     total = size[0] + size[1]
     out = []
@@ -248,10 +248,10 @@ def test_exchange_adds_up_beyond_four_bytes(spark):
 def test_weights_rise_with_the_likelihood():
     """EM ends where no small change of the weights is better."""
     rng = np.random.default_rng(2)
-    keys = np.stack([np.zeros(400, np.int64), rng.integers(-20, 40, 400), rng.choice([-9999, 10, 50], 400)], axis=1)
+    keys = np.stack([np.zeros(400, np.int64), rng.integers(-20, 40, 400), rng.choice([I.NO_RATIO, 10, 50], 400)], axis=1)
     n = rng.integers(1, 50, 400)
     w = I.learn_weights(keys, n, 2)[0]
-    p = np.concatenate([np.ones((400, 1)), np.where(keys[:, 1:] <= -9999, 0, np.exp(np.maximum(keys[:, 1:], -600) / I.BINS))], axis=1)
+    p = np.concatenate([np.ones((400, 1)), np.where(keys[:, 1:] <= I.NO_RATIO, 0, np.exp(np.maximum(keys[:, 1:], -600) / I.BINS))], axis=1)
     value = lambda x: float((n * np.log((x * p).sum(axis=1))).sum())
     for _ in range(50):
         other = np.abs(w + rng.normal(0, 0.02, 3))

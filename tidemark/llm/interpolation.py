@@ -27,8 +27,10 @@ ORDER = 3
 KEY_BITS = 48
 # Context-frequency buckets: unseen, 1, 2-3, 4-7, ...
 BUCKETS = 33
-# The learning statistics bin log ratios to the floor in steps of 1/BINS.
-BINS = 8
+# The learning statistics bin log ratios to the floor in steps of 1/BINS; a bin
+# takes RATIO_BITS of a statistic's key, and NO_RATIO stands for an estimate of 0.
+BINS, RATIO_BITS = 3, 12
+NO_RATIO = -(1 << RATIO_BITS - 1)
 EM_ROUNDS = 40
 # Hashes of the end token and of the place before a text: not those of words.
 END, BEFORE = np.uint64(0x5EED0E4D), np.uint64(0x5EED57A7)
@@ -125,32 +127,41 @@ def _bucket(count: np.ndarray) -> np.ndarray:
 
 
 def _learning_rows(tuned: DataFrame, answers: DataFrame, order: int, floor: float, tokens: int, texts: int) -> DataFrame:
-    """Numbers of deleted tokens by context buckets and binned log ratios."""
+    """Numbers of deleted tokens by the longest context's bucket and the binned log
+    ratios, packed into one number ``key``."""
 
     def use(answer: X.Answered) -> pa.RecordBatch:
         t = Tokens(answer.texts, order)
         p, c = _estimates(t, answer, order, True, tokens, texts)
         with np.errstate(divide="ignore"):
-            ratio = np.where(p > 0, np.rint(BINS * np.log(p / floor)), -9999).astype(np.int64)
-        rows, n = np.unique(np.concatenate([_bucket(c), ratio]).T, axis=0, return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(rows.tolist(), pa.list_(pa.int64())), pa.array(n)], names=["key", "n"])
+            ratio = np.where(p > 0, np.rint(BINS * np.log(p / floor)), NO_RATIO).astype(np.int64)
+        key = _bucket(c[-1]).astype(np.int64) if order > 1 else np.zeros(p.shape[1], np.int64)
+        for r in ratio:
+            key = (key << RATIO_BITS) | (r - NO_RATIO)
+        keys, n = np.unique(key, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["key", "n"])
 
-    return X.with_answers(tuned, answers, 2, use, "key array<long>, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return X.with_answers(tuned, answers, 2, use, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def unpacked(keys: np.ndarray, order: int) -> np.ndarray:
+    """Bucket and ratios of packed keys, one row each."""
+    parts = [(keys >> RATIO_BITS * k & (1 << RATIO_BITS) - 1) + NO_RATIO for k in range(order - 1, -1, -1)]
+    return np.stack([keys >> RATIO_BITS * order, *parts], axis=1) if len(keys) else np.zeros((0, order + 1), np.int64)
 
 
 def learn_weights(keys: np.ndarray, n: np.ndarray, order: int) -> np.ndarray:
     """Weights by context bucket: row b of the result mixes floor and orders
     1..order for the longest context's bucket b.
 
-    ``keys`` holds for each row the buckets of contexts 2..order and the binned
-    log ratios of orders 1..order to the floor.  Buckets without rows take the
+    ``keys`` holds for each row the longest context's bucket and the binned log
+    ratios of orders 1..order to the floor.  Buckets without rows take the
     weights of the nearest bucket below them that has some.
     """
     weights = np.zeros((BUCKETS, order + 1))
     if len(keys):
-        bucket = keys[:, order - 2] if order > 1 else np.zeros(len(keys), np.int64)
-        ratio = keys[:, max(order - 1, 0):].astype(float)
-        p = np.concatenate([np.ones((len(keys), 1)), np.where(ratio <= -9999, 0.0, np.exp(np.maximum(ratio, -600) / BINS))], axis=1)
+        bucket, ratio = keys[:, 0], keys[:, 1:].astype(float)
+        p = np.concatenate([np.ones((len(keys), 1)), np.where(ratio <= NO_RATIO, 0.0, np.exp(np.maximum(ratio, -600) / BINS))], axis=1)
     for b in range(BUCKETS):
         rows = bucket == b if len(keys) else np.zeros(0, bool)
         if not rows.any():
@@ -190,6 +201,8 @@ def score_documents(docs: DataFrame, order: int = ORDER, id_col: str = "doc_id",
     ``docs`` are read three times and must come in the same order; write the
     result of a shuffle as a table first.
     """
+    if not 1 <= order <= 4:
+        raise ValueError("orders 1 to 4")
     ship_code(docs.sparkSession)
     buckets = X.bucket_count(docs)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -202,7 +215,7 @@ def score_documents(docs: DataFrame, order: int = ORDER, id_col: str = "doc_id",
     floor = 1.0 / (distinct + 1)
 
     learning = _learning_rows(_bodies(slim, (TUNED,)), answers, order, floor, kept, kept_texts).toPandas()
-    keys = np.array(learning["key"].tolist(), np.int64).reshape(len(learning), 2 * order - 1)
+    keys = unpacked(learning["key"].to_numpy(np.int64), order)
     weights = learn_weights(keys, learning["n"].to_numpy(np.int64), order)
     total, texts = kept + tuned, kept_texts + tuned_texts
 
