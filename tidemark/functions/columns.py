@@ -37,11 +37,8 @@ def category_levels(code) -> list[Column]:
 def category_two_levels(code) -> list[Column]:
     """What stands before and after the first dot (no dot: no second level),
     each without any occurrence of the text 'null'."""
-    c = _c(code)
-    dot = F.instr(c, ".")
-    head = F.when(dot > 0, F.substring(c, F.lit(1), dot - 1)).otherwise(c)
-    tail = F.when(dot > 0, F.substring(c, dot + 1, F.length(c)))
-    return [F.replace(part, F.lit("null"), F.lit("")) for part in (head, tail)]
+    parts = F.split(_c(code), r"\.", 2)
+    return [F.replace(F.get(parts, i), F.lit("null"), F.lit("")) for i in range(2)]
 
 
 def parse_event_time(text) -> Column:

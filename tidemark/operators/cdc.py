@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# --- fixed values: the declared wire schema ------------------------------------
 # Debezium-style field definitions (column name under "field", logical type under "name").
 CDC_SCHEMA_JSON = (
     '{"type":"struct","fields":['
@@ -18,6 +19,7 @@ CDC_SCHEMA_JSON = (
     '{"field":"user_id","type":"int64","optional":false},'
     '{"field":"user_session","type":"string","optional":true}]}'
 )
+# -------------------------------------------------------------------------------
 
 
 def cdc_unwrap(changes: DataFrame, keep: list[str] | None = None) -> DataFrame:
