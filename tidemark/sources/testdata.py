@@ -52,6 +52,11 @@ EVENT_FIELDS = ["event_time", "event_type", "product_id", "category_id", "catego
 FACT_TABLES = {"events", "lineitem", "orders", "documents", "pages", "conversations", "embeddings"}
 
 
+# Stored bytes of events for one task: about 150,000 rows, each of which becomes
+# a record of some 900 bytes that is built, parsed and checked.
+EVENT_TASK_BYTES = 3 << 20
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return spread(df) if name in FACT_TABLES else df
@@ -73,6 +78,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(want) if have < want else df
 
 
+def event_tasks(events: DataFrame) -> int:
+    """Tasks that the stored bytes of an event table call for."""
+    stored = events._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return -(-int(str(stored)) // EVENT_TASK_BYTES)
+
+
 def behaviour_events(spark: SparkSession, sf_dir: str, with_replays: bool = True) -> DataFrame:
     """Behaviour events (domain schema) + ``ingest_seq`` arrival order.
 
@@ -81,12 +92,19 @@ def behaviour_events(spark: SparkSession, sf_dir: str, with_replays: bool = True
     """
     # the JSON property is extracted once per row (fenced), so filters on
     # derived columns do not re-extract it
-    ev = read_table(spark, sf_dir, "events").select(
+    events = read_table(spark, sf_dir, "events")
+    ev = events.select(
         "event_id", "ts", "user_id", "event_type", "value",
         once(F.get_json_object("props", "$.k").cast("bigint").alias("k")))
     part = read_table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("k"), "p_brand", "p_type", "p_name")
     j = ev.join(bounded_broadcast(part), "k", "left")
+    # a shuffle join deals the events by k, which may have few or hot values;
+    # what follows costs far more a row than the join, so it gets even tasks
+    # whose number grows with the table
+    tasks = event_tasks(events)
+    if tasks > spark.sparkContext.defaultParallelism:
+        j = j.repartition(tasks)
     et = F.col("event_type")
     mapped = None
     for src, dst in EVENT_TYPE_MAP.items():

@@ -50,10 +50,14 @@ def kafka_source(spark: SparkSession, topics: list[str], bootstrap: str,
 
 
 def file_source(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
-                max_files: int | None = None) -> DataFrame:
+                max_files: int | None = None, max_bytes: int | None = None) -> DataFrame:
+    """Files of a folder; a micro-batch takes ``max_files`` files, or as many as
+    have ``max_bytes``, at least one."""
     r = spark.readStream.format(fmt).schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        r = r.option("maxBytesPerTrigger", max_bytes)
     return r.load(path)
 
 
