@@ -16,9 +16,6 @@ from pyspark.sql import types as T
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, QueryFn] = {}
 _ORACLES: dict[str, str] = {}
-# HotSpot compiles no method of more bytecode than this; a larger generated one
-# would be interpreted for every row, so Spark runs its operators one by one.
-HUGE_METHOD = "8000"
 
 
 def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
@@ -45,7 +42,6 @@ def register(name: str, sql: str | None = None):
             # event times are UTC wall-clock values; pin the session clock so
             # results do not depend on the caller's time zone
             spark.conf.set("spark.sql.session.timeZone", "UTC")
-            spark.conf.set("spark.sql.codegen.hugeMethodLimit", HUGE_METHOD)
             return round_doubles(fn(spark, sf_dir))
         wrapped.__name__ = fn.__name__
         wrapped.__doc__ = fn.__doc__
