@@ -13,7 +13,7 @@ from __future__ import annotations
 import datetime as _dt
 import time
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
@@ -356,44 +356,83 @@ def processing_ms_per_1000(query: StreamingQuery) -> float | None:
 
 
 SESSION_TTL_MS = 24 * 3600 * 1000
+# Buckets of the counter's open sessions; fixed for the life of a checkpoint.
+SESSION_BUCKETS = 1024
 SESSION_OUT = "user_session string, activity_count long, last_seen timestamp, expired boolean"
 # The state store that state variables with timers need.
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 class SessionCounter(StatefulProcessor):
-    """Running count and last time per session.  A timer closes a session once
-    the watermark is a day past its last event; rows that come later begin it anew."""
+    """Running count and last time of the sessions of one bucket.
+
+    The bucket's open sessions are one state value, an Arrow table, so a batch
+    costs one read and one write of state for each bucket that it touches, and
+    no call for each session.  A bucket has one timer, at the time when the
+    first of its sessions closes: once the watermark is a day past a session's
+    last event.  Rows that come later begin the session anew.
+    """
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("session", "activity_count long, last_seen_ms long")
+        self.open = handle.getValueState("sessions", "due_ms long, sessions binary")
 
     def handleInputRows(self, key, rows, timerValues):
-        count, last = self.seen.get() if self.seen.exists() else (0, None)
-        before = last
-        for row in rows:
-            count += row.n
-            last = row.last_ms if last is None else max(last, row.last_ms)
-        if last != before:
-            if before is not None:
-                self.handle.deleteTimer(before + SESSION_TTL_MS)
-            self.handle.registerTimer(last + SESSION_TTL_MS)
-        self.seen.update((count, last))
-        yield self._row(key, count, last, False)
+        import pyarrow as pa
+        due, known = self._read()
+        came = [pa.table({"user_session": pa.array(r["user_session"], pa.string()), "activity_count": pa.array(r["n"], pa.int64()),
+                          "last_ms": pa.array(r["last_ms"], pa.int64())}) for r in rows]
+        parts = [known.append_column("new", pa.array([False] * known.num_rows, pa.bool_()))]
+        parts += [t.append_column("new", pa.array([True] * t.num_rows, pa.bool_())) for t in came]
+        merged = pa.concat_tables(parts).group_by("user_session").aggregate(
+            [("activity_count", "sum"), ("last_ms", "max"), ("new", "max")]).rename_columns(
+            ["user_session", "activity_count", "last_ms", "new"])
+        self._write(due, merged.drop_columns("new"))
+        yield self._said(merged.filter(merged["new"]), False)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        count, last = self.seen.get()
-        self.seen.clear()
-        yield self._row(key, count, last, True)
+        import pyarrow.compute as pc
+        _, known = self._read()
+        closed = pc.less_equal(pc.add(known["last_ms"], SESSION_TTL_MS), timerValues.getCurrentWatermarkInMs())
+        self._write(None, known.filter(pc.invert(closed)))   # the timer that rang is gone
+        yield self._said(known.filter(closed), True)
 
     def close(self) -> None:
         pass
 
+    def _read(self):
+        """The time that the bucket's timer is set to, and its open sessions."""
+        import pyarrow as pa
+        if not self.open.exists():
+            return None, pa.table({"user_session": pa.array([], pa.string()), "activity_count": pa.array([], pa.int64()),
+                                   "last_ms": pa.array([], pa.int64())})
+        due, saved = self.open.get()
+        return due, pa.ipc.open_stream(saved).read_all()
+
+    def _write(self, due, sessions) -> None:
+        """Save the open sessions, and set the timer anew if another time is due."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        first = pc.min(sessions["last_ms"]).as_py()
+        then = first + SESSION_TTL_MS if first is not None else None
+        if due != then:
+            if due is not None:
+                self.handle.deleteTimer(due)
+            if then is not None:
+                self.handle.registerTimer(then)
+        if then is None:
+            self.open.clear()
+            return
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, sessions.schema) as out:
+            out.write_table(sessions)
+        self.open.update((then, sink.getvalue().to_pybytes()))
+
     @staticmethod
-    def _row(key, count: int, last_ms: int, expired: bool) -> Row:
-        at = _dt.datetime.fromtimestamp(last_ms / 1000, _dt.timezone.utc)
-        return Row(user_session=key[0], activity_count=count, last_seen=at, expired=expired)
+    def _said(sessions, expired: bool):
+        import pandas as pd
+        said = sessions.select(["user_session", "activity_count"]).to_pandas()
+        return said.assign(last_seen=pd.to_datetime(sessions["last_ms"].to_pandas(), unit="ms", utc=True), expired=expired)
 
 
 def _combined(batches):
@@ -411,15 +450,17 @@ def session_counter_stream(events: DataFrame, watermark: str = FEATURE_WATERMARK
     time after its last event.
 
     Rows are combined before they reach the state, so a hot session comes as one
-    row for some thousand events; state is keyed by session, lies in the state
-    store's partitions and is checkpointed with the query.  Rows without a
-    session or a time are not counted.  Sets the session's state store to the
-    one that timers need.
+    row for some thousand events.  Sessions are dealt by hash to
+    ``SESSION_BUCKETS`` buckets; a bucket's open sessions are kept together in the
+    state store, checkpointed with the query and rewritten by each batch that
+    touches the bucket; closed ones leave it.  Rows without a session or a time
+    are not counted.  Sets the session's state store to the one that timers need.
     """
     events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     slim = (events.filter(F.col("user_session").isNotNull() & F.col("event_timestamp").isNotNull())
             .withWatermark("event_timestamp", watermark)
             .select("user_session", F.unix_millis("event_timestamp").alias("ms")))
     return (slim.mapInArrow(_combined, "user_session string, n long, last_ms long")
-            .groupBy("user_session")
-            .transformWithState(SessionCounter(), SESSION_OUT, "Update", "EventTime"))
+            .withColumn("bucket", F.pmod(F.xxhash64("user_session"), F.lit(SESSION_BUCKETS)))
+            .groupBy("bucket")
+            .transformWithStateInPandas(SessionCounter(), SESSION_OUT, "Update", "EventTime"))
