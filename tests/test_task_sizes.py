@@ -43,6 +43,15 @@ def test_events_of_one_part_are_dealt_to_tasks_that_grow_with_the_table(spark, t
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_rows_bound_a_task_however_few_bytes_they_take(spark, tables, monkeypatch):
+    before = sorted(TD.behaviour_events(spark, tables).collect())
+    monkeypatch.setattr(TD, "EVENT_TASK_ROWS", 100, raising=False)
+    found = TD.behaviour_events(spark, tables)
+    by_task = _rows_by_task(found)
+    assert len(by_task) >= 20 and max(by_task) < 2100 / 10
+    assert sorted(found.collect()) == before
+
+
 def test_routing_batches_are_bounded_and_route_the_same_rows(spark, tables, monkeypatch):
     whole = sorted(r.ingest_seq for r in queries()["route_valid"](spark, tables).collect())
     monkeypatch.setattr(q_lake, "FILE_RECORDS", 100)

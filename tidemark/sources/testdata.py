@@ -52,13 +52,19 @@ EVENT_FIELDS = ["event_time", "event_type", "product_id", "category_id", "catego
 FACT_TABLES = {"events", "lineitem", "orders", "documents", "pages", "conversations", "embeddings"}
 
 
-# Stored bytes of events for one task: about 150,000 rows, each of which becomes
-# a record of some 900 bytes that is built, parsed and checked.
+# Events for one task, in stored bytes and in rows: each becomes a record of some
+# 900 bytes that is built, parsed and checked.  A row may take 8 stored bytes or
+# 20, so the bytes alone do not bound a task.
 EVENT_TASK_BYTES = 3 << 20
+EVENT_TASK_ROWS = 100_000
+
+
+def scan_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = scan_table(spark, sf_dir, name)
     return spread(df) if name in FACT_TABLES else df
 
 
@@ -79,9 +85,10 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def event_tasks(events: DataFrame) -> int:
-    """Tasks that the stored bytes of an event table call for."""
+    """Tasks that the stored bytes and the rows of an event table call for.
+    Given the scan itself, the rows are counted from the files' footers."""
     stored = events._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return -(-int(str(stored)) // EVENT_TASK_BYTES)
+    return max(-(-int(str(stored)) // EVENT_TASK_BYTES), -(-events.count() // EVENT_TASK_ROWS))
 
 
 def behaviour_events(spark: SparkSession, sf_dir: str, with_replays: bool = True) -> DataFrame:
@@ -102,7 +109,7 @@ def behaviour_events(spark: SparkSession, sf_dir: str, with_replays: bool = True
     # a shuffle join deals the events by k, which may have few or hot values;
     # what follows costs far more a row than the join, so it gets even tasks
     # whose number grows with the table
-    tasks = event_tasks(events)
+    tasks = event_tasks(scan_table(spark, sf_dir, "events"))
     if tasks > spark.sparkContext.defaultParallelism:
         j = j.repartition(tasks)
     et = F.col("event_type")
