@@ -52,6 +52,18 @@ def test_rows_bound_a_task_however_few_bytes_they_take(spark, tables, monkeypatc
     assert sorted(found.collect()) == before
 
 
+def test_events_are_dealt_before_anything_is_derived_from_them(spark, tables, monkeypatch):
+    before = sorted(TD.behaviour_events(spark, tables).collect())
+    monkeypatch.setattr(TD, "EVENT_TASK_ROWS", 100)
+    found = TD.behaviour_events(spark, tables)
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    # the raw rows, before the JSON property is taken out, and what is joined
+    assert plan.count("RoundRobinPartitioning(20)") == plan.count("RoundRobinPartitioning") == 2
+    raw = plan.rindex("RoundRobinPartitioning(20)")
+    assert plan.index("get_json_object") < raw < plan.index("FileScan parquet [event_id")
+    assert sorted(found.collect()) == before
+
+
 def test_routing_batches_are_bounded_and_route_the_same_rows(spark, tables, monkeypatch):
     whole = sorted(r.ingest_seq for r in queries()["route_valid"](spark, tables).collect())
     monkeypatch.setattr(q_lake, "FILE_RECORDS", 100)

@@ -97,20 +97,23 @@ def behaviour_events(spark: SparkSession, sf_dir: str, with_replays: bool = True
     Columns: ingest_seq, event_id, event_time, event_type, product_id, category_id,
     category_code, brand, price, user_id, user_session.
     """
+    # a scan may be a few tasks however many rows it has, and what follows costs
+    # far more a row than reading it, so the rows are first dealt evenly to tasks
+    # whose number grows with the table
+    scan = scan_table(spark, sf_dir, "events")
+    tasks = event_tasks(scan)
+    many = tasks > spark.sparkContext.defaultParallelism
+    events = scan.repartition(tasks) if many else spread(scan)
     # the JSON property is extracted once per row (fenced), so filters on
     # derived columns do not re-extract it
-    events = read_table(spark, sf_dir, "events")
     ev = events.select(
         "event_id", "ts", "user_id", "event_type", "value",
         once(F.get_json_object("props", "$.k").cast("bigint").alias("k")))
     part = read_table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("k"), "p_brand", "p_type", "p_name")
     j = ev.join(bounded_broadcast(part), "k", "left")
-    # a shuffle join deals the events by k, which may have few or hot values;
-    # what follows costs far more a row than the join, so it gets even tasks
-    # whose number grows with the table
-    tasks = event_tasks(scan_table(spark, sf_dir, "events"))
-    if tasks > spark.sparkContext.defaultParallelism:
+    # a shuffle join deals the events by k, which may have few or hot values
+    if many:
         j = j.repartition(tasks)
     et = F.col("event_type")
     mapped = None
