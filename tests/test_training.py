@@ -52,6 +52,20 @@ def test_final_fit_has_the_best_trials_parameters_and_learns(spark, tmp_path):
     assert spark.read.json(f"{path}/metrics").first().n == 400
 
 
+def test_best_trial_is_found_among_rates_that_matter(spark):
+    """With one round the learning rate is never applied: every rate has the same error."""
+    drawn = dict(TR.sample_trials(1)[0], minInfoGain=0.0)
+    table = TR.hyperparameter_search(_rows(spark), FEATURES, [dict(drawn, stepSize=r) for r in (1e-4, 1e-1)])
+    slow, quick = (r.validation_rmse for r in table.orderBy("trial_id").collect())
+    assert quick < slow - 1e-3 and TR.best_trial(table).first().trial_id == 1
+
+
+def test_least_gain_is_per_row():
+    got = TR._typed({"minInfoGain": 0.5, "maxDepth": 3.0, "featureSubsetStrategy": 0.7}, 1e6)
+    assert got == {"minInfoGain": 0.5 / 1e6, "maxDepth": 3, "featureSubsetStrategy": "0.7"}
+    assert TR._typed({"minInfoGain": 0.5}, 0)["minInfoGain"] == 0.5 and TR._typed({"maxDepth": 4}, 9) == {"maxDepth": 4}
+
+
 def test_serving_helpers(spark):
     df = spark.createDataFrame([("1.5", "x", 3)], "price string, activity_count string, other int")
     got = TR.coerce_numeric(TR.select_present(df, ["brand", "price", "activity_count"]), {"price": "float", "activity_count": "int"})

@@ -26,10 +26,12 @@ LABEL = "is_purchased"
 TEST_FRACTION_TENTHS = 3          # test_size 0.3
 UNSEEN_INDEX = -1
 # Boosted-tree settings: binary logistic, depth, learning rate, row/column sampling.
-BOOST_ROUNDS = 1
+# The source has one round; GBTClassifier gives its first tree the weight 1, so the
+# learning rate needs more.  20 is the classifier's own default.
+BOOST_ROUNDS = 20
 GBT_PARAMS = {"maxDepth": 1, "stepSize": 0.3, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}
 # Search space: depth 3 or 4; learning rate log-uniform; least rows of a leaf;
-# row and column sampling and least gain of a split uniform.
+# row and column sampling and least gain of a split, summed over rows, uniform.
 SEARCH_SPACE = {
     "maxDepth": ("choice", [3, 4]),
     "stepSize": ("log", [1e-4, 1e-1]),
@@ -39,6 +41,7 @@ SEARCH_SPACE = {
     "minInfoGain": ("uniform", [0.0, 1.0]),
 }
 TRIALS = 3
+SEARCH_TRAIN_RATIO = 0.75
 # -----------------------------------------------------------------------------
 
 
@@ -207,10 +210,18 @@ def sample_trials(n: int = TRIALS, space: dict = SEARCH_SPACE, seed: int = 42) -
     return [{k: draw(*v) for k, v in space.items()} for _ in range(n)]
 
 
-def _typed(params: dict) -> dict:
-    """Parameters as the classifier takes them (column sampling is a text)."""
-    return {k: str(v) if k == "featureSubsetStrategy" else int(v) if k in ("maxDepth", "minInstancesPerNode") else v
-            for k, v in params.items()}
+def _typed(params: dict, rows: float) -> dict:
+    """Parameters as the classifier takes them for a fit on ``rows`` rows.
+
+    Column sampling is a text.  The least gain of a split is drawn as the source's
+    gamma, a gain summed over rows, whereas the classifier compares the mean gain of
+    a row (1 at most, with labels -1 and 1): undivided, no tree would split at all.
+    """
+    typed = {k: str(v) if k == "featureSubsetStrategy" else int(v) if k in ("maxDepth", "minInstancesPerNode") else v
+             for k, v in params.items()}
+    if "minInfoGain" in typed:
+        typed["minInfoGain"] = typed["minInfoGain"] / max(rows, 1.0)
+    return typed
 
 
 def hyperparameter_search(train: DataFrame, features: list[str], trials: list[dict] | None = None,
@@ -222,15 +233,17 @@ def hyperparameter_search(train: DataFrame, features: list[str], trials: list[di
     (one row per parameter set)."""
     trials = trials if trials is not None else sample_trials(seed=seed)
     classifier = gbt(seed=seed)
-    maps = [{classifier.getParam(k): v for k, v in _typed(t).items()} for t in trials]
-    tvs = TrainValidationSplit(estimator=_pipeline(features, classifier), estimatorParamMaps=maps, trainRatio=0.75, seed=seed,
+    rows = train.count() * SEARCH_TRAIN_RATIO
+    maps = [{classifier.getParam(k): v for k, v in _typed(t, rows).items()} for t in trials]
+    tvs = TrainValidationSplit(estimator=_pipeline(features, classifier), estimatorParamMaps=maps,
+                               trainRatio=SEARCH_TRAIN_RATIO, seed=seed,
                                evaluator=RegressionEvaluator(labelCol=LABEL, predictionCol="p", metricName="rmse"),
                                parallelism=parallelism)
     model = tvs.fit(train.withColumn(LABEL, F.col(LABEL).cast("double")))
     keys = sorted(trials[0])
-    rows = [(i, *[float(t[k]) for k in keys], float(m)) for i, (t, m) in enumerate(zip(trials, model.validationMetrics))]
+    found = [(i, *[float(t[k]) for k in keys], float(m)) for i, (t, m) in enumerate(zip(trials, model.validationMetrics))]
     schema = "trial_id int, " + ", ".join(f"{k} double" for k in keys) + ", validation_rmse double"
-    return train.sparkSession.createDataFrame(rows, schema)
+    return train.sparkSession.createDataFrame(found, schema)
 
 
 def fit_tuned(train: DataFrame, features: list[str], trials: list[dict] | None = None,
@@ -240,7 +253,7 @@ def fit_tuned(train: DataFrame, features: list[str], trials: list[dict] | None =
     table = hyperparameter_search(train, features, trials, seed)
     best = best_trial(table).first().asDict()
     params = {k: v for k, v in best.items() if k not in ("trial_id", "validation_rmse")}
-    return fit_pipeline(train, features, _typed(params), seed), table
+    return fit_pipeline(train, features, _typed(params, train.count()), seed), table
 
 
 def save_model(model: PipelineModel, mapping: DataFrame, metrics: DataFrame, path: str) -> None:
