@@ -60,6 +60,16 @@ def test_best_trial_is_found_among_rates_that_matter(spark):
     assert quick < slow - 1e-3 and TR.best_trial(table).first().trial_id == 1
 
 
+def test_final_fit_at_the_drawn_parameters_splits_and_boosts(spark):
+    train = _rows(spark)
+    model, _ = TR.fit_tuned(train, FEATURES)
+    classifier = model.stages[1]
+    assert classifier.getNumTrees == TR.BOOST_ROUNDS > 1
+    assert all(tree.numNodes > 1 for tree in classifier.trees)
+    scored = TR.score(model, train).select(F.col("is_purchased").alias("label"), "p")
+    assert scored.distinct().count() > 2 and TR.eval_auc(scored).first().auc > 0.85
+
+
 def test_least_gain_is_per_row():
     got = TR._typed({"minInfoGain": 0.5, "maxDepth": 3.0, "featureSubsetStrategy": 0.7}, 1e6)
     assert got == {"minInfoGain": 0.5 / 1e6, "maxDepth": 3, "featureSubsetStrategy": "0.7"}
