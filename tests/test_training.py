@@ -70,6 +70,16 @@ def test_final_fit_at_the_drawn_parameters_splits_and_boosts(spark):
     assert scored.distinct().count() > 2 and TR.eval_auc(scored).first().auc > 0.85
 
 
+def test_every_drawn_trial_finds_a_weak_rule(spark):
+    """The least gain is drawn as a sum over rows; as a gain of one row it forbids all but the strongest splits."""
+    rng = random.Random(2)
+    rows = [(p, float(rng.randrange(5)), int((p > 0.5) != (rng.random() < 0.3))) for p in (rng.random() for _ in range(2000))]
+    train = spark.createDataFrame(rows, "price double, activity_count double, is_purchased int")
+    table = TR.hyperparameter_search(train, FEATURES).collect()
+    assert len(table) == TR.TRIALS and all(r.minInfoGain > 0.1 for r in table)
+    assert all(r.validation_rmse < 0.48 for r in table)      # one probability for all rows: 0.5
+
+
 def test_least_gain_is_per_row():
     got = TR._typed({"minInfoGain": 0.5, "maxDepth": 3.0, "featureSubsetStrategy": 0.7}, 1e6)
     assert got == {"minInfoGain": 0.5 / 1e6, "maxDepth": 3, "featureSubsetStrategy": "0.7"}
